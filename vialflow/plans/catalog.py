@@ -7,7 +7,6 @@ questions as DuckDB SQL for the correctness gate.
 
 from __future__ import annotations
 
-from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -20,22 +19,13 @@ from ..operators.aggregates import (LEVEL_MEASURES, conditional_counts, count_by
 from ..operators.joins import join_small
 from ..operators.reshape import first_per_group, pivot_counts, sort_by_choice, top_k, unpivot_counts
 from ..sources.tables import ACTOR_STATES, SEVERITY_LEVELS, EventSource, severity_of_level
-
-Query = Callable[[SparkSession, str], DataFrame]
-CATALOG: dict[str, Query] = {}
+from .registry import query
 
 MEASURES = ["total", *LEVEL_MEASURES.values()]
 # measure column -> severity code, for wide -> long
 MEASURE_CODES = {name: severity_of_level(lvl) for lvl, name in LEVEL_MEASURES.items()}
 
 
-def query(name: str):
-    def deco(fn: Query) -> Query:
-        CATALOG[name] = fn
-        return fn
-    return deco
-
-
 def _valid(ev: DataFrame) -> DataFrame:
     """Keep events whose severity is one of the known values."""
     return ev.where(F.col("gravedad").isin(*SEVERITY_LEVELS))

@@ -46,8 +46,9 @@ def _types(table):
 
 
 def compare(spark, name: str, root: str, con=None) -> dict:
-    from ..plans.catalog import CATALOG
-    from ..plans.oracle import SQL
+    from .registry import all_queries
+    from .oracle import SQL
+    CATALOG = all_queries()
     con = con or duck(root)
     got = CATALOG[name](spark, root).toArrow()
     want = con.execute(SQL[name]).to_arrow_table()

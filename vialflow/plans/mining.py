@@ -1,0 +1 @@
+"""Machine-learning queries (filled below)."""

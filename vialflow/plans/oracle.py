@@ -43,13 +43,17 @@ def rnd(num: str, den: str, scale: int = 1, digits: int = 1) -> str:
 
 
 def with_(names: str, body: str) -> str:
+    """WITH clause holding the named CTEs and, first, everything they depend on."""
     order: list[str] = []
-    for n in names.split():
+
+    def add(n: str) -> None:
         for d in DEPENDS.get(n, []):
-            if d not in order:
-                order.append(d)
+            add(d)
         if n not in order:
             order.append(n)
+
+    for n in names.split():
+        add(n)
     return "WITH " + ",\n".join(CTE[n] for n in order) + "\n" + body
 
 
@@ -250,3 +254,149 @@ GROUP BY pl.nombre ORDER BY total DESC, nombre LIMIT 5"""),
 SELECT nombre, total, muertos, tasa, ratio,
   CASE WHEN ratio > 0.75 THEN 'alta' WHEN ratio > 0.45 THEN 'media' ELSE 'baja' END AS banda FROM q"""),
 }
+
+
+# ------------------------------------------------------------------ warehouse, audits, flat views
+CTE["members"] = """members AS (
+  SELECT dimension, CAST(ROW_NUMBER() OVER (PARTITION BY dimension ORDER BY descripcion) AS INTEGER) AS member_id,
+         descripcion, nivel FROM (
+    SELECT DISTINCT 'gravedad' AS dimension, o_orderstatus AS descripcion,
+           CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'P' THEN 2 WHEN 'O' THEN 3 END AS nivel FROM orders
+    UNION SELECT DISTINCT 'clase', o_orderpriority, CAST(NULL AS INTEGER) FROM orders
+    UNION SELECT DISTINCT 'hipotesis', p_brand, CAST(NULL AS INTEGER) FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)
+    UNION SELECT DISTINCT 'vehiculo_clase', p_type, CAST(NULL AS INTEGER) FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)
+    UNION SELECT DISTINCT 'condicion', l_linestatus, CAST(NULL AS INTEGER) FROM lineitem) m
+  WHERE descripcion IS NOT NULL)"""
+CTE["fa"] = """fa AS (
+  SELECT ev.id AS codigo_accidente, ev.gravedad, COALESCE(ev.nivel, 0) AS gravedad_nivel, ev.clase,
+         COALESCE(c.c_nationkey, -1) AS localidad,
+         COALESCE(h.txt, '') AS hipotesis, COALESCE(v.txt, '') AS vehiculos_clase,
+         COALESCE(k.num_vehiculos, 0) AS n_vehiculos, COALESCE(k.num_actores, 0) AS n_actores
+  FROM ev LEFT JOIN customer c ON ev.cliente = c.c_custkey
+  LEFT JOIN (SELECT id, string_agg(hipotesis, '|' ORDER BY hipotesis) AS txt FROM hyp GROUP BY id) h ON ev.id = h.id
+  LEFT JOIN (SELECT id, string_agg(item, '|' ORDER BY item) AS txt FROM
+     (SELECT id, clase || ':' || CAST(COUNT(*) AS VARCHAR) AS item FROM veh GROUP BY id, clase) GROUP BY id) v ON ev.id = v.id
+  LEFT JOIN kids k ON ev.id = k.id)"""
+CTE["dl"] = """dl AS (
+  SELECT d.localidad AS localidad_id, d.localidad AS codigo_localidad,
+         COALESCE(pl.nombre, 'Desconocida') AS nombre, COALESCE(pl.zona, 'Desconocida') AS zona
+  FROM (SELECT DISTINCT localidad FROM fa) d LEFT JOIN pl ON d.localidad = pl.localidad)"""
+DEPENDS.update({"fa": ["ev", "hyp", "veh", "kids"], "dl": ["pl", "fa"]})
+
+CAL = """CAST(year(fecha) * 10000 + month(fecha) * 100 + day(fecha) AS INTEGER)"""
+MONTHS = "['Enero','Febrero','Marzo','Abril','Mayo','Junio','Julio','Agosto','Septiembre','Octubre','Noviembre','Diciembre']"
+DAYS = "['Lunes','Martes','Miércoles','Jueves','Viernes','Sábado','Domingo']"
+
+
+def _fk(child, ck, parent, pk):
+    return (f"SELECT '{child}.{ck}' AS hijo, '{parent}.{pk}' AS padre, COUNT(*) AS huerfanos FROM {child} "
+            f"WHERE {ck} IS NOT NULL AND {ck} NOT IN (SELECT {pk} FROM {parent} WHERE {pk} IS NOT NULL)")
+
+
+def _uniq(table, keys):
+    k = ", ".join(keys)
+    return (f"SELECT '{table}' AS tabla, '{','.join(keys)}' AS clave, COUNT(*) AS claves_repetidas, "
+            f"CAST(COALESCE(SUM(n - 1), 0) AS BIGINT) AS filas_sobrantes "
+            f"FROM (SELECT {k}, COUNT(*) AS n FROM {table} GROUP BY {k} HAVING COUNT(*) > 1)")
+
+
+def _nn(table, cols):
+    return "\nUNION ALL ".join(
+        f"SELECT '{table}' AS tabla, '{c}' AS columna, COUNT(*) FILTER (WHERE {c} IS NULL) AS nulos FROM {table}"
+        for c in cols)
+
+
+SQL.update({
+    "dim_calendar": with_("ev", f"""
+, d AS (SELECT DISTINCT fecha FROM ev WHERE fecha IS NOT NULL)
+SELECT {CAL} AS fecha_id, fecha, CAST(year(fecha) AS INTEGER) AS anio, CAST(month(fecha) AS INTEGER) AS mes,
+  CAST(day(fecha) AS INTEGER) AS dia, CAST(quarter(fecha) AS INTEGER) AS trimestre,
+  ({MONTHS})[month(fecha)] AS nombre_mes, ({DAYS})[isodow(fecha)] AS dia_semana,
+  CAST(isodow(fecha) - 1 AS INTEGER) AS dia_semana_num FROM d"""),
+
+    "dim_members": with_("members", "SELECT * FROM members"),
+
+    "fact_v1": with_("ev kids members", f"""
+SELECT ev.id AS codigo_accidente, {CAL} AS fecha_id, c.c_nationkey AS localidad_id, g.nivel AS gravedad_nivel,
+  m.member_id AS clase_id, ev.hora, COALESCE(k.num_vehiculos, 0) AS n_vehiculos, COALESCE(k.num_actores, 0) AS n_actores
+FROM ev LEFT JOIN customer c ON ev.cliente = c.c_custkey
+LEFT JOIN (SELECT descripcion, nivel FROM members WHERE dimension = 'gravedad') g ON ev.gravedad = g.descripcion
+LEFT JOIN (SELECT * FROM members WHERE dimension = 'clase') m ON ev.clase = m.descripcion
+LEFT JOIN kids k ON ev.id = k.id"""),
+
+    "bridge_hypothesis": with_("hyp members", """
+SELECT hyp.id AS codigo_accidente, m.member_id AS hipotesis_id FROM hyp
+JOIN members m ON m.dimension = 'hipotesis' AND m.descripcion = hyp.hipotesis"""),
+
+    "bridge_vehicle": with_("veh members", """
+SELECT veh.id AS codigo_accidente, m.member_id AS vehiculo_id, veh.servicio FROM veh
+JOIN members m ON m.dimension = 'vehiculo_clase' AND m.descripcion = veh.clase"""),
+
+    "bridge_actor": with_("act members", """
+SELECT act.id AS codigo_accidente, m.member_id AS condicion_id, act.estado FROM act
+JOIN members m ON m.dimension = 'condicion' AND m.descripcion = act.condicion"""),
+
+    "child_dims": with_("act", """
+SELECT ROW_NUMBER() OVER (ORDER BY id, condicion, estado) AS actor_id, id AS siniestro_id, condicion, estado FROM act"""),
+
+    "child_dim_hypothesis": with_("hyp", """
+SELECT ROW_NUMBER() OVER (ORDER BY id, hipotesis) AS hipotesis_id, id AS siniestro_id, hipotesis AS descripcion FROM hyp"""),
+
+    "child_dim_vehicle": with_("veh", """
+SELECT ROW_NUMBER() OVER (ORDER BY id, clase, servicio) AS vehiculo_id, id AS siniestro_id, clase, servicio FROM veh"""),
+
+    "fact_arrays": with_("fa", "SELECT * FROM fa"),
+
+    "dim_localidad": with_("dl", "SELECT * FROM dl"),
+
+    "fact_rekeyed": with_("dl", """
+SELECT fa.codigo_accidente, dl.localidad_id, dl.nombre, dl.zona, fa.gravedad_nivel, fa.n_actores
+FROM fa LEFT JOIN dl ON fa.localidad = dl.codigo_localidad"""),
+
+    "audit_fk": "\nUNION ALL ".join([
+        _fk("lineitem", "l_orderkey", "orders", "o_orderkey"),
+        _fk("lineitem", "l_partkey", "part", "p_partkey"),
+        _fk("lineitem", "l_suppkey", "supplier", "s_suppkey"),
+        _fk("orders", "o_custkey", "customer", "c_custkey"),
+        _fk("customer", "c_nationkey", "nation", "n_nationkey"),
+        _fk("supplier", "s_nationkey", "nation", "n_nationkey"),
+        _fk("nation", "n_regionkey", "region", "r_regionkey")]),
+
+    "audit_unique": "\nUNION ALL ".join([
+        _uniq("orders", ["o_orderkey"]), _uniq("customer", ["c_custkey"]), _uniq("part", ["p_partkey"]),
+        _uniq("supplier", ["s_suppkey"]), _uniq("nation", ["n_nationkey"]),
+        _uniq("lineitem", ["l_orderkey", "l_linenumber"])]),
+
+    "audit_notnull": "\nUNION ALL ".join([
+        _nn("orders", ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"]),
+        _nn("lineitem", ["l_orderkey", "l_partkey", "l_returnflag", "l_linestatus"]),
+        _nn("customer", ["c_custkey", "c_nationkey"])]),
+
+    "audit_counts": with_("hyp veh", """
+SELECT 'orders' AS tabla, COUNT(*) AS filas FROM orders
+UNION ALL SELECT 'fact_siniestros', COUNT(*) FROM orders
+UNION ALL SELECT 'lineitem', COUNT(*) FROM lineitem
+UNION ALL SELECT 'bridge_hipotesis', COUNT(*) FROM hyp
+UNION ALL SELECT 'dim_vehiculo', COUNT(*) FROM veh
+UNION ALL SELECT 'dim_actor', COUNT(*) FROM lineitem"""),
+
+    "flat_events": with_("ev kids", f"""
+SELECT ev.id AS codigo_accidente, ev.fecha, ev.anio, ev.mes, COALESCE(ev.hora, -1) AS hora, ev.gravedad, ev.clase,
+  c.c_nationkey AS localidad, COALESCE(k.hipotesis, 'Desconocida') AS hipotesis,
+  COALESCE(k.tipo_vehiculo, 'Otro') AS tipo_vehiculo, COALESCE(k.num_hipotesis, 0) AS num_hipotesis,
+  COALESCE(k.num_vehiculos, 0) AS num_vehiculos, COALESCE(k.num_actores, 0) AS num_actores
+FROM ev LEFT JOIN kids k ON ev.id = k.id LEFT JOIN customer c ON ev.cliente = c.c_custkey WHERE {VALID}"""),
+
+    "feature_table": with_("ev kids", """
+, f AS (SELECT ev.id AS codigo_accidente, COALESCE(CAST(ev.hora AS DOUBLE), 0.0) AS hora, ev.gravedad,
+  ev.clase AS clase_siniestro, COALESCE(CAST(c.c_nationkey AS VARCHAR), '0') AS localidad,
+  COALESCE(k.hipotesis, 'Desconocida') AS hipotesis, COALESCE(k.tipo_vehiculo, 'Otro') AS tipo_vehiculo,
+  CAST(COALESCE(k.num_vehiculos, 0) AS DOUBLE) AS num_vehiculos, CAST(COALESCE(k.num_actores, 0) AS DOUBLE) AS num_actores
+  FROM ev LEFT JOIN kids k ON ev.id = k.id LEFT JOIN customer c ON ev.cliente = c.c_custkey
+  WHERE ev.gravedad IS NOT NULL AND ev.gravedad <> '')
+SELECT *, CAST(DENSE_RANK() OVER (ORDER BY clase_siniestro) - 1 AS DOUBLE) AS clase_siniestro_idx,
+  CAST(DENSE_RANK() OVER (ORDER BY localidad) - 1 AS DOUBLE) AS localidad_idx,
+  CAST(DENSE_RANK() OVER (ORDER BY hipotesis) - 1 AS DOUBLE) AS hipotesis_idx,
+  CAST(DENSE_RANK() OVER (ORDER BY tipo_vehiculo) - 1 AS DOUBLE) AS tipo_vehiculo_idx,
+  CAST(DENSE_RANK() OVER (ORDER BY gravedad) - 1 AS DOUBLE) AS gravedad_idx FROM f"""),
+})
