@@ -400,3 +400,55 @@ SELECT *, CAST(DENSE_RANK() OVER (ORDER BY clase_siniestro) - 1 AS DOUBLE) AS cl
   CAST(DENSE_RANK() OVER (ORDER BY tipo_vehiculo) - 1 AS DOUBLE) AS tipo_vehiculo_idx,
   CAST(DENSE_RANK() OVER (ORDER BY gravedad) - 1 AS DOUBLE) AS gravedad_idx FROM f"""),
 })
+
+
+# ------------------------------------------------------------------ mining table, samples, folds, encoders
+CTE["fe"] = """fe AS (SELECT id, gravedad FROM ev WHERE gravedad IS NOT NULL AND gravedad <> '')"""
+CTE["smp"] = """smp AS (
+  WITH c AS (SELECT gravedad, COUNT(*) AS n FROM fe GROUP BY gravedad),
+  q0 AS (SELECT gravedad, (n * 3000) // t.tot AS base, (n * 3000) % t.tot AS rem FROM c, (SELECT SUM(n) AS tot FROM c) t),
+  q AS (SELECT gravedad, base + CASE WHEN ROW_NUMBER() OVER (ORDER BY rem DESC, gravedad) <= 3000 - SUM(base) OVER ()
+        THEN 1 ELSE 0 END AS quota FROM q0),
+  r AS (SELECT id, gravedad, ROW_NUMBER() OVER (PARTITION BY gravedad ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id) AS rn
+        FROM fe)
+  SELECT r.id, r.gravedad FROM r JOIN q ON r.gravedad = q.gravedad WHERE r.rn <= q.quota)"""
+CTE["mt"] = """mt AS (
+  SELECT ev.id, COALESCE(CAST(ev.hora AS DOUBLE), 0.0) AS hora, ev.clase AS clase_siniestro,
+         COALESCE(CAST(c.c_nationkey AS VARCHAR), '0') AS localidad, COALESCE(k.hipotesis, 'Desconocida') AS hipotesis,
+         COALESCE(k.tipo_vehiculo, 'Otro') AS tipo_vehiculo, CAST(COALESCE(k.num_vehiculos, 0) AS DOUBLE) AS num_vehiculos,
+         CAST(COALESCE(k.num_actores, 0) AS DOUBLE) AS num_actores
+  FROM ev LEFT JOIN kids k ON ev.id = k.id LEFT JOIN customer c ON ev.cliente = c.c_custkey)"""
+DEPENDS.update({"fe": ["ev"], "smp": ["fe"], "mt": ["ev", "kids"]})
+
+
+def _mm(c: str) -> str:
+    """[0, 1] scaling as Spark's MinMaxScaler evaluates it: x * s + (-min * s) with
+    s = 1 / (max - min); a constant column maps to 0.5."""
+    return (f"CASE WHEN MAX({c}) OVER () <> MIN({c}) OVER () THEN {c} * (1.0 / (MAX({c}) OVER () - MIN({c}) OVER ()))"
+            f" + (-MIN({c}) OVER () * (1.0 / (MAX({c}) OVER () - MIN({c}) OVER ())) + 0.0) ELSE 0.5 END")
+
+
+SQL.update({
+    "class_weights": with_("fe", """
+, c AS (SELECT gravedad, COUNT(*) AS n_clase FROM fe GROUP BY gravedad)
+SELECT gravedad, n_clase, SUM(n_clase) OVER () / (COUNT(*) OVER () * n_clase) AS peso FROM c"""),
+
+    "folds": with_("fe", """
+SELECT id AS codigo_accidente, gravedad,
+  CAST((ROW_NUMBER() OVER (PARTITION BY gravedad ORDER BY md5(CAST(id AS VARCHAR) || ':42'), id) - 1) % 10 AS INTEGER) AS fold
+FROM fe"""),
+
+    "stratified_sample": with_("smp", "SELECT id AS codigo_accidente, gravedad FROM smp"),
+
+    "one_hot_minmax": with_("smp mt", f"""
+, f AS (SELECT mt.* FROM mt JOIN smp ON mt.id = smp.id)
+, sz AS (SELECT COUNT(DISTINCT clase_siniestro) AS a, COUNT(DISTINCT localidad) AS b, COUNT(DISTINCT hipotesis) AS c FROM f)
+, e AS (SELECT id, DENSE_RANK() OVER (ORDER BY clase_siniestro) - 1 AS i1, DENSE_RANK() OVER (ORDER BY localidad) - 1 AS i2,
+         DENSE_RANK() OVER (ORDER BY hipotesis) - 1 AS i3, DENSE_RANK() OVER (ORDER BY tipo_vehiculo) - 1 AS i4,
+         {_mm('hora')} AS hora_mm, {_mm('num_vehiculos')} AS num_vehiculos_mm, {_mm('num_actores')} AS num_actores_mm FROM f)
+SELECT e.id AS codigo_accidente,
+  CAST(i1 AS VARCHAR) || '|' || CAST(sz.a + i2 AS VARCHAR) || '|' || CAST(sz.a + sz.b + i3 AS VARCHAR) || '|'
+    || CAST(sz.a + sz.b + sz.c + i4 AS VARCHAR) AS onehot,
+  hora_mm, num_vehiculos_mm, num_actores_mm
+FROM e, sz"""),
+})
