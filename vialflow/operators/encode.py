@@ -1,0 +1,40 @@
+"""Order-preserving dictionary encoding of low-cardinality text columns.
+
+MIN/MAX over text forces Spark into sort-based aggregation (a text buffer is not
+fixed-width). Replacing the text by its rank in the sorted vocabulary keeps the same order,
+lets the aggregate run as a hash aggregate with map-side partial results, and shrinks the
+shuffled rows. The vocabulary is the set of distinct values (bounded by the domain, not by
+the data), so it is joined back by a size-checked broadcast.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, Window
+from pyspark.sql import functions as F
+
+from .joins import join_small
+
+
+MAX_VOCABULARY = 1_000_000
+
+
+class Dictionary:
+    """(code, value) with code = rank of value in ascending (binary) order, NULL excluded.
+
+    Built once (distinct + numbering over the distinct values only), kept in the executor
+    cache, and proven small by the same job that fills the cache. Beyond the bound it still
+    works, through shuffle joins."""
+
+    def __init__(self, df: DataFrame, col: str, max_rows: int = MAX_VOCABULARY):
+        vals = df.select(F.col(col).alias("_value")).where(F.col("_value").isNotNull()).distinct()
+        self.df = vals.select(F.row_number().over(Window.orderBy("_value")).alias("_code"), "_value").persist()
+        self.small = self.df.limit(max_rows + 1).count() <= max_rows
+
+    def encode(self, df: DataFrame, col: str) -> DataFrame:
+        """Replace ``col`` by its integer code (NULL stays NULL)."""
+        d = self.df.withColumnRenamed("_value", col)
+        return join_small(df, d, col, "left", known_small=self.small).drop(col).withColumnRenamed("_code", col)
+
+    def decode(self, df: DataFrame, col: str) -> DataFrame:
+        d = self.df.withColumnRenamed("_code", col)
+        return join_small(df, d, col, "left", known_small=self.small).drop(col).withColumnRenamed("_value", col)

@@ -35,15 +35,18 @@ def forest_pipeline(cat_cols: list[str], num_cols: list[str], label_col: str, nu
                     weight_col: str | None = None) -> Pipeline:
     """Index categories (unknown kept), index the label (unknown is an error: the label
     set is filtered upstream, so no phantom class), assemble, random forest."""
-    idx = [StringIndexer(inputCol=c, outputCol=c + "_idx", handleInvalid="keep") for c in cat_cols]
+    # one multi-column indexer: a single pass over the data for all vocabularies
+    idx = StringIndexer(inputCols=cat_cols, outputCols=[c + "_idx" for c in cat_cols], handleInvalid="keep")
     label = StringIndexer(inputCol=label_col, outputCol="label", handleInvalid="error")
     asm = VectorAssembler(inputCols=[c + "_idx" for c in cat_cols] + num_cols, outputCol="features",
                           handleInvalid="keep")
+    # maxMemoryInMB only sets how many tree nodes share one pass over the data
     rf = RandomForestClassifier(featuresCol="features", labelCol="label", numTrees=num_trees,
-                                maxDepth=max_depth, maxBins=max_bins, seed=seed)
+                                maxDepth=max_depth, maxBins=max_bins, seed=seed, maxMemoryInMB=1024,
+                                cacheNodeIds=True)
     if weight_col:
         rf.setWeightCol(weight_col)
-    return Pipeline(stages=[*idx, label, asm, rf])
+    return Pipeline(stages=[idx, label, asm, rf])
 
 
 def confusion(preds: DataFrame, n_labels: int) -> DataFrame:
@@ -161,12 +164,12 @@ def onehot_minmax_pipeline(cat_cols: list[str], num_cols: list[str]) -> Pipeline
 # ------------------------------------------------------------------ k-means
 def kmeans_pipeline(cat_cols: list[str], num_cols: list[str], k: int = 5, seed: int = 42,
                     max_iter: int = 20) -> Pipeline:
-    idx = [StringIndexer(inputCol=c, outputCol=c + "_km_idx", handleInvalid="keep") for c in cat_cols]
+    idx = StringIndexer(inputCols=cat_cols, outputCols=[c + "_km_idx" for c in cat_cols], handleInvalid="keep")
     asm = VectorAssembler(inputCols=num_cols + [c + "_km_idx" for c in cat_cols], outputCol="features_raw",
                           handleInvalid="keep")
     sc = StandardScaler(inputCol="features_raw", outputCol="features_km", withMean=True, withStd=True)
     km = KMeans(featuresCol="features_km", predictionCol="cluster", k=k, maxIter=max_iter, seed=seed)
-    return Pipeline(stages=[*idx, asm, sc, km])
+    return Pipeline(stages=[idx, asm, sc, km])
 
 
 def silhouette(df: DataFrame, features: str, cluster: str) -> float:

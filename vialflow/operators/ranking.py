@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ..session import checkpoint_dir
 from .joins import join_small
 
 
@@ -68,6 +69,12 @@ def row_number_by(df: DataFrame, order_cols: list[str], group_cols: list[str] |
     schema = T.StructType(list(df.schema.fields) + [
         T.StructField("_pid", T.IntegerType(), False), T.StructField("_local", T.LongType(), False)])
     staged = ranged.mapInPandas(_local_numbering(group_cols), schema)
+    # The per-partition counts and the numbered rows must see the very same partitioning.
+    # Range bounds come from a sample whose rows depend on upstream fetch order, so a second
+    # evaluation (or a recomputation after a lost executor) could cut differently: write the
+    # numbered rows once to the shared checkpoint folder and read both branches from there.
+    checkpoint_dir(spark)
+    staged = staged.checkpoint(eager=True)
 
     counts = staged.groupBy("_pid", *group_cols).agg(F.max("_local").alias("_n"))
     w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)

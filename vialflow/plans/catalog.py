@@ -44,7 +44,7 @@ def _dated(ev: DataFrame) -> DataFrame:
 def _place_names(s: EventSource, df: DataFrame, how: str = "inner") -> DataFrame:
     """Attach nombre/zona from the (small, size-checked) place dimension."""
     pl = s.places().select(F.col("localidad_id").alias("localidad"), "nombre", "zona")
-    return join_small(df, pl, "localidad", how)
+    return join_small(df, pl, "localidad", how, proof_key=s.proof("places"))
 
 
 # ============================================================ counts and severity

@@ -50,7 +50,7 @@ def fit_forest(spark, root):
         model = ml.forest_pipeline(RF_CATS, RF_NUMS, "gravedad").fit(train)
         preds = model.transform(test).select("codigo_accidente", "label", "prediction", "probability") \
             .persist(StorageLevel.MEMORY_AND_DISK)
-        labels = list(model.stages[len(RF_CATS)].labels)
+        labels = list(model.stages[1].labels)
         _MODELS[k] = (model, preds, labels, train, test)
     return _MODELS[k]
 
@@ -104,7 +104,7 @@ def forest_cv(spark, root, folds: int = 10, num_trees: int = 100):
         model = pipe.fit(ft.where(F.col("fold") != f))
         p = model.transform(ft.where(F.col("fold") == f)).select("label", "prediction", "probability")
         pooled = p if pooled is None else pooled.unionByName(p)
-    labels = list(model.stages[len(MINING_CATS)].labels)
+    labels = list(model.stages[1].labels)
     pooled = pooled.persist(StorageLevel.MEMORY_AND_DISK)
     m = ml.metrics_from_confusion(ml.confusion(pooled, len(labels)))
     rates = ml.per_class_rates(pooled, labels)

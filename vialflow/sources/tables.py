@@ -44,6 +44,9 @@ def severity_of_level(level: int) -> str:
     return next(k for k, v in SEVERITY_LEVELS.items() if v == level)
 
 
+_DICTIONARIES: dict = {}
+
+
 class EventSource:
     """Lazy role views over a directory of parquet tables."""
 
@@ -51,6 +54,18 @@ class EventSource:
         self.spark = spark
         self.root = root.rstrip("/")
 
+    def dictionary(self, table: str, col: str):
+        """Order-preserving code dictionary of a text column, built once per session."""
+        from ..operators.encode import Dictionary
+        key = (id(self.spark), self.root, table, col)
+        if key not in _DICTIONARIES:
+            _DICTIONARIES[key] = Dictionary(self.table(table), col)
+        return _DICTIONARIES[key]
+
+    def proof(self, name: str) -> str:
+        """Key under which size proofs about this directory's tables are remembered."""
+        return f"{self.root}::{name}"
+
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
@@ -126,23 +141,28 @@ class EventSource:
 
         Two-level aggregation instead of COUNT(DISTINCT): (event, hypothesis) first, then
         event. Both levels aggregate map-side, so an event with a huge number of child rows
-        is reduced to one row per (task, hypothesis) before any shuffle.
+        is reduced to one row per (task, hypothesis) before any shuffle. The text values are
+        dictionary-encoded to order-preserving integer codes first, so the MIN aggregates keep
+        fixed-width buffers and Spark plans hash aggregation instead of sort aggregation.
         """
-        li = self._lines().select("l_orderkey", "l_partkey")
         p = self.table("part").select("p_partkey", "p_brand", "p_type")
+        brands, types = self.dictionary("part", "p_brand"), self.dictionary("part", "p_type")
+        p = types.encode(brands.encode(p, "p_brand"), "p_type")
+        li = self._lines().select("l_orderkey", "l_partkey")
         lines = li.join(p, li.l_partkey == p.p_partkey, "left")
         per_pair = lines.groupBy("l_orderkey", "p_brand").agg(
             F.count(F.lit(1)).alias("_n_act"),
             F.count("p_type").alias("_n_veh"),
             F.min("p_type").alias("_min_type"),
         )
-        return per_pair.groupBy(F.col("l_orderkey").alias("codigo_accidente")).agg(
+        per_event = per_pair.groupBy(F.col("l_orderkey").alias("codigo_accidente")).agg(
             F.min("p_brand").alias("hipotesis"),
             F.count("p_brand").alias("num_hipotesis"),
             F.min("_min_type").alias("tipo_vehiculo"),
             F.sum("_n_veh").cast("long").alias("num_vehiculos"),
             F.sum("_n_act").cast("long").alias("num_actores"),
         )
+        return types.decode(brands.decode(per_event, "hipotesis"), "tipo_vehiculo")
 
     # ------------------------------------------------------------------ hour stream
     def hour_events(self) -> DataFrame:
