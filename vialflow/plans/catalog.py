@@ -18,22 +18,30 @@ from ..operators.aggregates import (LEVEL_MEASURES, conditional_counts, count_by
                                     place_rollup, sum_measures, with_ratio_to_max, with_share)
 from ..operators.joins import join_small
 from ..operators.reshape import first_per_group, pivot_counts, sort_by_choice, top_k, unpivot_counts
-from ..sources.tables import ACTOR_STATES, SEVERITY_LEVELS, EventSource, severity_of_level
+from ..sources.tables import EventSource, open_source
 from .registry import query
 
 MEASURES = ["total", *LEVEL_MEASURES.values()]
-# measure column -> severity code, for wide -> long
-MEASURE_CODES = {name: severity_of_level(lvl) for lvl, name in LEVEL_MEASURES.items()}
 
 
-def _valid(ev: DataFrame) -> DataFrame:
-    """Keep events whose severity is one of the known values."""
-    return ev.where(F.col("gravedad").isin(*SEVERITY_LEVELS))
+def _code_of(s, level: int) -> str:
+    return next(k for k, v in s.levels.items() if v == level)
 
 
-def _at_level(ev: DataFrame, level: int) -> DataFrame:
-    """Level filter written on the stored code so it reaches the parquet scan."""
-    return ev.where(F.col("gravedad") == severity_of_level(level))
+def _measure_codes(s) -> dict:
+    """measure column -> severity text of the source, for wide -> long."""
+    return {name: _code_of(s, lvl) for lvl, name in LEVEL_MEASURES.items()}
+
+
+def _valid(s, ev: DataFrame) -> DataFrame:
+    """Keep events whose severity is one of the known values (an IN list on the stored
+    text, so it reaches the parquet scan as a pushed filter)."""
+    return ev.where(F.col("gravedad").isin(*s.levels))
+
+
+def _at_level(s, ev: DataFrame, level: int) -> DataFrame:
+    """Level filter written on the stored severity text so it is pushed to the scan."""
+    return ev.where(F.col("gravedad") == _code_of(s, level))
 
 
 def _dated(ev: DataFrame) -> DataFrame:
@@ -50,7 +58,7 @@ def _place_names(s: EventSource, df: DataFrame, how: str = "inner") -> DataFrame
 # ============================================================ counts and severity
 @query("table_counts")
 def table_counts(spark, root):
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     ev = s.events()
     parts = [
         ev.agg(F.lit("fact_siniestros").alias("tabla"), count_rows("filas")),
@@ -63,27 +71,28 @@ def table_counts(spark, root):
 
 @query("severity_counts")
 def severity_counts(spark, root):
-    ev = EventSource(spark, root).events()
+    ev = open_source(spark, root).events()
     g = count_by(ev, ["gravedad", "gravedad_nivel"])
     return g.orderBy("gravedad_nivel").select(F.col("gravedad").alias("descripcion"), "total")
 
 
 @query("severity_share")
 def severity_share(spark, root):
-    ev = _valid(EventSource(spark, root).events())
+    s = open_source(spark, root)
+    ev = _valid(s, s.events())
     g = count_by(ev, "gravedad")
     return with_share(g, "total", "pct", 100, 1).orderBy(F.desc("total"), "gravedad")
 
 
 @query("monthly_trend")
 def monthly_trend(spark, root):
-    ev = _dated(EventSource(spark, root).events())
+    ev = _dated(open_source(spark, root).events())
     return count_by(ev, ["anio", "mes"]).orderBy("anio", "mes")
 
 
 @query("severity_by_year")
 def severity_by_year(spark, root):
-    ev = _dated(EventSource(spark, root).events())
+    ev = _dated(open_source(spark, root).events())
     g = count_by(ev, ["anio", "gravedad", "gravedad_nivel"])
     return g.orderBy("anio", "gravedad_nivel").select("anio", F.col("gravedad").alias("descripcion"), "total")
 
@@ -91,8 +100,9 @@ def severity_by_year(spark, root):
 @query("severity_by_year_pct")
 def severity_by_year_pct(spark, root):
     """Share of each severity within its year, 2 dp; a missing cell is 0."""
-    ev = _dated(EventSource(spark, root).events())
-    codes = {c: c for c in SEVERITY_LEVELS}
+    s = open_source(spark, root)
+    ev = _dated(s.events())
+    codes = {c: c for c in s.levels}
     wide = pivot_counts(ev, "anio", "gravedad", codes, total="total_anio")
     long = unpivot_counts(wide, ["anio", "total_anio"], codes, "gravedad", "total")
     return (long.withColumn("pct", round_ratio("total", "total_anio", 100, 2))
@@ -101,14 +111,16 @@ def severity_by_year_pct(spark, root):
 
 @query("yearly_pivot")
 def yearly_pivot(spark, root):
-    ev = _valid(EventSource(spark, root).events())
+    s = open_source(spark, root)
+    ev = _valid(s, s.events())
     return conditional_counts(ev, "anio").orderBy("anio")
 
 
 @query("totals")
 def totals(spark, root):
     """Grand totals and severity shares (fatal 2 dp, others 1 dp)."""
-    ev = _valid(EventSource(spark, root).events())
+    s = open_source(spark, root)
+    ev = _valid(s, s.events())
     t = conditional_counts(ev, []).drop("total")
     n = F.col("con_muertos") + F.col("con_heridos") + F.col("solo_danos")
     return t.select(
@@ -122,7 +134,7 @@ def totals(spark, root):
 # ============================================================ class
 @query("class_by_severity")
 def class_by_severity(spark, root):
-    ev = EventSource(spark, root).events()
+    ev = open_source(spark, root).events()
     g = count_by(ev, ["clase", "gravedad", "gravedad_nivel"])
     return g.orderBy("gravedad_nivel", F.desc("total"), "clase").select("clase", "gravedad", "total")
 
@@ -130,13 +142,14 @@ def class_by_severity(spark, root):
 @query("class_pivot")
 def class_pivot(spark, root):
     """R2 + G26: class x severity wide, classes ordered by their roll-up total."""
-    ev = EventSource(spark, root).events()
+    ev = open_source(spark, root).events()
     return conditional_counts(ev, "clase").orderBy(F.desc("total"), "clase")
 
 
 @query("class_top8")
 def class_top8(spark, root):
-    ev = _valid(EventSource(spark, root).events())
+    s = open_source(spark, root)
+    ev = _valid(s, s.events())
     return top_k(count_by(ev, "clase"), 8, F.desc("total"), F.asc("clase"))
 
 
@@ -148,19 +161,19 @@ def _hour_counts(s: EventSource) -> DataFrame:
 
 @query("hourly_counts")
 def hourly_counts(spark, root):
-    return _hour_counts(EventSource(spark, root)).select("hora", "total").orderBy("hora")
+    return _hour_counts(open_source(spark, root)).select("hora", "total").orderBy("hora")
 
 
 @query("hourly_share_top5")
 def hourly_share_top5(spark, root):
     """W1 before L1: the share is taken over all hours, then the top 5 are kept."""
-    g = _hour_counts(EventSource(spark, root)).select("hora", "total")
+    g = _hour_counts(open_source(spark, root)).select("hora", "total")
     return top_k(with_share(g, "total", "pct", 100, 1), 5, F.desc("total"), F.asc("hora"))
 
 
 @query("fatal_hour")
 def fatal_hour(spark, root):
-    return _hour_counts(EventSource(spark, root)).select("hora", "muertos", "total").orderBy("hora")
+    return _hour_counts(open_source(spark, root)).select("hora", "muertos", "total").orderBy("hora")
 
 
 # Hour chart bands (ratio to the busiest hour, strictly greater).
@@ -169,7 +182,7 @@ HOUR_BANDS = [(0.85, "muy_alta"), (0.65, "alta"), (0.40, "media")]
 
 @query("hour_bands")
 def hour_bands(spark, root):
-    g = _hour_counts(EventSource(spark, root)).select("hora", "total")
+    g = _hour_counts(open_source(spark, root)).select("hora", "total")
     r = with_ratio_to_max(g, "total", "ratio")
     return r.withColumn("banda", band("ratio", HOUR_BANDS, "baja")).orderBy("hora")
 
@@ -177,7 +190,7 @@ def hour_bands(spark, root):
 @query("peak_fatal_hour")
 def peak_fatal_hour(spark, root):
     """L5 arg-max: the earliest hour wins a tie."""
-    g = _hour_counts(EventSource(spark, root))
+    g = _hour_counts(open_source(spark, root))
     return top_k(g.select("hora", "muertos"), 1, F.desc("muertos"), F.asc("hora"))
 
 
@@ -189,7 +202,7 @@ def _fact_hypotheses(s: EventSource, ev: DataFrame) -> DataFrame:
 
 @query("cause_top10")
 def cause_top10(spark, root):
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     h = _fact_hypotheses(s, s.events())
     g = count_by(h, "hipotesis").withColumnRenamed("hipotesis", "descripcion")
     return top_k(g, 10, F.desc("total"), F.asc("descripcion"))
@@ -197,8 +210,8 @@ def cause_top10(spark, root):
 
 @query("fatal_cause_top10")
 def fatal_cause_top10(spark, root):
-    s = EventSource(spark, root)
-    h = _fact_hypotheses(s, _at_level(s.events(), 1))
+    s = open_source(spark, root)
+    h = _fact_hypotheses(s, _at_level(s, s.events(), 1))
     g = count_by(h, "hipotesis").withColumnRenamed("hipotesis", "descripcion")
     return top_k(g, 10, F.desc("total"), F.asc("descripcion"))
 
@@ -211,18 +224,18 @@ def _cause_by_year(s: EventSource) -> DataFrame:
 
 @query("cause_by_year")
 def cause_by_year(spark, root):
-    return _cause_by_year(EventSource(spark, root)).orderBy("anio", F.desc("total"), "descripcion")
+    return _cause_by_year(open_source(spark, root)).orderBy("anio", F.desc("total"), "descripcion")
 
 
 @query("top_cause_per_year")
 def top_cause_per_year(spark, root):
-    g = _cause_by_year(EventSource(spark, root))
+    g = _cause_by_year(open_source(spark, root))
     return first_per_group(g, ["anio"], F.desc("total"), F.asc("descripcion")).orderBy("anio")
 
 
 # ============================================================ first-of child
 def _flat_children(s: EventSource) -> DataFrame:
-    ev = _valid(s.events()).select("codigo_accidente")
+    ev = _valid(s, s.events()).select("codigo_accidente")
     ch = s.child_summary()
     return ev.join(ch, "codigo_accidente", "left").select(
         "codigo_accidente",
@@ -232,39 +245,39 @@ def _flat_children(s: EventSource) -> DataFrame:
 
 @query("first_cause_top8")
 def first_cause_top8(spark, root):
-    f = _flat_children(EventSource(spark, root))
+    f = _flat_children(open_source(spark, root))
     return top_k(count_by(f, "hipotesis"), 8, F.desc("total"), F.asc("hipotesis"))
 
 
 @query("first_vehicle_top8")
 def first_vehicle_top8(spark, root):
-    f = _flat_children(EventSource(spark, root))
+    f = _flat_children(open_source(spark, root))
     return top_k(count_by(f, "tipo_vehiculo"), 8, F.desc("total"), F.asc("tipo_vehiculo"))
 
 
 # ============================================================ every child element
 @query("vehicle_top8")
 def vehicle_top8(spark, root):
-    v = EventSource(spark, root).vehicles()
+    v = open_source(spark, root).vehicles()
     return top_k(count_by(v, "clase"), 8, F.desc("total"), F.asc("clase"))
 
 
 @query("condition_counts")
 def condition_counts(spark, root):
-    a = EventSource(spark, root).actors()
+    a = open_source(spark, root).actors()
     return count_by(a, "condicion").orderBy(F.desc("total"), "condicion")
 
 
 @query("service_counts")
 def service_counts(spark, root):
-    v = EventSource(spark, root).vehicles()
+    v = open_source(spark, root).vehicles()
     return count_by(v, "servicio").orderBy(F.desc("total"), "servicio")
 
 
 @query("fatal_vehicle_top10")
 def fatal_vehicle_top10(spark, root):
-    s = EventSource(spark, root)
-    fatal = _at_level(s.events(), 1).select("codigo_accidente")
+    s = open_source(spark, root)
+    fatal = _at_level(s, s.events(), 1).select("codigo_accidente")
     v = s.vehicles().join(fatal, "codigo_accidente", "left_semi")
     g = count_by(v, "clase", "muertos").withColumnRenamed("clase", "descripcion")
     return top_k(g, 10, F.desc("muertos"), F.asc("descripcion"))
@@ -273,15 +286,16 @@ def fatal_vehicle_top10(spark, root):
 # ============================================================ actors
 @query("actor_state")
 def actor_state(spark, root):
-    a = EventSource(spark, root).actors()
+    a = open_source(spark, root).actors()
     return count_by(a, ["condicion", "estado"]).orderBy(F.asc_nulls_last("condicion"), F.asc_nulls_last("estado"))
 
 
 @query("actor_mortality")
 def actor_mortality(spark, root):
     """Condition x state pivot; states outside the list count only in the total."""
-    a = EventSource(spark, root).actors()
-    wide = pivot_counts(a, "condicion", "estado", {code: name for name, code in ACTOR_STATES.items()})
+    s = open_source(spark, root)
+    a = s.actors()
+    wide = pivot_counts(a, "condicion", "estado", {code: name for name, code in s.actor_states.items()})
     return (wide.withColumn("tasa", rate_or_zero("muertos", "total", 1000, 2))
             .select("condicion", "muertos", "heridos", "ilesos", "total", "tasa")
             .orderBy(F.desc("tasa"), "condicion"))
@@ -289,7 +303,8 @@ def actor_mortality(spark, root):
 
 @query("deaths_by_condition")
 def deaths_by_condition(spark, root):
-    a = EventSource(spark, root).actors().where(F.col("estado") == ACTOR_STATES["muertos"])
+    s = open_source(spark, root)
+    a = s.actors().where(F.col("estado") == s.actor_states["muertos"])
     g = count_by(a, "condicion", "muertos").withColumnRenamed("condicion", "descripcion")
     return g.orderBy(F.desc("muertos"), "descripcion")
 
@@ -298,7 +313,7 @@ def deaths_by_condition(spark, root):
 @query("seasonality")
 def seasonality(spark, root):
     """Average over years of the monthly counts, rounded to a whole number."""
-    ev = _dated(EventSource(spark, root).events())
+    ev = _dated(open_source(spark, root).events())
     per_month = count_by(ev, ["anio", "mes"])
     g = per_month.groupBy("mes").agg(F.sum("total").alias("_s"), F.count(F.lit(1)).alias("_n"))
     return g.select("mes", round_ratio("_s", "_n", 1, 0).alias("promedio")).orderBy("mes")
@@ -306,7 +321,7 @@ def seasonality(spark, root):
 
 @query("weekday_counts")
 def weekday_counts(spark, root):
-    ev = _dated(EventSource(spark, root).events())
+    ev = _dated(open_source(spark, root).events())
     g = count_by(ev.withColumn("dia_semana", F.weekday("fecha")), "dia_semana")
     return g.select("dia_semana", weekday_name_of("dia_semana").alias("nombre"), "total").orderBy("dia_semana")
 
@@ -322,14 +337,14 @@ def _place_table(s: EventSource, ev: DataFrame) -> DataFrame:
 
 @query("place_table")
 def place_table(spark, root):
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     return _place_table(s, s.events()).orderBy(F.desc("con_muertos"), "nombre")
 
 
 @query("place_total")
 def place_total(spark, root):
     """Footer row; the rate is sum(m)/sum(n)*1000, not an average of rates."""
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     t = _place_table(s, s.events())
     g = t.agg(*[F.sum(c).cast("long").alias(c) for c in MEASURES])
     return g.withColumn("tasa_mortalidad", round_ratio("con_muertos", "total", 1000, 1))
@@ -339,7 +354,7 @@ def place_total(spark, root):
 def place_search(spark, root, text: str = " nation_1 ", tasa_min: float = 330.0,
                  sort: str = "con_muertos", descending: bool = True):
     """Case-insensitive name filter, minimum rate (>=), chosen sort."""
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     t = _place_table(s, s.events())
     t = t.where(F.lower("nombre").contains(text.strip().lower()) & (F.col("tasa_mortalidad") >= tasa_min))
     return sort_by_choice(t, sort, descending, tie="nombre")
@@ -347,7 +362,7 @@ def place_search(spark, root, text: str = " nation_1 ", tasa_min: float = 330.0,
 
 @query("place_shares")
 def place_shares(spark, root):
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     t = _place_table(s, s.events())
     return t.select("nombre", "total",
                     round_ratio("con_muertos", "total", 100, 1).alias("pct_muertos"),
@@ -357,15 +372,15 @@ def place_shares(spark, root):
 
 @query("zone_counts")
 def zone_counts(spark, root):
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     named = _place_names(s, place_rollup(s.events(), s.event_place()))
     return sum_measures(named, "zona", ["total"]).orderBy(F.desc("total"), "zona")
 
 
 @query("place_top10")
 def place_top10(spark, root):
-    s = EventSource(spark, root)
-    g = place_rollup(_valid(s.events()), s.event_place())
+    s = open_source(spark, root)
+    g = place_rollup(_valid(s, s.events()), s.event_place())
     return top_k(g.select("localidad", "total", "con_muertos"), 10, F.desc("total"), F.asc("localidad"))
 
 
@@ -373,12 +388,12 @@ def place_top10(spark, root):
 def place_topn_by(spark, root, anio="1998", gravedad: str = "F", topn: int = 10):
     """L2 + R1 + P12 + P13: year filter ('all' or one year), severity selector ('all' or a
     code), top-N places by the selected measure; names with a default label (J12)."""
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     ev = s.events()
     if str(anio) != "all":
         ev = ev.where(F.col("anio") == int(anio))
     g = place_rollup(ev, s.event_place())
-    valor = F.col("total") if gravedad == "all" else F.col(LEVEL_MEASURES[SEVERITY_LEVELS[gravedad]])
+    valor = F.col("total") if gravedad == "all" else F.col(LEVEL_MEASURES[s.levels[gravedad]])
     g = g.withColumn("valor", valor)
     named = _place_names(s, g, "left").withColumn(
         "nombre", F.coalesce("nombre", F.concat(F.lit("Loc. "), F.col("localidad").cast("string"))))
@@ -390,18 +405,18 @@ def place_topn_by(spark, root, anio="1998", gravedad: str = "F", topn: int = 10)
 def place_severity_year(spark, root):
     """Place x severity per year; every level listed (zero-filled) for each place
     that has events in the year, places without events in the year omitted."""
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     g = place_rollup(_dated(s.events()), s.event_place(), ["anio"])
     long = unpivot_counts(g.withColumnRenamed("localidad", "codigo_localidad"),
-                          ["anio", "codigo_localidad"], MEASURE_CODES, "gravedad", "total")
+                          ["anio", "codigo_localidad"], _measure_codes(s), "gravedad", "total")
     return long.orderBy("anio", "codigo_localidad", "gravedad")
 
 
 @query("fatal_place_top5")
 def fatal_place_top5(spark, root):
     """Places with the most fatal events."""
-    s = EventSource(spark, root)
-    named = _place_names(s, place_rollup(_at_level(s.events(), 1), s.event_place()))
+    s = open_source(spark, root)
+    named = _place_names(s, place_rollup(_at_level(s, s.events(), 1), s.event_place()))
     g = sum_measures(named, "nombre", ["total"])
     return top_k(g, 5, F.desc("total"), F.asc("nombre"))
 
@@ -409,7 +424,7 @@ def fatal_place_top5(spark, root):
 @query("place_mortality_rank")
 def place_mortality_rank(spark, root):
     """G23 + W5: mortality rate per place ordered by rate, banded against the maximum."""
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     t = _place_table(s, s.events()).select("nombre", "total", F.col("con_muertos").alias("muertos"),
                                          F.col("tasa_mortalidad").alias("tasa"))
     r = with_ratio_to_max(t, "tasa", "ratio")

@@ -12,7 +12,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import ml
-from ..sources.tables import EventSource
+from ..sources.tables import EventSource, open_source
 from .registry import query
 from .warehouse import feature_table_df, flat_events_df
 
@@ -30,6 +30,10 @@ SEED = 42
 _MODELS: dict = {}
 
 
+def _code(spark, root, level: int) -> str:
+    return next(k for k, v in open_source(spark, root).levels.items() if v == level)
+
+
 def _key(spark, root, what):
     return (id(spark), root, what)
 
@@ -38,7 +42,7 @@ def _flat(spark, root) -> DataFrame:
     k = _key(spark, root, "flat")
     if k not in _MODELS:
         # the analysis view feeds seven reports and two models: keep it (memory, spill to disk)
-        _MODELS[k] = flat_events_df(EventSource(spark, root)).persist(StorageLevel.MEMORY_AND_DISK)
+        _MODELS[k] = flat_events_df(open_source(spark, root)).persist(StorageLevel.MEMORY_AND_DISK)
     return _MODELS[k]
 
 
@@ -92,7 +96,7 @@ def forest_roc(spark, root):
 def forest_cv(spark, root, folds: int = 10, num_trees: int = 100):
     """M13 + M14: class-balanced forest, stratified k-fold; predictions of all folds are
     pooled and scored once (CA, F1, MCC, weighted one-vs-rest AUC)."""
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     ft = feature_table_df(s)
     w = ml.class_weights(ft, "gravedad")
     ft = ft.join(F.broadcast(w.select("gravedad", "peso")), "gravedad")
@@ -132,8 +136,8 @@ def kmeans_profile(spark, root, k: int = 5):
         F.round(F.avg(F.when(F.col("hora") >= 0, F.col("hora"))), 1).alias("hora_media"),
         F.round(F.avg("num_actores"), 2).alias("num_actores_media"),
         F.round(F.avg("num_vehiculos"), 2).alias("num_vehiculos_media"),
-        F.count_if(F.col("gravedad") == "F").alias("con_muertos"),
-        F.count_if(F.col("gravedad") == "P").alias("con_heridos"))
+        F.count_if(F.col("gravedad") == _code(spark, root, 1)).alias("con_muertos"),
+        F.count_if(F.col("gravedad") == _code(spark, root, 2)).alias("con_heridos"))
     total = F.sum("size").over(Window.partitionBy())  # k rows
     return g.select("cluster", "size", F.round(F.col("size") * 100.0 / total, 1).cast("double").alias("pct"),
                     F.coalesce("hora_media", F.lit(0.0)).alias("hora_media"), "num_actores_media",
@@ -153,7 +157,7 @@ def kmeans_silhouette(spark, root, k: int = 5):
 def _sample(spark, root) -> DataFrame:
     k = _key(spark, root, "sample")
     if k not in _MODELS:
-        ft = feature_table_df(EventSource(spark, root))
+        ft = feature_table_df(open_source(spark, root))
         _MODELS[k] = ml.stratified_sample(ft, "codigo_accidente", "gravedad", SAMPLE_SIZE, SEED) \
             .persist(StorageLevel.MEMORY_AND_DISK)
     return _MODELS[k]
@@ -170,13 +174,13 @@ def _encoded_sample(spark, root) -> DataFrame:
 
 @query("class_weights")
 def q_class_weights(spark, root):
-    ft = feature_table_df(EventSource(spark, root))
+    ft = feature_table_df(open_source(spark, root))
     return ml.class_weights(ft, "gravedad")
 
 
 @query("folds")
 def q_folds(spark, root, k: int = 10):
-    ft = feature_table_df(EventSource(spark, root)).select("codigo_accidente", "gravedad")
+    ft = feature_table_df(open_source(spark, root)).select("codigo_accidente", "gravedad")
     return ml.stratified_folds(ft, "codigo_accidente", "gravedad", k, SEED)
 
 

@@ -34,11 +34,6 @@ def dim_calendar(s: EventSource) -> DataFrame:
 
 
 # ------------------------------------------------------------------ D2 member dimensions
-def _used_parts(s: EventSource) -> DataFrame:
-    used = s.table("lineitem").select(F.col("l_partkey").alias("p_partkey")).distinct()
-    return s.table("part").join(used, "p_partkey", "left_semi")
-
-
 def dim_members(s: EventSource) -> DataFrame:
     """Distinct members of each small dimension, numbered by value within the dimension.
 
@@ -49,9 +44,8 @@ def dim_members(s: EventSource) -> DataFrame:
         ev.select(F.lit("gravedad").alias("dimension"), F.col("gravedad").alias("descripcion"),
                   F.col("gravedad_nivel").alias("nivel")),
         ev.select(F.lit("clase"), F.col("clase"), F.lit(None).cast("int")),
-        _used_parts(s).select(F.lit("hipotesis"), F.col("p_brand"), F.lit(None).cast("int")),
-        _used_parts(s).select(F.lit("vehiculo_clase"), F.col("p_type"), F.lit(None).cast("int")),
-        s.actors().select(F.lit("condicion"), F.col("condicion"), F.lit(None).cast("int")),
+        *[s.member_values(d).select(F.lit(d), F.col("descripcion"), F.lit(None).cast("int"))
+          for d in ("hipotesis", "vehiculo_clase", "condicion")],
     ]
     members = reduce(DataFrame.union, parts).where(F.col("descripcion").isNotNull()).distinct()
     w = Window.partitionBy("dimension").orderBy("descripcion")

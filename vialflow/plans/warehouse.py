@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 from ..functions.scalars import UNKNOWN_HOUR, UNKNOWN_HYPOTHESIS, UNKNOWN_VEHICLE
 from ..operators import audit
-from ..sources.tables import SEVERITY_LEVELS, EventSource
+from ..sources.tables import EventSource, open_source
 from . import star
 from .registry import query
 
@@ -19,67 +19,67 @@ def _arr_text(c: str):
 
 @query("dim_calendar")
 def q_dim_calendar(spark, root):
-    return star.dim_calendar(EventSource(spark, root))
+    return star.dim_calendar(open_source(spark, root))
 
 
 @query("dim_members")
 def q_dim_members(spark, root):
-    return star.dim_members(EventSource(spark, root))
+    return star.dim_members(open_source(spark, root))
 
 
 @query("fact_v1")
 def q_fact_v1(spark, root):
-    return star.fact_v1(EventSource(spark, root))
+    return star.fact_v1(open_source(spark, root))
 
 
 @query("bridge_hypothesis")
 def q_bridge_hypothesis(spark, root):
-    return star.bridge_hypothesis(EventSource(spark, root))
+    return star.bridge_hypothesis(open_source(spark, root))
 
 
 @query("bridge_vehicle")
 def q_bridge_vehicle(spark, root):
-    return star.bridge_vehicle(EventSource(spark, root))
+    return star.bridge_vehicle(open_source(spark, root))
 
 
 @query("bridge_actor")
 def q_bridge_actor(spark, root):
-    return star.bridge_actor(EventSource(spark, root))
+    return star.bridge_actor(open_source(spark, root))
 
 
 @query("child_dims")
 def q_child_dims(spark, root):
     """dim_actor with a dense surrogate key (the child dimension the queries use)."""
-    return star.dim_actor(EventSource(spark, root))
+    return star.dim_actor(open_source(spark, root))
 
 
 @query("child_dim_hypothesis")
 def q_child_dim_hypothesis(spark, root):
-    return star.dim_hypothesis(EventSource(spark, root))
+    return star.dim_hypothesis(open_source(spark, root))
 
 
 @query("child_dim_vehicle")
 def q_child_dim_vehicle(spark, root):
-    return star.dim_vehicle(EventSource(spark, root))
+    return star.dim_vehicle(open_source(spark, root))
 
 
 @query("fact_arrays")
 def q_fact_arrays(spark, root):
     """v3 fact; arrays shown as '|'-joined text for order-free comparison."""
-    f = star.fact_arrays(EventSource(spark, root))
+    f = star.fact_arrays(open_source(spark, root))
     return f.select(*[_arr_text(c) if c in ("hipotesis", "vehiculos_clase") else c for c in f.columns])
 
 
 @query("fact_rekeyed")
 def q_fact_rekeyed(spark, root):
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     f = star.fact_rekeyed(s)
     return f.select("codigo_accidente", "localidad_id", "nombre", "zona", "gravedad_nivel", "n_actores")
 
 
 @query("dim_localidad")
 def q_dim_localidad(spark, root):
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     return star.dim_localidad(s, star.fact_arrays(s))
 
 
@@ -99,12 +99,12 @@ def _fk_pairs(s: EventSource):
 
 @query("audit_fk")
 def q_audit_fk(spark, root):
-    return audit.foreign_keys(_fk_pairs(EventSource(spark, root)))
+    return audit.foreign_keys(_fk_pairs(open_source(spark, root)))
 
 
 @query("audit_unique")
 def q_audit_unique(spark, root):
-    t = EventSource(spark, root).table
+    t = open_source(spark, root).table
     return audit.unique_keys([
         ("orders", t("orders"), ["o_orderkey"]),
         ("customer", t("customer"), ["c_custkey"]),
@@ -117,7 +117,7 @@ def q_audit_unique(spark, root):
 
 @query("audit_notnull")
 def q_audit_notnull(spark, root):
-    t = EventSource(spark, root).table
+    t = open_source(spark, root).table
     return audit.not_null([
         ("orders", t("orders"), ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"]),
         ("lineitem", t("lineitem"), ["l_orderkey", "l_partkey", "l_returnflag", "l_linestatus"]),
@@ -128,7 +128,7 @@ def q_audit_notnull(spark, root):
 @query("audit_counts")
 def q_audit_counts(spark, root):
     """A4: source vs derived row counts of the star build."""
-    s = EventSource(spark, root)
+    s = open_source(spark, root)
     return audit.row_counts([
         ("orders", s.table("orders")),
         ("fact_siniestros", s.events()),
@@ -143,7 +143,7 @@ def q_audit_counts(spark, root):
 def flat_events_df(s: EventSource):
     """P1 + P3 + P4: the 13-column analysis view, built from the normalised tables with
     per-event aggregates (no nested arrays are materialised)."""
-    ev = s.events().where(F.col("gravedad").isin(*SEVERITY_LEVELS))
+    ev = s.events().where(F.col("gravedad").isin(*s.levels))
     f = ev.join(s.child_summary(), "codigo_accidente", "left").join(s.event_place(), "cliente", "left")
     return f.select(
         "codigo_accidente", "fecha", "anio", "mes",
@@ -157,7 +157,7 @@ def flat_events_df(s: EventSource):
 
 @query("flat_events")
 def q_flat_events(spark, root):
-    return flat_events_df(EventSource(spark, root))
+    return flat_events_df(open_source(spark, root))
 
 
 FEATURE_CATEGORIES = ["clase_siniestro", "localidad", "hipotesis", "tipo_vehiculo", "gravedad"]
@@ -185,4 +185,4 @@ def feature_table_df(s: EventSource):
 
 @query("feature_table")
 def q_feature_table(spark, root):
-    return feature_table_df(EventSource(spark, root))
+    return feature_table_df(open_source(spark, root))

@@ -18,8 +18,6 @@ Role mapping for the driver tables:
 
 from __future__ import annotations
 
-from functools import cached_property
-
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -50,6 +48,9 @@ _DICTIONARIES: dict = {}
 class EventSource:
     """Lazy role views over a directory of parquet tables."""
 
+    levels = SEVERITY_LEVELS
+    actor_states = ACTOR_STATES
+
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
         self.root = root.rstrip("/")
@@ -174,6 +175,21 @@ class EventSource:
             F.to_date("ts").alias("fecha"),
         )
 
-    @cached_property
-    def valid_severities(self) -> list[str]:
-        return list(SEVERITY_LEVELS)
+    def member_values(self, dimension: str) -> DataFrame:
+        """Distinct values of a child dimension that events use. For parts, the used part
+        keys are reduced map-side first, so lineitem is never joined row by row."""
+        if dimension == "condicion":
+            return self.actors().select(F.col("condicion").alias("descripcion")).distinct()
+        col = {"hipotesis": "p_brand", "vehiculo_clase": "p_type"}[dimension]
+        used = self._lines().select(F.col("l_partkey").alias("p_partkey")).distinct()
+        parts = self.table("part").join(used, "p_partkey", "left_semi")
+        return parts.select(F.col(col).alias("descripcion")).distinct()
+
+
+def open_source(spark: SparkSession, root: str):
+    """Role adapter for ``root``: a directory of parquet tables, or nested JSON records
+    (a ``.json`` path) in the reference's own format."""
+    if root.endswith(".json") or root.endswith(".jsonl"):
+        from .nested import NestedSource
+        return NestedSource(spark, root, name=root)
+    return EventSource(spark, root)
