@@ -28,7 +28,7 @@ def col(c) -> Column:
 # ----------------------------------------------------------------- dates
 def parse_date(c, fmt: str = "yyyy-MM-dd") -> Column:
     """Text -> DATE; malformed text gives NULL instead of failing the job (ANSI on)."""
-    return F.try_to_date(col(c), F.lit(fmt))
+    return F.try_to_date(col(c), fmt)
 
 
 def quarter(c) -> Column:

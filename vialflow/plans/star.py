@@ -145,9 +145,12 @@ def _per_event_values(df: DataFrame, value: str, with_counts: bool) -> DataFrame
     return g.groupBy("codigo_accidente").agg(F.array_sort(F.collect_list(item)).alias(value))
 
 
-def fact_arrays(s: EventSource, unknown_place: int = -1) -> DataFrame:
+def fact_arrays(s: EventSource, unknown_place: int | None = None) -> DataFrame:
     """v3 fact: severity, class and place inline, hypothesis set and vehicle bag as arrays,
-    missing values coalesced (level 0, place ``unknown_place``, empty arrays)."""
+    missing values coalesced (level 0, place ``unknown_place`` - the source's unknown code,
+    0 in the reference data, -1 for the driver tables where 0 is a real place - and empty
+    arrays)."""
+    unknown_place = s.unknown_place if unknown_place is None else unknown_place
     ev = s.events().join(s.event_place(), "cliente", "left")
     hyp = _per_event_values(s.hypotheses(), "hipotesis", False)
     veh = _per_event_values(s.vehicles(), "clase", True).withColumnRenamed("clase", "vehiculos_clase")

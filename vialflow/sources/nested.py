@@ -116,7 +116,7 @@ class NestedSource:
 
     levels = SEVERITY_LEVELS
     actor_states = ACTOR_STATES
-    fatal_event_type = None
+    unknown_place = 0
 
     def __init__(self, spark: SparkSession, raw: DataFrame | str, name: str = "nested"):
         self.spark = spark

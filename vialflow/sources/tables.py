@@ -50,6 +50,7 @@ class EventSource:
 
     levels = SEVERITY_LEVELS
     actor_states = ACTOR_STATES
+    unknown_place = -1  # nation key 0 is a real place here
 
     def __init__(self, spark: SparkSession, root: str):
         self.spark = spark
