@@ -76,11 +76,20 @@ def severity_counts(spark, root):
     return g.orderBy("gravedad_nivel").select(F.col("gravedad").alias("descripcion"), "total")
 
 
+def _view(spark, root) -> DataFrame:
+    """The batch job's cached analysis view (valid severities, defaults filled)."""
+    from .warehouse import analysis_view
+    return analysis_view(spark, root)
+
+
+def _code_measures(s) -> list:
+    """Level counts from the severity text (the analysis view carries no level column)."""
+    return [F.count_if(F.col("gravedad") == _code_of(s, lvl)).alias(name) for lvl, name in LEVEL_MEASURES.items()]
+
+
 @query("severity_share")
 def severity_share(spark, root):
-    s = open_source(spark, root)
-    ev = _valid(s, s.events())
-    g = count_by(ev, "gravedad")
+    g = count_by(_view(spark, root), "gravedad")
     return with_share(g, "total", "pct", 100, 1).orderBy(F.desc("total"), "gravedad")
 
 
@@ -112,8 +121,8 @@ def severity_by_year_pct(spark, root):
 @query("yearly_pivot")
 def yearly_pivot(spark, root):
     s = open_source(spark, root)
-    ev = _valid(s, s.events())
-    return conditional_counts(ev, "anio").orderBy("anio")
+    g = _view(spark, root).groupBy("anio").agg(count_rows("total"), *_code_measures(s))
+    return g.orderBy("anio")
 
 
 @query("totals")
@@ -148,9 +157,7 @@ def class_pivot(spark, root):
 
 @query("class_top8")
 def class_top8(spark, root):
-    s = open_source(spark, root)
-    ev = _valid(s, s.events())
-    return top_k(count_by(ev, "clase"), 8, F.desc("total"), F.asc("clase"))
+    return top_k(count_by(_view(spark, root), "clase"), 8, F.desc("total"), F.asc("clase"))
 
 
 # ============================================================ hours
@@ -234,25 +241,15 @@ def top_cause_per_year(spark, root):
 
 
 # ============================================================ first-of child
-def _flat_children(s: EventSource) -> DataFrame:
-    ev = _valid(s, s.events()).select("codigo_accidente")
-    ch = s.child_summary()
-    return ev.join(ch, "codigo_accidente", "left").select(
-        "codigo_accidente",
-        F.coalesce("hipotesis", F.lit(UNKNOWN_HYPOTHESIS)).alias("hipotesis"),
-        F.coalesce("tipo_vehiculo", F.lit(UNKNOWN_VEHICLE)).alias("tipo_vehiculo"))
-
-
 @query("first_cause_top8")
 def first_cause_top8(spark, root):
-    f = _flat_children(open_source(spark, root))
-    return top_k(count_by(f, "hipotesis"), 8, F.desc("total"), F.asc("hipotesis"))
+    """First hypothesis of each event (the job's view), not every element."""
+    return top_k(count_by(_view(spark, root), "hipotesis"), 8, F.desc("total"), F.asc("hipotesis"))
 
 
 @query("first_vehicle_top8")
 def first_vehicle_top8(spark, root):
-    f = _flat_children(open_source(spark, root))
-    return top_k(count_by(f, "tipo_vehiculo"), 8, F.desc("total"), F.asc("tipo_vehiculo"))
+    return top_k(count_by(_view(spark, root), "tipo_vehiculo"), 8, F.desc("total"), F.asc("tipo_vehiculo"))
 
 
 # ============================================================ every child element
@@ -278,8 +275,9 @@ def service_counts(spark, root):
 def fatal_vehicle_top10(spark, root):
     s = open_source(spark, root)
     fatal = _at_level(s, s.events(), 1).select("codigo_accidente")
-    v = s.vehicles().join(fatal, "codigo_accidente", "left_semi")
-    g = count_by(v, "clase", "muertos").withColumnRenamed("clase", "descripcion")
+    # reduce the bag per (event, class) before meeting the fact: a huge event is one row
+    v = count_by(s.vehicles(), ["codigo_accidente", "clase"], "_n").join(fatal, "codigo_accidente", "left_semi")
+    g = v.groupBy(F.col("clase").alias("descripcion")).agg(F.sum("_n").cast("long").alias("muertos"))
     return top_k(g, 10, F.desc("muertos"), F.asc("descripcion"))
 
 
@@ -379,9 +377,10 @@ def zone_counts(spark, root):
 
 @query("place_top10")
 def place_top10(spark, root):
+    """G12 on the job's view: events without a place form their own (NULL) group."""
     s = open_source(spark, root)
-    g = place_rollup(_valid(s, s.events()), s.event_place())
-    return top_k(g.select("localidad", "total", "con_muertos"), 10, F.desc("total"), F.asc("localidad"))
+    g = _view(spark, root).groupBy("localidad").agg(count_rows("total"), _code_measures(s)[0])
+    return top_k(g, 10, F.desc("total"), F.asc_nulls_last("localidad"))
 
 
 @query("place_topn_by")

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from ..operators import ml
 from ..sources.tables import EventSource, open_source
 from .registry import query
-from .warehouse import feature_table_df, flat_events_df
+from .warehouse import analysis_view, feature_table_df
 
 # Feature sets of the batch job: forest on 3 categories + 4 numbers; k-means on 4 numbers +
 # 2 categories; the desktop workflow on the mining table's 4 categories + 3 numbers.
@@ -39,11 +39,8 @@ def _key(spark, root, what):
 
 
 def _flat(spark, root) -> DataFrame:
-    k = _key(spark, root, "flat")
-    if k not in _MODELS:
-        # the analysis view feeds seven reports and two models: keep it (memory, spill to disk)
-        _MODELS[k] = flat_events_df(open_source(spark, root)).persist(StorageLevel.MEMORY_AND_DISK)
-    return _MODELS[k]
+    # the analysis view feeds seven reports and two models: built once, kept
+    return analysis_view(spark, root)
 
 
 def fit_forest(spark, root):

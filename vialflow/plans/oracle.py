@@ -228,9 +228,10 @@ ORDER BY con_muertos DESC, nombre"""),
 SELECT pl.zona, COUNT(*) AS total FROM evp JOIN pl ON evp.localidad = pl.localidad GROUP BY pl.zona
 ORDER BY total DESC, zona"""),
 
-    "place_top10": with_("evp", f"""
-SELECT localidad, COUNT(*) AS total, CAST(COUNT(*) FILTER (WHERE nivel = 1) AS BIGINT) AS con_muertos
-FROM evp WHERE {VALID} GROUP BY localidad ORDER BY total DESC, localidad LIMIT 10"""),
+    "place_top10": with_("ev", f"""
+SELECT c.c_nationkey AS localidad, COUNT(*) AS total, CAST(COUNT(*) FILTER (WHERE nivel = 1) AS BIGINT) AS con_muertos
+FROM ev LEFT JOIN customer c ON ev.cliente = c.c_custkey WHERE {VALID} GROUP BY 1
+ORDER BY total DESC, localidad NULLS LAST LIMIT 10"""),
 
     "place_topn_by": with_("evp pl", f"""
 , g AS (SELECT localidad, {LEVELS} FROM evp WHERE anio = 1998 GROUP BY localidad)

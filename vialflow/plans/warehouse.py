@@ -160,6 +160,20 @@ def q_flat_events(spark, root):
     return flat_events_df(open_source(spark, root))
 
 
+_VIEWS: dict = {}
+
+
+def analysis_view(spark, root):
+    """The analysis view built once per session and kept (memory, spilling to
+    disk) for the batch job's aggregates and models, as the reference caches its view.
+    Lost blocks are rebuilt from lineage."""
+    from pyspark import StorageLevel
+    key = (id(spark), root)
+    if key not in _VIEWS:
+        _VIEWS[key] = flat_events_df(open_source(spark, root)).persist(StorageLevel.MEMORY_AND_DISK)
+    return _VIEWS[key]
+
+
 FEATURE_CATEGORIES = ["clase_siniestro", "localidad", "hipotesis", "tipo_vehiculo", "gravedad"]
 
 

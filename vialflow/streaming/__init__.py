@@ -1,0 +1,6 @@
+"""Streaming.
+
+The reference has no streaming part (no continuous source, watermark, window or state):
+its aggregates are recomputed in batch and materialised (``plans.report``,
+``sources.sinks``). No streaming operators are added here, by design.
+"""
