@@ -453,3 +453,30 @@ SELECT e.id AS codigo_accidente,
   hora_mm, num_vehiculos_mm, num_actores_mm
 FROM e, sz"""),
 })
+
+
+# ------------------------------------------------------------------ warehouse SQL over the star views
+# Same questions as the catalogue where the star tables hold the same rows; the hour
+# queries read the fact's own hour (the order timestamp), and the locality dimension is
+# the set of place codes used by the fact.
+SQL.update({
+    "sql_conteos": with_("ev", """
+SELECT 'fact_siniestros' AS tabla, COUNT(*) AS filas FROM ev
+UNION ALL SELECT 'dim_fecha', COUNT(DISTINCT fecha) FROM ev
+UNION ALL SELECT 'dim_localidad', COUNT(DISTINCT COALESCE(c.c_nationkey, -1))
+  FROM ev LEFT JOIN customer c ON ev.cliente = c.c_custkey
+UNION ALL SELECT 'dim_actor', COUNT(*) FROM lineitem"""),
+    "sql_gravedad": SQL["severity_counts"],
+    "sql_tendencia": SQL["monthly_trend"],
+    "sql_por_hora": with_("ev", """
+SELECT hora, COUNT(*) AS total FROM ev WHERE hora IS NOT NULL GROUP BY hora ORDER BY hora"""),
+    "sql_hipotesis": SQL["cause_top10"],
+    "sql_evolucion_gravedad": SQL["severity_by_year"],
+    "sql_actores_estado": SQL["actor_state"],
+    "sql_hora_fatal": with_("ev", """
+SELECT hora, CAST(SUM(CASE WHEN nivel = 1 THEN 1 ELSE 0 END) AS BIGINT) AS muertos, COUNT(*) AS total
+FROM ev WHERE hora IS NOT NULL GROUP BY hora ORDER BY hora"""),
+    "sql_causas_fatales": SQL["fatal_cause_top10"],
+    "sql_clase_gravedad": SQL["class_by_severity"],
+    "sql_tabla_localidades": SQL["place_table"],
+})

@@ -145,7 +145,7 @@ def _per_event_values(df: DataFrame, value: str, with_counts: bool) -> DataFrame
     return g.groupBy("codigo_accidente").agg(F.array_sort(F.collect_list(item)).alias(value))
 
 
-def fact_arrays(s: EventSource, unknown_place: int | None = None) -> DataFrame:
+def fact_arrays(s: EventSource, unknown_place: int | None = None, with_keys: bool = False) -> DataFrame:
     """v3 fact: severity, class and place inline, hypothesis set and vehicle bag as arrays,
     missing values coalesced (level 0, place ``unknown_place`` - the source's unknown code,
     0 in the reference data, -1 for the driver tables where 0 is a real place - and empty
@@ -158,8 +158,10 @@ def fact_arrays(s: EventSource, unknown_place: int | None = None) -> DataFrame:
     f = ev.join(hyp, "codigo_accidente", "left").join(veh, "codigo_accidente", "left") \
         .join(kids, "codigo_accidente", "left")
     empty = F.array().cast("array<string>")
+    keys = [F.col("codigo_accidente").alias("siniestro_id"), date_key("fecha").alias("fecha_id"), "hora",
+            "anio"] if with_keys else []
     return f.select(
-        "codigo_accidente", "gravedad",
+        *keys, "codigo_accidente", "gravedad",
         F.coalesce("gravedad_nivel", F.lit(0)).alias("gravedad_nivel"), "clase",
         F.coalesce("localidad", F.lit(unknown_place)).alias("localidad"),
         F.coalesce("hipotesis", empty).alias("hipotesis"),
@@ -188,21 +190,26 @@ def fact_rekeyed(s: EventSource, fact: DataFrame | None = None) -> DataFrame:
     return f.drop("localidad")
 
 
+# ------------------------------------------------------------------ final (v4) tables
+def star_tables(s: EventSource) -> dict[str, DataFrame]:
+    """The four tables the warehouse queries read: fact with arrays re-keyed on the
+    locality dimension, calendar, locality and actor dimensions."""
+    fact = fact_arrays(s, with_keys=True)
+    return {
+        "fact_siniestros": fact_rekeyed(s, fact).drop("nombre", "zona"),
+        "dim_fecha": dim_calendar(s),
+        "dim_localidad": dim_localidad(s, fact),
+        "dim_actor": dim_actor(s),
+    }
+
+
 # ------------------------------------------------------------------ one-shot build
 def build_star(s: EventSource, out: str, mode: str = "overwrite") -> dict[str, str]:
     """Write the final (v4) warehouse as parquet tables under ``out``: the fact is
     partitioned by year so date filters prune files."""
     members = dim_members(s)
-    fact = fact_arrays(s)
-    dl = dim_localidad(s, fact)
-    ev_year = s.events().select("codigo_accidente", "anio")
-    tables = {
-        "dim_fecha": dim_calendar(s),
-        "dim_localidad": dl,
-        "dim_members": members,
-        "dim_actor": dim_actor(s),
-        "fact_siniestros": fact_rekeyed(s, fact).join(ev_year, "codigo_accidente", "left"),
-    }
+    tables = star_tables(s)
+    tables["dim_members"] = members
     paths = {}
     for name, df in tables.items():
         path = f"{out.rstrip('/')}/{name}"
