@@ -57,4 +57,5 @@ def output_contract(df: DataFrame, required: list[str]) -> dict:
 
     Returns a plain dict; ``isEmpty`` reads at most one row."""
     missing = sorted(set(required) - set(df.columns))
-    return {"missing": missing, "empty": df.isEmpty(), "ok": not missing and not df.isEmpty()}
+    empty = df.isEmpty()
+    return {"missing": missing, "empty": empty, "ok": not missing and not empty}

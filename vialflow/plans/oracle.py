@@ -480,3 +480,11 @@ FROM ev WHERE hora IS NOT NULL GROUP BY hora ORDER BY hora"""),
     "sql_clase_gravedad": SQL["class_by_severity"],
     "sql_tabla_localidades": SQL["place_table"],
 })
+
+SQL.update({
+    "fact_sample": with_("fa", """
+SELECT * FROM fa WHERE hipotesis <> '' ORDER BY codigo_accidente LIMIT 3"""),
+    "hourly_sentinel": with_("ev", f"""
+SELECT COALESCE(hora, -1) AS hora, COUNT(*) AS total FROM ev WHERE {VALID} AND COALESCE(hora, -1) >= 0
+GROUP BY 1 ORDER BY 1"""),
+})

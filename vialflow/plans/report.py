@@ -32,6 +32,10 @@ def run_report(spark, root: str, out: str) -> dict:
         "vehiculo_top": q["first_vehicle_top8"](spark, root),
         "tendencia_anual": q["yearly_pivot"](spark, root),
     }, {"total_registros": total})
+    # The per-year pivot keyed by the year as text
+    por_anio = q["yearly_pivot"](spark, root).agg(F.map_from_entries(F.collect_list(F.struct(
+        F.col("anio").cast("string"), F.struct("total", "con_muertos", "con_heridos", "solo_danos")))).alias("m"))
+    anio_doc = por_anio.select(F.to_json("m").alias("por_anio"))
     ml = report_document({
         "metricas": q["forest_metrics"](spark, root),
         "feature_importance": q["forest_importance"](spark, root),
@@ -40,7 +44,8 @@ def run_report(spark, root: str, out: str) -> dict:
         "kmeans": q["kmeans_silhouette"](spark, root),
     }, {"tiempo_total_s": round(time.time() - t0, 1)})
     base = out.rstrip("/")
-    return {"stats": write_report(stats, f"{base}/spark_stats"), "ml": write_report(ml, f"{base}/spark_ml")}
+    return {"stats": write_report(stats, f"{base}/spark_stats"), "ml": write_report(ml, f"{base}/spark_ml"),
+            "por_anio": write_report(anio_doc.withColumnRenamed("por_anio", "json"), f"{base}/por_anio")}
 
 
 if __name__ == "__main__":

@@ -200,3 +200,45 @@ def feature_table_df(s: EventSource):
 @query("feature_table")
 def q_feature_table(spark, root):
     return feature_table_df(open_source(spark, root))
+
+
+@query("fact_sample")
+def q_fact_sample(spark, root, n: int = 3):
+    """P9 + L7: peek at facts whose hypothesis array is non-empty (the migration check);
+    the limit is the feature. Ordered by key so the peek is repeatable."""
+    f = star.fact_arrays(open_source(spark, root))
+    f = f.where(F.size("hipotesis") > 0).orderBy("codigo_accidente").limit(n)
+    return f.select(*[_arr_text(c) if c in ("hipotesis", "vehiculos_clase") else c for c in f.columns])
+
+
+@query("hourly_sentinel")
+def q_hourly_sentinel(spark, root):
+    """The batch job's hour chart on the analysis view; the -1 sentinel is masked."""
+    v = analysis_view(spark, root)
+    return v.where(F.col("hora") >= 0).groupBy("hora").agg(F.count(F.lit(1)).alias("total")).orderBy("hora")
+
+
+# Required output columns of the smoke-checked warehouse queries (A5).
+CONTRACTS = {
+    "severity_counts": ["descripcion", "total"],
+    "severity_by_year": ["anio", "descripcion", "total"],
+    "actor_state": ["condicion", "estado", "total"],
+    "fatal_hour": ["hora", "muertos", "total"],
+    "fatal_cause_top10": ["descripcion", "total"],
+    "class_by_severity": ["clase", "gravedad", "total"],
+    "place_table": ["nombre", "zona", "total", "con_muertos", "con_heridos", "solo_danos", "tasa_mortalidad"],
+    "table_counts": ["tabla", "filas"],
+}
+
+
+@query("audit_contracts")
+def q_audit_contracts(spark, root):
+    """A5 + U2: each checked query has its required columns and at least one row
+    (``isEmpty`` reads one row per query)."""
+    from .registry import all_queries
+    q = all_queries()
+    rows = []
+    for name, cols in CONTRACTS.items():
+        r = audit.output_contract(q[name](spark, root), cols)
+        rows.append((name, ",".join(r["missing"]), r["empty"], r["ok"]))
+    return spark.createDataFrame(rows, "consulta string, faltan string, vacia boolean, ok boolean")

@@ -194,3 +194,26 @@ def open_source(spark: SparkSession, root: str):
         from .nested import NestedSource
         return NestedSource(spark, root, name=root)
     return EventSource(spark, root)
+
+
+def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict, partition_column: str | None = None,
+              lower: int | None = None, upper: int | None = None, partitions: int = 1) -> DataFrame:
+    """S3 from a database: with a numeric partition column the read is split into
+    ``partitions`` parallel range queries instead of one connection. Connection options
+    come from the caller only."""
+    if partition_column:
+        return spark.read.jdbc(url, table, column=partition_column, lowerBound=lower, upperBound=upper,
+                               numPartitions=partitions, properties=properties)
+    return spark.read.jdbc(url, table, properties=properties)
+
+
+def register_views(spark: SparkSession, root: str) -> list[str]:
+    """The role views and the analysis view as temporary views for SQL users
+    (``siniestros`` is the batch job's view)."""
+    from ..plans.warehouse import analysis_view
+    s = open_source(spark, root)
+    views = {"eventos": s.events(), "hipotesis": s.hypotheses(), "vehiculos": s.vehicles(),
+             "actores": s.actors(), "lugares": s.places(), "siniestros": analysis_view(spark, root)}
+    for name, df in views.items():
+        df.createOrReplaceTempView(name)
+    return list(views)
