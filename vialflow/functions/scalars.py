@@ -92,8 +92,10 @@ def first_of(arr, field: str | None = None) -> Column:
 
 
 def safe_size(arr) -> Column:
-    """Length with 0 for a missing list (``size(NULL)`` is NULL in Spark 4)."""
-    return F.coalesce(F.size(col(arr)), F.lit(0))
+    """Length with 0 for a missing list (``size(NULL)`` is NULL under ANSI and -1 under
+    the legacy setting; both become 0)."""
+    a = col(arr)
+    return F.when(a.isNull(), F.lit(0)).otherwise(F.size(a))
 
 
 def empty_array(elem_type: str = "string") -> Column:

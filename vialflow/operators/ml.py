@@ -32,12 +32,12 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 42):
 # ------------------------------------------------------------------ forest (M1-M8)
 def forest_pipeline(cat_cols: list[str], num_cols: list[str], label_col: str, num_trees: int = 50,
                     max_depth: int = 6, max_bins: int = 256, seed: int = 42,
-                    weight_col: str | None = None) -> Pipeline:
+                    weight_col: str | None = None, label_order: str = "frequencyDesc") -> Pipeline:
     """Index categories (unknown kept), index the label (unknown is an error: the label
     set is filtered upstream, so no phantom class), assemble, random forest."""
     # one multi-column indexer: a single pass over the data for all vocabularies
     idx = StringIndexer(inputCols=cat_cols, outputCols=[c + "_idx" for c in cat_cols], handleInvalid="keep")
-    label = StringIndexer(inputCol=label_col, outputCol="label", handleInvalid="error")
+    label = StringIndexer(inputCol=label_col, outputCol="label", handleInvalid="error", stringOrderType=label_order)
     asm = VectorAssembler(inputCols=[c + "_idx" for c in cat_cols] + num_cols, outputCol="features",
                           handleInvalid="keep")
     # maxMemoryInMB only sets how many tree nodes share one pass over the data

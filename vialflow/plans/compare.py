@@ -51,7 +51,7 @@ def compare(spark, name: str, root: str, con=None) -> dict:
     CATALOG = all_queries()
     con = con or duck(root)
     got = CATALOG[name](spark, root).toArrow()
-    want = con.execute(SQL[name]).to_arrow_table()
+    want = con.sql(SQL[name]).to_arrow_table()
     g_names, g_rows = _rows(got)
     w_names, w_rows = _rows(want)
     out = {"name": name, "rows": (len(g_rows), len(w_rows)), "names_ok": g_names == w_names,

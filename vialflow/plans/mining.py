@@ -6,6 +6,8 @@ that share a model fit it once per session.
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark import StorageLevel
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
@@ -95,17 +97,25 @@ def forest_cv(spark, root, folds: int = 10, num_trees: int = 100):
     pooled and scored once (CA, F1, MCC, weighted one-vs-rest AUC)."""
     s = open_source(spark, root)
     ft = feature_table_df(s)
+    ft = ft.drop(*[c for c in ft.columns if c.endswith("_idx")])  # the pipeline indexes itself
     w = ml.class_weights(ft, "gravedad")
     ft = ft.join(F.broadcast(w.select("gravedad", "peso")), "gravedad")
     ft = ml.stratified_folds(ft, "codigo_accidente", "gravedad", folds, SEED).persist(StorageLevel.MEMORY_AND_DISK)
-    pooled = None
+    # label codes in a fixed (sorted) order, so the pooled predictions of all folds agree
     pipe = ml.forest_pipeline(MINING_CATS, MINING_NUMS, "gravedad", num_trees=num_trees, max_depth=5,
-                              max_bins=64, seed=SEED, weight_col="peso")
-    for f in range(folds):  # k model fits, each distributed
+                              max_bins=64, seed=SEED, weight_col="peso", label_order="alphabetAsc")
+
+    def fit_fold(f: int):
         model = pipe.fit(ft.where(F.col("fold") != f))
-        p = model.transform(ft.where(F.col("fold") == f)).select("label", "prediction", "probability")
-        pooled = p if pooled is None else pooled.unionByName(p)
-    labels = list(model.stages[1].labels)
+        return model, model.transform(ft.where(F.col("fold") == f)).select("label", "prediction", "probability")
+
+    # k independent distributed fits; submitting them from a few driver threads keeps the
+    # executors busy between the many short stages of each forest
+    from concurrent.futures import ThreadPoolExecutor
+    with ThreadPoolExecutor(max_workers=min(4, folds)) as pool:
+        fitted = list(pool.map(fit_fold, range(folds)))
+    labels = list(fitted[0][0].stages[1].labels)
+    pooled = reduce(DataFrame.unionByName, [p for _, p in fitted])
     pooled = pooled.persist(StorageLevel.MEMORY_AND_DISK)
     m = ml.metrics_from_confusion(ml.confusion(pooled, len(labels)))
     rates = ml.per_class_rates(pooled, labels)
