@@ -488,3 +488,10 @@ SELECT * FROM fa WHERE hipotesis <> '' ORDER BY codigo_accidente LIMIT 3"""),
 SELECT COALESCE(hora, -1) AS hora, COUNT(*) AS total FROM ev WHERE {VALID} AND COALESCE(hora, -1) >= 0
 GROUP BY 1 ORDER BY 1"""),
 })
+
+# A5: each smoke-checked query has its columns (checked by name on the Spark side) and rows.
+_CONTRACTED = ["severity_counts", "severity_by_year", "actor_state", "fatal_hour", "fatal_cause_top10",
+               "class_by_severity", "place_table", "table_counts"]
+SQL["audit_contracts"] = "\nUNION ALL ".join(
+    f"SELECT '{n}' AS consulta, '' AS faltan, NOT EXISTS ({SQL[n]}) AS vacia, EXISTS ({SQL[n]}) AS ok"
+    for n in _CONTRACTED)
