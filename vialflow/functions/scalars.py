@@ -148,8 +148,11 @@ def thousands(n) -> Column:
 
 def recode(c, mapping: dict, default=None) -> Column:
     """Value recode with default (keeps the value itself when default is None)."""
+    fallback = col(c) if default is None else F.lit(default)
+    if not mapping:
+        return fallback
     m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
-    return F.coalesce(F.element_at(m, col(c)), col(c) if default is None else F.lit(default))
+    return F.coalesce(F.element_at(m, col(c)), fallback)
 
 
 def band(ratio, cuts: list[tuple[float, str]], otherwise: str) -> Column:

@@ -60,8 +60,8 @@ def with_share(df: DataFrame, count_col: str, out: str = "pct", scale: int = 100
 
 
 def with_ratio_to_max(df: DataFrame, col: str, out: str = "ratio") -> DataFrame:
-    """value / max(value) over the bounded aggregated result."""
-    return df.withColumn(out, F.col(col).cast("double") / F.max(col).over(Window.partitionBy()))
+    """value / max(value) over the bounded aggregated result (W5); NULL when the maximum is 0."""
+    return df.withColumn(out, F.try_divide(F.col(col).cast("double"), F.max(col).over(Window.partitionBy())))
 
 
 def place_rollup(events: DataFrame, event_place: DataFrame, extra_keys: list[str] | None = None,

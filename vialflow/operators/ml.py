@@ -18,6 +18,7 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from .joins import join_small
 from .ranking import hash_order, row_number_by
 
 
@@ -145,7 +146,8 @@ def stratified_sample(df: DataFrame, key: str, label_col: str, size: int, seed:
     q = q.select(label_col, (F.col("_base") + F.when(rank_rem <= left, 1).otherwise(0)).alias("_quota"))
     h = df.withColumn("_h", hash_order([key], seed))
     r = row_number_by(h, ["_h", key], [label_col], out="_rn")
-    return r.join(F.broadcast(q), label_col).where(F.col("_rn") <= F.col("_quota")).drop("_h", "_rn", "_quota")
+    # one quota row per class
+    return join_small(r, q, label_col).where(F.col("_rn") <= F.col("_quota")).drop("_h", "_rn", "_quota")
 
 
 # ------------------------------------------------------------------ encoders

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import (UNKNOWN_HYPOTHESIS, UNKNOWN_VEHICLE, band, round_ratio,
-                                 rate_or_zero, weekday_name_of)
+                                 rate_or_zero, recode, weekday_name_of)
 from ..operators.aggregates import (LEVEL_MEASURES, conditional_counts, count_by, count_rows,
                                     place_rollup, sum_measures, with_ratio_to_max, with_share)
 from ..operators.joins import join_small
@@ -288,14 +288,23 @@ def actor_state(spark, root):
     return count_by(a, ["condicion", "estado"]).orderBy(F.asc_nulls_last("condicion"), F.asc_nulls_last("estado"))
 
 
+# Bands of the actor mortality chart (ratio to the highest rate).
+ACTOR_BANDS = [(0.7, "alta"), (0.4, "media")]
+# Badge bands of the place table (rate per 1000).
+RATE_BANDS = [(20, "alta"), (12, "media")]
+
+
 @query("actor_mortality")
 def actor_mortality(spark, root):
     """Condition x state pivot; states outside the list count only in the total."""
     s = open_source(spark, root)
     a = s.actors()
     wide = pivot_counts(a, "condicion", "estado", {code: name for name, code in s.actor_states.items()})
-    return (wide.withColumn("tasa", rate_or_zero("muertos", "total", 1000, 2))
-            .select("condicion", "muertos", "heridos", "ilesos", "total", "tasa")
+    t = wide.withColumn("tasa", rate_or_zero("muertos", "total", 1000, 2))
+    t = with_ratio_to_max(t, "tasa", "_r")
+    return (t.select("condicion", recode("condicion", s.condition_labels).alias("etiqueta"),
+                     "muertos", "heridos", "ilesos", "total", "tasa",
+                     band("_r", ACTOR_BANDS, "baja").alias("banda"))
             .orderBy(F.desc("tasa"), "condicion"))
 
 
@@ -365,7 +374,8 @@ def place_shares(spark, root):
     return t.select("nombre", "total",
                     round_ratio("con_muertos", "total", 100, 1).alias("pct_muertos"),
                     round_ratio("con_heridos", "total", 100, 1).alias("pct_heridos"),
-                    round_ratio("solo_danos", "total", 100, 1).alias("pct_danos"))
+                    round_ratio("solo_danos", "total", 100, 1).alias("pct_danos"),
+                    band("tasa_mortalidad", RATE_BANDS, "baja").alias("banda_tasa"))
 
 
 @query("zone_counts")

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import ml
+from ..operators.joins import join_small
 from ..sources.tables import EventSource, open_source
 from .registry import query
 from .warehouse import analysis_view, feature_table_df
@@ -37,7 +38,7 @@ def _code(spark, root, level: int) -> str:
 
 
 def _key(spark, root, what):
-    return (id(spark), root, what)
+    return (spark.sparkContext.applicationId, root, what)
 
 
 def _flat(spark, root) -> DataFrame:
@@ -99,7 +100,7 @@ def forest_cv(spark, root, folds: int = 10, num_trees: int = 100):
     ft = feature_table_df(s)
     ft = ft.drop(*[c for c in ft.columns if c.endswith("_idx")])  # the pipeline indexes itself
     w = ml.class_weights(ft, "gravedad")
-    ft = ft.join(F.broadcast(w.select("gravedad", "peso")), "gravedad")
+    ft = join_small(ft, w.select("gravedad", "peso"), "gravedad")  # one row per class
     ft = ml.stratified_folds(ft, "codigo_accidente", "gravedad", folds, SEED).persist(StorageLevel.MEMORY_AND_DISK)
     # label codes in a fixed (sorted) order, so the pooled predictions of all folds agree
     pipe = ml.forest_pipeline(MINING_CATS, MINING_NUMS, "gravedad", num_trees=num_trees, max_depth=5,

@@ -190,8 +190,11 @@ ORDER BY condicion NULLS LAST, estado NULLS LAST"""),
 , g AS (SELECT condicion, CAST(COUNT(*) FILTER (WHERE estado = 'R') AS BIGINT) AS muertos,
   CAST(COUNT(*) FILTER (WHERE estado = 'A') AS BIGINT) AS heridos,
   CAST(COUNT(*) FILTER (WHERE estado = 'N') AS BIGINT) AS ilesos, COUNT(*) AS total FROM act GROUP BY condicion)
-SELECT condicion, muertos, heridos, ilesos, total, COALESCE({rnd('muertos', 'total', 1000, 2)}, 0.0) AS tasa
-FROM g ORDER BY tasa DESC, condicion"""),
+, r AS (SELECT condicion, muertos, heridos, ilesos, total, COALESCE({rnd('muertos', 'total', 1000, 2)}, 0.0) AS tasa FROM g)
+, q AS (SELECT *, CASE WHEN MAX(tasa) OVER () = 0 THEN NULL ELSE tasa / MAX(tasa) OVER () END AS ratio FROM r)
+SELECT condicion, condicion AS etiqueta, muertos, heridos, ilesos, total, tasa,
+  CASE WHEN ratio > 0.7 THEN 'alta' WHEN ratio > 0.4 THEN 'media' ELSE 'baja' END AS banda
+FROM q ORDER BY tasa DESC, condicion"""),
 
     "deaths_by_condition": with_("act", """
 SELECT condicion AS descripcion, COUNT(*) AS muertos FROM act WHERE estado = 'R' GROUP BY condicion
@@ -222,7 +225,9 @@ ORDER BY con_muertos DESC, nombre"""),
     "place_shares": _place(f"""SELECT nombre, total,
   {rnd('con_muertos', 'total', 100, 1)} AS pct_muertos,
   {rnd('con_heridos', 'total', 100, 1)} AS pct_heridos,
-  {rnd('solo_danos', 'total', 100, 1)} AS pct_danos FROM t"""),
+  {rnd('solo_danos', 'total', 100, 1)} AS pct_danos,
+  CASE WHEN {rnd('con_muertos', 'total', 1000, 1)} > 20 THEN 'alta' WHEN {rnd('con_muertos', 'total', 1000, 1)} > 12
+    THEN 'media' ELSE 'baja' END AS banda_tasa FROM t"""),
 
     "zone_counts": with_("evp pl", """
 SELECT pl.zona, COUNT(*) AS total FROM evp JOIN pl ON evp.localidad = pl.localidad GROUP BY pl.zona

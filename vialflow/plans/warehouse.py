@@ -168,7 +168,7 @@ def analysis_view(spark, root):
     disk) for the batch job's aggregates and models, as the reference caches its view.
     Lost blocks are rebuilt from lineage."""
     from pyspark import StorageLevel
-    key = (id(spark), root)
+    key = (spark.sparkContext.applicationId, root)
     if key not in _VIEWS:
         _VIEWS[key] = flat_events_df(open_source(spark, root)).persist(StorageLevel.MEMORY_AND_DISK)
     return _VIEWS[key]

@@ -29,6 +29,9 @@ LOCALITY_ZONES = {
     9: "Occidente", 10: "Occidente", 11: "Norte", 12: "Norte", 13: "Norte", 14: "Centro", 15: "Centro",
     16: "Centro", 17: "Centro", 18: "Sur", 19: "Sur", 20: "Sur",
 }
+# Display labels of actor conditions used by the mortality chart.
+CONDITION_LABELS = {"CONDUCTOR": "Conductor", "MOTOCICLISTA": "Motociclista", "PASAJERO/ACOMPAÑANTE": "Pasajero",
+                    "PEATON": "Peatón", "CICLISTA": "Ciclista"}
 UNKNOWN = "Desconocida"
 
 VEHICLE = T.StructType([T.StructField("CLASE", T.StringType()), T.StructField("SERVICIO", T.StringType())])
@@ -116,6 +119,7 @@ class NestedSource:
 
     levels = SEVERITY_LEVELS
     actor_states = ACTOR_STATES
+    condition_labels = CONDITION_LABELS
     unknown_place = 0
 
     def __init__(self, spark: SparkSession, raw: DataFrame | str, name: str = "nested"):

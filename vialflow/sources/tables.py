@@ -50,6 +50,7 @@ class EventSource:
 
     levels = SEVERITY_LEVELS
     actor_states = ACTOR_STATES
+    condition_labels: dict = {}  # codes are shown as they are
     unknown_place = -1  # nation key 0 is a real place here
 
     def __init__(self, spark: SparkSession, root: str):
@@ -59,7 +60,7 @@ class EventSource:
     def dictionary(self, table: str, col: str):
         """Order-preserving code dictionary of a text column, built once per session."""
         from ..operators.encode import Dictionary
-        key = (id(self.spark), self.root, table, col)
+        key = (self.spark.sparkContext.applicationId, self.root, table, col)
         if key not in _DICTIONARIES:
             _DICTIONARIES[key] = Dictionary(self.table(table), col)
         return _DICTIONARIES[key]
