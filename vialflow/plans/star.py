@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import date_key, month_name, weekday_name
+from ..operators.aggregates import first_per_key
 from ..operators.joins import join_small
 from ..operators.ranking import row_number_by
 from ..sources.tables import EventSource
@@ -58,14 +59,6 @@ def members_of(members: DataFrame, dimension: str, key: str, value: str) -> Data
 
 
 # ------------------------------------------------------------------ D3 fact v1
-def first_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
-    """W6 first-wins per natural key without a window: ``min_by`` aggregates map-side,
-    so a key repeated in a third of the rows still costs one row per task."""
-    payload = [c for c in df.columns if c not in (key, *order_cols)]
-    first = df.groupBy(key).agg(F.min_by(F.struct(*payload), F.struct(*order_cols)).alias("_r"))
-    return first.select(key, "_r.*")
-
-
 def fact_v1(s: EventSource, members: DataFrame | None = None) -> DataFrame:
     members = members if members is not None else dim_members(s)
     o = s.table("orders").select("*", F.col("_metadata.file_path").alias("_file"),

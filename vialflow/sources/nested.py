@@ -136,10 +136,8 @@ class NestedSource:
         raise KeyError(f"nested source has no table {name!r}")
 
     def _first_records(self) -> DataFrame:
-        payload = [c for c in self._ordered.columns if c not in ("CODIGO_ACCIDENTE", "_ingest")]
-        g = self._ordered.groupBy("CODIGO_ACCIDENTE").agg(
-            F.min_by(F.struct(*payload), F.col("_ingest")).alias("_r"))
-        return g.select("CODIGO_ACCIDENTE", "_r.*")
+        from ..operators.aggregates import first_per_key
+        return first_per_key(self._ordered, "CODIGO_ACCIDENTE", ["_ingest"])
 
     def events(self) -> DataFrame:
         r = self._first_records()
