@@ -145,11 +145,15 @@ def fact_arrays(s: EventSource, unknown_place: int | None = None, with_keys: boo
     arrays)."""
     unknown_place = s.unknown_place if unknown_place is None else unknown_place
     ev = s.events().join(s.event_place(), "cliente", "left")
-    hyp = _per_event_values(s.hypotheses(), "hipotesis", False)
-    veh = _per_event_values(s.vehicles(), "clase", True).withColumnRenamed("clase", "vehiculos_clase")
-    kids = s.child_summary().select("codigo_accidente", "num_vehiculos", "num_actores")
-    f = ev.join(hyp, "codigo_accidente", "left").join(veh, "codigo_accidente", "left") \
-        .join(kids, "codigo_accidente", "left")
+    if hasattr(s, "child_profile"):
+        # all child lists and counts from one pass over the child rows
+        f = ev.join(s.child_profile(), "codigo_accidente", "left")
+    else:
+        hyp = _per_event_values(s.hypotheses(), "hipotesis", False)
+        veh = _per_event_values(s.vehicles(), "clase", True).withColumnRenamed("clase", "vehiculos_clase")
+        kids = s.child_summary().select("codigo_accidente", "num_vehiculos", "num_actores")
+        f = ev.join(hyp, "codigo_accidente", "left").join(veh, "codigo_accidente", "left") \
+            .join(kids, "codigo_accidente", "left")
     empty = F.array().cast("array<string>")
     keys = [F.col("codigo_accidente").alias("siniestro_id"), date_key("fecha").alias("fecha_id"), "hora",
             "anio"] if with_keys else []
