@@ -9,6 +9,7 @@ from __future__ import annotations
 from functools import reduce
 
 from pyspark import StorageLevel
+from pyspark.ml import Pipeline
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -105,18 +106,24 @@ def forest_cv(spark, root, folds: int = 10, num_trees: int = 100):
     # label codes in a fixed (sorted) order, so the pooled predictions of all folds agree
     pipe = ml.forest_pipeline(MINING_CATS, MINING_NUMS, "gravedad", num_trees=num_trees, max_depth=5,
                               max_bins=64, seed=SEED, weight_col="peso", label_order="alphabetAsc")
+    # the domain (vocabularies, feature layout) is fixed once for all folds, as the desktop
+    # workflow does; each fold then fits only the forest on the assembled vectors
+    stages = pipe.getStages()
+    prep = Pipeline(stages=stages[:-1]).fit(ft)
+    labels = list(prep.stages[1].labels)
+    data = prep.transform(ft).select("features", "label", "peso", "fold").persist(StorageLevel.MEMORY_AND_DISK)
+    forest = stages[-1]
 
     def fit_fold(f: int):
-        model = pipe.fit(ft.where(F.col("fold") != f))
-        return model, model.transform(ft.where(F.col("fold") == f)).select("label", "prediction", "probability")
+        model = forest.fit(data.where(F.col("fold") != f))
+        return model.transform(data.where(F.col("fold") == f)).select("label", "prediction", "probability")
 
     # k independent distributed fits; submitting them from a few driver threads keeps the
     # executors busy between the many short stages of each forest
     from concurrent.futures import ThreadPoolExecutor
     with ThreadPoolExecutor(max_workers=min(4, folds)) as pool:
         fitted = list(pool.map(fit_fold, range(folds)))
-    labels = list(fitted[0][0].stages[1].labels)
-    pooled = reduce(DataFrame.unionByName, [p for _, p in fitted])
+    pooled = reduce(DataFrame.unionByName, fitted)
     pooled = pooled.persist(StorageLevel.MEMORY_AND_DISK)
     m = ml.metrics_from_confusion(ml.confusion(pooled, len(labels)))
     rates = ml.per_class_rates(pooled, labels)
