@@ -97,3 +97,13 @@ def test_audit_operators(spark):
     assert audit.output_contract(c, ["fk", "id"])["ok"]
     assert audit.output_contract(c.limit(0), ["fk"])["empty"]
     assert audit.output_contract(c, ["x"])["missing"] == ["x"]
+
+
+def test_locale_aware_name_sort(spark):
+    """Names sorted the Spanish way (accent-insensitive collation)."""
+    from vialflow.operators.reshape import sort_by_choice
+    df = spark.createDataFrame([("Úsme", 1), ("Bosa", 2), ("Usaquén", 3), ("Ávila", 4)], "nombre string, n int")
+    binary = [r.nombre for r in sort_by_choice(df, "nombre", descending=False).collect()]
+    spanish = [r.nombre for r in sort_by_choice(df, "nombre", descending=False, collation="es_AI").collect()]
+    assert binary[-2:] == ["Ávila", "Úsme"]              # code-point order puts accents last
+    assert spanish == ["Ávila", "Bosa", "Usaquén", "Úsme"]

@@ -9,11 +9,10 @@ from __future__ import annotations
 
 from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import (UNKNOWN_HYPOTHESIS, UNKNOWN_VEHICLE, band, round_ratio,
-                                 rate_or_zero, recode, weekday_name_of)
+from ..functions.scalars import band, rate_or_zero, recode, round_ratio, weekday_name_of
 from ..operators.aggregates import (LEVEL_MEASURES, conditional_counts, count_by, count_rows,
                                     place_rollup, sum_measures, with_ratio_to_max, with_share)
 from ..operators.joins import join_small
