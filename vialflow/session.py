@@ -18,6 +18,8 @@ BASE_CONF = {
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.files.maxPartitionBytes": "128m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # checkpoint files of numbered rows are removed once no plan refers to them
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
