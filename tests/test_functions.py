@@ -107,3 +107,14 @@ def test_locale_aware_name_sort(spark):
     spanish = [r.nombre for r in sort_by_choice(df, "nombre", descending=False, collation="es_AI").collect()]
     assert binary[-2:] == ["Ávila", "Úsme"]              # code-point order puts accents last
     assert spanish == ["Ávila", "Bosa", "Usaquén", "Úsme"]
+
+
+def test_row_number_splits_a_run_of_identical_rows(spark):
+    """A hot group of fully identical rows is still spread over several range partitions."""
+    from pyspark.sql import functions as F
+    from vialflow.operators.ranking import row_number_by
+    df = spark.range(3000).select(F.when(F.col("id") < 2000, F.lit(7)).otherwise(F.col("id")).alias("k"))
+    got = row_number_by(df, ["k"], partitions=6)
+    assert sorted(r.rn for r in got.collect()) == list(range(1, 3001))
+    per_part = got.where(F.col("k") == 7).groupBy(F.spark_partition_id()).count().collect()
+    assert len(per_part) >= 2

@@ -62,7 +62,11 @@ def row_number_by(df: DataFrame, order_cols: list[str], group_cols: list[str] |
     on every column are interchangeable, so the multiset of results is still fixed.
     """
     group_cols = list(group_cols or [])
-    keys = [*group_cols, *order_cols]
+    # A last key unique per row: rows that tie on every order column (interchangeable for
+    # the result) still get distinct sort keys, so range partitioning can split a hot run
+    # of identical rows across partitions instead of sending it to one task.
+    df = df.withColumn("_tb", F.monotonically_increasing_id())
+    keys = [*group_cols, *order_cols, "_tb"]
     spark = df.sparkSession
     n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
@@ -84,7 +88,7 @@ def row_number_by(df: DataFrame, order_cols: list[str], group_cols: list[str] |
     cond = [F.col("_pid") == F.col("_o__pid")] + [F.col(g).eqNullSafe(F.col(f"_o_{g}")) for g in group_cols]
     joined = join_small(staged, offsets, reduce(lambda a, b: a & b, cond))
     return joined.withColumn(out, F.col("_off") + F.col("_local")).drop(
-        "_pid", "_local", "_off", "_o__pid", *[f"_o_{g}" for g in group_cols])
+        "_pid", "_local", "_off", "_tb", "_o__pid", *[f"_o_{g}" for g in group_cols])
 
 
 def hash_order(key_cols: list[str], seed: int | str) -> "F.Column":
