@@ -61,6 +61,16 @@ def read_nested(spark: SparkSession, path: str, multiline: bool = True) -> DataF
     return r.json(path)
 
 
+def convert_to_parquet(spark: SparkSession, path: str, out: str, multiline: bool = True) -> str:
+    """Read nested JSON once (one task per multiLine file) and store it as Parquet
+    partitioned by year, keeping the file order in ``_ingest`` for the first-record-wins
+    rule. Later scans split, prune by year and read only the needed nested fields."""
+    raw = read_nested(spark, path, multiline).withColumn("_ingest", F.monotonically_increasing_id())
+    raw = raw.withColumn("_anio", F.year(parse_date("FECHA_STR")))
+    raw.write.mode("overwrite").partitionBy("_anio").parquet(out)
+    return out
+
+
 def _truthy(c) -> "F.Column":
     return c.isNotNull() & (c != "")
 
@@ -126,8 +136,10 @@ class NestedSource:
         self.spark = spark
         self.raw = read_nested(spark, raw) if isinstance(raw, str) else raw
         self.root = name
-        # ingest order = file order (partition, then position); used for first-wins only
-        self._ordered = self.raw.withColumn("_ingest", F.monotonically_increasing_id())
+        # ingest order = file order (partition, then position); used for first-wins only.
+        # Converted inputs carry the order of the original file.
+        self._ordered = self.raw if "_ingest" in self.raw.columns else \
+            self.raw.withColumn("_ingest", F.monotonically_increasing_id())
 
     def proof(self, name: str) -> str:
         return f"{self.root}::{name}"
@@ -137,7 +149,8 @@ class NestedSource:
 
     def _first_records(self) -> DataFrame:
         from ..operators.aggregates import first_per_key
-        return first_per_key(self._ordered, "CODIGO_ACCIDENTE", ["_ingest"])
+        cols = [f.name for f in NESTED_SCHEMA] + ["_ingest"]
+        return first_per_key(self._ordered.select(*cols), "CODIGO_ACCIDENTE", ["_ingest"])
 
     def events(self) -> DataFrame:
         r = self._first_records()

@@ -27,9 +27,20 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, mode: str
     out.write.mode(mode).option("batchsize", batchsize).jdbc(url, table, properties=properties)
 
 
-def replace_table(spark: SparkSession, df: DataFrame, name: str) -> None:
-    """Build the new version and swap it in one catalog operation."""
-    df.writeTo(name).using("parquet").createOrReplace()
+def replace_table(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
+    """Replace a catalog table with a new version. With a v2 catalog configured (Delta,
+    Iceberg) the swap is one atomic CREATE OR REPLACE; the built-in session catalog
+    overwrites the table instead."""
+    if spark.conf.get("spark.sql.catalog.spark_catalog", None):
+        w = df.writeTo(name)
+        if partition_by:
+            w = w.partitionedBy(*[F.col(c) for c in partition_by])
+        w.createOrReplace()
+        return
+    w = df.write.mode("overwrite").format("parquet")
+    if partition_by:
+        w = w.partitionBy(*partition_by)
+    w.saveAsTable(name)
 
 
 def report_document(parts: dict[str, DataFrame], scalars: dict | None = None) -> DataFrame:
