@@ -118,3 +118,24 @@ def test_row_number_splits_a_run_of_identical_rows(spark):
     assert sorted(r.rn for r in got.collect()) == list(range(1, 3001))
     per_part = got.where(F.col("k") == 7).groupBy(F.spark_partition_id()).count().collect()
     assert len(per_part) >= 2
+
+
+def test_round_ratio_matches_exact_arithmetic_on_many_values(spark):
+    """Property check: exact half-up rounding for many (num, den, scale, digits) at once."""
+    from hypothesis import given, settings, strategies as st
+
+    cases = []
+
+    @settings(max_examples=300, deadline=None)
+    @given(st.integers(0, 10**9), st.integers(1, 10**9), st.sampled_from([1, 100, 1000]), st.integers(0, 3))
+    def collect(num, den, scale, digits):
+        cases.append((num, den, scale, digits))
+
+    collect()
+    df = spark.createDataFrame(cases, "num long, den long, scale int, digits int")
+    for scale in (1, 100, 1000):
+        for digits in range(4):
+            part = df.where((F.col("scale") == scale) & (F.col("digits") == digits))
+            got = part.select("num", "den", S.round_ratio("num", "den", scale, digits).alias("r")).collect()
+            for r in got:
+                assert r.r == half_up(r.num, r.den, scale, digits), (r, scale, digits)
