@@ -39,7 +39,12 @@ def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
 
 def anti_count(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:
     """Number of child rows whose key has no parent (orphans). NULL child keys are not
-    orphans, as with SQL foreign keys."""
-    c = child.select(F.col(child_key).alias("_k")).where(F.col("_k").isNotNull())
-    p = parent.select(F.col(parent_key).alias("_k"))
-    return c.join(p, "_k", "left_anti").agg(F.count(F.lit(1)).alias("huerfanos"))
+    orphans, as with SQL foreign keys.
+
+    Child rows are first counted per key (map-side partial aggregation), so the anti join
+    shuffles distinct keys with their counts instead of every child row, and a key held by
+    a third of the rows is a single row by the time it reaches the join."""
+    c = child.select(F.col(child_key).alias("_k")).where(F.col("_k").isNotNull()) \
+        .groupBy("_k").agg(F.count(F.lit(1)).alias("_n"))
+    p = parent.select(F.col(parent_key).alias("_k")).distinct()
+    return c.join(p, "_k", "left_anti").agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("long").alias("huerfanos"))
