@@ -168,10 +168,19 @@ def fact_arrays(s: EventSource, unknown_place: int | None = None, with_keys: boo
 
 
 # ------------------------------------------------------------------ D9 locality re-key
-def dim_localidad(s: EventSource, fact: DataFrame) -> DataFrame:
+def fact_place_codes(s: EventSource) -> DataFrame:
+    """The fact's place code per event (unknown -> the source's unknown code), from the
+    events and their place only - no child lists - so the dimension does not rebuild the fact."""
+    ev = s.events().select("codigo_accidente", "cliente").join(s.event_place(), "cliente", "left")
+    return ev.select("codigo_accidente", F.coalesce("localidad", F.lit(s.unknown_place)).alias("localidad"))
+
+
+def dim_localidad(s: EventSource, fact: DataFrame | None = None) -> DataFrame:
     """Distinct place codes of the fact with name and zone; unknown codes get the
-    'Desconocida' member."""
-    codes = fact.select(F.col("localidad").alias("codigo_localidad")).distinct()
+    'Desconocida' member. Codes are the distinct values of ``fact.localidad`` when a built
+    fact is given, otherwise they come straight from the events."""
+    src = fact if fact is not None else fact_place_codes(s)
+    codes = src.select(F.col("localidad").alias("codigo_localidad")).distinct()
     pl = s.places().select(F.col("codigo_localidad"), "nombre", "zona")
     d = join_small(codes, pl, "codigo_localidad", "left")
     return d.select(F.col("codigo_localidad").alias("localidad_id"), "codigo_localidad",
@@ -182,7 +191,7 @@ def dim_localidad(s: EventSource, fact: DataFrame) -> DataFrame:
 def fact_rekeyed(s: EventSource, fact: DataFrame | None = None) -> DataFrame:
     """Update-from join (J8): the fact's place code is replaced by the dimension key."""
     fact = fact if fact is not None else fact_arrays(s)
-    dl = dim_localidad(s, fact)
+    dl = dim_localidad(s)
     f = join_small(fact, dl.withColumnRenamed("codigo_localidad", "localidad"), "localidad", "left")
     return f.drop("localidad")
 
@@ -195,7 +204,7 @@ def star_tables(s: EventSource) -> dict[str, DataFrame]:
     return {
         "fact_siniestros": fact_rekeyed(s, fact).drop("nombre", "zona"),
         "dim_fecha": dim_calendar(s),
-        "dim_localidad": dim_localidad(s, fact),
+        "dim_localidad": dim_localidad(s),
         "dim_actor": dim_actor(s),
     }
 

@@ -80,7 +80,7 @@ def q_fact_rekeyed(spark, root):
 @query("dim_localidad")
 def q_dim_localidad(spark, root):
     s = open_source(spark, root)
-    return star.dim_localidad(s, star.fact_arrays(s))
+    return star.dim_localidad(s)
 
 
 # ------------------------------------------------------------------ audits
