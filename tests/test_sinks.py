@@ -59,3 +59,10 @@ def test_nested_json_converted_to_parquet(spark, queries):
     ev_b = sorted(b.events().collect())
     assert ev_a == ev_b                      # same first-record-wins survivors
     assert sorted(a.hypotheses().collect()) == sorted(b.hypotheses().collect())
+
+
+def test_release_caches(spark, queries):
+    from vialflow.plans.registry import release_caches
+    queries["class_top8"](spark, SF0001).collect()
+    assert release_caches(spark) >= 1
+    assert queries["class_top8"](spark, SF0001).count() > 0   # rebuilt on demand
