@@ -32,7 +32,7 @@ def main() -> None:
     cpus = int(os.environ.get("BENCH_CPUS", "8"))
     m = re.search(r"sf([0-9.]+)", root)
     sf = float(m.group(1)) if m else None
-    spark = get_session(f"local[{cpus}]", app="vialflow-bench", shuffle_partitions=2 * cpus)
+    spark = get_session(f"local[{cpus}]", app="vialflow-bench", shuffle_partitions=cpus)
     q = all_queries()
     times: dict[str, float] = {}
 
