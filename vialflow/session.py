@@ -41,6 +41,7 @@ def get_session(master: str | None = None, app: str = "vialflow",
         builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
+    ship_package(spark)
     return spark
 
 
@@ -66,3 +67,27 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for materialised intermediate tables."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+_SHIPPED: set = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``vialflow`` importable in the Python workers (the per-partition numbering and
+    the ANOVA helper run there): zip the package once and add it with ``addPyFile``, the
+    runtime equivalent of ``spark-submit --py-files``."""
+    import zipfile
+
+    sc = spark.sparkContext
+    if sc.applicationId in _SHIPPED:
+        return
+    pkg = os.path.dirname(os.path.abspath(__file__))
+    out = os.path.join(tempfile.mkdtemp(prefix="vialflow-pyfiles-"), "vialflow.zip")
+    with zipfile.ZipFile(out, "w", zipfile.ZIP_DEFLATED) as z:
+        for base, _, files in os.walk(pkg):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(base, f)
+                    z.write(full, os.path.relpath(full, os.path.dirname(pkg)))
+    sc.addPyFile(out)
+    _SHIPPED.add(sc.applicationId)
