@@ -12,7 +12,8 @@ from functools import reduce
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ..functions.scalars import band, rate_or_zero, recode, round_ratio, weekday_name_of
+from ..functions.scalars import (band, hour_label, month_short, rate_or_zero, recode, round_ratio,
+                                 weekday_name_of)
 from ..operators.aggregates import (LEVEL_MEASURES, conditional_counts, count_by, count_rows,
                                     place_rollup, sum_measures, with_ratio_to_max, with_share)
 from ..operators.joins import join_small
@@ -214,7 +215,8 @@ HOUR_BANDS = [(0.85, "muy_alta"), (0.65, "alta"), (0.40, "media")]
 def hour_bands(spark, root):
     g = _hour_counts(open_source(spark, root)).select("hora", "total")
     r = with_ratio_to_max(g, "total", "ratio")
-    return r.withColumn("banda", band("ratio", HOUR_BANDS, "baja")).orderBy("hora")
+    return (r.withColumn("banda", band("ratio", HOUR_BANDS, "baja"))
+            .withColumn("etiqueta", hour_label("hora")).orderBy("hora"))
 
 
 @query("peak_fatal_hour")
@@ -346,7 +348,8 @@ def seasonality(spark, root):
     ev = _dated(open_source(spark, root).events())
     per_month = count_by(ev, ["anio", "mes"])
     g = per_month.groupBy("mes").agg(F.sum("total").alias("_s"), F.count(F.lit(1)).alias("_n"))
-    return g.select("mes", round_ratio("_s", "_n", 1, 0).alias("promedio")).orderBy("mes")
+    return g.select("mes", month_short("mes").alias("etiqueta"),
+                    round_ratio("_s", "_n", 1, 0).alias("promedio")).orderBy("mes")
 
 
 @query("weekday_counts")

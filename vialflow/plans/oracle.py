@@ -137,7 +137,8 @@ FROM hev WHERE hora IS NOT NULL GROUP BY hora ORDER BY hora"""),
 , g AS (SELECT hora, COUNT(*) AS total FROM hev WHERE hora IS NOT NULL GROUP BY hora)
 , r AS (SELECT hora, total, CAST(total AS DOUBLE) / MAX(total) OVER () AS ratio FROM g)
 SELECT hora, total, ratio, CASE WHEN ratio > 0.85 THEN 'muy_alta' WHEN ratio > 0.65 THEN 'alta'
-  WHEN ratio > 0.40 THEN 'media' ELSE 'baja' END AS banda FROM r ORDER BY hora"""),
+  WHEN ratio > 0.40 THEN 'media' ELSE 'baja' END AS banda, lpad(CAST(hora AS VARCHAR), 2, '0') || 'h' AS etiqueta
+FROM r ORDER BY hora"""),
 
     "peak_fatal_hour": with_("hev", """
 SELECT hora, CAST(SUM(fatal) AS BIGINT) AS muertos FROM hev WHERE hora IS NOT NULL GROUP BY hora
@@ -202,7 +203,8 @@ ORDER BY muertos DESC, descripcion"""),
 
     "seasonality": with_("ev", f"""
 , m AS (SELECT anio, mes, COUNT(*) AS n FROM ev WHERE fecha IS NOT NULL GROUP BY anio, mes)
-SELECT mes, {rnd('SUM(n)', 'COUNT(*)', 1, 0)} AS promedio FROM m GROUP BY mes ORDER BY mes"""),
+SELECT mes, (['Ene','Feb','Mar','Abr','May','Jun','Jul','Ago','Sep','Oct','Nov','Dic'])[mes] AS etiqueta,
+  {rnd('SUM(n)', 'COUNT(*)', 1, 0)} AS promedio FROM m GROUP BY mes ORDER BY mes"""),
 
     "weekday_counts": with_("ev", """
 , g AS (SELECT CAST(isodow(fecha) - 1 AS INTEGER) AS dia_semana, COUNT(*) AS total FROM ev
