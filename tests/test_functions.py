@@ -139,3 +139,30 @@ def test_round_ratio_matches_exact_arithmetic_on_many_values(spark):
             got = part.select("num", "den", S.round_ratio("num", "den", scale, digits).alias("r")).collect()
             for r in got:
                 assert r.r == half_up(r.num, r.den, scale, digits), (r, scale, digits)
+
+
+def test_place_rollup_equals_direct_join_with_a_hot_customer(spark):
+    """Aggregate-before-join gives the same per-place counts as joining every event, also
+    when one customer holds a third of the events."""
+    from vialflow.operators.aggregates import place_rollup
+    random.seed(3)
+    ev = [(i, 0 if i % 3 == 0 else random.randint(1, 50), random.choice([1, 2, 3, None])) for i in range(3000)]
+    events = spark.createDataFrame(ev, "codigo_accidente long, cliente long, gravedad_nivel int")
+    places = spark.createDataFrame([(c, c % 7) for c in range(0, 51)], "cliente long, localidad int")
+    got = {tuple(r) for r in place_rollup(events, places).collect()}
+    direct = events.join(places, "cliente").groupBy("localidad").agg(
+        F.count(F.lit(1)).alias("total"), F.count_if(F.col("gravedad_nivel") == 1).alias("con_muertos"),
+        F.count_if(F.col("gravedad_nivel") == 2).alias("con_heridos"),
+        F.count_if(F.col("gravedad_nivel") == 3).alias("solo_danos"))
+    assert got == {tuple(r) for r in direct.collect()}
+
+
+def test_first_per_key_keeps_first_ingested_row(spark):
+    from vialflow.operators.aggregates import first_per_key
+    rows = [(1, 5, "a"), (1, 2, "b"), (2, 1, "c"), (3, 9, "d"), (3, 1, "e"), (3, 4, "f")] + \
+           [(7, i + 10, f"x{i}") for i in range(200)]          # a hot duplicated key
+    df = spark.createDataFrame(rows, "k int, ord int, v string")
+    got = {r.k: r.v for r in first_per_key(df, "k", ["ord"]).collect()}
+    assert got == {1: "b", 2: "c", 3: "e", 7: "x0"}
+    forced = {r.k: r.v for r in first_per_key(df, "k", ["ord"], max_dups=0).collect()}
+    assert forced == got                                         # the all-rows path agrees
