@@ -13,9 +13,10 @@ def test_build_star_and_query_written_tables(spark):
     from vialflow.plans.warehouse_sql import STATEMENTS, register_star
     from vialflow.sources.tables import EventSource
     out = tempfile.mkdtemp(prefix="vialflow-star-")
-    paths = star.build_star(EventSource(spark, SF0001), out)
+    paths = star.build_star(EventSource(spark, SF0001), out, version="v1")
     assert set(paths) == {"fact_siniestros", "dim_fecha", "dim_localidad", "dim_actor", "dim_members"}
     assert os.path.isdir(os.path.join(paths["fact_siniestros"], "anio=1995"))   # partitioned by year
+    assert star.current_star(spark, out).endswith("/v1")
     register_star(spark, SF0001, written=out)
     from_written = {r.tabla: r.filas for r in spark.sql(STATEMENTS["conteos"]).collect()}
     register_star(spark, SF0001)

@@ -210,18 +210,34 @@ def star_tables(s: EventSource) -> dict[str, DataFrame]:
 
 
 # ------------------------------------------------------------------ one-shot build
-def build_star(s: EventSource, out: str, mode: str = "overwrite") -> dict[str, str]:
-    """Write the final (v4) warehouse as parquet tables under ``out``: the fact is
-    partitioned by year so date filters prune files."""
-    members = dim_members(s)
+def build_star(s: EventSource, out: str, mode: str = "overwrite", version: str | None = None) -> dict[str, str]:
+    """Write the final (v4) warehouse as parquet tables under ``out/<version>/``: the fact
+    is partitioned by year so date filters prune files.
+
+    The reference migrates table by table, so a failure half-way leaves a half-migrated
+    schema. Here every table of a build goes to a fresh version folder and a one-line
+    ``_current`` pointer is written last: readers (``current_star``) only ever see a
+    complete build, and a failed build leaves an unreferenced folder behind."""
+    import time
+
+    version = version or time.strftime("v%Y%m%d%H%M%S")
+    base = f"{out.rstrip('/')}/{version}"
     tables = star_tables(s)
-    tables["dim_members"] = members
+    tables["dim_members"] = dim_members(s)
     paths = {}
     for name, df in tables.items():
-        path = f"{out.rstrip('/')}/{name}"
+        path = f"{base}/{name}"
         w = df.write.mode(mode)
         if name == "fact_siniestros":
             w = w.partitionBy("anio")
         w.parquet(path)
         paths[name] = path
+    s.spark.createDataFrame([(version,)], "version string").coalesce(1) \
+        .write.mode("overwrite").text(f"{out.rstrip('/')}/_current")
     return paths
+
+
+def current_star(spark, out: str) -> str:
+    """Folder of the last complete build under ``out``."""
+    version = spark.read.text(f"{out.rstrip('/')}/_current").first()[0]
+    return f"{out.rstrip('/')}/{version}"
