@@ -23,6 +23,18 @@ def test_forest_invariants(spark, queries):
     assert all(0.0 <= r.auc <= 1.0 for r in roc) and sum(r.soporte for r in roc) == n
 
 
+def test_roc_curve_is_monotone_and_ends_at_one(spark, queries):
+    pts = queries["forest_roc_curve"](spark, SF001).collect()
+    by_class = {}
+    for r in pts:
+        by_class.setdefault(r.clase, []).append(r)
+    for rows in by_class.values():
+        rows.sort(key=lambda r: -r.umbral)
+        tprs, fprs = [r.tpr for r in rows], [r.fpr for r in rows]
+        assert tprs == sorted(tprs) and fprs == sorted(fprs)
+        assert tprs[-1] == pytest.approx(1.0) and fprs[-1] == pytest.approx(1.0)
+
+
 def test_forest_metrics_match_spark_evaluator(spark):
     from pyspark.ml.evaluation import MulticlassClassificationEvaluator
     from vialflow.plans.mining import fit_forest

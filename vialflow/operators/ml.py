@@ -116,6 +116,28 @@ def per_class_rates(preds: DataFrame, labels: list[str]) -> DataFrame:
                       F.col("t").alias("soporte"))
 
 
+def roc_points(preds: DataFrame, labels: list[str], bins: int = 1000) -> DataFrame:
+    """M15 curve: one-vs-rest ROC points per class. Scores are cut into ``bins`` threshold
+    bins and counted per (class, bin) with a hash aggregate; cumulative sums then run over
+    at most bins+1 rows per class, never over the prediction rows themselves."""
+    prob = preds.select("label", vector_to_array("probability").alias("p"))
+    per_class = prob.select("label", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), F.lit(name).alias("clase"), F.col("p")[i].alias("score"))
+        for i, name in enumerate(labels)])).alias("c")).select("label", "c.*")
+    binned = per_class.select(
+        "k", "clase", (F.floor(F.col("score") * bins) / bins).alias("umbral"),
+        (F.col("label") == F.col("k")).cast("int").alias("pos"))
+    counts = binned.groupBy("k", "clase", "umbral").agg(
+        F.sum("pos").cast("long").alias("tp"), F.sum(1 - F.col("pos")).cast("long").alias("fp"))
+    w = Window.partitionBy("k").orderBy(F.desc("umbral")).rowsBetween(Window.unboundedPreceding, 0)
+    tot = Window.partitionBy("k")
+    cum = counts.select("k", "clase", "umbral", F.sum("tp").over(w).alias("ctp"), F.sum("fp").over(w).alias("cfp"),
+                        F.sum("tp").over(tot).alias("p"), F.sum("fp").over(tot).alias("n"))
+    return cum.select("clase", "umbral",
+                      F.when(F.col("p") > 0, F.col("ctp") / F.col("p")).alias("tpr"),
+                      F.when(F.col("n") > 0, F.col("cfp") / F.col("n")).alias("fpr")).orderBy("clase", F.desc("umbral"))
+
+
 def class_weights(df: DataFrame, label_col: str, out: str = "peso") -> DataFrame:
     """M13 balanced weights n / (k * n_class) per class (small table, one row per class)."""
     c = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("n_clase"))

@@ -93,6 +93,13 @@ def forest_roc(spark, root):
     return ml.per_class_rates(preds, labels)
 
 
+@query("forest_roc_curve")
+def forest_roc_curve(spark, root):
+    """One-vs-rest ROC points per class from binned probabilities."""
+    _, preds, labels, _, _ = fit_forest(spark, root)
+    return ml.roc_points(preds, labels)
+
+
 @query("forest_cv")
 def forest_cv(spark, root, folds: int = 10, num_trees: int = 100):
     """M13 + M14: class-balanced forest, stratified k-fold; predictions of all folds are
