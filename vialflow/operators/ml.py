@@ -13,7 +13,8 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
-from pyspark.ml.feature import MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer, VectorAssembler
+from pyspark.ml.feature import (Imputer, MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer,
+                                VectorAssembler)
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
@@ -33,12 +34,17 @@ def hash_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 42):
 # ------------------------------------------------------------------ forest (M1-M8)
 def forest_pipeline(cat_cols: list[str], num_cols: list[str], label_col: str, num_trees: int = 50,
                     max_depth: int = 6, max_bins: int = 256, seed: int = 42,
-                    weight_col: str | None = None, label_order: str = "frequencyDesc") -> Pipeline:
+                    weight_col: str | None = None, label_order: str = "frequencyDesc",
+                    label_domain=None) -> Pipeline:
     """Index categories (unknown kept), index the label (unknown is an error: the label
     set is filtered upstream, so no phantom class), assemble, random forest."""
     # one multi-column indexer: a single pass over the data for all vocabularies
     idx = StringIndexer(inputCols=cat_cols, outputCols=[c + "_idx" for c in cat_cols], handleInvalid="keep")
     label = StringIndexer(inputCol=label_col, outputCol="label", handleInvalid="error", stringOrderType=label_order)
+    if label_domain is not None:
+        # the label vocabulary comes from all rows, so a class missing from the training
+        # rows is still known when the test rows are scored
+        label = label.fit(label_domain)
     asm = VectorAssembler(inputCols=[c + "_idx" for c in cat_cols] + num_cols, outputCol="features",
                           handleInvalid="keep")
     # maxMemoryInMB only sets how many tree nodes share one pass over the data
@@ -174,15 +180,19 @@ def stratified_sample(df: DataFrame, key: str, label_col: str, size: int, seed:
 
 # ------------------------------------------------------------------ encoders
 def onehot_minmax_pipeline(cat_cols: list[str], num_cols: list[str]) -> Pipeline:
-    """Categories -> sorted index -> one-hot (all levels kept); numerics -> [0, 1]."""
+    """Categories -> sorted index -> one-hot with one slot per known value; a missing
+    value (NULL) sets no slot. Numbers: missing values (NULL / NaN) take the column mean,
+    then everything is scaled to [0, 1]."""
+    # 'keep' files NULLs under an extra last index; dropLast removes exactly that slot
     idx = StringIndexer(inputCols=cat_cols, outputCols=[c + "_i" for c in cat_cols],
-                        stringOrderType="alphabetAsc", handleInvalid="error")
+                        stringOrderType="alphabetAsc", handleInvalid="keep")
     oh = OneHotEncoder(inputCols=[c + "_i" for c in cat_cols], outputCols=[c + "_oh" for c in cat_cols],
-                       dropLast=False, handleInvalid="error")
-    num = VectorAssembler(inputCols=num_cols, outputCol="_num", handleInvalid="keep")
+                       dropLast=True, handleInvalid="error")
+    imp = Imputer(inputCols=num_cols, outputCols=[c + "_imp" for c in num_cols], strategy="mean")
+    num = VectorAssembler(inputCols=[c + "_imp" for c in num_cols], outputCol="_num", handleInvalid="keep")
     mm = MinMaxScaler(inputCol="_num", outputCol="_num_mm")
     asm = VectorAssembler(inputCols=[c + "_oh" for c in cat_cols] + ["_num_mm"], outputCol="features")
-    return Pipeline(stages=[idx, oh, num, mm, asm])
+    return Pipeline(stages=[idx, oh, imp, num, mm, asm])
 
 
 # ------------------------------------------------------------------ k-means

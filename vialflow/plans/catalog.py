@@ -419,10 +419,11 @@ def place_top10(spark, root):
 
 
 @query("place_topn_by")
-def place_topn_by(spark, root, anio="1998", gravedad: str = "F", topn: int = 10):
+def place_topn_by(spark, root, anio="1998", gravedad: str | None = None, topn: int = 10):
     """L2 + R1 + P12 + P13: year filter ('all' or one year), severity selector ('all' or a
     code), top-N places by the selected measure; names with a default label (J12)."""
     s = open_source(spark, root)
+    gravedad = gravedad or _code_of(s, 1)  # default: the most severe level
     ev = s.events()
     if str(anio) != "all":
         ev = ev.where(F.col("anio") == int(anio))

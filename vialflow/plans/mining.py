@@ -47,12 +47,18 @@ def _flat(spark, root) -> DataFrame:
     return analysis_view(spark, root)
 
 
+def _ml_frame(spark, root) -> DataFrame:
+    """Model input: the analysis view with an unknown place as the source's unknown code
+    (a NULL would reach the assembler as NaN, which the models reject)."""
+    return _flat(spark, root).na.fill({"localidad": open_source(spark, root).unknown_place})
+
+
 def fit_forest(spark, root):
     k = _key(spark, root, "forest")
     if k not in _MODELS:
-        df = _flat(spark, root)
+        df = _ml_frame(spark, root)
         train, test = ml.hash_split(df, "codigo_accidente", 80, SEED)
-        model = ml.forest_pipeline(RF_CATS, RF_NUMS, "gravedad").fit(train)
+        model = ml.forest_pipeline(RF_CATS, RF_NUMS, "gravedad", label_domain=df).fit(train)
         preds = model.transform(test).select("codigo_accidente", "label", "prediction", "probability") \
             .persist(StorageLevel.MEMORY_AND_DISK)
         labels = list(model.stages[1].labels)
@@ -142,7 +148,7 @@ def forest_cv(spark, root, folds: int = 10, num_trees: int = 100):
 def fit_kmeans(spark, root, k: int = 5):
     key = _key(spark, root, f"kmeans{k}")
     if key not in _MODELS:
-        df = _flat(spark, root)
+        df = _ml_frame(spark, root)
         model = ml.kmeans_pipeline(KM_CATS, KM_NUMS, k, SEED).fit(df)
         _MODELS[key] = model.transform(df).persist(StorageLevel.MEMORY_AND_DISK)
     return _MODELS[key]
@@ -188,7 +194,10 @@ def _sample(spark, root) -> DataFrame:
 def _encoded_sample(spark, root) -> DataFrame:
     k = _key(spark, root, "encoded")
     if k not in _MODELS:
-        smp = _sample(spark, root)
+        # an empty category text is a missing value, as in the mining table's domain
+        smp = _sample(spark, root).select(
+            *[F.when(F.col(c) == "", None).otherwise(F.col(c)).alias(c) if c in MINING_CATS else c
+              for c in _sample(spark, root).columns])
         _MODELS[k] = ml.onehot_minmax_pipeline(MINING_CATS, MINING_NUMS).fit(smp).transform(smp) \
             .persist(StorageLevel.MEMORY_AND_DISK)
     return _MODELS[k]

@@ -60,14 +60,10 @@ def members_of(members: DataFrame, dimension: str, key: str, value: str) -> Data
 
 # ------------------------------------------------------------------ D3 fact v1
 def fact_v1(s: EventSource, members: DataFrame | None = None) -> DataFrame:
+    """v1 fact: first record per natural key (W6), foreign keys to calendar, place, level
+    and class members (J9), vehicle and actor counts of the surviving record."""
     members = members if members is not None else dim_members(s)
-    o = s.table("orders").select("*", F.col("_metadata.file_path").alias("_file"),
-                                 F.col("_metadata.row_index").alias("_row"))
-    o = first_per_key(o, "o_orderkey", ["_file", "_row"])
-    ev = o.select(
-        F.col("o_orderkey").alias("codigo_accidente"), F.col("o_custkey").alias("cliente"),
-        F.to_date("o_orderdate").alias("fecha"), F.hour("o_orderdate").alias("hora"),
-        F.col("o_orderstatus").alias("gravedad"), F.col("o_orderpriority").alias("clase"))
+    ev = s.fact_events().select("codigo_accidente", "cliente", "fecha", "hora", "gravedad", "clase")
     lvl = members.where(F.col("dimension") == "gravedad").select(
         F.col("descripcion").alias("gravedad"), F.col("nivel").alias("gravedad_nivel"))
     ev = join_small(ev, lvl, "gravedad", "left")

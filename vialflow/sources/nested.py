@@ -163,6 +163,32 @@ class NestedSource:
             F.col("GRAVEDAD").alias("gravedad"), _level(F.col("GRAVEDAD")).alias("gravedad_nivel"),
             F.col("CLASE").alias("clase"))
 
+    def fact_events(self) -> DataFrame:
+        """The loaded fact's events: already the first record per key."""
+        return self.events()
+
+    # ------------------------------------------------------------------ audit targets
+    def fk_pairs(self):
+        ev = self.events()
+        return [("hipotesis", self.hypotheses(), "codigo_accidente", "siniestros", ev, "codigo_accidente"),
+                ("vehiculos", self.vehicles(), "codigo_accidente", "siniestros", ev, "codigo_accidente"),
+                ("actores", self.actors(), "codigo_accidente", "siniestros", ev, "codigo_accidente"),
+                ("siniestros", self.event_place().withColumnRenamed("cliente", "codigo_accidente"), "localidad",
+                 "dim_localidad", self.places(), "localidad_id")]
+
+    def unique_checks(self):
+        return [("siniestros_json", self.raw, ["CODIGO_ACCIDENTE"]),
+                ("bridge_hipotesis", self.hypotheses(), ["codigo_accidente", "hipotesis"])]
+
+    def notnull_checks(self):
+        return [("siniestros_json", self.raw, ["CODIGO_ACCIDENTE", "FECHA_STR", "HORA", "GRAVEDAD", "CLASE",
+                                                "CODIGO_LOCALIDAD"])]
+
+    def count_tables(self):
+        return [("siniestros_json", self.raw), ("fact_siniestros", self.events()),
+                ("bridge_hipotesis", self.hypotheses()), ("dim_vehiculo", self.vehicles()),
+                ("dim_actor", self.actors())]
+
     def event_place(self) -> DataFrame:
         """Event -> place code; codes 0/NULL are not places (the loader skips them)."""
         r = self._first_records()

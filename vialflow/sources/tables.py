@@ -90,6 +90,48 @@ class EventSource:
             F.col("o_orderpriority").alias("clase"),
         )
 
+    def fact_events(self) -> DataFrame:
+        """Events for the loaded fact: the first row per natural key in ingest order (file,
+        row position), as the loader's conflict-free insert keeps it (W6, T5)."""
+        from ..operators.aggregates import first_per_key
+        o = self.table("orders").select("*", F.col("_metadata.file_path").alias("_file"),
+                                        F.col("_metadata.row_index").alias("_row"))
+        o = first_per_key(o, "o_orderkey", ["_file", "_row"])
+        return o.select(
+            F.col("o_orderkey").alias("codigo_accidente"), F.col("o_custkey").alias("cliente"),
+            F.to_date("o_orderdate").alias("fecha"), F.hour("o_orderdate").alias("hora"),
+            F.col("o_orderstatus").alias("gravedad"), F.col("o_orderpriority").alias("clase"))
+
+    # ------------------------------------------------------------------ audit targets
+    def fk_pairs(self):
+        t = self.table
+        return [
+            ("lineitem", t("lineitem"), "l_orderkey", "orders", t("orders"), "o_orderkey"),
+            ("lineitem", t("lineitem"), "l_partkey", "part", t("part"), "p_partkey"),
+            ("lineitem", t("lineitem"), "l_suppkey", "supplier", t("supplier"), "s_suppkey"),
+            ("orders", t("orders"), "o_custkey", "customer", t("customer"), "c_custkey"),
+            ("customer", t("customer"), "c_nationkey", "nation", t("nation"), "n_nationkey"),
+            ("supplier", t("supplier"), "s_nationkey", "nation", t("nation"), "n_nationkey"),
+            ("nation", t("nation"), "n_regionkey", "region", t("region"), "r_regionkey"),
+        ]
+
+    def unique_checks(self):
+        t = self.table
+        return [("orders", t("orders"), ["o_orderkey"]), ("customer", t("customer"), ["c_custkey"]),
+                ("part", t("part"), ["p_partkey"]), ("supplier", t("supplier"), ["s_suppkey"]),
+                ("nation", t("nation"), ["n_nationkey"]), ("lineitem", t("lineitem"), ["l_orderkey", "l_linenumber"])]
+
+    def notnull_checks(self):
+        t = self.table
+        return [("orders", t("orders"), ["o_orderkey", "o_custkey", "o_orderdate", "o_orderstatus", "o_orderpriority"]),
+                ("lineitem", t("lineitem"), ["l_orderkey", "l_partkey", "l_returnflag", "l_linestatus"]),
+                ("customer", t("customer"), ["c_custkey", "c_nationkey"])]
+
+    def count_tables(self):
+        return [("orders", self.table("orders")), ("fact_siniestros", self.events()),
+                ("lineitem", self.table("lineitem")), ("bridge_hipotesis", self.hypotheses()),
+                ("dim_vehiculo", self.vehicles()), ("dim_actor", self.actors())]
+
     def event_place(self) -> DataFrame:
         """cliente -> localidad (place code); one row per customer."""
         return self.table("customer").select(
