@@ -6,6 +6,11 @@ from pyspark.sql import DataFrame, SparkSession
 
 from .common import documents
 from .exact_dedup import content_sort
+from .jaccard_join import jaccard_components
+
+
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(documents(spark, sf_dir), k=3, similarity="0.9").drop("node")
 
 
 def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -13,6 +18,7 @@ def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op3_jaccard_join": op3_jaccard_join,
     "op7_content_sort": op7_content_sort,
 }
 
