@@ -3,22 +3,31 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from .common import documents
+from .common import documents, table
 from .exact_dedup import content_sort
 from .jaccard_join import jaccard_components
+from .toxicity import held_out, judge
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), k=3, similarity="0.9").drop("node")
 
 
+def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored, _, _ = judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
+    return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
+                         (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold", "flagged")
+
+
 def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(documents(spark, sf_dir))
 
 
 QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
+    "op5_toxicity_cnn": op5_toxicity_cnn,
     "op7_content_sort": op7_content_sort,
 }
 
