@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from .common import documents, table
 from .exact_dedup import content_sort
 from .jaccard_join import jaccard_components
+from .packing import pack
 from .toxicity import held_out, judge
 
 
@@ -21,6 +22,16 @@ def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
                          (F.col("score") >= 0.5).cast("int").alias("predicted"), "threshold", "flagged")
 
 
+def tokenizer_path(name: str) -> str:
+    """A file of the installed public tokenizers."""
+    import public_tokenizers
+    return public_tokenizers.path(name)
+
+
+def op6_linear_grouping(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), cap=2048, end_id=0)
+
+
 def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(documents(spark, sf_dir))
 
@@ -28,6 +39,7 @@ def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op5_toxicity_cnn": op5_toxicity_cnn,
+    "op6_linear_grouping": op6_linear_grouping,
     "op7_content_sort": op7_content_sort,
 }
 
