@@ -9,6 +9,7 @@ from .common import documents, table
 from .exact_dedup import content_sort
 from .jaccard_join import jaccard_components
 from .packing import pack
+from .sentence_pieces import encode
 from .toxicity import held_out, judge
 
 
@@ -36,11 +37,16 @@ def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(documents(spark, sf_dir))
 
 
+def op10_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return encode(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), digests=True)
+
+
 QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
     "op5_toxicity_cnn": op5_toxicity_cnn,
     "op6_linear_grouping": op6_linear_grouping,
     "op7_content_sort": op7_content_sort,
+    "op10_agenda": op10_agenda,
 }
 
 SQL = {
