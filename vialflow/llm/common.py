@@ -56,8 +56,8 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
-def bucket_of(key: Column, splitters: list[str]) -> Column:
-    """Number of splitters not above ``key`` (splitters ascending): the range bucket. Looks
+def bucket_of(key: Column, splitters: list[str], below: bool = False) -> Column:
+    """Number of splitters not above ``key`` (``below``: under it); splitters ascending. Looks
     up in two levels, so a row compares with about 2 * sqrt(n) splitters."""
     if not splitters:
         return F.lit(0)
@@ -68,7 +68,7 @@ def bucket_of(key: Column, splitters: list[str]) -> Column:
         return F.array(*[F.lit(x) for x in xs])
 
     def at_most(arr):
-        return F.size(F.filter(arr, lambda s: s <= key))
+        return F.size(F.filter(arr, lambda s: (s < key) if below else (s <= key)))
 
     heads = lits([g[0] for g in groups])
     top = at_most(heads)

@@ -10,6 +10,7 @@ from .exact_dedup import content_sort
 from .jaccard_join import jaccard_components
 from .packing import pack
 from .sentence_pieces import encode
+from .syncmers import fingerprints
 from .toxicity import held_out, judge
 
 
@@ -37,6 +38,10 @@ def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return content_sort(documents(spark, sf_dir))
 
 
+def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(documents(spark, sf_dir))
+
+
 def op10_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), digests=True)
 
@@ -46,6 +51,7 @@ QUERIES = {
     "op5_toxicity_cnn": op5_toxicity_cnn,
     "op6_linear_grouping": op6_linear_grouping,
     "op7_content_sort": op7_content_sort,
+    "op8_closed_syncmers": op8_closed_syncmers,
     "op10_agenda": op10_agenda,
 }
 
