@@ -5,12 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..session import ship_package
 from .common import documents, table
 from .exact_dedup import content_sort
 from .jaccard_join import jaccard_components
 from .packing import pack
 from .sentence_pieces import encode
 from .syncmers import fingerprints
+from .url_filter import judge as judge_urls
 from .toxicity import held_out, judge
 
 
@@ -42,6 +44,11 @@ def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
     return fingerprints(documents(spark, sf_dir))
 
 
+def op9_markov_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op10_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), digests=True)
 
@@ -52,6 +59,7 @@ QUERIES = {
     "op6_linear_grouping": op6_linear_grouping,
     "op7_content_sort": op7_content_sort,
     "op8_closed_syncmers": op8_closed_syncmers,
+    "op9_markov_urls": op9_markov_urls,
     "op10_agenda": op10_agenda,
 }
 
