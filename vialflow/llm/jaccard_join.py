@@ -1,9 +1,9 @@
 """Exact set-similarity self-join on word shingles, with connected components.
 
 Method: token-combination prefixes. All sets order their tokens alike (frequency class, then
-hash). A set's prefix is extended until, whatever a similar set may lack, some class still
-shares enough tokens: rare tokens are indexed singly, tokens of frequent classes as
-combinations of two or three within a sub-class. Sets that share an index key are compared.
+hash). A set's prefix is extended until, whatever a similar set may lack, they still share
+SHARED index keys: rare tokens are indexed singly, tokens of frequent classes as combinations
+of two or three within a sub-class. Sets that share so many keys are compared.
 
 Scale. Frequency classes come from one counted pass over all documents (compressed blocks of
 32-bit hashes, one reducer per hash range). A key with many sets (one boilerplate passage, a
@@ -34,11 +34,14 @@ from .components import roots
 
 U = np.uint64
 SLOTS = 24              # log2 of the slots of the frequency-class table (one byte each)
-MAX_FREQUENT = 1 << 20  # tokens in it; the class bound rises until they fit
+MAX_FREQUENT = 1 << 18  # tokens in it; the class bound rises until they fit
 PAIRS_FROM, TRIPLES_FROM = 6, 11    # log2 of the frequency from which tokens are combined
 SUB = {2: 64, 3: 32}    # sub-classes of the combined classes
-COMBINED_FROM = 160     # smaller sets index single tokens only
+SHARED = 3              # keys that two similar sets share at least (all, if they have fewer)
+COMBINED_FROM = 200     # smaller sets index single tokens only
 SMALL = 32              # a key with more sets goes through a hub
+DEEP = 256              # the same for keys of differences, which part their sets already
+LEVELS = 8
 BITMAP = 1 << 21
 ROWS = 2000             # texts hashed at once
 FLUSH = 4 << 20         # shingles counted at once in a task
@@ -116,8 +119,8 @@ def _classes(docs: DataFrame, k: int) -> bytes:
     low = next(c for c in range(1, 40) if sum(v for x, v in hist.items() if x >= c) <= MAX_FREQUENT)
     table = np.zeros(1 << SLOTS, np.uint8)
     got = often.filter(F.col("class") >= low).groupBy((F.col("token") / (1 << (32 - SLOTS))).cast("long").alias("slot")).agg(
-        F.max("class").alias("class")).toPandas()
-    table[got["slot"].to_numpy(np.int64)] = got["class"].to_numpy(np.uint8)
+        F.max("class").alias("class")).toArrow()
+    table[got.column("slot").to_numpy()] = got.column("class").to_numpy().astype(np.uint8)
     drop_stored(often)
     return table.tobytes()
 
@@ -125,7 +128,8 @@ def _classes(docs: DataFrame, k: int) -> bytes:
 def _keys(s: np.ndarray, cls: np.ndarray, p: int, q: int) -> list[int]:
     """Index keys of a sorted set for similarity p/q, given its tokens' classes."""
     n = len(s)
-    need = n - -(-p * n // q) + 1           # a similar set lacks fewer tokens than this
+    same = -(-p * n // q)                   # a similar set has at least so many of the tokens
+    need = n - same + min(SHARED, same)
     order = np.argsort(cls, kind="stable")
     out = []
     if n <= COMBINED_FROM * q // p + 1:
@@ -148,7 +152,6 @@ def _keys(s: np.ndarray, cls: np.ndarray, p: int, q: int) -> list[int]:
                 own = seen.setdefault((size, (t >> 20) % SUB[size]), [])
                 own.append(t)
                 gained += len(own) >= size
-            assert gained >= need
             out.append(words.mix(np.array(singles, U) ^ U(0xA7)))
             combos = [sum(x) % (1 << 64) for (size, _), own in seen.items() for x in itertools.combinations(own, size)]
             out.append(words.mix(np.array(combos, U) ^ U(0xC3)))
@@ -220,13 +223,15 @@ def _compared(pairs: DataFrame, sets: DataFrame, p: int, q: int, differences: bo
     return got.mapInArrow(_compare(p, q, differences), "a long, b long, linked boolean, n long" + ", diff array<long>" * differences)
 
 
-def _pairs(members: DataFrame, p: int, q: int) -> DataFrame:
-    """Pairs within keys of at most SMALL sets, at least one of them not linked to the hub."""
+def _pairs(members: DataFrame, p: int, q: int, shared: int) -> DataFrame:
+    """Pairs that meet in at least ``shared`` of the given keys (all keys that sets of so few
+    tokens must share, if fewer), at least one of the two not linked to the hub."""
     m = members.groupBy("key").agg(F.collect_list(F.struct("node", "n", "free")).alias("m")).filter(F.size("m") > 1)
     pair = F.flatten(F.transform("m", lambda x: F.transform(
         F.filter("m", lambda y: (x.node < y.node) & (x.free | y.free) & (q * F.least(x.n, y.n) >= p * F.greatest(x.n, y.n))),
-        lambda y: F.struct(x.node.alias("a"), y.node.alias("b")))))
-    return m.select(F.explode(pair).alias("x")).select("x.a", "x.b").distinct()
+        lambda y: F.struct(x.node.alias("a"), y.node.alias("b"), F.least(x.n, y.n).alias("n")))))
+    got = m.select(F.explode(pair).alias("x")).groupBy("x.a", "x.b", "x.n").agg(F.count(F.lit(1)).alias("times"))
+    return got.filter(F.col("times") >= F.least(F.lit(shared), F.ceil(F.col("n") * p / q))).select("a", "b")
 
 
 def links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame]:
@@ -239,33 +244,42 @@ def links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame
     size = index.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
     members = stored(index.join(size.filter("m > 1"), "key").select("key", "node", "n").distinct(), "members")
     drop_stored(index)
-    slots = members.select(F.pmod("node", F.lit(BITMAP)).cast("int").alias("s")).distinct().toPandas()["s"].to_numpy(np.int64)
+    members = members.withColumn("free", F.lit(True))
+    small, hot = _by_size(members, level=0)
+    pairs = stored(_pairs(small, p, q, SHARED), "pairs")
+    hot = stored(hot, "hot")
+    drop_stored(members)
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(hot.select("node"))
+    slots = wanted.select(F.pmod("node", F.lit(BITMAP)).cast("int").alias("s")).distinct().toArrow().column("s").to_numpy()
     bits = np.zeros(BITMAP, np.uint8)
     bits[slots] = 1
     bitmap = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
     sets = stored(docs.mapInArrow(_wanted_sets(k, bitmap), "node long, tokens binary").groupBy("node").agg(
         F.first("tokens").alias("tokens")), "sets")
 
-    members = members.withColumn("free", F.lit(True))
-    found = []
+    found = [stored(_compared(pairs, sets, p, q).filter("linked").select("a", "b"), "links")]
     level = 0
-    while True:
-        members = members.withColumn("level", F.lit(level))
-        size = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("free").alias("any"))
-        size = stored(size.filter("m > 1 and any").select("key", "m"), "sizes")
-        hot = size.filter(F.col("m") > SMALL) if level < 8 else size.limit(0)
-        small = size.join(hot, "key", "left_anti")
-        found.append(stored(_compared(_pairs(members.join(small.select("key"), "key"), p, q), sets, p, q).filter("linked").select("a", "b"), "links"))
-        if hot.isEmpty():
-            break
-        members = stored(_hub_members(members.join(hot.select("key"), "key"), sets, p, q, found), "members")
+    while not hot.isEmpty():
         level += 1
+        members = stored(_hub_members(hot, sets, p, q, found), "members")
+        small, hot = _by_size(members, level)
+        found.append(stored(_compared(_pairs(small, p, q, 1), sets, p, q).filter("linked").select("a", "b"), "links"))
+        hot = stored(hot, "hot")
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
     return nodes, out
 
 
+def _by_size(members: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
+    """Members of small and of hot keys; keys with one set or none that is free go. Differences
+    shrink from level to level; past LEVELS all keys count as small."""
+    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("free").alias("any")).filter("m > 1 and any")
+    joined = members.join(size.select("key", "m"), "key")
+    most = SMALL if level == 0 else DEEP if level < LEVELS else 1 << 60
+    return joined.filter(F.col("m") <= most).drop("m"), joined.filter(F.col("m") > most).drop("m")
+
+
 def _hub_members(hot: DataFrame, sets: DataFrame, p: int, q: int, found: list) -> DataFrame:
     """Compare the sets of each hot key with one hub; the members of the next level are
     (hub, difference token) keys. Adds the links to the hubs to ``found``."""
