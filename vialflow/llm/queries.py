@@ -11,6 +11,7 @@ from .exact_dedup import content_sort
 from .jaccard_join import jaccard_components
 from .packing import pack
 from .sentence_pieces import encode
+from .surrogates import with_surrogates
 from .syncmers import fingerprints
 from .url_filter import judge as judge_urls
 from .toxicity import held_out, judge
@@ -20,6 +21,10 @@ def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), k=3, similarity="0.9").drop("node")
 
 
+def op4_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return with_surrogates(documents(spark, sf_dir), counts="n_entities")
+
+
 def op5_toxicity_cnn(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored, _, _ = judge(documents(spark, sf_dir), table(spark, sf_dir, "labels"))
     return scored.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), "score",
@@ -55,6 +60,7 @@ def op10_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op3_jaccard_join": op3_jaccard_join,
+    "op4_surrogates": op4_surrogates,
     "op5_toxicity_cnn": op5_toxicity_cnn,
     "op6_linear_grouping": op6_linear_grouping,
     "op7_content_sort": op7_content_sort,
