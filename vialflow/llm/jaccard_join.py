@@ -47,20 +47,20 @@ ROWS = 2000             # texts hashed at once
 FLUSH = 4 << 20         # shingles counted at once in a task
 
 
-def _batches(it, id_col, text_col):
+def _batches(it, others, text_col):
     for b in it:
         for i in range(0, b.num_rows, ROWS):
             part = b.slice(i, ROWS)
-            yield part.column(id_col), part.column(text_col)
+            yield [part.column(c) for c in others], part.column(text_col)
 
 
 def _narrow(k: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for ids, texts in _batches(it, "id", "text"):
+        for (ids, marks), texts in _batches(it, ("id", "mark"), "text"):
             sets = words.shingles(texts, k)
             n = np.array([len(s) for s in sets], np.int64)
             digest = np.array([words.set_digest(s) if len(s) else 0 for s in sets], np.int64)
-            yield pa.RecordBatch.from_arrays([ids, pa.array(n), pa.array(digest, mask=n == 0)], ["id", "n", "node"])
+            yield pa.RecordBatch.from_arrays([ids, marks, pa.array(n), pa.array(digest, mask=n == 0)], ["id", "mark", "n", "node"])
     return run
 
 
@@ -80,7 +80,7 @@ def _counts_blocks(k: int, ranges: int):
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, n, seen = [], 0, set()
-        for _, texts in _batches(it, "id", "text"):
+        for _, texts in _batches(it, (), "text"):
             for s in words.shingles(texts, k):
                 if len(s) and (d := words.set_digest(s)) not in seen:   # copies in one task count once
                     seen.add(d)
@@ -162,7 +162,7 @@ def _index(k: int, p: int, q: int, classes):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         table = np.frombuffer(classes.value, np.uint8)
         seen: set[int] = set()
-        for _, texts in _batches(it, "id", "text"):
+        for _, texts in _batches(it, (), "text"):
             keys, nodes, ns = [], [], []
             for s in words.shingles(texts, k):
                 if not len(s) or (d := words.set_digest(s)) in seen:
@@ -182,7 +182,7 @@ def _wanted_sets(k: int, bitmap):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8))
         seen: set[int] = set()
-        for _, texts in _batches(it, "id", "text"):
+        for _, texts in _batches(it, (), "text"):
             node, blob = [], []
             for s in words.shingles(texts, k):
                 if len(s) and bits[(d := words.set_digest(s)) % BITMAP] and d not in seen:
@@ -238,7 +238,8 @@ def links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame
     """(documents with their node, links (a, b) that connect the nodes). Every two sets with
     Jaccard similarity p/q or more are connected by links; each link is itself such a pair."""
     spark = docs.sparkSession
-    nodes = stored(docs.mapInArrow(_narrow(k), "id long, n long, node long"), "nodes")
+    marked = docs.select("id", F.xxhash64("text").alias("mark"), "text")
+    nodes = stored(marked.mapInArrow(_narrow(k), "id long, mark long, n long, node long"), "nodes")
     classes = spark.sparkContext.broadcast(_classes(docs, k))
     index = stored(docs.mapInArrow(_index(k, p, q, classes), "key long, node long, n long"), "index")
     size = index.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
@@ -301,8 +302,27 @@ def _hub_members(hot: DataFrame, sets: DataFrame, p: int, q: int, found: list) -
         F.xxhash64("a", "x.t").alias("key"), F.col("b").alias("node"), "n", (~F.col("linked")).alias("free"))
 
 
+def drop_near_copies(docs: DataFrame, k: int = 5, similarity: Fraction | str = "0.8", id_col: str = "doc_id",
+                     text_col: str = "text") -> DataFrame:
+    """``docs`` with one row of each component of similar texts: the row of its smallest doc_id
+    (of several such, of the smallest digest), columns unchanged. Rows without words all stay;
+    rows that repeat one doc_id and text are one document."""
+    names = [F.col(f"`{c}`") for c in docs.columns]
+    text = F.col(f"`{text_col}`").cast("string")
+    worded = F.coalesce(text.rlike(r"[^\x20\x09-\x0D]"), F.lit(False))
+    narrow = docs.filter(worded).select(F.col(f"`{id_col}`").cast("long").alias("doc_id"), text.alias("text"))
+    found = jaccard_components(narrow, k, similarity, keep_text_hash=True)
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node", "mark")).alias("first")
+    keep = found.groupBy("label").agg(first).select(
+        F.coalesce(F.col("first.doc_id").cast("string"), F.lit("")).alias("i"), F.col("first.mark").alias("m"))
+    row = docs.filter(worded).select(F.struct(*names).alias("row"), F.coalesce(F.col(f"`{id_col}`").cast("long").cast("string"), F.lit("")).alias("i"),
+                                     F.xxhash64(text).alias("m"))
+    stay = row.join(keep, ["i", "m"], "left_semi").dropDuplicates(["i", "m"]).select("row.*")
+    return stay.unionByName(docs.filter(~worded).select(*names))
+
+
 def jaccard_components(docs: DataFrame, k: int = 5, similarity: Fraction | str = "0.8",
-                       id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+                       id_col: str = "doc_id", text_col: str = "text", keep_text_hash: bool = False) -> DataFrame:
     """Per row of ``docs``: doc_id, n_shingles, component_id (smallest doc_id reachable by
     links of at least ``similarity``, itself included), node (digest of its set).
 
@@ -322,7 +342,8 @@ def jaccard_components(docs: DataFrame, k: int = 5, similarity: Fraction | str =
     by_node = nodes.filter("node is not null").groupBy("node").agg(F.min("id").alias("id")).join(root, "node", "left")
     by_node = by_node.withColumn("root", F.coalesce("root", "node"))
     least = by_node.groupBy("root").agg(F.min("id").alias("component"))
-    component = by_node.join(least, "root").select("node", "component")
-    return nodes.join(component, "node", "left").select(
+    component = by_node.join(least, "root").select("node", "component", F.col("root").alias("label"))
+    out = nodes.join(component, "node", "left").select(
         F.col("id").alias(id_col), F.col("n").alias("n_shingles"),
-        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"), "node")
+        F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component_id"), "node", "mark", "label")
+    return out if keep_text_hash else out.drop("mark", "label")

@@ -15,6 +15,11 @@ from .surrogates import with_surrogates
 from .syncmers import fingerprints
 from .url_filter import judge as judge_urls
 from .toxicity import held_out, judge
+from .training_order import materialise
+
+
+def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return materialise(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), "training order").drop("folder")
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -59,6 +64,7 @@ def op10_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_training_order": op1_training_order,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_surrogates": op4_surrogates,
     "op5_toxicity_cnn": op5_toxicity_cnn,
