@@ -10,6 +10,7 @@ from .common import documents, table
 from .exact_dedup import content_sort
 from .jaccard_join import jaccard_components
 from .packing import pack
+from .quotations import link
 from .sentence_pieces import encode
 from .surrogates import with_surrogates
 from .syncmers import fingerprints
@@ -22,6 +23,11 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     return materialise(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), "training order").drop("folder")
 
 
+def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return link(table(spark, sf_dir, "conversations"))
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(documents(spark, sf_dir), k=3, similarity="0.9").drop("node")
 
@@ -65,6 +71,7 @@ def op10_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_training_order": op1_training_order,
+    "op2_quotation_links": op2_quotation_links,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_surrogates": op4_surrogates,
     "op5_toxicity_cnn": op5_toxicity_cnn,
