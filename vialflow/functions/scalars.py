@@ -68,8 +68,8 @@ def parse_hour(c, mode: str = "split") -> Column:
     """Hour of an ``HH:mm:ss`` text, in the three flavours found in the reference.
 
     split         text before ':' as int; NULL/bad -> NULL (callers fill -1)   '9:30:00' -> 9
-    prefix        first two characters if all digits, else NULL              '9:30:00' -> NULL
-    zero_default  NULL text -> 0.0, else text before ':' as double, bad -> NaN '9:30:00' -> 9.0
+    prefix        first two characters if all digits, else NULL    '9:30:00' -> NULL, '9' -> 9
+    zero_default  NULL or empty text -> 0.0, else text before ':' as double, bad -> NaN '9:30:00' -> 9.0
     """
     h = col(c)
     head = F.get(F.split(h, ":"), 0)
@@ -77,9 +77,9 @@ def parse_hour(c, mode: str = "split") -> Column:
         return head.try_cast("int")
     if mode == "prefix":
         p = F.substring(h, 1, 2)
-        return F.when(p.rlike("^[0-9]{2}$"), p.try_cast("int"))
+        return F.when(p.rlike("^[0-9]+$"), p.try_cast("int"))
     if mode == "zero_default":
-        return F.when(h.isNull(), F.lit(0.0)).otherwise(
+        return F.when(h.isNull() | (h == ""), F.lit(0.0)).otherwise(
             F.coalesce(head.try_cast("double"), F.lit(float("nan"))))
     raise ValueError(f"unknown hour mode {mode!r}")
 

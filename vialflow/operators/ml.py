@@ -9,10 +9,10 @@ from __future__ import annotations
 
 import math
 
-from pyspark.ml import Pipeline
+from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import BinaryClassificationEvaluator, ClusteringEvaluator
+from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import (Imputer, MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
@@ -56,6 +56,20 @@ def forest_pipeline(cat_cols: list[str], num_cols: list[str], label_col: str, nu
     return Pipeline(stages=[idx, label, asm, rf])
 
 
+def with_room(forest: RandomForestClassifier, indexer) -> RandomForestClassifier:
+    """The forest with at least a bin for every category that the fitted indexer knows (and
+    one for unknown ones): the number of bins never limits the vocabulary."""
+    most = max((len(v) for v in indexer.labelsArray), default=0) + 1
+    return forest.setMaxBins(max(forest.getMaxBins(), most))
+
+
+def fit_forest(pipeline: Pipeline, train: DataFrame) -> PipelineModel:
+    """Fit the indexers, make room for their vocabularies, then fit the forest."""
+    *prepare, forest = pipeline.getStages()
+    prep = Pipeline(stages=prepare).fit(train)
+    return PipelineModel(stages=[*prep.stages, with_room(forest, prep.stages[0]).fit(prep.transform(train))])
+
+
 def confusion(preds: DataFrame, n_labels: int) -> DataFrame:
     """Dense confusion counts (actual, predicted, count), zero cells included. The cell
     grid comes from pivoting on the fixed label range, not from a cross join; one empty
@@ -99,14 +113,13 @@ def metrics_from_confusion(conf: DataFrame) -> DataFrame:
 
 def per_class_rates(preds: DataFrame, labels: list[str]) -> DataFrame:
     """M15 + M16: one-vs-rest AUC from the class probability, recall and precision per class."""
-    ev = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="is_k", metricName="areaUnderROC")
-    prob = preds.select("label", "prediction", vector_to_array("probability").alias("p"))
-    rows = []
-    for i, name in enumerate(labels):  # one small evaluation job per class (k classes)
-        one = prob.select((F.col("label") == i).cast("double").alias("is_k"), F.col("p")[i].alias("score"))
-        rows.append((i, name, float(ev.evaluate(one))))
-    spark = preds.sparkSession
-    auc = spark.createDataFrame(rows, "k int, clase string, auc double")
+    prob = preds.select("label", "prediction")
+    c = _ranked(preds, labels)
+    # the trapezoids between neighbouring thresholds; a class without rows of both kinds has none
+    step = (F.col("fp") * (2 * F.col("ctp") - F.col("tp"))).cast("decimal(38,0)")
+    auc = c.groupBy("k", "clase").agg(F.sum(step).cast("double").alias("_s"), F.max("p").alias("_p"), F.max("n").alias("_n"))
+    area = F.col("_s") / (2.0 * F.col("_p") * F.col("_n"))
+    auc = auc.select("k", "clase", F.when((F.col("_p") > 0) & (F.col("_n") > 0), area).otherwise(0.0).alias("auc"))
     counts = prob.groupBy().agg(*[
         agg for i in range(len(labels)) for agg in (
             F.count_if((F.col("label") == i) & (F.col("prediction") == i)).alias(f"tp{i}"),
@@ -122,26 +135,37 @@ def per_class_rates(preds: DataFrame, labels: list[str]) -> DataFrame:
                       F.col("t").alias("soporte"))
 
 
-def roc_points(preds: DataFrame, labels: list[str], bins: int = 1000) -> DataFrame:
-    """M15 curve: one-vs-rest ROC points per class. Scores are cut into ``bins`` threshold
-    bins and counted per (class, bin) with a hash aggregate; cumulative sums then run over
-    at most bins+1 rows per class, never over the prediction rows themselves."""
+def _ranked(preds: DataFrame, labels: list[str]) -> DataFrame:
+    """(k, clase, umbral, tp, fp, ctp, cfp, p, n): rows of class k (tp) and others (fp) with a
+    score of exactly ``umbral``, the same from there up, and all. Exact: one row for each
+    distinct score. Running sums go over score ranges first and within a range then, so the
+    scores of a class need not meet in one task."""
     prob = preds.select("label", vector_to_array("probability").alias("p"))
-    per_class = prob.select("label", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("k"), F.lit(name).alias("clase"), F.col("p")[i].alias("score"))
+    each = prob.select("label", F.explode(F.array(*[
+        F.struct(F.lit(i).alias("k"), F.lit(name).alias("clase"), F.col("p")[i].alias("umbral"))
         for i, name in enumerate(labels)])).alias("c")).select("label", "c.*")
-    binned = per_class.select(
-        "k", "clase", (F.floor(F.col("score") * bins) / bins).alias("umbral"),
-        (F.col("label") == F.col("k")).cast("int").alias("pos"))
-    counts = binned.groupBy("k", "clase", "umbral").agg(
-        F.sum("pos").cast("long").alias("tp"), F.sum(1 - F.col("pos")).cast("long").alias("fp"))
-    w = Window.partitionBy("k").orderBy(F.desc("umbral")).rowsBetween(Window.unboundedPreceding, 0)
-    tot = Window.partitionBy("k")
-    cum = counts.select("k", "clase", "umbral", F.sum("tp").over(w).alias("ctp"), F.sum("fp").over(w).alias("cfp"),
-                        F.sum("tp").over(tot).alias("p"), F.sum("fp").over(tot).alias("n"))
-    return cum.select("clase", "umbral",
-                      F.when(F.col("p") > 0, F.col("ctp") / F.col("p")).alias("tpr"),
-                      F.when(F.col("n") > 0, F.col("cfp") / F.col("n")).alias("fpr")).orderBy("clase", F.desc("umbral"))
+    own = F.col("label") == F.col("k")
+    c = each.groupBy("k", "clase", "umbral").agg(F.count_if(own).alias("tp"), F.count_if(~own).alias("fp"))
+    c = c.withColumn("_range", F.floor(F.col("umbral") * 1000))
+    whole = c.groupBy("k", "_range").agg(F.sum("tp").alias("_tp"), F.sum("fp").alias("_fp"))
+    above = Window.partitionBy("k").orderBy(F.desc("_range")).rowsBetween(Window.unboundedPreceding, -1)
+    every = Window.partitionBy("k")
+    whole = whole.select("k", "_range", F.coalesce(F.sum("_tp").over(above), F.lit(0)).alias("_atp"),
+                         F.coalesce(F.sum("_fp").over(above), F.lit(0)).alias("_afp"),
+                         F.sum("_tp").over(every).alias("p"), F.sum("_fp").over(every).alias("n"))
+    upto = Window.partitionBy("k", "_range").orderBy(F.desc("umbral")).rowsBetween(Window.unboundedPreceding, 0)
+    return c.join(whole, ["k", "_range"]).select(
+        "k", "clase", "umbral", "tp", "fp", (F.col("_atp") + F.sum("tp").over(upto)).alias("ctp"),
+        (F.col("_afp") + F.sum("fp").over(upto)).alias("cfp"), "p", "n")
+
+
+def roc_points(preds: DataFrame, labels: list[str]) -> DataFrame:
+    """M15 curve: the exact one-vs-rest ROC per class, from (0, 0) at an infinite threshold."""
+    r = _ranked(preds, labels)
+    pts = r.select("clase", "umbral", F.when(F.col("p") > 0, F.col("ctp") / F.col("p")).alias("tpr"),
+                   F.when(F.col("n") > 0, F.col("cfp") / F.col("n")).alias("fpr"))
+    start = preds.sparkSession.createDataFrame([(c, float("inf"), 0.0, 0.0) for c in labels], pts.schema)
+    return pts.unionByName(start).orderBy("clase", F.desc("umbral"))
 
 
 def class_weights(df: DataFrame, label_col: str, out: str = "peso") -> DataFrame:

@@ -229,7 +229,7 @@ def peak_fatal_hour(spark, root):
 # ============================================================ hypotheses
 def _fact_hypotheses(s: EventSource, ev: DataFrame) -> DataFrame:
     """Hypotheses of events present in ``ev`` (the fact's unnested array)."""
-    return s.hypotheses().join(ev.select("codigo_accidente"), "codigo_accidente", "left_semi")
+    return s.hypotheses(within=ev.select("codigo_accidente"))
 
 
 @query("cause_top10")
@@ -280,8 +280,7 @@ def first_vehicle_top8(spark, root):
 # ============================================================ every child element
 @query("vehicle_top8")
 def vehicle_top8(spark, root):
-    v = open_source(spark, root).vehicles()
-    return top_k(count_by(v, "clase"), 8, F.desc("total"), F.asc("clase"))
+    return top_k(open_source(spark, root).vehicle_counts(), 8, F.desc("total"), F.asc("clase"))
 
 
 @query("condition_counts")
@@ -292,17 +291,15 @@ def condition_counts(spark, root):
 
 @query("service_counts")
 def service_counts(spark, root):
-    v = open_source(spark, root).vehicles()
-    return count_by(v, "servicio").orderBy(F.desc("total"), "servicio")
+    return open_source(spark, root).service_counts().orderBy(F.desc("total"), "servicio")
 
 
 @query("fatal_vehicle_top10")
 def fatal_vehicle_top10(spark, root):
     s = open_source(spark, root)
     fatal = _at_level(s, s.events(), 1).select("codigo_accidente")
-    # reduce the bag per (event, class) before meeting the fact: a huge event is one row
-    v = count_by(s.vehicles(), ["codigo_accidente", "clase"], "_n").join(fatal, "codigo_accidente", "left_semi")
-    g = v.groupBy(F.col("clase").alias("descripcion")).agg(F.sum("_n").cast("long").alias("muertos"))
+    # the selective severity filter reaches the child rows before they meet the parts
+    g = s.vehicles(within=fatal).groupBy(F.col("clase").alias("descripcion")).agg(F.count(F.lit(1)).alias("muertos"))
     return top_k(g, 10, F.desc("muertos"), F.asc("descripcion"))
 
 
@@ -428,7 +425,8 @@ def place_topn_by(spark, root, anio="1998", gravedad: str | None = None, topn: i
     if str(anio) != "all":
         ev = ev.where(F.col("anio") == int(anio))
     g = place_rollup(ev, s.event_place())
-    valor = F.col("total") if gravedad == "all" else F.col(LEVEL_MEASURES[s.levels[gravedad]])
+    three = F.col("con_muertos") + F.col("con_heridos") + F.col("solo_danos")   # unknown levels are not counted
+    valor = three if gravedad == "all" else F.col(LEVEL_MEASURES[s.levels[gravedad]])
     g = g.withColumn("valor", valor)
     named = _place_names(s, g, "left").withColumn(
         "nombre", F.coalesce("nombre", F.concat(F.lit("Loc. "), F.col("localidad").cast("string"))))
@@ -436,6 +434,12 @@ def place_topn_by(spark, root, anio="1998", gravedad: str | None = None, topn: i
                  F.desc("valor"), F.asc("localidad"))
 
 
+@query("place_topn_all")
+def place_topn_all(spark, root):
+    """L2 with both selectors on 'all': every year, the three severity levels together."""
+    return place_topn_by(spark, root, anio="all", gravedad="all")
+
+
 @query("place_severity_year")
 def place_severity_year(spark, root):
     """Place x severity per year; every level listed (zero-filled) for each place

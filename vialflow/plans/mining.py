@@ -20,7 +20,7 @@ from ..sources.tables import open_source
 from .registry import query
 from .warehouse import analysis_view, feature_table_df
 
-# Feature sets of the batch job: forest on 3 categories + 4 numbers; k-means on 4 numbers +
+# The feature sets of the batch job. Forest on 3 categories + 4 numbers; k-means on 4 numbers +
 # 2 categories; the desktop workflow on the mining table's 4 categories + 3 numbers.
 RF_CATS = ["clase", "hipotesis", "tipo_vehiculo"]
 RF_NUMS = ["hora", "localidad", "num_vehiculos", "num_actores"]
@@ -58,7 +58,7 @@ def fit_forest(spark, root):
     if k not in _MODELS:
         df = _ml_frame(spark, root)
         train, test = ml.hash_split(df, "codigo_accidente", 80, SEED)
-        model = ml.forest_pipeline(RF_CATS, RF_NUMS, "gravedad", label_domain=df).fit(train)
+        model = ml.fit_forest(ml.forest_pipeline(RF_CATS, RF_NUMS, "gravedad", label_domain=df), train)
         preds = model.transform(test).select("codigo_accidente", "label", "prediction", "probability") \
             .persist(StorageLevel.MEMORY_AND_DISK)
         labels = list(model.stages[1].labels)
@@ -101,15 +101,16 @@ def forest_roc(spark, root):
 
 @query("forest_roc_curve")
 def forest_roc_curve(spark, root):
-    """One-vs-rest ROC points per class from binned probabilities."""
+    """One-vs-rest ROC points per class, one for each distinct probability."""
     _, preds, labels, _, _ = fit_forest(spark, root)
     return ml.roc_points(preds, labels)
 
 
 @query("forest_cv")
-def forest_cv(spark, root, folds: int = 10, num_trees: int = 100):
+def forest_cv(spark, root, folds: int = 10, num_trees: int = 100, max_depth: int = 5):
     """M13 + M14: class-balanced forest, stratified k-fold; predictions of all folds are
-    pooled and scored once (CA, F1, MCC, weighted one-vs-rest AUC)."""
+    pooled and scored once (CA, F1, MCC, weighted one-vs-rest AUC). The depth is an own
+    parameter: the reference leaves it open."""
     s = open_source(spark, root)
     ft = feature_table_df(s)
     ft = ft.drop(*[c for c in ft.columns if c.endswith("_idx")])  # the pipeline indexes itself
@@ -117,15 +118,14 @@ def forest_cv(spark, root, folds: int = 10, num_trees: int = 100):
     ft = join_small(ft, w.select("gravedad", "peso"), "gravedad")  # one row per class
     ft = ml.stratified_folds(ft, "codigo_accidente", "gravedad", folds, SEED).persist(StorageLevel.MEMORY_AND_DISK)
     # label codes in a fixed (sorted) order, so the pooled predictions of all folds agree
-    pipe = ml.forest_pipeline(MINING_CATS, MINING_NUMS, "gravedad", num_trees=num_trees, max_depth=5,
-                              max_bins=64, seed=SEED, weight_col="peso", label_order="alphabetAsc")
+    pipe = ml.forest_pipeline(MINING_CATS, MINING_NUMS, "gravedad", num_trees=num_trees, max_depth=max_depth, seed=SEED, weight_col="peso", label_order="alphabetAsc")
     # the domain (vocabularies, feature layout) is fixed once for all folds, as the desktop
     # workflow does; each fold then fits only the forest on the assembled vectors
     stages = pipe.getStages()
     prep = Pipeline(stages=stages[:-1]).fit(ft)
     labels = list(prep.stages[1].labels)
     data = prep.transform(ft).select("features", "label", "peso", "fold").persist(StorageLevel.MEMORY_AND_DISK)
-    forest = stages[-1]
+    forest = ml.with_room(stages[-1], prep.stages[0])
 
     def fit_fold(f: int):
         model = forest.fit(data.where(F.col("fold") != f))
@@ -191,13 +191,13 @@ def _sample(spark, root) -> DataFrame:
     return _MODELS[k]
 
 
-def _encoded_sample(spark, root) -> DataFrame:
-    k = _key(spark, root, "encoded")
+def _encoded(spark, root, sampled: bool = False) -> DataFrame:
+    """The encoded feature table: all its rows, or on demand those of the stratified sample."""
+    k = _key(spark, root, "encoded sample" if sampled else "encoded")
     if k not in _MODELS:
+        ft = _sample(spark, root) if sampled else feature_table_df(open_source(spark, root))
         # an empty category text is a missing value, as in the mining table's domain
-        smp = _sample(spark, root).select(
-            *[F.when(F.col(c) == "", None).otherwise(F.col(c)).alias(c) if c in MINING_CATS else c
-              for c in _sample(spark, root).columns])
+        smp = ft.select(*[F.when(F.col(c) == "", None).otherwise(F.col(c)).alias(c) if c in MINING_CATS else c for c in ft.columns])
         _MODELS[k] = ml.onehot_minmax_pipeline(MINING_CATS, MINING_NUMS).fit(smp).transform(smp) \
             .persist(StorageLevel.MEMORY_AND_DISK)
     return _MODELS[k]
@@ -221,9 +221,9 @@ def q_stratified_sample(spark, root):
 
 
 @query("one_hot_minmax")
-def q_one_hot_minmax(spark, root):
+def q_one_hot_minmax(spark, root, sampled: bool = False):
     """M18 + M19: positions of the active one-hot slots and the [0, 1]-scaled numbers."""
-    enc = _encoded_sample(spark, root)
+    enc = _encoded(spark, root, sampled)
     arr = vector_to_array("features")
     n_num = len(MINING_NUMS)
     size = F.size(arr)
@@ -236,10 +236,10 @@ def q_one_hot_minmax(spark, root):
 
 
 @query("kmeans_sweep")
-def kmeans_sweep(spark, root, k_min: int = 2, k_max: int = 8):
-    """Silhouette for each k on the encoded sample (one cached input, k fits)."""
+def kmeans_sweep(spark, root, k_min: int = 2, k_max: int = 8, sampled: bool = False):
+    """Silhouette for each k on the encoded feature table (one cached input, k fits)."""
     from pyspark.ml.clustering import KMeans
-    enc = _encoded_sample(spark, root)
+    enc = _encoded(spark, root, sampled)
     rows = []
     for k in range(k_min, k_max + 1):
         c = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=SEED).fit(enc).transform(enc)
@@ -247,17 +247,17 @@ def kmeans_sweep(spark, root, k_min: int = 2, k_max: int = 8):
     return spark.createDataFrame(rows, "k int, silhouette double")
 
 
-def _row_silhouettes(spark, root, k: int = 2) -> DataFrame:
+def _row_silhouettes(spark, root, k: int = 2, sampled: bool = False) -> DataFrame:
     from pyspark.ml.clustering import KMeans
-    enc = _encoded_sample(spark, root)
+    enc = _encoded(spark, root, sampled)
     c = KMeans(featuresCol="features", predictionCol="cluster", k=k, seed=SEED).fit(enc).transform(enc)
     return ml.row_silhouette(c, "features", "cluster")
 
 
 @query("silhouette_by_class")
-def silhouette_by_class(spark, root, k: int = 2):
+def silhouette_by_class(spark, root, k: int = 2, sampled: bool = False):
     """Per-row silhouette summarised by class (mean, sd, quartiles)."""
-    s = _row_silhouettes(spark, root, k)
+    s = _row_silhouettes(spark, root, k, sampled)
     q = F.percentile_approx("silueta", [0.25, 0.5, 0.75], 10000)
     return s.groupBy("gravedad").agg(
         F.count(F.lit(1)).alias("n"), F.avg("silueta").alias("media"), F.stddev("silueta").alias("desv"),
@@ -266,6 +266,6 @@ def silhouette_by_class(spark, root, k: int = 2):
 
 
 @query("silhouette_anova")
-def silhouette_anova(spark, root, k: int = 2):
+def silhouette_anova(spark, root, k: int = 2, sampled: bool = False):
     """One-way ANOVA of the per-row silhouette across classes."""
-    return ml.one_way_anova(_row_silhouettes(spark, root, k), "gravedad", "silueta")
+    return ml.one_way_anova(_row_silhouettes(spark, root, k, sampled), "gravedad", "silueta")

@@ -246,6 +246,12 @@ SELECT g.localidad, COALESCE(pl.nombre, 'Loc. ' || CAST(g.localidad AS VARCHAR))
   g.con_muertos, g.con_heridos, g.solo_danos, g.con_muertos AS valor
 FROM g LEFT JOIN pl ON g.localidad = pl.localidad ORDER BY valor DESC, g.localidad LIMIT 10"""),
 
+    "place_topn_all": with_("evp pl", f"""
+, g AS (SELECT localidad, {LEVELS} FROM evp GROUP BY localidad)
+SELECT g.localidad, COALESCE(pl.nombre, 'Loc. ' || CAST(g.localidad AS VARCHAR)) AS nombre,
+  g.con_muertos, g.con_heridos, g.solo_danos, g.con_muertos + g.con_heridos + g.solo_danos AS valor
+FROM g LEFT JOIN pl ON g.localidad = pl.localidad ORDER BY valor DESC, g.localidad LIMIT 10"""),
+
     "place_severity_year": with_("evp", f"""
 , g AS (SELECT anio, localidad, {LEVELS} FROM evp WHERE fecha IS NOT NULL GROUP BY anio, localidad)
 SELECT anio, localidad AS codigo_localidad, 'F' AS gravedad, con_muertos AS total FROM g
@@ -448,8 +454,8 @@ FROM fe"""),
 
     "stratified_sample": with_("smp", "SELECT id AS codigo_accidente, gravedad FROM smp"),
 
-    "one_hot_minmax": with_("smp mt", f"""
-, f AS (SELECT mt.* FROM mt JOIN smp ON mt.id = smp.id)
+    "one_hot_minmax": with_("mt", f"""
+, f AS (SELECT * FROM mt)
 , sz AS (SELECT COUNT(DISTINCT clase_siniestro) AS a, COUNT(DISTINCT localidad) AS b, COUNT(DISTINCT hipotesis) AS c FROM f)
 , e AS (SELECT id, DENSE_RANK() OVER (ORDER BY clase_siniestro) - 1 AS i1, DENSE_RANK() OVER (ORDER BY localidad) - 1 AS i2,
          DENSE_RANK() OVER (ORDER BY hipotesis) - 1 AS i3, DENSE_RANK() OVER (ORDER BY tipo_vehiculo) - 1 AS i4,
@@ -463,9 +469,8 @@ FROM e, sz"""),
 
 
 # ------------------------------------------------------------------ warehouse SQL over the star views
-# Same questions as the catalogue where the star tables hold the same rows; the hour
-# queries read the fact's own hour (the order timestamp), and the locality dimension is
-# the set of place codes used by the fact.
+# Same questions as the catalogue where both count the same rows; the hour queries read the
+# fact's own hour, and the locality dimension is the set of place codes used by the fact.
 SQL.update({
     "sql_conteos": with_("ev", """
 SELECT 'fact_siniestros' AS tabla, COUNT(*) AS filas FROM ev

@@ -19,7 +19,7 @@ def query(name: str):
 
 def all_queries() -> dict[str, Query]:
     # importing the modules registers their queries
-    from . import catalog, mining, warehouse, warehouse_sql  # noqa: F401
+    from . import catalog, mining, warehouse, warehouse_page  # noqa: F401
     return dict(CATALOG)
 
 

@@ -233,6 +233,17 @@ def build_star(s: EventSource, out: str, mode: str = "overwrite", version: str |
     return paths
 
 
+VIEWS = ("fact_siniestros", "dim_fecha", "dim_localidad", "dim_actor")
+
+
+def register_star(spark, written: str) -> list[str]:
+    """The tables of the last complete build under ``written`` as temporary views."""
+    base = current_star(spark, written)
+    for name in VIEWS:
+        spark.read.parquet(f"{base}/{name}").createOrReplaceTempView(name)
+    return list(VIEWS)
+
+
 def current_star(spark, out: str) -> str:
     """Folder of the last complete build under ``out``."""
     version = spark.read.text(f"{out.rstrip('/')}/_current").first()[0]

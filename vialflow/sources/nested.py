@@ -210,13 +210,21 @@ class NestedSource:
         # children of every record (also later duplicates) attach to the surviving event
         return self.raw.select(F.col("CODIGO_ACCIDENTE").alias("codigo_accidente"), F.explode(col).alias("c"))
 
-    def hypotheses(self) -> DataFrame:
+    def hypotheses(self, within: DataFrame | None = None) -> DataFrame:
         h = self._children("HIPOTESIS_LISTA").where(_truthy(F.col("c")))
-        return h.select("codigo_accidente", F.col("c").alias("hipotesis")).distinct()
+        h = h.select("codigo_accidente", F.col("c").alias("hipotesis")).distinct()
+        return h if within is None else h.join(within.select("codigo_accidente"), "codigo_accidente", "left_semi")
 
-    def vehicles(self) -> DataFrame:
+    def vehicles(self, within: DataFrame | None = None) -> DataFrame:
         v = self._children("VEHICULOS_INVOLUCRADOS").where(_truthy(F.col("c.CLASE")))
-        return v.select("codigo_accidente", F.col("c.CLASE").alias("clase"), F.col("c.SERVICIO").alias("servicio"))
+        v = v.select("codigo_accidente", F.col("c.CLASE").alias("clase"), F.col("c.SERVICIO").alias("servicio"))
+        return v if within is None else v.join(within.select("codigo_accidente"), "codigo_accidente", "left_semi")
+
+    def vehicle_counts(self) -> DataFrame:
+        return self.vehicles().groupBy("clase").agg(F.count(F.lit(1)).alias("total"))
+
+    def service_counts(self) -> DataFrame:
+        return self.vehicles().groupBy("servicio").agg(F.count(F.lit(1)).alias("total"))
 
     def actors(self) -> DataFrame:
         a = self._children("ACTORES_INVOLUCRADOS").where(_truthy(F.col("c.CONDICION")))

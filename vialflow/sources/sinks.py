@@ -29,28 +29,42 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, mode: str
 
 def replace_table(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
     """Replace a catalog table with a new version. With a v2 catalog configured (Delta,
-    Iceberg) the swap is one atomic CREATE OR REPLACE; the built-in session catalog
-    overwrites the table instead."""
+    Iceberg) the swap is one atomic CREATE OR REPLACE; with the built-in session catalog the
+    new version is built in a folder of its own in the warehouse and the name is moved there
+    once it is whole, so a failed build leaves the old table as it was. Folders of earlier
+    versions stay for readers that still use them."""
     if spark.conf.get("spark.sql.catalog.spark_catalog", None):
         w = df.writeTo(name)
         if partition_by:
             w = w.partitionedBy(*[F.col(c) for c in partition_by])
         w.createOrReplace()
         return
-    w = df.write.mode("overwrite").format("parquet")
+    import uuid
+    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name.replace('.', '/')}-{uuid.uuid4().hex}"
+    w = df.write
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.saveAsTable(name)
+    w.parquet(path)
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.catalog.createTable(name, path=path, source="parquet")
+    if partition_by:
+        spark.catalog.recoverPartitions(name)
 
 
 def report_document(parts: dict[str, DataFrame], scalars: dict | None = None) -> DataFrame:
     """One JSON document from several small aggregate results. Each part becomes a
     JSON array of row objects (``collect_list(struct)`` over an aggregated, bounded result);
-    the parts are unioned as (name, json) rows and stitched into one object, JVM-side."""
+    the parts are unioned as (name, json) rows and stitched into one object, JVM-side. The
+    arrays keep the parts' order (ids grow along the partitions of a sorted result) and NULL
+    fields."""
     import json
     from functools import reduce
 
-    rows = [df.agg(F.lit(name).alias("k"), F.to_json(F.collect_list(F.struct(*df.columns))).alias("v"))
+    def array(df: DataFrame):
+        rows = F.array_sort(F.collect_list(F.struct("_place", F.struct(*df.columns).alias("row"))))
+        return F.to_json(F.transform(rows, lambda r: r["row"]), {"ignoreNullFields": "false"})
+
+    rows = [df.withColumn("_place", F.monotonically_increasing_id()).agg(F.lit(name).alias("k"), array(df).alias("v"))
             for name, df in parts.items()]
     kv = reduce(DataFrame.unionByName, rows)
     for k, v in (scalars or {}).items():

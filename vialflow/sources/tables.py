@@ -149,12 +149,29 @@ class EventSource:
         )
 
     # ------------------------------------------------------------------ child rows
-    def _lines(self) -> DataFrame:
-        return self.table("lineitem")
-
-    def vehicles(self) -> DataFrame:
-        """Bag of vehicles per event: codigo_accidente, clase, servicio."""
-        li = self._lines().select("l_orderkey", "l_partkey", "l_returnflag")
+    def _lines(self, within: DataFrame | None = None) -> DataFrame:
+        li = self.table("lineitem")
+        if within is None:
+            return li
+        keep = within.select(F.col("codigo_accidente").alias("l_orderkey"))
+        return li.join(keep, "l_orderkey", "left_semi")
+
+    def vehicle_counts(self) -> DataFrame:
+        """clase, total over all events: lines are counted by part before the parts are read."""
+        used = self._lines().groupBy(F.col("l_partkey").alias("p_partkey")).agg(F.count(F.lit(1)).alias("n"))
+        p = self.table("part").select("p_partkey", F.col("p_type").alias("clase"))
+        return used.join(p, "p_partkey").groupBy("clase").agg(F.sum("n").alias("total"))
+
+    def service_counts(self) -> DataFrame:
+        """servicio, total over the lines that have a part, counted by part and service first."""
+        used = self._lines().groupBy(F.col("l_partkey").alias("p_partkey"), F.col("l_returnflag").alias("servicio")).agg(
+            F.count(F.lit(1)).alias("n"))
+        return used.join(self.table("part").select("p_partkey"), "p_partkey", "left_semi").groupBy("servicio").agg(F.sum("n").alias("total"))
+
+    def vehicles(self, within: DataFrame | None = None) -> DataFrame:
+        """Bag of vehicles per event: codigo_accidente, clase, servicio; of the events ``within``
+        only, if given (the lines are reduced before they meet the parts)."""
+        li = self._lines(within).select("l_orderkey", "l_partkey", "l_returnflag")
         p = self.table("part").select("p_partkey", "p_type")
         return li.join(p, li.l_partkey == p.p_partkey).select(
             F.col("l_orderkey").alias("codigo_accidente"),
@@ -162,9 +179,10 @@ class EventSource:
             F.col("l_returnflag").alias("servicio"),
         )
 
-    def hypotheses(self) -> DataFrame:
-        """Set of hypotheses per event (deduplicated pairs): codigo_accidente, hipotesis."""
-        li = self._lines().select("l_orderkey", "l_partkey")
+    def hypotheses(self, within: DataFrame | None = None) -> DataFrame:
+        """Set of hypotheses per event (deduplicated pairs): codigo_accidente, hipotesis; of the
+        events ``within`` only, if given."""
+        li = self._lines(within).select("l_orderkey", "l_partkey")
         p = self.table("part").select("p_partkey", "p_brand")
         pairs = li.join(p, li.l_partkey == p.p_partkey).select(
             F.col("l_orderkey").alias("codigo_accidente"), F.col("p_brand").alias("hipotesis"))
@@ -264,12 +282,37 @@ class EventSource:
 
 
 def open_source(spark: SparkSession, root: str):
-    """Role adapter for ``root``: a directory of parquet tables, or nested JSON records
-    (a ``.json`` path) in the reference's own format."""
-    if root.endswith(".json") or root.endswith(".jsonl"):
-        from .nested import NestedSource
-        return NestedSource(spark, root, name=root)
-    return EventSource(spark, root)
+    """Role adapter for ``root``: a directory of parquet tables, or nested records: a ``.json``
+    file (one array), JSON Lines (``.jsonl``, ``.ndjson``; splittable), or a folder of JSON,
+    JSON Lines or Parquet files (as ``convert_to_parquet`` writes it)."""
+    from .nested import NestedSource, read_nested
+    kind = _nested_kind(spark, root)
+    if kind is None:
+        return EventSource(spark, root)
+    if kind == "parquet":
+        return NestedSource(spark, spark.read.parquet(root), name=root)
+    return NestedSource(spark, read_nested(spark, root, multiline=kind == "json"), name=root)
+
+
+LINES = (".jsonl", ".ndjson")
+
+
+def _nested_kind(spark: SparkSession, root: str) -> str | None:
+    """'json', 'lines' or 'parquet' for nested records, None for a folder of tables. Looks
+    through Hadoop's file system, so any store that Spark reads will do."""
+    if root.endswith(LINES):
+        return "lines"
+    if root.endswith(".json"):
+        return "json"
+    jvm = spark._jvm
+    top = jvm.org.apache.hadoop.fs.Path(root)
+    fs = top.getFileSystem(spark._jsc.hadoopConfiguration())
+    if not fs.exists(top) or fs.exists(jvm.org.apache.hadoop.fs.Path(top, "orders.parquet")):
+        return None
+    names = [f.getPath().getName() for f in fs.listStatus(top)]
+    if any(n.endswith(LINES) for n in names):
+        return "lines"
+    return "json" if any(n.endswith(".json") for n in names) else "parquet"
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, properties: dict, partition_column: str | None = None,
