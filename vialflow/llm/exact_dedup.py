@@ -1,6 +1,6 @@
 """Exact deduplication by content sort (DataFrame operations only).
 
-Sampled splitters cut the order (normalised bytes, doc_id) into ranges; each range is
+Sampled splitters cut the order (first normalised bytes, digest, doc_id) into ranges; each is
 sorted externally by Spark's window operator, neighbours are compared in full, and runs of
 equal texts that cross a range boundary are joined through the ranges' edge rows. The
 doc_id is part of the range key, so copies of one text that hold a third of all rows spread
@@ -48,7 +48,8 @@ def content_sort(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         rows = rows.repartition(partitions(spark), "bucket").withColumn("norm", normal_space(F.col(f"row.{text_col}")))
 
     nulls_last = F.col("id").asc_nulls_last()
-    w = Window.partitionBy("bucket").orderBy("norm", nulls_last)
+    # the order of the range key, so that a range's last run is the one that may go on
+    w = Window.partitionBy("bucket").orderBy(F.concat(F.substring("norm", 1, PREFIX), F.lit("\x00"), "sha"), "norm", nulls_last)
     r = rows.select("bucket", "id", "sha", "row", "norm",
                     F.lag("norm").over(w).alias("before"), F.lead(F.lit(1)).over(w).alias("more"),
                     F.row_number().over(w).alias("place"))
