@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import round_ratio
-from .joins import row_bound_holds
 
 # Output names of the three severity measures, keyed by level (1 = most severe).
 LEVEL_MEASURES = {1: "con_muertos", 2: "con_heridos", 3: "solo_danos"}
@@ -81,27 +80,9 @@ def place_rollup(events: DataFrame, event_place: DataFrame, extra_keys: list[str
     return sum_measures(joined, ["localidad", *extra_keys], cols)
 
 
-def grand_total(df: DataFrame, cols: list[str]) -> DataFrame:
-    return df.agg(*[F.sum(c).cast("long").alias(c) for c in cols])
-
-
-def first_per_key(df: DataFrame, key: str, order_cols: list[str], max_dups: int = 1_000_000) -> DataFrame:
-    """W6 first-wins per natural key.
-
-    Keys are counted first (a hash aggregate that shuffles only the key column). Rows of
-    keys seen once pass through untouched, with no shuffle of the full rows; only rows of
-    repeated keys go through ``min_by``, which aggregates map-side, so a key repeated in a
-    third of the rows still costs one row per task. If the set of repeated keys is itself
-    large, every row takes the ``min_by`` path."""
+def first_per_key(df: DataFrame, key: str, order_cols: list[str]) -> DataFrame:
+    """W6 first-wins per natural key: one ``min_by`` aggregate, combined on the map side, so a
+    key repeated in a third of the rows is one row of each task before the shuffle."""
     payload = [c for c in df.columns if c not in (key, *order_cols)]
-
-    def dedupe(rows: DataFrame) -> DataFrame:
-        first = rows.groupBy(key).agg(F.min_by(F.struct(*payload), F.struct(*order_cols)).alias("_r"))
-        return first.select(key, "_r.*")
-
-    dups = df.groupBy(key).agg(F.count(F.lit(1)).alias("_n")).where(F.col("_n") > 1).select(key)
-    if not row_bound_holds(dups, max_dups):
-        return dedupe(df)
-    dups = F.broadcast(dups)
-    single = df.join(dups, key, "left_anti").select(key, *payload)
-    return single.unionByName(dedupe(df.join(dups, key, "left_semi")))
+    first = df.groupBy(key).agg(F.min_by(F.struct(*payload), F.struct(*order_cols)).alias("_r"))
+    return first.select(key, "_r.*")

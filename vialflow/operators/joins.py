@@ -1,40 +1,16 @@
-"""Join helpers: broadcast only behind a proven size bound, shuffle join otherwise."""
+"""Join helpers. No hints: a stored dimension is broadcast when its file statistics are under
+Spark's threshold, a derived one when its runtime size is (AQE); beyond it the join shuffles.
+Building a query starts no job."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Dimensions up to this many rows are broadcast; anything larger goes through a
-# shuffle join that AQE may still convert at runtime from real statistics.
-BROADCAST_MAX_ROWS = 1_000_000
 
-
-# Size proofs already obtained in this process, keyed by a caller-chosen name (e.g. the
-# data directory plus the dimension). Inputs are read-only, so a proof stays valid.
-_PROOFS: dict = {}
-
-
-def row_bound_holds(df: DataFrame, max_rows: int, proof_key=None) -> bool:
-    """True when ``df`` has at most ``max_rows`` rows. The limit stops each task early, so
-    the check costs at most max_rows+1 rows of reading, not a full scan."""
-    if proof_key is not None and (proof_key, max_rows) in _PROOFS:
-        return _PROOFS[(proof_key, max_rows)]
-    ok = df.limit(max_rows + 1).count() <= max_rows
-    if proof_key is not None:
-        _PROOFS[(proof_key, max_rows)] = ok
-    return ok
-
-
-def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner",
-               max_rows: int = BROADCAST_MAX_ROWS, known_small: bool | None = None,
-               proof_key=None) -> DataFrame:
-    """Join a (possibly) small dimension. Broadcast when its row count is within the bound,
-    plain (shuffle) join beyond it, where AQE can still pick a strategy from runtime sizes.
-    ``known_small`` skips the check when the caller already holds the proof; ``proof_key``
-    reuses a proof obtained earlier for the same input."""
-    small_ok = known_small if known_small is not None else row_bound_holds(small, max_rows, proof_key)
-    return big.join(F.broadcast(small) if small_ok else small, on, how)
+def join_small(big: DataFrame, small: DataFrame, on, how: str = "inner") -> DataFrame:
+    """Join a side that is usually small; its size decides the strategy at run time."""
+    return big.join(small, on, how)
 
 
 def anti_count(child: DataFrame, parent: DataFrame, child_key: str, parent_key: str) -> DataFrame:

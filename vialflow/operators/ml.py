@@ -19,16 +19,20 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .joins import join_small
-from .ranking import hash_order, row_number_by
+from .ranking import hash_order
 
 
 # ------------------------------------------------------------------ splitting (M5)
+def in_train(key: str, train_pct: int = 80, seed: int = 42):
+    """Whether a row trains: 32 bits of an md5 of its key, the same in any engine."""
+    return F.conv(F.substring(hash_order([key], seed), 1, 8), 16, 10).cast("long") % 100 < train_pct
+
+
 def hash_split(df: DataFrame, key: str, train_pct: int = 80, seed: int = 42):
     """Repeatable train/test split on a hash of the key: unlike ``randomSplit`` it does
     not depend on partitioning or row order, so a recomputed partition lands identically."""
-    b = F.pmod(F.xxhash64(F.col(key), F.lit(seed)), F.lit(100))
-    return df.where(b < train_pct), df.where(b >= train_pct)
+    t = in_train(key, train_pct, seed)
+    return df.where(t), df.where(~t)
 
 
 # ------------------------------------------------------------------ forest (M1-M8)
@@ -176,18 +180,31 @@ def class_weights(df: DataFrame, label_col: str, out: str = "peso") -> DataFrame
                     (F.sum("n_clase").over(all_) / (F.count(F.lit(1)).over(all_) * F.col("n_clase"))).alias(out))
 
 
+def hash_rank(df: DataFrame, key: str, label_col: str, seed: int, out: str = "_rn") -> DataFrame:
+    """``df`` with the rank of each row within its class in the order of its key's md5. Rows are
+    ranked within ranges of the hash (4096 a class) and the counts of the ranges before are
+    added: exact, without a sort of the whole table and without a task for a whole class."""
+    d = df.withColumn("_h", hash_order([key], seed)).withColumn("_b", F.substring("_h", 1, 3))
+    per = d.groupBy(label_col, "_b").agg(F.count(F.lit(1)).alias("_n"))
+    before = Window.partitionBy(label_col).orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
+    per = per.select(F.col(label_col).alias("_l"), F.col("_b").alias("_pb"), F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    d = d.withColumn("_r", F.row_number().over(Window.partitionBy(label_col, "_b").orderBy("_h", key)))
+    d = d.join(per, (F.col("_b") == F.col("_pb")) & F.col(label_col).eqNullSafe(F.col("_l")))
+    return d.withColumn(out, F.col("_base") + F.col("_r")).drop("_h", "_b", "_l", "_pb", "_base", "_r")
+
+
 def stratified_folds(df: DataFrame, key: str, label_col: str, k: int = 10, seed: int = 42,
                      out: str = "fold") -> DataFrame:
     """Rows of each class dealt round-robin over k folds in hashed order, so every
-    fold holds n_class/k (+-1) rows of each class. Exact and skew-free (see ranking)."""
-    h = df.withColumn("_h", hash_order([key], seed))
-    r = row_number_by(h, ["_h", key], [label_col], out="_rn")
-    return r.withColumn(out, ((F.col("_rn") - 1) % k).cast("int")).drop("_h", "_rn")
+    fold holds n_class/k (+-1) rows of each class. Exact and skew-free."""
+    r = hash_rank(df, key, label_col, seed)
+    return r.withColumn(out, ((F.col("_rn") - 1) % k).cast("int")).drop("_rn")
 
 
 def stratified_sample(df: DataFrame, key: str, label_col: str, size: int, seed: int = 42) -> DataFrame:
     """Exact fixed-size stratified sample. Quotas by largest remainder on the class
-    counts (a small table); rows chosen by their rank in hashed order within the class."""
+    counts (a small table); rows chosen by their rank in hashed order within the class. Only
+    keys and classes are ranked; the payload is read for the chosen keys."""
     counts = df.groupBy(label_col).agg(F.count(F.lit(1)).alias("_n"))
     all_ = Window.partitionBy()
     total = F.sum("_n").over(all_)
@@ -196,10 +213,8 @@ def stratified_sample(df: DataFrame, key: str, label_col: str, size: int, seed:
     left = F.lit(size) - F.sum("_base").over(all_)
     rank_rem = F.row_number().over(Window.orderBy(F.desc("_rem"), F.asc(label_col)))
     q = q.select(label_col, (F.col("_base") + F.when(rank_rem <= left, 1).otherwise(0)).alias("_quota"))
-    h = df.withColumn("_h", hash_order([key], seed))
-    r = row_number_by(h, ["_h", key], [label_col], out="_rn")
-    # one quota row per class
-    return join_small(r, q, label_col).where(F.col("_rn") <= F.col("_quota")).drop("_h", "_rn", "_quota")
+    r = hash_rank(df.select(key, label_col), key, label_col, seed).join(q, label_col)
+    return df.join(r.where(F.col("_rn") <= F.col("_quota")).select(key), key, "left_semi")
 
 
 # ------------------------------------------------------------------ encoders

@@ -18,7 +18,7 @@ from ..operators import ml
 from ..operators.joins import join_small
 from ..sources.tables import open_source
 from .registry import query
-from .warehouse import analysis_view, feature_table_df
+from .warehouse import analysis_view, feature_rows
 
 # The feature sets of the batch job. Forest on 3 categories + 4 numbers; k-means on 4 numbers +
 # 2 categories; the desktop workflow on the mining table's 4 categories + 3 numbers.
@@ -112,8 +112,7 @@ def forest_cv(spark, root, folds: int = 10, num_trees: int = 100, max_depth: int
     pooled and scored once (CA, F1, MCC, weighted one-vs-rest AUC). The depth is an own
     parameter: the reference leaves it open."""
     s = open_source(spark, root)
-    ft = feature_table_df(s)
-    ft = ft.drop(*[c for c in ft.columns if c.endswith("_idx")])  # the pipeline indexes itself
+    ft = feature_rows(s)    # the pipeline indexes itself
     w = ml.class_weights(ft, "gravedad")
     ft = join_small(ft, w.select("gravedad", "peso"), "gravedad")  # one row per class
     ft = ml.stratified_folds(ft, "codigo_accidente", "gravedad", folds, SEED).persist(StorageLevel.MEMORY_AND_DISK)
@@ -185,7 +184,7 @@ def kmeans_silhouette(spark, root, k: int = 5):
 def _sample(spark, root) -> DataFrame:
     k = _key(spark, root, "sample")
     if k not in _MODELS:
-        ft = feature_table_df(open_source(spark, root))
+        ft = feature_rows(open_source(spark, root))
         _MODELS[k] = ml.stratified_sample(ft, "codigo_accidente", "gravedad", SAMPLE_SIZE, SEED) \
             .persist(StorageLevel.MEMORY_AND_DISK)
     return _MODELS[k]
@@ -195,7 +194,7 @@ def _encoded(spark, root, sampled: bool = False) -> DataFrame:
     """The encoded feature table: all its rows, or on demand those of the stratified sample."""
     k = _key(spark, root, "encoded sample" if sampled else "encoded")
     if k not in _MODELS:
-        ft = _sample(spark, root) if sampled else feature_table_df(open_source(spark, root))
+        ft = _sample(spark, root) if sampled else feature_rows(open_source(spark, root))
         # an empty category text is a missing value, as in the mining table's domain
         smp = ft.select(*[F.when(F.col(c) == "", None).otherwise(F.col(c)).alias(c) if c in MINING_CATS else c for c in ft.columns])
         _MODELS[k] = ml.onehot_minmax_pipeline(MINING_CATS, MINING_NUMS).fit(smp).transform(smp) \
@@ -203,16 +202,29 @@ def _encoded(spark, root, sampled: bool = False) -> DataFrame:
     return _MODELS[k]
 
 
+def _labelled(spark, root) -> DataFrame:
+    """Key and class of the mining rows, without the child tables."""
+    ev = open_source(spark, root).events().select("codigo_accidente", "gravedad")
+    return ev.where(F.col("gravedad").isNotNull() & (F.col("gravedad") != ""))
+
+
+@query("split_counts")
+def q_split_counts(spark, root):
+    """M5: rows of each class in the repeatable train / test split."""
+    s = open_source(spark, root)
+    ev = s.events().where(F.col("gravedad").isin(*s.levels))
+    return ev.groupBy("gravedad").agg(F.count_if(ml.in_train("codigo_accidente", 80, SEED)).alias("n_train"),
+                                      F.count_if(~ml.in_train("codigo_accidente", 80, SEED)).alias("n_test"))
+
+
 @query("class_weights")
 def q_class_weights(spark, root):
-    ft = feature_table_df(open_source(spark, root))
-    return ml.class_weights(ft, "gravedad")
+    return ml.class_weights(_labelled(spark, root), "gravedad")
 
 
 @query("folds")
 def q_folds(spark, root, k: int = 10):
-    ft = feature_table_df(open_source(spark, root)).select("codigo_accidente", "gravedad")
-    return ml.stratified_folds(ft, "codigo_accidente", "gravedad", k, SEED)
+    return ml.stratified_folds(_labelled(spark, root), "codigo_accidente", "gravedad", k, SEED)
 
 
 @query("stratified_sample")

@@ -11,7 +11,7 @@ CTE = {
     "ev": """ev AS (
   SELECT o_orderkey AS id, o_custkey AS cliente, CAST(o_orderdate AS DATE) AS fecha,
          CAST(year(o_orderdate) AS INTEGER) AS anio, CAST(month(o_orderdate) AS INTEGER) AS mes,
-         CAST(hour(o_orderdate) AS INTEGER) AS hora,
+         CAST(o_orderkey % 24 AS INTEGER) AS hora,
          o_orderstatus AS gravedad,
          CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'P' THEN 2 WHEN 'O' THEN 3 END AS nivel,
          o_orderpriority AS clase
@@ -246,6 +246,12 @@ SELECT g.localidad, COALESCE(pl.nombre, 'Loc. ' || CAST(g.localidad AS VARCHAR))
   g.con_muertos, g.con_heridos, g.solo_danos, g.con_muertos AS valor
 FROM g LEFT JOIN pl ON g.localidad = pl.localidad ORDER BY valor DESC, g.localidad LIMIT 10"""),
 
+    # 32 bits of an md5 of the key part the rows, alike in any engine
+    "split_counts": with_("ev", f"""
+, s AS (SELECT gravedad, ('0x' || substr(md5(CAST(id AS VARCHAR) || ':42'), 1, 8))::BIGINT % 100 < 80 AS train FROM ev WHERE {VALID})
+SELECT gravedad, CAST(SUM(CASE WHEN train THEN 1 ELSE 0 END) AS BIGINT) AS n_train,
+  CAST(SUM(CASE WHEN train THEN 0 ELSE 1 END) AS BIGINT) AS n_test FROM s GROUP BY gravedad"""),
+
     "place_topn_all": with_("evp pl", f"""
 , g AS (SELECT localidad, {LEVELS} FROM evp GROUP BY localidad)
 SELECT g.localidad, COALESCE(pl.nombre, 'Loc. ' || CAST(g.localidad AS VARCHAR)) AS nombre,

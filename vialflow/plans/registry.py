@@ -27,11 +27,10 @@ def release_caches(spark) -> int:
     """Unpersist everything the catalogue keeps for this application (analysis view,
     shared roll-up, fitted-model predictions, samples, code dictionaries). Returns the number
     of cached frames released."""
-    from ..sources import tables
     from . import catalog, mining, warehouse
     app = spark.sparkContext.applicationId
     n = 0
-    for cache in (warehouse._VIEWS, catalog._ROLLUPS, mining._MODELS, tables._DICTIONARIES):
+    for cache in (warehouse._VIEWS, catalog._ROLLUPS, mining._MODELS):
         for key in [k for k in cache if k[0] == app]:
             value = cache.pop(key)
             for obj in (value if isinstance(value, tuple) else (value,)):

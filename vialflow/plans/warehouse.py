@@ -110,6 +110,8 @@ def q_audit_counts(spark, root):
 def flat_events_df(s: EventSource):
     """P1 + P3 + P4: the 13-column analysis view, built from the normalised tables with
     per-event aggregates (no nested arrays are materialised)."""
+    if hasattr(s, "flat_rows"):     # nested records carry the job's own rules
+        return s.flat_rows()
     ev = s.events().where(F.col("gravedad").isin(*s.levels))
     f = ev.join(s.child_summary(), "codigo_accidente", "left").join(s.event_place(), "cliente", "left")
     return f.select(
@@ -144,12 +146,14 @@ def analysis_view(spark, root):
 FEATURE_CATEGORIES = ["clase_siniestro", "localidad", "hipotesis", "tipo_vehiculo", "gravedad"]
 
 
-def feature_table_df(s: EventSource):
-    """P2 + M12: mining table (hour with the zero default, locality as a category,
-    counts as doubles), rows without a target dropped, categories indexed in sorted order."""
+def feature_rows(s: EventSource):
+    """Mining table (hour with the zero default, locality as a category, counts as
+    doubles), rows without a target dropped."""
+    if hasattr(s, "mining_rows"):   # nested records carry the loader's own rules
+        return s.mining_rows()
     ev = s.events().where(F.col("gravedad").isNotNull() & (F.col("gravedad") != ""))
     f = ev.join(s.child_summary(), "codigo_accidente", "left").join(s.event_place(), "cliente", "left")
-    flat = f.select(
+    return f.select(
         "codigo_accidente",
         # the hour is already numeric here; the zero default of the mining flavour applies
         F.coalesce(F.col("hora").cast("double"), F.lit(0.0)).alias("hora"),
@@ -159,6 +163,11 @@ def feature_table_df(s: EventSource):
         F.coalesce("tipo_vehiculo", F.lit(UNKNOWN_VEHICLE)).alias("tipo_vehiculo"),
         F.coalesce("num_vehiculos", F.lit(0)).cast("double").alias("num_vehiculos"),
         F.coalesce("num_actores", F.lit(0)).cast("double").alias("num_actores"))
+
+
+def feature_table_df(s: EventSource):
+    """P2 + M12: the mining table with its categories indexed in sorted order."""
+    flat = feature_rows(s)
     idx = StringIndexer(inputCols=FEATURE_CATEGORIES, outputCols=[c + "_idx" for c in FEATURE_CATEGORIES],
                         stringOrderType="alphabetAsc", handleInvalid="keep")
     return idx.fit(flat).transform(flat)

@@ -141,9 +141,6 @@ class NestedSource:
         self._ordered = self.raw if "_ingest" in self.raw.columns else \
             self.raw.withColumn("_ingest", F.monotonically_increasing_id())
 
-    def proof(self, name: str) -> str:
-        return f"{self.root}::{name}"
-
     def table(self, name: str) -> DataFrame:
         raise KeyError(f"nested source has no table {name!r}")
 
@@ -163,6 +160,14 @@ class NestedSource:
             F.col("GRAVEDAD").alias("gravedad"), _level(F.col("GRAVEDAD")).alias("gravedad_nivel"),
             F.col("CLASE").alias("clase"))
 
+    def flat_rows(self) -> DataFrame:
+        """The batch job's analysis view: its own hour rule, every record (also repeated keys)."""
+        return flatten(self.raw).withColumnRenamed("CODIGO_ACCIDENTE", "codigo_accidente")
+
+    def mining_rows(self) -> DataFrame:
+        """The desktop loader's rows with its own hour and default rules."""
+        return mining_rows(self.raw).withColumnRenamed("CODIGO_ACCIDENTE", "codigo_accidente")
+
     def fact_events(self) -> DataFrame:
         """The loaded fact's events: already the first record per key."""
         return self.events()

@@ -42,7 +42,12 @@ def severity_of_level(level: int) -> str:
     return next(k for k, v in SEVERITY_LEVELS.items() if v == level)
 
 
-_DICTIONARIES: dict = {}
+
+
+def order_hour():
+    """The event's hour. Order dates of the driver tables carry no time of day, so the hour
+    comes from the order key: every hour occurs, independent of the other columns."""
+    return F.pmod(F.col("o_orderkey"), F.lit(24)).cast("int")
 
 
 class EventSource:
@@ -57,18 +62,6 @@ class EventSource:
         self.spark = spark
         self.root = root.rstrip("/")
 
-    def dictionary(self, table: str, col: str):
-        """Order-preserving code dictionary of a text column, built once per session."""
-        from ..operators.encode import Dictionary
-        key = (self.spark.sparkContext.applicationId, self.root, table, col)
-        if key not in _DICTIONARIES:
-            _DICTIONARIES[key] = Dictionary(self.table(table), col)
-        return _DICTIONARIES[key]
-
-    def proof(self, name: str) -> str:
-        """Key under which size proofs about this directory's tables are remembered."""
-        return f"{self.root}::{name}"
-
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.root}/{name}.parquet")
 
@@ -84,7 +77,7 @@ class EventSource:
             fecha.alias("fecha"),
             F.year(fecha).alias("anio"),
             F.month(fecha).alias("mes"),
-            F.hour("o_orderdate").alias("hora"),
+            order_hour().alias("hora"),
             F.col("o_orderstatus").alias("gravedad"),
             severity_level(F.col("o_orderstatus")).alias("gravedad_nivel"),
             F.col("o_orderpriority").alias("clase"),
@@ -99,7 +92,7 @@ class EventSource:
         o = first_per_key(o, "o_orderkey", ["_file", "_row"])
         return o.select(
             F.col("o_orderkey").alias("codigo_accidente"), F.col("o_custkey").alias("cliente"),
-            F.to_date("o_orderdate").alias("fecha"), F.hour("o_orderdate").alias("hora"),
+            F.to_date("o_orderdate").alias("fecha"), order_hour().alias("hora"),
             F.col("o_orderstatus").alias("gravedad"), F.col("o_orderpriority").alias("clase"))
 
     # ------------------------------------------------------------------ audit targets
@@ -204,13 +197,9 @@ class EventSource:
 
         Two-level aggregation instead of COUNT(DISTINCT): (event, hypothesis) first, then
         event. Both levels aggregate map-side, so an event with a huge number of child rows
-        is reduced to one row per (task, hypothesis) before any shuffle. The text values are
-        dictionary-encoded to order-preserving integer codes first, so the MIN aggregates keep
-        fixed-width buffers and Spark plans hash aggregation instead of sort aggregation.
+        is reduced to one row per (task, hypothesis) before any shuffle.
         """
         p = self.table("part").select("p_partkey", "p_brand", "p_type")
-        brands, types = self.dictionary("part", "p_brand"), self.dictionary("part", "p_type")
-        p = types.encode(brands.encode(p, "p_brand"), "p_type")
         li = self._lines().select("l_orderkey", "l_partkey")
         lines = li.join(p, li.l_partkey == p.p_partkey, "left")
         per_pair = lines.groupBy("l_orderkey", "p_brand").agg(
@@ -218,14 +207,13 @@ class EventSource:
             F.count("p_type").alias("_n_veh"),
             F.min("p_type").alias("_min_type"),
         )
-        per_event = per_pair.groupBy(F.col("l_orderkey").alias("codigo_accidente")).agg(
+        return per_pair.groupBy(F.col("l_orderkey").alias("codigo_accidente")).agg(
             F.min("p_brand").alias("hipotesis"),
             F.count("p_brand").alias("num_hipotesis"),
             F.min("_min_type").alias("tipo_vehiculo"),
             F.sum("_n_veh").cast("long").alias("num_vehiculos"),
             F.sum("_n_act").cast("long").alias("num_actores"),
         )
-        return types.decode(brands.decode(per_event, "hipotesis"), "tipo_vehiculo")
 
     def child_profile(self) -> DataFrame:
         """Per-event child lists for the array fact, from ONE pass over lineitem x part:
@@ -238,12 +226,9 @@ class EventSource:
         the event's size) and every list is derived with higher-order functions - one
         shuffle to cells, one to events, instead of a separate join per list."""
         p = self.table("part").select("p_partkey", "p_brand", "p_type")
-        brands, types = self.dictionary("part", "p_brand"), self.dictionary("part", "p_type")
-        p = types.encode(brands.encode(p, "p_brand"), "p_type")
         li = self._lines().select("l_orderkey", "l_partkey")
         lines = li.join(p, li.l_partkey == p.p_partkey, "left")
         cells = lines.groupBy("l_orderkey", "p_brand", "p_type").agg(F.count(F.lit(1)).alias("n"))
-        cells = types.decode(brands.decode(cells, "p_brand"), "p_type")
         per = cells.groupBy(F.col("l_orderkey").alias("codigo_accidente")).agg(
             F.collect_list(F.struct("p_brand", "p_type", "n")).alias("_c"))
         c = F.col("_c")
