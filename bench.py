@@ -21,10 +21,11 @@ from vialflow.session import get_session  # noqa: E402
 JOB_AGGREGATES = ["severity_share", "place_top10", "hourly_counts", "class_top8",
                   "first_cause_top8", "first_vehicle_top8", "yearly_pivot"]
 JOB_MODELS = ["forest_metrics", "forest_confusion", "forest_importance", "kmeans_profile", "kmeans_silhouette"]
-# the warehouse page's eleven queries
-WAREHOUSE = ["table_counts", "severity_counts", "monthly_trend", "hourly_counts", "cause_top10",
-             "severity_by_year", "actor_state", "fatal_hour", "fatal_cause_top10", "class_by_severity",
-             "place_table"]
+# the warehouse page's eleven queries, as registered
+WAREHOUSE = ["sql_conteos", "sql_gravedad", "sql_tendencia", "sql_por_hora", "sql_hipotesis", "sql_evolucion_gravedad",
+             "sql_actores_estado", "sql_hora_fatal", "sql_causas_fatales", "sql_clase_gravedad", "sql_tabla_localidades"]
+# the mining workflow's relational steps
+MINING = ["class_weights", "folds", "stratified_sample", "one_hot_minmax"]
 
 
 def main() -> None:
@@ -54,9 +55,13 @@ def main() -> None:
     job_total = time.perf_counter() - t0
     t1 = time.perf_counter()
     for n in WAREHOUSE:
-        run(n, f"sql.{n}")
+        run(n)
     sql_total = time.perf_counter() - t1
-    total = time.perf_counter() - t0
+    t2 = time.perf_counter()
+    for n in MINING:
+        run(n, f"mining.{n}")
+    mining_total = time.perf_counter() - t2
+    total = job_total + sql_total   # the headline of earlier rounds; the mining steps stand beside it
     print(json.dumps({
         "metric": "batch_job_plus_warehouse_queries",
         "value": round(total, 3),
@@ -65,6 +70,7 @@ def main() -> None:
         "sf": sf,
         "job_sec": round(job_total, 3),
         "warehouse_sec": round(sql_total, 3),
+        "mining_sec": round(mining_total, 3),
         "rows": n_rows,
         "cpus": cpus,
     }))

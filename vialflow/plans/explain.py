@@ -3,7 +3,8 @@ inputs (automatic broadcast off, so only size-proven broadcasts remain).
 
     python -m vialflow.plans.explain [data dir] [query ...]
 
-Per query: shuffle exchanges (hash / range / single-partition), join strategies, sort-based
+Per query: jobs that ran while it was built (reads of Parquet schemas left out; work done by
+eager steps such as checkpoints and model fits shows here and not in the plan), shuffle exchanges (hash / range / single-partition), join strategies, sort-based
 aggregates (text or struct buffers) and whether a parquet scan reads every column.
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 
 import re
 import sys
+import uuid
 
 
 def _live_plan(text: str) -> str:
@@ -44,6 +46,23 @@ def plan_shape(df) -> dict:
     }
 
 
+def jobs_while_built(spark, build) -> tuple:
+    """(result of ``build()``, jobs that it ran other than reads of Parquet schemas)."""
+    sc = spark.sparkContext
+    group = f"build-{uuid.uuid4().hex}"
+    sc.setJobGroup(group, "build")
+    try:
+        df = build()
+    finally:
+        sc.setLocalProperty("spark.jobGroup.id", None)
+    tracker, work = sc.statusTracker(), 0
+    for j in tracker.getJobIdsForGroup(group):
+        info = tracker.getJobInfo(j)
+        names = [tracker.getStageInfo(s).name for s in info.stageIds if tracker.getStageInfo(s)] if info else []
+        work += not (names and all(n.startswith("parquet at") for n in names))
+    return df, work
+
+
 def main(argv: list[str]) -> int:
     from ..session import get_session
     from .registry import all_queries
@@ -54,12 +73,13 @@ def main(argv: list[str]) -> int:
     names = argv[2:] or [n for n in q if not n.startswith(("forest", "kmeans", "silhouette", "audit_contracts"))]
     cols = ["hash_exchanges", "range_exchanges", "single_exchanges", "sort_merge_joins", "broadcast_joins",
             "sort_aggregates", "python", "cached_input"]
-    print("| query | " + " | ".join(c.replace("_", " ") for c in cols) + " |")
-    print("|---" * (len(cols) + 1) + "|")
+    print("| query | jobs while built | " + " | ".join(c.replace("_", " ") for c in cols) + " |")
+    print("|---" * (len(cols) + 2) + "|")
     for n in names:
         try:
-            s = plan_shape(q[n](spark, root))
-            print(f"| {n} | " + " | ".join(str(s[c]) for c in cols) + " |", flush=True)
+            df, jobs = jobs_while_built(spark, lambda n=n: q[n](spark, root))
+            s = plan_shape(df)
+            print(f"| {n} | {jobs} | " + " | ".join(str(s[c]) for c in cols) + " |", flush=True)
         except Exception as e:  # report and continue
             print(f"| {n} | error: {repr(e)[:80]} |", flush=True)
     return 0
