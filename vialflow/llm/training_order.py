@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .bpe import byte_bpe, slices
-from .common import checkpoint_dir
+from .common import checkpoint_dir, partitions
 
 LENGTH, SHARD, END, PAD = 512, 4096, 50256, 0
 ROUNDS = 6
@@ -128,7 +128,9 @@ def write_shards(docs: DataFrame, path: str, key: str, folder: str, length: int
     shared = spark.sparkContext.broadcast((first, counts, Feistel(total, key)))
     r = d.mapInArrow(_records(path, length, end_id, shared), "slot long, record binary")
     r = r.withColumn("shard", F.floor(F.col("slot") / shard).cast("long"))
-    r = r.repartition(-(-total // shard), "shard").sortWithinPartitions("shard", "slot")
+    shards = -(-total // shard)
+    tasks = min(shards, partitions(spark))      # each writes a range of shards
+    r = r.repartitionById(tasks, F.floor(F.col("shard") * tasks / shards).cast("int")).sortWithinPartitions("shard", "slot")
     r.select("shard", F.col("record").cast("string").alias("value")).write.partitionBy("shard").option("compression", "none").text(folder)
     return total
 
