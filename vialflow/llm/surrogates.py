@@ -94,11 +94,16 @@ def _norm(kind: Column, e: Column) -> Column:
             .when(kind == "name", F.concat_ws("|", _gender(e), script, F.lower(bare))).otherwise(e))
 
 
+def _bound(value: Column, body) -> Column:
+    """``body`` of a value that is evaluated once, however often the body names it."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def _stream(key: str, seed: Column) -> Column:
     """64 keyed pseudo-random numbers from 0 to 255, repeated where a value is longer."""
-    h = [F.sha2(F.concat(F.lit(f"{key}|{i}|"), seed), 256) for i in range(2)]
-    raw = F.unhex(F.concat(*h))
-    return F.transform(F.sequence(F.lit(0), F.lit(63)), lambda i: F.conv(F.hex(F.substring(raw, i + 1, F.lit(1))), 16, 10).cast("int"))
+    digits = F.concat(*[F.sha2(F.concat(F.lit(f"{key}|{i}|"), seed), 256) for i in range(2)])
+    return _bound(digits, lambda h: F.transform(F.sequence(F.lit(0), F.lit(63)),
+                                                lambda i: F.conv(F.substring(h, i * 2 + 1, F.lit(2)), 16, 10).cast("int")))
 
 
 CLASSES = (("0-9", "0123456789"), ("a-f", "abcdef"), ("g-z", "abcdefghijklmnopqrstuvwxyz"), ("A-Z", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"),
@@ -108,17 +113,20 @@ CLASSES = (("0-9", "0123456789"), ("a-f", "abcdef"), ("g-z", "abcdefghijklmnopqr
 def _replaced(value: Column, stream: Column) -> Column:
     """Each character replaced within its class; others stay. a-f stay hexadecimal in values
     of hexadecimal digits only."""
-    def one(c: Column, i: Column) -> Column:
-        r = F.element_at(stream, i % 64 + 1)
+    def one(c: Column, r: Column, hexadecimal: Column) -> Column:
         out = None
         for chars, to in CLASSES:
             new = F.substring(F.lit(to), r % len(to) + 1, F.lit(1))
             if chars == "a-f":
                 wide = F.substring(F.lit(CLASSES[2][1]), r % 26 + 1, F.lit(1))
-                new = F.when(value.rlike("^[0-9a-f]{8,}$"), new).otherwise(wide)
+                new = F.when(hexadecimal, new).otherwise(wide)
             out = F.when(c.rlike(f"[{chars}]"), new) if out is None else out.when(c.rlike(f"[{chars}]"), new)
         return out.otherwise(c)
-    return F.array_join(F.transform(F.split(value, ""), one), "")
+
+    def all_of(s: Column) -> Column:
+        return _bound(value.rlike("^[0-9a-f]{8,}$"), lambda x: F.array_join(
+            F.transform(F.split(value, ""), lambda c, i: _bound(F.element_at(s, i % 64 + 1), lambda r: one(c, r, x))), ""))
+    return _bound(stream, all_of)
 
 
 def _with_check_digit(digits: Column) -> Column:
@@ -138,9 +146,12 @@ def _pick(names: tuple[str, ...], r: Column) -> Column:
 def _candidate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     """The attempt-th surrogate of an entity, in normal form."""
     seed = F.concat_ws("|", kind, norm, attempt.cast("string"))
-    s = _stream(key, seed)
-    r = F.element_at(s, 63)
-    plain = _replaced(norm, s)
+    return _bound(_stream(key, seed), lambda s: _bound(_replaced(norm, s), lambda plain: _bound(
+        _usual(key, kind, norm, s, plain), lambda usual: _claim(key, kind, norm, attempt, seed, usual))))
+
+
+def _usual(key: str, kind: Column, norm: Column, s: Column, plain: Column) -> Column:
+    """The surrogate of the entity's own form."""
     host = F.element_at(F.split(norm, "@"), -1)
     labels = F.split(host, r"\.")
     top = F.when(F.element_at(labels, -1).isin("com", "net", "org"), F.element_at(labels, -1)).otherwise(F.lit("org"))
@@ -164,11 +175,14 @@ def _candidate(key: str, kind: Column, norm: Column, attempt: Column) -> Column:
     family = F.initcap(_replaced(F.element_at(words, -1), s))
     name = F.concat_ws("|", F.element_at(p, 1), F.element_at(p, 2),
                        F.when(F.size(words) > 1, F.concat(F.lower(given), F.lit(" "), F.lower(family))).otherwise(F.lower(family)))
-    usual = (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone)
+    return (F.when(kind == "email", email).when(kind == "ip", ip).when(kind == "card", card).when(kind == "phone", phone)
              .when(kind == "iban", iban).when((kind == "secret") & norm.startswith("AKIA"), aws).when(kind == "name", name).otherwise(plain))
+
+
+def _claim(key: str, kind: Column, norm: Column, attempt: Column, seed: Column, usual: Column) -> Column:
     # the last claim: the usual one with a keyed ending of its own
     ending = F.translate(F.substring(F.sha2(F.concat(F.lit(f"{key}|end|"), seed), 256), 1, 16), "0123456789", "ghijklmnop")
-    long = (F.when(kind == "email", F.concat(F.element_at(F.split(email, "@"), 1), ending, F.lit("@"), F.element_at(F.split(email, "@"), -1)))
+    long = (F.when(kind == "email", F.concat(F.element_at(F.split(usual, "@"), 1), ending, F.lit("@"), F.element_at(F.split(usual, "@"), -1)))
             .when(kind.isin("card", "phone", "ssn"), F.concat(usual, F.translate(ending, "abcdefghijklmnop", "0123456789012345")))
             .otherwise(F.concat(usual, ending)))
     return F.when(attempt < ATTEMPTS - 1, usual).otherwise(long).substr(F.lit(1), F.length(norm) + 40)
