@@ -78,3 +78,40 @@ def test_odd_rows(spark, judged):
     empty = spark.createDataFrame([], SCHEMA)
     assert T.judge(empty, l)[0].count() == 0
     assert T.judge(spark.createDataFrame(rows, SCHEMA), spark.createDataFrame([], "doc_id long, toxic int"))[0].count() == 6
+
+
+def test_thresholds_are_calibrated_on_few_labels(judged):
+    _, _, y, got, _, by = judged
+    known = [i for i in y if zlib.crc32(str(i).encode()) % 5]
+    own = [i for i in known if zlib.crc32(f"{i} calibrate".encode()) % T.CALIBRATION_SHARE == 0]
+    assert sum(y[i] for i in known) < T.FIT_ROWS and set(by) == {"en", "de"}
+    for lang, t in by.items():
+        n = {k: sum(y[i] == k and got[i].lang == lang for i in known) for k in (0, 1)}
+        rows = [(got[i].score, y[i]) for i in own if got[i].lang == lang]
+        w = {k: n[k] / sum(v == k for _, v in rows) for k in (0, 1)}
+
+        def wrong(at):
+            return sum(w[v] * ((s >= at) != v) for s, v in rows)
+
+        assert wrong(t) <= min(wrong(k / T.BINS) for k in range(1, T.BINS + 1)) + 1e-6
+
+
+def test_classes_are_weighted_by_their_true_counts(spark):
+    scored = [(i, 0.2, "en") for i in range(40)] + [(100 + i, 0.2, "en") for i in range(30)] + [(200 + i, 0.8, "en") for i in range(30)]
+    scored += [(1000 + i, 0.5, "en") for i in range(400)]
+    labels = [(i, 0, True) for i in range(40)] + [(100 + i, 1, True) for i in range(30)] + [(200 + i, 1, True) for i in range(30)]
+    labels += [(1000 + i, 1, False) for i in range(400)]
+    by = T.thresholds(spark.createDataFrame(scored, "id long, score double, lang string"),
+                      spark.createDataFrame(labels, "id long, toxic int, calibrates boolean"))
+    assert by["en"] <= 0.2      # 460 toxic rows against 40: half of them below outweighs all clean ones
+
+
+def test_overlong_text_is_left_out_alone(spark, monkeypatch):
+    docs, labels = corpus(1500)
+    first = min((i for i, _ in labels if zlib.crc32(str(i).encode()) % 5), key=lambda i: zlib.crc32(f"{i} fit".encode()))
+    docs[first] = (first, "ba ke " * 200_000, "en")
+    monkeypatch.setattr(T, "FIT_CHARS", 1_000_000)
+    model, _ = T.fit(spark.createDataFrame(docs, SCHEMA), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    held = [i for i, _ in labels if zlib.crc32(str(i).encode()) % 5 == 0]
+    p = model.scores(pa.array([docs[i][1] for i in held]))
+    assert np.mean([(s >= 0.5) == labels[i][1] for s, i in zip(p, held)]) > 0.9

@@ -5,7 +5,8 @@ A word's embedding is the sum of the rows that its hash, its leading bytes and i
 select, so unseen inflections of a known stem still score. A text's features are the maxima
 over all its positions, so a text of any length counts in full. The model is fitted on the
 driver on a bounded sample of labelled rows (FIT_ROWS of each class, FIT_CHARS characters in
-all); scores, and the thresholds by language, use all rows.
+all). A fixed hash share of the labelled rows is kept from the fit and only calibrates the
+thresholds by language, whatever the size of the input; scores use all rows.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from . import words
@@ -26,6 +27,7 @@ FIT_ROWS, FIT_CHARS = 4000, 60_000_000
 STEPS, BATCH, RATE, MET_IN = 600, 32, 0.08, 5
 BINS = 1000
 CALIBRATION_ROWS, MAX_LANGUAGES = 30, 1000
+CALIBRATION_SHARE = 5   # one in so many labelled rows calibrates and is not fitted
 ROWS = 500              # texts scored at once
 
 
@@ -149,30 +151,46 @@ def _labels(labels: DataFrame, id_col: str) -> DataFrame:
     return l.groupBy("id").agg(F.max("toxic").alias("toxic"))
 
 
+def calibrates(id_col: Column) -> Column:
+    return F.crc32(F.concat(id_col.cast("string"), F.lit(" calibrate")).cast("binary")) % CALIBRATION_SHARE == 0
+
+
+def _within(lengths: list[tuple[int, int]]) -> list[int]:
+    """Of (id, characters) in order, the ids of what fits into FIT_CHARS; a text that does not
+    fit is left out alone."""
+    out, used = [], 0
+    for i, n in lengths:
+        if used + n <= FIT_CHARS:
+            out.append(i)
+            used += n
+    return out
+
+
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> tuple[Model, DataFrame]:
-    """(model, labelled rows that it has not seen). Without both classes among the labelled
-    rows the model stays untrained and scores near one half of the prior."""
-    known = stored(_labels(labels, id_col), "labels")
-    count = dict(known.groupBy("toxic").count().collect())      # two rows
+    """(model, all labelled rows outside the held-out fifth; ``calibrates`` marks those that it
+    has not seen and that only calibrate). Without both classes among the fitted rows the model
+    stays untrained and scores near one half of the prior."""
+    known = stored(_labels(labels, id_col).withColumn("calibrates", calibrates(F.col("id"))), "labels")
+    fitted = known.filter("not calibrates").drop("calibrates")
+    count = dict(fitted.groupBy("toxic").count().collect())      # two rows
     pick = F.crc32(F.concat(F.col("id").cast("string"), F.lit(" fit")).cast("binary"))
     sample = None
     for y in (0, 1):
-        one = known.filter(F.col("toxic") == y).orderBy(pick, "id").limit(FIT_ROWS)
+        one = fitted.filter(F.col("toxic") == y).orderBy(pick, "id").limit(FIT_ROWS)
         sample = one if sample is None else sample.unionByName(one)
     sample = stored(sample, "sample")       # at most 2 * FIT_ROWS rows
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     chosen = stored(texts.join(F.broadcast(sample), "id").dropDuplicates(["id"]), "fit")
-    upto = F.sum(F.length("text")).over(Window.orderBy(pick, "id").rowsBetween(Window.unboundedPreceding, 0))
-    narrow = chosen.select("id", pick.alias("p"), F.length("text").alias("c"))
-    within = narrow.select("id", F.sum("c").over(Window.orderBy("p", "id")).alias("c")).filter(F.col("c") <= FIT_CHARS)
-    got = chosen.join(F.broadcast(within.select("id")), "id").orderBy(pick, "id").toArrow()
+    lengths = chosen.select("id", F.length("text").alias("c"), pick.alias("p")).orderBy("p", "id").select("id", "c").collect()
+    within = chosen.sparkSession.createDataFrame([(i,) for i in _within([tuple(r) for r in lengths])], "id long")
+    got = chosen.join(F.broadcast(within), "id").orderBy(pick, "id").toArrow()
     y = got.column("toxic").to_numpy().astype(np.float32)
     model = Model()
     if 0 < y.sum() < len(y):
         model.fit(got.column("text").combine_chunks(), y)
         # the sample holds the classes in other shares than all labelled rows
         model.shift = float(np.log((1 - y.mean()) / y.mean()) - np.log(count[0] / count[1]))
-    return model, known.join(sample.select("id"), "id", "left_anti")
+    return model, known
 
 
 def _scoring(model, schema_names: list[str], text_col: str, name: str):
@@ -191,21 +209,27 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text", name: str
     return docs.mapInArrow(_scoring(shared, docs.columns, text_col, name), f"{fields}, `{name}` double")
 
 
-def thresholds(scored: DataFrame, unseen: DataFrame) -> dict[str, float]:
-    """By language, the score that parts the unseen labelled rows with the fewest errors (the
-    middle of the range that does). From counts by language, label and score bin; languages
-    with fewer than CALIBRATION_ROWS rows keep one half."""
-    bins = scored.join(unseen, "id").groupBy("lang", "toxic", F.floor(F.col("score") * BINS).alias("bin")).count()
-    large = bins.groupBy("lang").agg(F.sum("count").alias("n")).filter(F.col("n") >= CALIBRATION_ROWS).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
+def thresholds(scored: DataFrame, known: DataFrame) -> dict[str, float]:
+    """By language, the score that parts its labelled rows with the fewest errors (the middle
+    of the range that does). The errors are those of the calibrating rows, each class weighted
+    up to all labelled rows of the language. From counts by language, label and score bin;
+    languages with fewer than CALIBRATION_ROWS such rows, or with one class only, keep one half."""
+    own = F.when(F.col("calibrates"), F.floor(F.col("score") * BINS))       # null: a row that only counts
+    bins = scored.join(known, "id").groupBy("lang", "toxic", own.alias("bin")).count()
+    large = bins.filter("bin is not null").groupBy("lang").agg(F.sum("count").alias("n")).filter(F.col("n") >= CALIBRATION_ROWS).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
     got = bins.join(F.broadcast(large), "lang").select("lang", "toxic", "bin", "count").collect()   # bounded by bins
     table: dict[str, np.ndarray] = {}
+    every: dict[str, np.ndarray] = {}
     for lang, toxic, b, n in got:
-        table.setdefault(lang, np.zeros((2, BINS + 2)))[toxic, int(b) + 1] += n
+        every.setdefault(lang, np.zeros(2))[toxic] += n
+        if b is not None:
+            table.setdefault(lang, np.zeros((2, BINS + 2)))[toxic, int(b) + 1] += n
     out = {}
     for lang, c in table.items():
         if c[1].sum() and c[0].sum():
+            c = c / c.sum(1, keepdims=True) * every[lang][:, None]
             wrong = np.cumsum(c[1]) + c[0].sum() - np.cumsum(c[0])     # with bins up to this one taken as clean
-            best = np.flatnonzero(wrong == wrong.min())
+            best = np.flatnonzero(wrong <= wrong.min() + 1e-6)
             out[lang] = float(np.clip(np.median(best) / BINS, 1 / BINS, 1))
     return out
 
@@ -226,11 +250,11 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     repeated rows score alike; empty tables give no rows and an untrained model; further
     columns are not read.
     """
-    model, unseen = fit(docs, labels, id_col, text_col)
+    model, known = fit(docs, labels, id_col, text_col)
     narrow = docs.select(F.col(id_col).cast("long").alias("id"), F.col(lang_col).cast("string").alias("lang"),
                          F.col(text_col).cast("string").alias("text"))
     scored = stored(with_scores(narrow, model, name="score").drop("text"), "scores")
-    by = thresholds(scored, unseen)
+    by = thresholds(scored, known)
     t = threshold_of(F.col("lang"), by)
     return scored.select(F.col("id").alias(id_col), "score", "lang", t.alias("threshold"), (F.col("score") >= t).alias("flagged")), model, by
 
