@@ -84,3 +84,22 @@ def test_learns_and_takes_empty_tables(spark):
     assert U.judge(spark.createDataFrame([], SCHEMA)).count() == 0
     alone = U.judge(spark.createDataFrame([(1, "http://a.info/"), (1, "http://a.info/"), (None, None)], SCHEMA)).collect()
     assert [r.verdict for r in alone] == ["allow"] * 3
+
+
+def test_query_reads_whole_urls(spark, tmp_path):
+    from vialflow.llm.queries import op9_markov_urls
+    rows = [(i, f"https://s{i % 9}.example.net/en/p?view=article#top{i % 7}") for i in range(200)]
+    rows += [(1000 + i, f"http://s{i % 9}.net/en/p?win=jackpot#casino{i % 7}") for i in range(200)]
+    odd = [(5000, "https://s1.info/p?view=article#top"), (5001, "https://s1.info/p?win=jackpot#casino"), (5002, "view article top"),
+           (5003, "win jackpot casino"), (5004, None), (5005, "")]
+    spark.createDataFrame(rows + odd, SCHEMA).write.parquet(f"{tmp_path}/pages.parquet")
+    got = {r.page_id: r for r in op9_markov_urls(spark, str(tmp_path)).collect()}
+    a, b = Plain([u for i, u in rows if i < 1000]), Plain([u for i, u in rows if i >= 1000])
+    for i, u in odd:
+        t = u or ""
+        assert abs(got[i].score - (a.log(t) - b.log(t)) / max(1, len(t.encode()))) < 1e-4
+        assert got[i].rule is None and got[i].verdict == ("allow" if got[i].score >= got[i].threshold else "block")
+    assert (got[5000].host, got[5000].path) == (got[5001].host, got[5001].path) == ("s1.info", "/p")
+    assert (got[5000].verdict, got[5001].verdict) == ("allow", "block")
+    assert got[5002].score > got[5003].score and (got[5002].host, got[5002].path) == ("", "")
+    assert got[5004].score == got[5005].score == 0

@@ -62,7 +62,7 @@ def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_markov_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return judge_urls(table(spark, sf_dir, "pages"))
+    return judge_urls(table(spark, sf_dir, "pages"), whole=True)
 
 
 def op10_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,7 +6,8 @@ all (ORDER + 1)-grams have at most SYMBOLS ** (ORDER + 1) rows a class and fold,
 the corpus: that bounds what is broadcast. Each order is smoothed into the next shorter one
 (Witten-Bell), so a context counts as far as it was seen. The score is the difference of the
 log-likelihoods per character. Its threshold is calibrated on all labelled URLs, each scored by
-the models of the other fold.
+the models of the other fold. The models read whole URLs (``whole``); host and path alone are
+for the rules and the output.
 """
 
 from __future__ import annotations
@@ -113,21 +114,25 @@ def _score(ratios, column: str | None):
     return run
 
 
-def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url") -> DataFrame:
+def judge(pages: DataFrame, rules=RULES, id_col: str = "page_id", url_col: str = "url",
+          whole: bool = False) -> DataFrame:
     """Per row: page_id, host, path, rule, verdict (allow or block), score (null where a rule
-    decides), threshold.
+    decides), threshold. With ``whole`` the models train on and score the URL as it is, with
+    scheme, query and fragment; else its host and path.
 
-    Cases: a null URL and one without ``://`` have an empty host and path, fit no rule, and
-    score 0 like any text without characters; without labelled URLs of both kinds the models
+    Cases: a null URL and one without ``://`` have an empty host and path and fit no rule; the
+    latter is scored by its characters if ``whole``, and a text without characters scores 0; without labelled URLs of both kinds the models
     know nothing, all scores are 0 and all such URLs are allowed; repeated rows count as often
     as they occur; an empty table gives no rows; other columns are not read.
     """
     spark = pages.sparkSession
     url = F.col(url_col).cast("string")
-    rows = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"))
+    rows = pages.select(F.col(id_col).alias("id"), host_of(url).alias("host"), path_of(url).alias("path"),
+                        F.coalesce(url, F.lit("")).alias("text"))
     rule, verdict = rule_of(F.col("host"), F.col("path"), rules)
     rows = rows.withColumn("rule", rule).withColumn("by_rule", verdict)
-    rows = rows.withColumn("text", F.concat("host", "path"))
+    if not whole:
+        rows = rows.withColumn("text", F.concat("host", "path"))
     rows = rows.withColumn("fold", (F.crc32(F.col("text").cast("binary")) % FOLDS).cast("long"))
     known = rows.filter("by_rule is not null").select("text", "fold", (F.col("by_rule") == "allow").cast("long").alias("good"))
     grams = known.mapInArrow(_count, "fold long, good long, gram long, n long").groupBy("fold", "good", "gram").agg(F.sum("n").alias("n"))
