@@ -57,7 +57,7 @@ def op7_content_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_closed_syncmers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return fingerprints(documents(spark, sf_dir))
+    return fingerprints(documents(spark, sf_dir), whole=True)
 
 
 def op9_markov_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
