@@ -86,3 +86,22 @@ def test_odd_rows(spark):
     assert len(got) == 6
     assert [r.depth for r in sorted((r for r in got if r.conv_id == 2), key=lambda r: r.turn)] == [0, 1, 1, 2]
     assert Q.link(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_query_links_parts_of_paragraphs_and_other_conversations(spark, tmp_path):
+    from vialflow.llm.queries import op2_quotation_links
+    rows = [(1, 0, "u", "First line here\nSecond line here\nThird one"), (1, 1, "u", "other"), (1, 2, "u", "> Second line here\n\nI agree"),
+            (1, 3, "u", "> First line here\nyes\n> Third one\n\n> never said"),
+            (2, 0, "u", "Alpha beta gamma. Delta epsilon\nzeta eta. Theta iota."), (2, 1, "u", "x"), (2, 2, "u", "> Delta\n> epsilon zeta eta.\nno"),
+            (3, 0, "u", "> Said by many"), (3, 1, "u", "Said by many"), (4, 5, "u", "so\nSaid by many"), (5, 1, "u", "Said by many"),
+            (6, 0, "u", "Thanks.\nThe long passage of this text."), (6, 1, "u", "Thanks."), (6, 2, "u", "> Thanks.\n> The long passage of this text.\n> changed"),
+            (None, 1, "u", "> a\n> b")]
+    spark.createDataFrame(rows, SCHEMA).write.parquet(f"{tmp_path}/conversations.parquet")
+    got = {(r.conv_id, r.turn): (r.n_quotes, r.n_linked, r.parent_turn, r.quoted_conv, r.quoted_turn) for r in op2_quotation_links(spark, str(tmp_path)).collect()}
+    assert len(got) == len(rows)
+    assert got[1, 2] == (1, 1, 0, 1, 0)
+    assert got[1, 3] == (3, 2, 0, 1, 0)
+    assert got[2, 2] == (1, 1, 0, 2, 0)
+    assert got[3, 0] == (1, 1, None, 4, 5)
+    assert got[6, 2] == (1, 1, 0, 6, 0)      # the longest passage decides
+    assert got[None, 1] == (1, 0, None, None, None)

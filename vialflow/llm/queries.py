@@ -25,7 +25,7 @@ def op1_training_order(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_quotation_links(spark: SparkSession, sf_dir: str) -> DataFrame:
     ship_package(spark)
-    return link(table(spark, sf_dir, "conversations"))
+    return link(table(spark, sf_dir, "conversations"), whole=True)
 
 
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
