@@ -15,9 +15,8 @@ def spark():
     from vialflow.session import get_session
     s = get_session("local[4]", app="vialflow-tests", shuffle_partitions=8,
                     extra={"spark.driver.memory": "8g",
+                           "spark.checkpoint.dir": tempfile.mkdtemp(prefix="vialflow-test-ckpt-"),
                            "spark.sql.warehouse.dir": tempfile.mkdtemp(prefix="vialflow-test-wh-")})
-    if not s.conf.get("spark.checkpoint.dir", None):
-        s.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="vialflow-test-ckpt-"))
     yield s
 
 

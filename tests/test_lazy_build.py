@@ -4,7 +4,7 @@ import pytest
 
 from conftest import SF0001
 
-EAGER = ("forest", "kmeans", "silhouette", "child_dim", "audit_contracts", "feature_table", "one_hot", "fact_sample")
+EAGER = ("forest", "kmeans", "silhouette", "audit_contracts", "feature_table", "one_hot", "fact_sample")
 
 
 def test_relational_queries_build_without_jobs(spark, queries):
@@ -18,7 +18,7 @@ def test_relational_queries_build_without_jobs(spark, queries):
     assert not found
 
 
-@pytest.mark.parametrize("name", ["child_dims"])
+@pytest.mark.parametrize("name", ["feature_table"])
 def test_eager_work_is_counted(spark, queries, name):
     from vialflow.plans.explain import jobs_while_built
     assert jobs_while_built(spark, lambda: queries[name](spark, SF0001))[1] > 0

@@ -3,95 +3,83 @@
 ``ROW_NUMBER() OVER (PARTITION BY g ORDER BY o)`` is planned by Spark as a shuffle on ``g``
 followed by a sort: every row of a group lands in one task. With a handful of classes
 (three severity levels) or no group at all (surrogate keys) that is one to three tasks
-for the whole table. Here the rows are range-partitioned on (g, o) instead, so a large
-group spans many partitions; each task numbers its own rows, a tiny table of per-
-partition counts gives each partition its starting offset, and the offsets are
-broadcast back. Exact, deterministic for a total order, and skew-free.
+for the whole table. Here rows are cut into ranges of (g, o): the sum over a range is a
+window of its own and the ranges before it add an offset. Everything is one lazy plan of
+built-in expressions; nothing is written, and no Python runs.
 """
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
-from ..session import checkpoint_dir
 from .joins import join_small
 
-
-def _same(a, b) -> bool:
-    return all((x == y) or (x != x and y != y) or (x is None and y is None) for x, y in zip(a, b))
-
-
-def _local_numbering(group_cols: list[str]):
-    """Number rows inside one sorted partition; groups are contiguous, so only the last
-    group of a batch can continue into the next batch."""
-    def number(batches):
-        import numpy as np
-        from pyspark import TaskContext
-
-        pid = TaskContext.get().partitionId()
-        prev_key, prev_n = None, 0
-        for pdf in batches:
-            if len(pdf) == 0:
-                continue
-            if group_cols:
-                cur = pdf[group_cols].reset_index(drop=True)
-                prev = cur.shift()
-                same = ((cur == prev) | (cur.isna() & prev.isna())).all(axis=1)
-                same.iloc[0] = False
-                block = (~same).cumsum()
-                local = (cur.groupby(block).cumcount() + 1).to_numpy(dtype="int64")
-                if prev_key is not None and _same(tuple(cur.iloc[0]), prev_key):
-                    local[(block == 1).to_numpy()] += prev_n
-                prev_key, prev_n = tuple(cur.iloc[-1]), int(local[-1])
-            else:
-                local = np.arange(prev_n + 1, prev_n + 1 + len(pdf), dtype="int64")
-                prev_n += len(pdf)
-            yield pdf.assign(_pid=pid, _local=local)
-    return number
+SAMPLE_PER_RANGE = 40   # sampled keys for each range; they decide only where ranges are cut
+COPIES = 4096           # copies of one row that a task writes out at once
+
+
+def with_range(df: DataFrame, sample: DataFrame, ranges: int, out: str = "r") -> DataFrame:
+    """``df`` with the range (0 .. ranges - 1, ascending with its column ``k``) of each row. The
+    splitters are every n-th key of a bounded sample (``key_sample``), read by the plan itself
+    as a scalar subquery, so the plan does not grow with them; the look-up takes two levels
+    of about sqrt(ranges) comparisons."""
+    if ranges <= 1:
+        return df.withColumn(out, F.lit(0))
+    step = max(1, int(ranges ** 0.5))
+    keys = sample.agg(F.sort_array(F.collect_list("k")).alias("ks"))
+    # splitter i stands at i * size / ranges of the sorted sample
+    at = F.transform(F.sequence(F.lit(1), F.lit(ranges - 1)), lambda i: F.element_at(
+        "ks", F.floor(i * F.size("ks") / ranges).cast("int") + 1))
+    cut = keys.select(F.when(F.size("ks") > 0, F.array_distinct(at)).otherwise(F.slice("ks", 1, 0)).alias("cut"))
+    blocks = cut.select(F.transform(
+        F.filter(F.sequence(F.lit(0), F.lit(ranges), F.lit(step)), lambda i: i < F.size("cut")),
+        lambda i: F.slice("cut", i + 1, step)).alias("b"))
+    found = df.withColumn("_b", blocks.scalar())
+    found = found.withColumn("_top", F.size(F.filter("_b", lambda b: b[0] <= F.col("k"))))
+    inner = F.size(F.filter(F.get("_b", F.col("_top") - 1), lambda s: s <= F.col("k")))
+    # never null, so no null filter on the look-up moves below an aggregation
+    place = F.coalesce(F.when(F.col("_top") > 0, (F.col("_top") - 1) * step + inner), F.lit(0))
+    return found.withColumn(out, place).drop("_b", "_top")
+
+
+def key_sample(keys: DataFrame, rows: int) -> DataFrame:
+    """``rows`` keys (column ``k``) of the smallest hashes among distinct keys: the same keys
+    however the table is partitioned, so a recomputed task cuts the same ranges."""
+    return keys.orderBy(F.xxhash64("k"), "k").limit(rows)
 
 
 def row_number_by(df: DataFrame, order_cols: list[str], group_cols: list[str] | None = None,
                   out: str = "rn", partitions: int | None = None) -> DataFrame:
     """Add ``out`` = ROW_NUMBER() OVER (PARTITION BY group_cols ORDER BY order_cols).
 
-    ``order_cols`` should make the order total within a group (add a key); rows that tie
-    on every column are interchangeable, so the multiset of results is still fixed.
-    """
-    group_cols = list(group_cols or [])
-    # A last key unique per row: rows that tie on every order column (interchangeable for
-    # the result) still get distinct sort keys, so range partitioning can split a hot run
-    # of identical rows across partitions instead of sending it to one task.
-    df = df.withColumn("_tb", F.monotonically_increasing_id())
-    keys = [*group_cols, *order_cols, "_tb"]
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    ranged = df.repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-    schema = T.StructType(list(df.schema.fields) + [
-        T.StructField("_pid", T.IntegerType(), False), T.StructField("_local", T.LongType(), False)])
-    staged = ranged.mapInPandas(_local_numbering(group_cols), schema)
-    # The per-partition counts and the numbered rows must see the very same partitioning.
-    # Range bounds come from a sample whose rows depend on upstream fetch order, so a second
-    # evaluation (or a recomputation after a lost executor) could cut differently: write the
-    # numbered rows once to the shared checkpoint folder and read both branches from there.
-    checkpoint_dir(spark)
-    staged = staged.checkpoint(eager=True)
-
-    counts = staged.groupBy("_pid", *group_cols).agg(F.max("_local").alias("_n"))
-    w = Window.partitionBy(*group_cols).orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_pid", *group_cols, F.coalesce(F.sum("_n").over(w), F.lit(0)).alias("_off"))
-    # offsets hold (#partitions x #groups-per-partition) rows; null-safe key match
-    offsets = offsets.withColumnsRenamed({c: f"_o_{c}" for c in ["_pid", *group_cols]})
-    cond = [F.col("_pid") == F.col("_o__pid")] + [F.col(g).eqNullSafe(F.col(f"_o_{g}")) for g in group_cols]
-    joined = join_small(staged, offsets, reduce(lambda a, b: a & b, cond))
-    return joined.withColumn(out, F.col("_off") + F.col("_local")).drop(
-        "_pid", "_local", "_off", "_tb", "_o__pid", *[f"_o_{g}" for g in group_cols])
-
-
-def hash_order(key_cols: list[str], seed: int | str) -> "F.Column":
+    Rows that tie on every order column are ordered by the columns that are left, so the
+    result is the same in every run. Equal rows are counted before anything is sorted
+    (combined on the map side) and written out again in the end, so a row that fills a third
+    of the table is one row to the ranges."""
+    groups = list(group_cols or [])
+    order = [c for c in dict.fromkeys([*order_cols, *df.columns]) if c not in groups]
+    n = partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    packed = F.struct(*[F.col(f"`{c}`") for c in [*groups, *order]]).alias("k")
+    rows = df.select(packed).groupBy("k").agg(F.count(F.lit(1)).alias("c"))
+    rows = with_range(rows, key_sample(rows.select("k"), SAMPLE_PER_RANGE * n), n)
+    group = F.struct(*[F.col(f"k.`{c}`") for c in groups]) if groups else F.lit(0)
+    rows = rows.withColumn("g", group)
+    before = rows.groupBy("g", "r").agg(F.sum("c").alias("n"))      # ranges x groups inside them
+    w = Window.partitionBy("g").orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    before = before.select(F.col("g").alias("bg"), F.col("r").alias("br"), F.coalesce(F.sum("n").over(w), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("r", "g").orderBy("k").rowsBetween(Window.unboundedPreceding, -1)
+    placed = rows.withColumn("seen", F.coalesce(F.sum("c").over(inside), F.lit(0)))
+    placed = join_small(placed, before, (F.col("r") == F.col("br")) & F.col("g").eqNullSafe(F.col("bg")))
+    placed = placed.select("k", "c", (F.col("offset") + F.col("seen")).alias("seen"))
+    few = placed.filter(F.col("c") <= COPIES).select("k", F.explode(F.sequence(F.col("seen") + 1, F.col("seen") + F.col("c"))).alias("n"))
+    many = placed.filter(F.col("c") > COPIES).select("k", (F.col("seen") + F.col("c")).alias("last"), F.explode(
+        F.sequence(F.col("seen") + 1, F.col("seen") + F.col("c"), F.lit(COPIES))).alias("first")).repartition(n)
+    many = many.select("k", F.explode(F.sequence("first", F.least(F.col("first") + COPIES - 1, "last"))).alias("n"))
+    return few.unionByName(many).select(*[F.col(f"k.`{c}`").alias(c) for c in df.columns], F.col("n").alias(out))
+
+
+def hash_order(key_cols: list[str], seed: int | str) -> Column:
     """Repeatable pseudo-random order key: md5 of 'key:seed' (expressible in any SQL engine)."""
     parts = []
     for c in key_cols:

@@ -55,26 +55,20 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     d = spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
     if not d:
-        if not sc.master.startswith("local"):
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
             raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
         d = tempfile.mkdtemp(prefix="vialflow-ckpt-")
-        spark.conf.set("spark.checkpoint.dir", d)
     if sc.getCheckpointDir() is None:
         sc.setCheckpointDir(d)
     return d
 
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    """A path under the shared checkpoint folder for materialised intermediate tables."""
-    return os.path.join(checkpoint_dir(spark), name)
-
-
 _SHIPPED: set = set()
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make ``vialflow`` importable in the Python workers (the per-partition numbering and
-    the ANOVA helper run there): zip the package once and add it with ``addPyFile``, the
+    """Make ``vialflow`` importable in the Python workers (the ANOVA helper and the training-data
+    operators run there): zip the package once and add it with ``addPyFile``, the
     runtime equivalent of ``spark-submit --py-files``."""
     import zipfile
 
