@@ -6,9 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import ship_package
+from . import sql
 from .common import documents, table
 from .exact_dedup import content_sort
 from .jaccard_join import jaccard_components
+from .lexical_search import search
+from .merkle import audited
 from .packing import pack
 from .quotations import link
 from .sentence_pieces import encode
@@ -69,6 +72,14 @@ def op10_agenda(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode(documents(spark, sf_dir), tokenizer_path("piece_bpe_32k.model"), digests=True)
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return audited(documents(spark, sf_dir))
+
+
+def op12_term_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES = {
     "op1_training_order": op1_training_order,
     "op2_quotation_links": op2_quotation_links,
@@ -80,13 +91,12 @@ QUERIES = {
     "op8_closed_syncmers": op8_closed_syncmers,
     "op9_markov_urls": op9_markov_urls,
     "op10_agenda": op10_agenda,
+    "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_term_pipeline": op12_term_pipeline,
 }
 
 SQL = {
-    "op7_content_sort": r"""
-WITH d AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
-SELECT doc_id, min(doc_id) OVER g AS keep_id, count(*) OVER g AS group_size,
-       doc_id = min(doc_id) OVER g AS kept, sha256(t) AS text_sha256
-FROM d WINDOW g AS (PARTITION BY t)
-""",
+    "op7_content_sort": sql.CONTENT_SORT,
+    "op11_merkle_manifest": sql.MERKLE_MANIFEST,
+    "op12_term_pipeline": sql.LEXICAL_SEARCH,
 }
