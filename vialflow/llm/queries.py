@@ -11,6 +11,7 @@ from .common import documents, table
 from .exact_dedup import content_sort
 from .jaccard_join import jaccard_components
 from .lexical_search import search
+from .main_text import extract
 from .merkle import audited
 from .packing import pack
 from .quotations import link
@@ -80,6 +81,11 @@ def op12_term_pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
 
 
+def op13_cut_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ship_package(spark)
+    return extract(table(spark, sf_dir, "pages"))
+
+
 QUERIES = {
     "op1_training_order": op1_training_order,
     "op2_quotation_links": op2_quotation_links,
@@ -93,6 +99,7 @@ QUERIES = {
     "op10_agenda": op10_agenda,
     "op11_merkle_manifest": op11_merkle_manifest,
     "op12_term_pipeline": op12_term_pipeline,
+    "op13_cut_extraction": op13_cut_extraction,
 }
 
 SQL = {
