@@ -4,6 +4,7 @@ import collections
 import random
 import re
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -64,6 +65,59 @@ def test_like_brute_force(spark, monkeypatch, small, deep, pairs, triples, k, p,
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == brute(rows, k, p, q)
 
 
+def one_group(n, seed=11):
+    """Near copies of one text as check tables have them: words left out, changed and added."""
+    r = random.Random(seed)
+    voc = [f"v{i}" for i in range(3000)]
+    base = [r.choice(voc) for _ in range(120)]
+    rows = []
+    for i in range(n):
+        t = list(base)
+        for _ in range(r.choice([1, 2, 2, 3, 3, 4, 6])):
+            at = r.randrange(len(t))
+            t[at:at + 1] = r.choice([[], [r.choice(voc)], [t[at], r.choice(voc)]])
+        rows.append((i, " ".join(t)))
+    return rows
+
+
+def labels_of_one_group(rows, k, p, q):
+    """Components from the whole matrix of common shingles."""
+    sets = [shingles(t, k) for _, t in rows]
+    often = [x for x, c in collections.Counter(x for s in sets for x in s).items() if c > 1]
+    at = {x: j for j, x in enumerate(often)}
+    m = np.zeros((len(rows), len(often)), np.float32)
+    for i, s in enumerate(sets):
+        m[i, [at[x] for x in s if x in at]] = 1
+    n = np.array([len(s) for s in sets])
+    both = (m @ m.T).round().astype(np.int64)
+    linked = q * both >= p * (n[:, None] + n[None, :] - both)
+    np.fill_diagonal(linked, True)
+    label = np.arange(len(rows))
+    while True:
+        new = np.where(linked, label[None, :], len(rows)).min(axis=1)
+        if (new == label).all():
+            return {rows[i][0]: (int(n[i]), rows[label[i]][0]) for i in range(len(rows))}
+        label = new
+
+
+def test_a_large_group_of_near_copies(spark, monkeypatch):
+    """Right classes, and compared pairs bounded by the number of texts."""
+    met, compared = [], J._compared
+
+    def counting(pairs, *args, **kw):
+        met.append(pairs.count())
+        return compared(pairs, *args, **kw)
+    monkeypatch.setattr(J, "_compared", counting)
+    pairs = {}
+    for n in (1000, 2000):
+        met.clear()
+        rows = one_group(n)
+        got = J.jaccard_components(spark.createDataFrame(rows, SCHEMA).repartition(4), 5, "0.8").collect()
+        assert {r.doc_id: (r.n_shingles, r.component_id) for r in got} == labels_of_one_group(rows, 5, 4, 5)
+        pairs[n] = sum(met)
+    assert all(v <= 20 * n for n, v in pairs.items())
+
+
 def test_documents_like_brute_force(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     rows = [(r.doc_id, r.text) for r in docs.collect()]

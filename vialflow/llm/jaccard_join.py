@@ -8,11 +8,18 @@ of two or three within a sub-class. Sets that share so many keys are compared.
 Scale. Frequency classes come from one counted pass over all documents (compressed blocks of
 32-bit hashes, one reducer per hash range). A key with many sets (one boilerplate passage, a
 large group of near copies) never emits its pairs: its sets are compared with one hub, and
-the join goes on over their *differences* from the hub, again by rarest-first prefixes. For
-sets x, y and a hub c, x differs from y exactly where their differences from c differ, so
-this finds every link; differences that are hot in turn get a hub of their own. Documents with
-equal sets are one node throughout. Links, nodes and sets stay distributed; the driver gets
-the frequency classes (at most MAX_FREQUENT) and a bitmap of candidate slots (at most 2**21).
+the join goes on over their *differences* from the hub. For sets x, y and a hub c, x differs
+from y exactly where their differences dx, dy from c differ. Call e the number (q + p) |dx| -
+(q - p) (|x| - |c|) for similarity p/q: x is not linked to c when e exceeds 2 (q - p) |c|, and
+x and y are similar when dx and dy share (e(x) + e(y) - 2 (q - p) |c|) / (2 (q + p)) tokens. Of
+two sets that are not connected through the hub anyway, the farther one is not linked to it.
+It looks for all tokens of its difference, under its e (a bucket as wide as one token); the
+nearer one is indexed for each bucket by the rarest tokens that the shared ones leave over.
+Tokens met once fill the front of every prefix and cannot be shared, so a set that differs by
+words of its own stands in no bucket at all, and candidates grow with the group. Differences that are hot in turn get a hub of their own; each
+such group lacks the hubs before it, so this ends. Documents with equal sets are one node
+throughout. Links, nodes and sets stay distributed; the driver gets the frequency classes (at
+most MAX_FREQUENT) and a bitmap of candidate slots (at most 2**21).
 
 Sets are compared by 64-bit hashes of their shingles.
 """
@@ -40,8 +47,7 @@ SUB = {2: 64, 3: 32}    # sub-classes of the combined classes
 SHARED = 3              # keys that two similar sets share at least (all, if they have fewer)
 COMBINED_FROM = 200     # smaller sets index single tokens only
 SMALL = 32              # a key with more sets goes through a hub
-DEEP = 256              # the same for keys of differences, which part their sets already
-LEVELS = 8
+DEEP = 128              # the same for keys of differences, which part their sets already
 BITMAP = 1 << 21
 ROWS = 2000             # texts hashed at once
 FLUSH = 4 << 20         # shingles counted at once in a task
@@ -65,18 +71,21 @@ def _narrow(k: int):
 
 
 def _counts_blocks(k: int, ranges: int):
-    """Blocks of sorted 32-bit hashes by hash range, one for each so many shingles."""
+    """Blocks of ascending 32-bit hashes, each with its count, by hash range, one for each so
+    many shingles: a shingle met in a third of the documents is one entry of a block."""
     def flush(got: list[np.ndarray]):
-        x = np.sort(np.concatenate(got))
+        x, n = np.unique(np.concatenate(got), return_counts=True)
         cut = np.searchsorted(x, [r * (1 << 32) // ranges for r in range(ranges + 1)])
-        key, blob = [], []
+        key, blob, counts = [], [], []
         for r in range(ranges):
             part = x[cut[r]:cut[r + 1]]
             if len(part):
                 step = np.diff(part, prepend=part[:1]).astype("<u4").view(np.uint8).reshape(-1, 4)
                 key.append(r)
                 blob.append(part[:1].astype("<u4").tobytes() + step.T.tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(blob, pa.binary())], ["r", "block"])
+                counts.append(n[cut[r]:cut[r + 1]].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+        return pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(blob, pa.binary()), pa.array(counts, pa.binary())],
+                                          ["r", "block", "counts"])
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, n, seen = [], 0, set()
@@ -94,18 +103,30 @@ def _counts_blocks(k: int, ranges: int):
     return run
 
 
+def _columns(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
+
+
 def _count_range(key, rows):
-    """Tokens of one hash range met at least twice, with the log2 of their frequency."""
-    parts = []
-    for blob in rows.column("block").to_pylist():
-        x = np.frombuffer(blob, np.uint8)
-        step = np.ascontiguousarray(x[4:].reshape(4, -1).T).view("<u4").ravel()
-        parts.append(np.cumsum(step, dtype=np.uint64).astype(np.uint32) + np.frombuffer(blob[:4], "<u4")[0])
-    x = np.sort(np.concatenate(parts))
-    at = np.flatnonzero(np.concatenate(([True], x[1:] != x[:-1])))
-    n = np.diff(np.append(at, len(x)))
-    often = n >= 2
-    return pa.table({"token": x[at[often]].astype(np.int64), "class": np.floor(np.log2(n[often])).astype(np.int32)})
+    """Tokens of one hash range met at least twice, with the log2 of their frequency. Counts are
+    summed as blocks come, so what is held is the range's distinct hashes and one block."""
+    token, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    waiting, size = [], 0
+    blocks = list(zip(rows.column("block"), rows.column("counts")))
+    for i, (blob, n) in enumerate(blocks):
+        blob = blob.as_py()
+        x = np.cumsum(_columns(blob[4:]), dtype=np.uint64).astype(np.uint32) + np.frombuffer(blob[:4], "<u4")[0]
+        waiting.append((x, _columns(n.as_py()).astype(np.int64)))
+        size += len(x)
+        if size >= max(FLUSH, len(token)) or i == len(blocks) - 1:
+            both = np.concatenate([token, *(w[0] for w in waiting)])
+            counts = np.concatenate([count, *(w[1] for w in waiting)])
+            token, at = np.unique(both, return_inverse=True)
+            count = np.zeros(len(token), np.int64)
+            np.add.at(count, at, counts)
+            waiting, size = [], 0
+    often = count >= 2
+    return pa.table({"token": token[often].astype(np.int64), "class": np.floor(np.log2(count[often])).astype(np.int32)})
 
 
 def _classes(docs: DataFrame, k: int) -> bytes:
@@ -113,7 +134,7 @@ def _classes(docs: DataFrame, k: int) -> bytes:
     slot: 16 MB whatever the corpus."""
     spark = docs.sparkSession
     ranges = max(64, 2 * partitions(spark))
-    blocks = docs.mapInArrow(_counts_blocks(k, ranges), "r int, block binary")
+    blocks = docs.mapInArrow(_counts_blocks(k, ranges), "r int, block binary, counts binary")
     often = stored(blocks.groupBy("r").applyInArrow(_count_range, "token long, class int"), "frequent")
     hist = dict(often.groupBy("class").count().collect())    # at most 32 rows
     low = next(c for c in range(1, 40) if sum(v for x, v in hist.items() if x >= c) <= MAX_FREQUENT)
@@ -198,38 +219,44 @@ def _compare(p: int, q: int, differences: bool):
     """Exact comparison of two sets; with their difference, deletions marked, on demand."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
-            linked, n, diff = [], [], []
+            linked, n, m, diff = [], [], [], []
             for x, y in zip(b.column("sa"), b.column("sb")):
                 x, y = np.frombuffer(x.as_buffer(), U), np.frombuffer(y.as_buffer(), U)
                 both = np.intersect1d(x, y, assume_unique=True)
                 i = len(both)
                 linked.append(q * i >= p * (len(x) + len(y) - i))
                 n.append(len(y))
+                m.append(len(x))
                 if differences:
                     plus = np.setdiff1d(y, both, assume_unique=True)
                     minus = words.mix(np.setdiff1d(x, both, assume_unique=True) ^ U(0xD1))
                     diff.append(np.concatenate([plus, minus]).view(np.int64))
-            cols = [b.column("a"), b.column("b"), pa.array(linked, pa.bool_()), pa.array(n, pa.int64())]
+            cols = [b.column("a"), b.column("b"), pa.array(linked, pa.bool_()), pa.array(n, pa.int64()), pa.array(m, pa.int64())]
             if differences:
                 at = np.cumsum([0, *(len(d) for d in diff)])
                 cols.append(pa.ListArray.from_arrays(pa.array(at, pa.int32()), pa.array(np.concatenate(diff) if diff else np.zeros(0, np.int64))))
-            yield pa.RecordBatch.from_arrays(cols, ["a", "b", "linked", "n", "diff"][:len(cols)])
+            yield pa.RecordBatch.from_arrays(cols, ["a", "b", "linked", "n", "m", "diff"][:len(cols)])
     return run
 
 
 def _compared(pairs: DataFrame, sets: DataFrame, p: int, q: int, differences: bool = False) -> DataFrame:
     got = pairs.join(sets.select(F.col("node").alias("a"), F.col("tokens").alias("sa")), "a")
     got = got.join(sets.select(F.col("node").alias("b"), F.col("tokens").alias("sb")), "b").select("a", "b", "sa", "sb")
-    return got.mapInArrow(_compare(p, q, differences), "a long, b long, linked boolean, n long" + ", diff array<long>" * differences)
+    return got.mapInArrow(_compare(p, q, differences), "a long, b long, linked boolean, n long, m long" + ", diff array<long>" * differences)
 
 
 def _pairs(members: DataFrame, p: int, q: int, shared: int) -> DataFrame:
     """Pairs that meet in at least ``shared`` of the given keys (all keys that sets of so few
-    tokens must share, if fewer), at least one of the two not linked to the hub."""
-    m = members.groupBy("key").agg(F.collect_list(F.struct("node", "n", "free")).alias("m")).filter(F.size("m") > 1)
-    pair = F.flatten(F.transform("m", lambda x: F.transform(
-        F.filter("m", lambda y: (x.node < y.node) & (x.free | y.free) & (q * F.least(x.n, y.n) >= p * F.greatest(x.n, y.n))),
-        lambda y: F.struct(x.node.alias("a"), y.node.alias("b"), F.least(x.n, y.n).alias("n")))))
+    tokens must share, if fewer): the nearer one to the hub has the key in its prefix, the
+    farther one is not linked to the hub, and both have as many tokens as they must share."""
+    m = members.groupBy("key").agg(F.collect_list(F.struct("node", "n", "e", "kept", "edge", "prefix", "free")).alias("m")).filter(F.size("m") > 1)
+
+    def meets(x, y):
+        enough = x.e + y.e - x.edge <= 2 * (q + p) * F.least(x.kept, y.kept)
+        return y.free & ((x.e < y.e) | ((x.e == y.e) & (x.node < y.node))) & enough & (q * F.least(x.n, y.n) >= p * F.greatest(x.n, y.n))
+
+    pair = F.flatten(F.transform(F.filter("m", lambda x: x.prefix), lambda x: F.transform(F.filter("m", lambda y: meets(x, y)), lambda y: F.struct(
+        F.least(x.node, y.node).alias("a"), F.greatest(x.node, y.node).alias("b"), F.least(x.n, y.n).alias("n")))))
     got = m.select(F.explode(pair).alias("x")).groupBy("x.a", "x.b", "x.n").agg(F.count(F.lit(1)).alias("times"))
     return got.filter(F.col("times") >= F.least(F.lit(shared), F.ceil(F.col("n") * p / q))).select("a", "b")
 
@@ -245,8 +272,9 @@ def links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame
     size = index.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
     members = stored(index.join(size.filter("m > 1"), "key").select("key", "node", "n").distinct(), "members")
     drop_stored(index)
-    members = members.withColumn("free", F.lit(True))
-    small, hot = _by_size(members, level=0)
+    # before there is a hub: one group, every set free and indexed by all its keys
+    members = members.withColumns({**{c: F.lit(0).cast("long") for c in ("e", "kept", "edge", "line")}, "prefix": F.lit(True), "free": F.lit(True)})
+    small, hot = _by_size(members, SMALL)
     pairs = stored(_pairs(small, p, q, SHARED), "pairs")
     hot = stored(hot, "hot")
     drop_stored(members)
@@ -259,11 +287,9 @@ def links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame
         F.first("tokens").alias("tokens")), "sets")
 
     found = [stored(_compared(pairs, sets, p, q).filter("linked").select("a", "b"), "links")]
-    level = 0
     while not hot.isEmpty():
-        level += 1
         members = stored(_hub_members(hot, sets, p, q, found), "members")
-        small, hot = _by_size(members, level)
+        small, hot = _by_size(members, DEEP)
         found.append(stored(_compared(_pairs(small, p, q, 1), sets, p, q).filter("linked").select("a", "b"), "links"))
         hot = stored(hot, "hot")
     out = found[0]
@@ -272,34 +298,44 @@ def links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame
     return nodes, out
 
 
-def _by_size(members: DataFrame, level: int) -> tuple[DataFrame, DataFrame]:
-    """Members of small and of hot keys; keys with one set or none that is free go. Differences
-    shrink from level to level; past LEVELS all keys count as small."""
-    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("free").alias("any")).filter("m > 1 and any")
-    joined = members.join(size.select("key", "m"), "key")
-    most = SMALL if level == 0 else DEEP if level < LEVELS else 1 << 60
+def _by_size(members: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
+    """Members of keys with at most ``most`` sets, and of the others; keys of one set go, and
+    keys that no set looks for or no prefix holds."""
+    size = members.groupBy("key").agg(F.count(F.lit(1)).alias("m"), F.max("free").alias("free"), F.max("prefix").alias("prefix"))
+    joined = members.join(size.filter("m > 1 and free and prefix").select("key", "m"), "key")
     return joined.filter(F.col("m") <= most).drop("m"), joined.filter(F.col("m") > most).drop("m")
 
 
 def _hub_members(hot: DataFrame, sets: DataFrame, p: int, q: int, found: list) -> DataFrame:
     """Compare the sets of each hot key with one hub; the members of the next level are
-    (hub, difference token) keys. Adds the links to the hubs to ``found``."""
-    deg = hot.filter("free").groupBy("node").agg(F.count(F.lit(1)).alias("deg"))
-    hub = hot.filter("free").join(deg, "node").groupBy("key").agg(
-        F.max_by("node", F.struct("deg", "node")).alias("a"))    # the set in most hot keys
-    pairs = hot.join(hub, "key").filter("a <> node").select("a", F.col("node").alias("b")).distinct()
-    got = stored(_compared(pairs, sets, p, q, differences=True), "hub")
+    (group, difference token) keys. A group is a line of hubs and lacks them all, so groups
+    shrink from level to level. Adds the links to the hubs to
+    ``found``."""
+    deg = hot.groupBy("line", "node").agg(F.countDistinct("key").alias("deg"))
+    hub = hot.join(deg, ["line", "node"]).groupBy("line", "key").agg(
+        F.max_by("node", F.struct("deg", -F.col("e"), "node")).alias("a"))    # the set in most hot keys
+    groups = stored(hot.join(hub, ["line", "key"]).filter("a <> node").select(
+        F.xxhash64("line", "a").alias("line"), "a", F.col("node").alias("b")).distinct(), "groups")
+    got = stored(_compared(groups.select("a", "b").distinct(), sets, p, q, differences=True), "hub")
     found.append(got.filter("linked").select("a", "b"))
-    a, b = q - p, q + p
-    size = F.size("diff").cast("long")
-    lost = F.floor((F.lit(a) * (F.col("n") + F.floor(F.lit(q) * F.col("n") / p))) / b) + 1
-    take = F.when(F.col("linked"), size - F.floor(F.lit(p) * size / b)).otherwise(F.least(size, lost)).cast("int")
-    tokens = got.select("a", "b", "n", "linked", take.alias("take"), F.explode("diff").alias("t"))
-    often = tokens.groupBy("a", "t").agg(F.count(F.lit(1)).alias("f"))
-    one = tokens.join(often, ["a", "t"]).groupBy("a", "b", "n", "linked", "take").agg(
-        F.array_sort(F.collect_list(F.struct("f", "t"))).alias("ts"))    # one set's difference
-    return one.select("a", "b", "n", "linked", F.explode(F.slice("ts", F.lit(1), F.col("take"))).alias("x")).filter("x.f > 1").select(
-        F.xxhash64("a", "x.t").alias("key"), F.col("b").alias("node"), "n", (~F.col("linked")).alias("free"))
+    got = groups.join(got, ["a", "b"]).withColumn("d", F.size("diff"))
+    # tokens met once cannot be shared; being the rarest, they fill the front of every prefix
+    tokens = got.select("line", "b", F.explode("diff").alias("t"))
+    often = tokens.groupBy("line", "t").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
+    kept = tokens.join(often, ["line", "t"]).groupBy("line", "b").agg(F.array_sort(F.collect_list(F.struct("f", "t"))).alias("ts"))
+    wide = q + p
+    one = got.select("line", "b", "n", "linked", (wide * F.col("d") - (q - p) * (F.col("n") - F.col("m"))).alias("e"),
+                     (2 * (q - p) * F.col("m")).alias("edge")).join(kept, ["line", "b"]).withColumn("kept", F.size("ts").cast("long"))
+    own = F.floor(F.col("e") / wide)
+    first = F.greatest(F.floor(F.col("edge") / wide), own)
+    last = F.floor((2 * wide * F.col("kept") + F.col("edge") - F.col("e")) / wide)
+    shared = F.greatest(F.floor(F.col("e") / (2 * wide)) + 1, F.ceil((F.col("bucket") * wide + F.col("e") - F.col("edge")) / (2 * wide)))
+    near = one.filter(last >= first).withColumn("bucket", F.explode(F.sequence(first, last)))
+    near = near.withColumn("x", F.explode(F.slice("ts", F.lit(1), F.greatest(F.lit(0), F.col("kept") - shared + 1).cast("int"))))
+    far = one.filter("not linked").withColumn("bucket", own).withColumn("x", F.explode("ts"))
+    both = near.withColumn("prefix", F.lit(True)).withColumn("free", F.lit(False)).unionByName(
+        far.withColumn("prefix", F.lit(False)).withColumn("free", F.lit(True)))
+    return both.select(F.xxhash64("line", "bucket", "x.t").alias("key"), F.col("b").alias("node"), "n", "e", "kept", "edge", "prefix", "free", "line")
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, similarity: Fraction | str = "0.8", id_col: str = "doc_id",
