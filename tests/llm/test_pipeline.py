@@ -3,6 +3,7 @@
 import re
 
 import public_tokenizers
+from pyspark.sql import functions as F
 
 import corpus_pipeline as C
 from test_exact_dedup import expected as exact
@@ -43,3 +44,26 @@ def test_stages(spark):
 def test_run(spark):
     out = C.run(spark, ROOT)
     assert out.count() > 0 and "sequence_id" in out.columns
+
+
+def test_columns_named_like_helpers(spark):
+    """Every stage but the last keeps further columns, whatever their names."""
+    docs = table(spark, ROOT, "documents").limit(40)
+    odd = ["_kept", "_keep_id", "_toxic_score", "_entities", "a.b", "row", "node", "key", "score", "h1"]
+    for c in odd:
+        docs = docs.withColumn(c, F.lit(c))
+    docs = stored(docs, "odd")
+    for name, stage in C.STAGES[:-1]:
+        out = stage(spark, docs, ROOT)
+        assert out.columns == docs.columns, name
+        assert all(r[c] == c for r in out.collect() for c in odd), name
+    assert stored(C.STAGES[-1][1](spark, docs, ROOT), "odd").count()
+
+
+def test_empty_tables_and_texts(spark):
+    docs = table(spark, ROOT, "documents")
+    for name, stage in C.STAGES:
+        assert stage(spark, docs.limit(0), ROOT).count() == 0, name
+    some = spark.createDataFrame([(10**9, None, "en", None, None), (10**9 + 2, "", None, "s", 0), (None, "a b", "en", "s", 3)], docs.schema)
+    for name, stage in C.STAGES[:-1]:
+        assert stage(spark, some, ROOT).count() == (2 if name == "exact_dedup" else 3), name

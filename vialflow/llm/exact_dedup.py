@@ -91,7 +91,7 @@ def _joined_ranges(r: DataFrame, id_col: str, carry: bool) -> DataFrame:
     size = F.coalesce("chain_size", "run_size")
     kept = (F.col("first") == 1) & ~F.coalesce("later", F.lit(False))
     if carry:
-        return r.select("row.*", keep.alias("_keep_id"), size.alias("_group_size"), kept.alias("_kept"),
+        return r.select("row", keep.alias("_keep_id"), size.alias("_group_size"), kept.alias("_kept"),
                         F.col("sha").alias("_text_sha256"))
     return r.select(F.col("id").alias(id_col), keep.alias("keep_id"), size.alias("group_size"), kept.alias("kept"),
                     F.col("sha").alias("text_sha256"))
@@ -99,5 +99,4 @@ def _joined_ranges(r: DataFrame, id_col: str, carry: bool) -> DataFrame:
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``docs`` with one row of each group of equal texts, all columns unchanged."""
-    return content_sort(docs, id_col, text_col, carry=True).filter("_kept").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    return content_sort(docs, id_col, text_col, carry=True).filter("_kept").select("row.*")

@@ -248,7 +248,5 @@ def with_surrogates(docs: DataFrame, text_col: str = "text", key: str = KEY, cou
     parts = F.split(text, ENTITY, -1)
     new = F.array_join(F.transform(parts, lambda x, i: F.concat(x, F.coalesce(F.get(F.col("new"), i), F.lit("")))), "")
     cols = [new.alias(c) if c == text_col else F.col(f"row.`{c}`").alias(c) for c in docs.columns]
-    out = hit.select(*cols, F.size("new").alias("_entities"))
-    rest = docs.filter(~has).select(*names, F.lit(0).alias("_entities"))
-    all_ = out.unionByName(rest)
-    return all_.withColumnRenamed("_entities", counts) if counts else all_.drop("_entities")
+    more = ([F.size("new").alias(counts)], [F.lit(0).alias(counts)]) if counts else ([], [])
+    return hit.select(*cols, *more[0]).unionByName(docs.filter(~has).select(*names, *more[1]))

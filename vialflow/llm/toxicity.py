@@ -17,6 +17,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import words
 from .common import stored
@@ -26,7 +27,7 @@ HEADS, TAIL = (3, 4, 5, 6), 4
 FIT_ROWS, FIT_CHARS = 4000, 60_000_000
 STEPS, BATCH, RATE, MET_IN = 600, 32, 0.08, 5
 BINS = 1000
-CALIBRATION_ROWS, MAX_LANGUAGES = 30, 1000
+POOLED_ROWS = 30        # weight of all languages' error rates in the threshold of each
 CALIBRATION_SHARE = 5   # one in so many labelled rows calibrates and is not fitted
 ROWS = 500              # texts scored at once
 
@@ -66,6 +67,8 @@ class Texts:
 
 
 class Model:
+    fitted = False      # both classes were there to fit to
+
     def __init__(self, seed: int = 11):
         g = np.random.default_rng(seed)
         self.table = g.normal(0, 0.1, (1 << BITS, DIM)).astype(np.float32)
@@ -188,6 +191,7 @@ def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: st
     model = Model()
     if 0 < y.sum() < len(y):
         model.fit(got.column("text").combine_chunks(), y)
+        model.fitted = True
         # the sample holds the classes in other shares than all labelled rows
         model.shift = float(np.log((1 - y.mean()) / y.mean()) - np.log(count[0] / count[1]))
     return model, known
@@ -209,36 +213,44 @@ def with_scores(docs: DataFrame, model: Model, text_col: str = "text", name: str
     return docs.mapInArrow(_scoring(shared, docs.columns, text_col, name), f"{fields}, `{name}` double")
 
 
-def thresholds(scored: DataFrame, known: DataFrame) -> dict[str, float]:
+def thresholds(scored: DataFrame, known: DataFrame) -> dict[str | None, float]:
     """By language, the score that parts its labelled rows with the fewest errors (the middle
     of the range that does). The errors are those of the calibrating rows, each class weighted
-    up to all labelled rows of the language. From counts by language, label and score bin;
-    languages with fewer than CALIBRATION_ROWS such rows, or with one class only, keep one half."""
+    up to all labelled rows of the language, and the error rates of all languages together
+    count like POOLED_ROWS further rows: a language with few labelled rows stays near the common
+    threshold, one with none has it (key None). From counts by language, label and score bin;
+    without calibrating rows of both classes all keep one half."""
     own = F.when(F.col("calibrates"), F.floor(F.col("score") * BINS))       # null: a row that only counts
-    bins = scored.join(known, "id").groupBy("lang", "toxic", own.alias("bin")).count()
-    large = bins.filter("bin is not null").groupBy("lang").agg(F.sum("count").alias("n")).filter(F.col("n") >= CALIBRATION_ROWS).orderBy(F.desc("n"), "lang").limit(MAX_LANGUAGES)
-    got = bins.join(F.broadcast(large), "lang").select("lang", "toxic", "bin", "count").collect()   # bounded by bins
-    table: dict[str, np.ndarray] = {}
-    every: dict[str, np.ndarray] = {}
+    got = scored.join(known, "id").groupBy("lang", "toxic", own.alias("bin")).count().collect()     # languages x bins
+    table: dict[str | None, np.ndarray] = {}
+    every: dict[str | None, np.ndarray] = {}
+    pooled, total = np.zeros((2, BINS + 2)), np.zeros(2)
     for lang, toxic, b, n in got:
         every.setdefault(lang, np.zeros(2))[toxic] += n
+        total[toxic] += n
         if b is not None:
             table.setdefault(lang, np.zeros((2, BINS + 2)))[toxic, int(b) + 1] += n
-    out = {}
+            pooled[toxic, int(b) + 1] += n
+    if not pooled.sum(1).all():
+        return {}
+
+    def least(c: np.ndarray) -> float:
+        wrong = np.cumsum(c[1]) + c[0].sum() - np.cumsum(c[0])     # with bins up to this one taken as clean
+        best = np.flatnonzero(wrong <= wrong.min() + 1e-6)
+        return float(np.clip(np.median(best) / BINS, 1 / BINS, 1))
+    common = pooled / pooled.sum(1, keepdims=True) * (total / total.sum())[:, None]
+    out = {None: least(common)}
     for lang, c in table.items():
-        if c[1].sum() and c[0].sum():
-            c = c / c.sum(1, keepdims=True) * every[lang][:, None]
-            wrong = np.cumsum(c[1]) + c[0].sum() - np.cumsum(c[0])     # with bins up to this one taken as clean
-            best = np.flatnonzero(wrong <= wrong.min() + 1e-6)
-            out[lang] = float(np.clip(np.median(best) / BINS, 1 / BINS, 1))
+        if lang is not None:
+            n = c.sum(1, keepdims=True)
+            out[lang] = least(POOLED_ROWS * common + c / np.maximum(n, 1) * every[lang][:, None])
     return out
 
 
 def threshold_of(lang: Column, by: dict[str, float]) -> Column:
-    if not by:
-        return F.lit(0.5)
-    pairs = [x for k, v in sorted(by.items()) for x in (F.lit(k), F.lit(v))]
-    return F.coalesce(F.try_element_at(F.create_map(*pairs), lang), F.lit(0.5))
+    common = F.lit(by.get(None, 0.5))
+    pairs = [x for k, v in sorted((k, v) for k, v in by.items() if k is not None) for x in (F.lit(k), F.lit(v))]
+    return F.coalesce(F.try_element_at(F.create_map(*pairs), lang), common) if pairs else common
 
 
 def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
@@ -246,7 +258,7 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """(doc_id, score, lang, threshold, flagged for every row; the model; the thresholds).
 
     Cases: null and empty texts get the score of a text without words; rows without doc_id
-    are scored and never held out; a null or rare language uses the threshold one half;
+    are scored and never held out; a language without labelled rows, or none, uses the common threshold;
     repeated rows score alike; empty tables give no rows and an untrained model; further
     columns are not read.
     """
@@ -262,8 +274,26 @@ def judge(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
 def drop_toxic(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text",
                lang_col: str = "lang") -> DataFrame:
     """``docs`` without the rows whose score reaches their language's threshold; the rows are
-    judged one by one, columns unchanged."""
-    _, model, by = judge(docs, labels, id_col, text_col, lang_col)
-    name = "_toxic_score"
-    kept = with_scores(docs, model, text_col, name).filter(F.col(name) < threshold_of(F.col(lang_col), by))
-    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
+    judged one by one, columns unchanged. Without labels of both classes nothing is rejected."""
+    model, known = fit(docs, labels, id_col, text_col)
+    if not model.fitted:
+        return docs
+    narrow = docs.select(F.col(f"`{id_col}`").cast("long").alias("id"), F.col(f"`{lang_col}`").cast("string").alias("lang"),
+                         F.col(f"`{text_col}`").cast("string").alias("text"))
+    labelled = with_scores(narrow.join(known.select("id"), "id", "left_semi"), model, name="score").drop("text")
+    by = thresholds(labelled, known)
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    at = docs.columns.index(text_col)
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    schema = T.StructType([*rows.schema.fields, T.StructField("score", T.DoubleType())])
+    scored = rows.mapInArrow(_scoring_rows(shared, at), schema)
+    return scored.filter(F.col("score") < threshold_of(F.col("row").getField(lang_col).cast("string"), by)).select("row.*")
+
+
+def _scoring_rows(model, at: int):
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        m = model.value
+        for b in it:
+            row = b.column(0)
+            yield pa.RecordBatch.from_arrays([row, pa.array(m.scores(row.flatten()[at].cast(pa.string())))], ["row", "score"])
+    return run
