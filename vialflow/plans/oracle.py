@@ -513,3 +513,21 @@ _CONTRACTED = ["severity_counts", "severity_by_year", "actor_state", "fatal_hour
 SQL["audit_contracts"] = "\nUNION ALL ".join(
     f"SELECT '{n}' AS consulta, '' AS faltan, NOT EXISTS ({SQL[n]}) AS vacia, EXISTS ({SQL[n]}) AS ok"
     for n in _CONTRACTED)
+
+# Two loads: early orders without the class that sorts first, then all.
+_APPEND = """
+WITH ev AS (SELECT o_orderkey AS id, CAST(o_orderdate AS DATE) AS fecha, o_orderstatus AS gravedad, o_orderpriority AS clase,
+    year(CAST(o_orderdate AS DATE)) < 1995 AND o_orderpriority <> '1-URGENT' AS temprano FROM orders),
+val AS (SELECT 'gravedad' AS dimension, gravedad AS descripcion, temprano FROM ev UNION ALL SELECT 'clase', clase, temprano FROM ev),
+seen AS (SELECT dimension, descripcion, CASE WHEN bool_or(temprano) THEN 1 ELSE 2 END AS lote FROM val
+    WHERE descripcion IS NOT NULL GROUP BY ALL),
+m AS (SELECT dimension, descripcion, lote, CAST(row_number() OVER (PARTITION BY dimension ORDER BY lote, descripcion) AS INTEGER) AS member_id FROM seen)
+"""
+SQL["append_members"] = _APPEND + """
+SELECT dimension, member_id, descripcion,
+  CASE WHEN dimension = 'gravedad' THEN CASE descripcion WHEN 'F' THEN 1 WHEN 'P' THEN 2 WHEN 'O' THEN 3 END END AS nivel, lote FROM m"""
+SQL["append_facts"] = _APPEND + """
+SELECT ev.id AS codigo_accidente, CAST(year(fecha) * 10000 + month(fecha) * 100 + day(fecha) AS INTEGER) AS fecha_id, g.member_id AS gravedad_id,
+  c.member_id AS clase_id, CAST(ev.id % 24 AS INTEGER) AS hora, CASE WHEN temprano THEN 1 ELSE 2 END AS lote
+FROM ev LEFT JOIN m c ON c.dimension = 'clase' AND c.descripcion = ev.clase
+LEFT JOIN m g ON g.dimension = 'gravedad' AND g.descripcion = ev.gravedad"""

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from ..functions.scalars import UNKNOWN_HOUR, UNKNOWN_HYPOTHESIS, UNKNOWN_VEHICLE
 from ..operators import audit
 from ..sources.tables import EventSource, open_source
-from . import star
+from . import load, star
 from .registry import query
 
 
@@ -83,6 +83,31 @@ def q_dim_localidad(spark, root):
     return star.dim_localidad(s)
 
 
+# ------------------------------------------------------------------ further batches
+def _two_batches(spark, root):
+    """The events in two loads: an early part without the class that sorts first, then all
+    events, old and new."""
+    ev = open_source(spark, root).events()
+    early = ev.where((F.col("anio") < 1995) & (F.col("clase") != F.lit("1-URGENT")))
+    members, fact = load.batch_of(early, None, None, 1)
+    more, rows = load.batch_of(ev, members, fact, 2)
+    return members, more, fact, rows
+
+
+@query("append_members")
+def q_append_members(spark, root):
+    """Keys given by the first load stay; members new in the second get the next ones."""
+    members, more, _, _ = _two_batches(spark, root)
+    return members.withColumn("lote", F.lit(1)).unionByName(more.withColumn("lote", F.lit(2)))
+
+
+@query("append_facts")
+def q_append_facts(spark, root):
+    """Events of the first load are left as they are; the second adds only those it lacks."""
+    _, _, fact, rows = _two_batches(spark, root)
+    return fact.unionByName(rows)
+
+
 # ------------------------------------------------------------------ audits
 # Each source names what it audits (tables and keys of its own layout).
 @query("audit_fk")
