@@ -106,3 +106,19 @@ def test_entry_contract(spark):
     assert set(sql) <= set(q)
     for name in ("table_counts", "severity_share", "folds"):
         assert q[name](spark, SF0001).count() >= 0
+
+
+def test_slots_without_the_vector_are_those_of_the_vector(spark):
+    """Also with 10^5 values: the slots are an offset and an index, whatever the vocabulary."""
+    from pyspark.ml.functions import vector_to_array
+    from pyspark.sql import functions as F
+    from vialflow.operators import ml
+    df = spark.range(60).select("id", F.when(F.col("id") % 7 > 0, F.concat(F.lit("a"), F.col("id") % 5)).alias("a"),
+                                F.concat(F.lit("b"), F.col("id") % 3).alias("b"), F.col("id").cast("double").alias("x"))
+    enc = ml.onehot_minmax_pipeline(["a", "b"], ["x"]).fit(df).transform(df)
+    rows = enc.select(ml.onehot_slots(enc, ["a", "b"]).alias("s"), vector_to_array("features").alias("v")).collect()
+    assert all(r.s == [i for i, v in enumerate(r.v[:-1]) if v == 1.0] for r in rows) and {len(r.s) for r in rows} == {1, 2}
+    wide = spark.range(100_000).select("id", F.concat(F.lit("a"), F.col("id")).alias("a"), F.lit("b").alias("b"), F.lit(1.0).alias("x"))
+    enc = ml.onehot_minmax_pipeline(["a", "b"], ["x"]).fit(wide).transform(wide)
+    got = enc.select(ml.onehot_slots(enc, ["a", "b"]).alias("s")).agg(F.count_distinct(F.col("s")[0]), F.min(F.col("s")[1])).first()
+    assert tuple(got) == (100_000, 100_000)

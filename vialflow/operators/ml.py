@@ -234,6 +234,18 @@ def onehot_minmax_pipeline(cat_cols: list[str], num_cols: list[str]) -> Pipeline
     return Pipeline(stages=[idx, oh, imp, num, mm, asm])
 
 
+def onehot_slots(encoded: DataFrame, cat_cols: list[str]):
+    """The active slots of a row, ascending: each category's offset plus its index, without the
+    vector, so a row's work does not grow with the vocabulary. A missing value has no slot.
+    Sizes come from the encoded columns' own metadata."""
+    slots, offset = [], 0
+    for c in cat_cols:
+        size = encoded.schema[f"{c}_oh"].metadata["ml_attr"]["num_attrs"]
+        slots.append(F.when(F.col(f"{c}_i") < size, F.lit(offset) + F.col(f"{c}_i").cast("long")))
+        offset += size
+    return F.array_compact(F.array(*slots))
+
+
 # ------------------------------------------------------------------ k-means
 def kmeans_pipeline(cat_cols: list[str], num_cols: list[str], k: int = 5, seed: int = 42,
                     max_iter: int = 20) -> Pipeline:

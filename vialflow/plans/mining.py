@@ -197,6 +197,8 @@ def _encoded(spark, root, sampled: bool = False) -> DataFrame:
         ft = _sample(spark, root) if sampled else feature_rows(open_source(spark, root))
         # an empty category text is a missing value, as in the mining table's domain
         smp = ft.select(*[F.when(F.col(c) == "", None).otherwise(F.col(c)).alias(c) if c in MINING_CATS else c for c in ft.columns])
+        # the three fits and the encoding read the joined rows once
+        smp = _MODELS[_key(spark, root, f"{k[-1]} input")] = smp.persist(StorageLevel.MEMORY_AND_DISK)
         _MODELS[k] = ml.onehot_minmax_pipeline(MINING_CATS, MINING_NUMS).fit(smp).transform(smp) \
             .persist(StorageLevel.MEMORY_AND_DISK)
     return _MODELS[k]
@@ -236,15 +238,9 @@ def q_stratified_sample(spark, root):
 def q_one_hot_minmax(spark, root, sampled: bool = False):
     """M18 + M19: positions of the active one-hot slots and the [0, 1]-scaled numbers."""
     enc = _encoded(spark, root, sampled)
-    arr = vector_to_array("features")
-    n_num = len(MINING_NUMS)
-    size = F.size(arr)
-    pos = F.filter(F.transform(F.sequence(F.lit(0), size - n_num - 1),
-                               lambda i: F.when(F.element_at(arr, i + 1) == 1.0, i).otherwise(-1)),
-                   lambda i: i >= 0)
-    return enc.select("codigo_accidente",
-                      F.array_join(pos, "|").alias("onehot"),
-                      *[F.element_at(arr, size - n_num + 1 + j).alias(f"{c}_mm") for j, c in enumerate(MINING_NUMS)])
+    scaled = vector_to_array("_num_mm")
+    return enc.select("codigo_accidente", F.array_join(ml.onehot_slots(enc, MINING_CATS), "|").alias("onehot"),
+                      *[F.element_at(scaled, j + 1).alias(f"{c}_mm") for j, c in enumerate(MINING_NUMS)])
 
 
 @query("kmeans_sweep")
