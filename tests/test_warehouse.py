@@ -112,3 +112,22 @@ def test_auc_is_exact(spark):
     pts = [r for r in roc_points(df, ["n", "p"]).collect() if r.clase == "p"]
     assert (pts[0].tpr, pts[0].fpr) == (0.0, 0.0) and (pts[-1].tpr, pts[-1].fpr) == (1.0, 1.0)
     assert len(pts) == len({r[2][1] for r in rows}) + 1
+
+
+def test_cached_view_is_as_old_as_its_files(spark, queries):
+    """A file appended to a table shows in the next query; unchanged files keep the cache."""
+    import shutil
+    from vialflow.plans import warehouse
+    root = tempfile.mkdtemp(prefix="vialflow-files-")
+    for t in ("region", "nation", "customer", "part", "lineitem"):
+        shutil.copy(f"{SF0001}/{t}.parquet", root)
+    os.mkdir(f"{root}/orders.parquet")
+    shutil.copy(f"{SF0001}/orders.parquet", f"{root}/orders.parquet/a.parquet")
+    n = warehouse.analysis_view(spark, root).count()
+    kept = warehouse.analysis_view(spark, root)
+    assert kept is warehouse.analysis_view(spark, root)
+    more = spark.read.parquet(f"{SF0001}/orders.parquet").limit(7).withColumn("o_orderkey", F.col("o_orderkey") + 10**9)
+    more.coalesce(1).write.mode("append").parquet(f"{root}/orders.parquet")
+    assert warehouse.analysis_view(spark, root).count() == n + 7
+    share = queries["severity_share"](spark, root).collect()
+    assert sum(r.total for r in share) == n + 7

@@ -19,7 +19,7 @@ from ..operators.aggregates import (LEVEL_MEASURES, conditional_counts, count_by
 from ..operators.joins import join_small
 from ..operators.reshape import first_per_group, pivot_counts, sort_by_choice, top_k, unpivot_counts
 from ..sources.tables import EventSource, open_source
-from .registry import query
+from .registry import fresh, query
 
 MEASURES = ["total", *LEVEL_MEASURES.values()]
 
@@ -98,7 +98,7 @@ def _job_rollup(spark, root) -> DataFrame:
     about 5x faster than six separate aggregations at sf0.1. The result has one row per
     group (a few hundred at most) and is kept for the queries that read it."""
     from pyspark import StorageLevel
-    key = (spark.sparkContext.applicationId, root)
+    key = (fresh(spark, root), root)
     if key not in _ROLLUPS:
         s = open_source(spark, root)
         g = _view(spark, root).groupingSets([[k] for k in JOB_KEYS], *JOB_KEYS).agg(

@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from ..operators import ml
 from ..operators.joins import join_small
 from ..sources.tables import open_source
-from .registry import query
+from .registry import fresh, query
 from .warehouse import analysis_view, feature_rows
 
 # The feature sets of the batch job. Forest on 3 categories + 4 numbers; k-means on 4 numbers +
@@ -39,7 +39,7 @@ def _code(spark, root, level: int) -> str:
 
 
 def _key(spark, root, what):
-    return (spark.sparkContext.applicationId, root, what)
+    return (fresh(spark, root), root, what)
 
 
 def _flat(spark, root) -> DataFrame:

@@ -10,7 +10,7 @@ from ..functions.scalars import UNKNOWN_HOUR, UNKNOWN_HYPOTHESIS, UNKNOWN_VEHICL
 from ..operators import audit
 from ..sources.tables import EventSource, open_source
 from . import load, star
-from .registry import query
+from .registry import fresh, query
 
 
 def _arr_text(c: str):
@@ -162,7 +162,7 @@ def analysis_view(spark, root):
     disk) for the batch job's aggregates and models, as the reference caches its view.
     Lost blocks are rebuilt from lineage."""
     from pyspark import StorageLevel
-    key = (spark.sparkContext.applicationId, root)
+    key = (fresh(spark, root), root)
     if key not in _VIEWS:
         _VIEWS[key] = flat_events_df(open_source(spark, root)).persist(StorageLevel.MEMORY_AND_DISK)
     return _VIEWS[key]
