@@ -22,35 +22,36 @@ def rule(host, path):
 
 
 def symbols(t):
-    return [int(U._CLASS[b]) for b in t.encode()]
+    return [*t.encode(), U.END]
 
 
 class Plain:
     """The smoothed model, count by count."""
 
     def __init__(self, texts):
-        self.n = Counter()
+        self.n, self.total, self.kinds = Counter(), Counter(), Counter()
         for t in texts:
             c = symbols(t)
             for i in range(len(c)):
-                g = tuple([0] * max(0, U.ORDER - i) + c[max(0, i - U.ORDER):i + 1])
-                for k in range(U.ORDER + 1):
-                    self.n[g[U.ORDER - k:]] += 1
-        self.total, self.kinds = Counter(), Counter()
+                for k in range(min(i, U.LONGEST) + 1):
+                    self.n[tuple(c[i - k:i + 1])] += 1
         for g, n in self.n.items():
-            self.total[len(g), g[:-1]] += n
-            self.kinds[len(g), g[:-1]] += 1
+            self.total[g[:-1]] += n
+            self.kinds[g[:-1]] += 1
 
-    def p(self, g):
-        if not g:
-            return 1 / U.SYMBOLS
-        low = self.p(g[1:])
-        key = len(g), g[:-1]
-        return (self.n[g] + self.kinds[key] * low) / (self.total[key] + self.kinds[key]) if self.total[key] else low
+    def p(self, ctx, x):
+        low = self.p(ctx[1:], x) if ctx else 1 / U.SYMBOLS
+        if self.total[ctx] < U.MIN_SEEN:
+            return low
+        return (self.n[(*ctx, x)] + self.kinds[ctx] * low) / (self.total[ctx] + self.kinds[ctx])
 
     def log(self, t):
         c = symbols(t)
-        return sum(math.log(self.p(tuple([0] * max(0, U.ORDER - i) + c[max(0, i - U.ORDER):i + 1]))) for i in range(len(c)))
+        return sum(math.log(self.p(tuple(c[max(0, i - U.LONGEST):i]), c[i])) for i in range(len(c)))
+
+
+def ratio(a, b, t):
+    return (a.log(t) - b.log(t)) / (len(t.encode()) + 1) if t else 0
 
 
 def test_like_plain_python(spark):
@@ -65,14 +66,12 @@ def test_like_plain_python(spark):
         r, v = rule(h, p)
         assert (got[i].host, got[i].path, got[i].rule) == (h, p, r), u
         if v:
-            (good if v == "allow" else bad).append(h + p)
+            (good if v == "allow" else bad).append(u)
             assert got[i].verdict == v and got[i].score is None
     a, b = Plain(good), Plain(bad)
     for i, u in rows[::7] + odd:
         if got[i].rule is None:
-            t = got[i].host + got[i].path
-            want = (a.log(t) - b.log(t)) / max(1, len(t.encode()))
-            assert abs(got[i].score - want) < 1e-4
+            assert abs(got[i].score - ratio(a, b, u or "")) < 1e-4
             assert got[i].verdict == ("allow" if got[i].score >= got[i].threshold else "block")
 
 
@@ -96,10 +95,23 @@ def test_query_reads_whole_urls(spark, tmp_path):
     got = {r.page_id: r for r in op9_markov_urls(spark, str(tmp_path)).collect()}
     a, b = Plain([u for i, u in rows if i < 1000]), Plain([u for i, u in rows if i >= 1000])
     for i, u in odd:
-        t = u or ""
-        assert abs(got[i].score - (a.log(t) - b.log(t)) / max(1, len(t.encode()))) < 1e-4
+        assert abs(got[i].score - ratio(a, b, u or "")) < 1e-4
         assert got[i].rule is None and got[i].verdict == ("allow" if got[i].score >= got[i].threshold else "block")
     assert (got[5000].host, got[5000].path) == (got[5001].host, got[5001].path) == ("s1.info", "/p")
     assert (got[5000].verdict, got[5001].verdict) == ("allow", "block")
     assert got[5002].score > got[5003].score and (got[5002].host, got[5002].path) == ("", "")
     assert got[5004].score == got[5005].score == 0
+
+
+def test_contexts_grow_with_the_evidence(spark, monkeypatch):
+    monkeypatch.setattr(U, "BLOCK_BYTES", 200)
+    rows = [(i, f"http://s{i % 9}.example.net/en/x?id=1{i % 13}") for i in range(300)] + [(1000 + i, f"http://s{i % 9}.net/en/x?id=9{i % 13}") for i in range(300)]
+    # the same bytes in another order: only contexts beyond three bytes part them
+    rows += [(2000 + i, f"http://s{i % 9}.example.net/en/abcdeX") for i in range(60)] + [(3000 + i, f"http://s{i % 9}.net/en/ubcdeX") for i in range(60)]
+    rows += [(4000 + i, f"http://s{i % 9}.example.net/en/ubcdeY") for i in range(60)] + [(5000 + i, f"http://s{i % 9}.net/en/abcdeY") for i in range(60)]
+    odd = [(9000, "http://s1.info/x?id=1"), (9001, "http://s1.info/x?id=9"), (9002, "q abcdeX"), (9003, "q abcdeY"), (9004, "é" * 70000)]
+    got = {r.page_id: r.score for r in U.judge(spark.createDataFrame(rows + odd, SCHEMA).repartition(4)).collect()}
+    a, b = Plain([u for i, u in rows if ".example.net/" in u]), Plain([u for i, u in rows if ".example.net/" not in u])
+    for i, u in odd:
+        assert abs(got[i] - ratio(a, b, u)) < 1e-4
+    assert got[9000] > got[9001] and got[9002] > got[9003]
