@@ -85,9 +85,9 @@ def test_audit_operators(spark):
     assert (u.claves_repetidas, u.filas_sobrantes) == (1, 1)
     nn = {r.columna: r.nulos for r in audit.not_null([("c", c, ["fk", "id"])]).collect()}
     assert nn == {"fk": 1, "id": 0}
-    assert audit.output_contract(c, ["fk", "id"])["ok"]
-    assert audit.output_contract(c.limit(0), ["fk"])["empty"]
-    assert audit.output_contract(c, ["x"])["missing"] == ["x"]
+    assert audit.output_contract("q", c, ["fk", "id"]).first() == ("q", "", False, True)
+    assert audit.output_contract("q", c.limit(0), ["fk"]).first() == ("q", "", True, False)
+    assert audit.output_contract("q", c, ["x", "fk"]).first() == ("q", "x", False, False)
 
 
 def test_locale_aware_name_sort(spark):
@@ -174,3 +174,16 @@ def test_first_per_key_keeps_first_ingested_row(spark):
     assert got == {1: "b", 2: "c", 3: "e", 7: "x0"}
     forced = {r.k: r.v for r in first_per_key(df.repartition(3), "k", ["ord"]).collect()}
     assert forced == got                                         # the all-rows path agrees
+
+
+def test_gather_in_order_keeps_a_huge_event(spark):
+    from vialflow.operators.reshape import gather_in_order
+    n = 1_000_000
+    rows = spark.range(n).select(F.lit(7).alias("k"), (n - 1 - F.col("id")).alias("pos"), F.col("id").cast("string").alias("v"))
+    rows = rows.unionByName(spark.createDataFrame([(8, 2, "b"), (8, 1, None), (8, 5000, "c"), (9, None, "x")], "k int, pos long, v string"))
+    out = gather_in_order(rows, "k", ["pos"], ["v"])
+    got = out.select("k", F.size("hijos").alias("n"), F.get("hijos", 0)["v"].alias("a"), F.get("hijos", F.size("hijos") - 1)["v"].alias("z"),
+                     F.when(F.size("hijos") < 9, F.col("hijos.v")).alias("all")).orderBy("k").collect()
+    assert [tuple(r) for r in got] == [(7, n, str(n - 1), "0", None), (8, 3, None, "c", [None, "b", "c"]), (9, 1, "x", "x", ["x"])]
+    whole = out.filter("k = 7").select(F.expr("forall(transform(hijos, (x, i) -> x.v = cast(999999 - i as string)), y -> y)")).first()[0]
+    assert whole

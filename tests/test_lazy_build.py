@@ -4,7 +4,7 @@ import pytest
 
 from conftest import SF0001
 
-EAGER = ("forest", "kmeans", "silhouette", "audit_contracts", "feature_table", "one_hot", "fact_sample")
+EAGER = ("forest", "kmeans", "silhouette", "feature_table", "one_hot", "fact_sample")
 
 
 def test_relational_queries_build_without_jobs(spark, queries):

@@ -142,7 +142,12 @@ def test_star_on_nested(spark, src):
     fa = by_code(star.fact_arrays(src), "codigo_accidente")
     assert fa[4].localidad == 0 and fa[4].hipotesis == [] and fa[4].gravedad_nivel == 3
     assert fa[6].gravedad_nivel == 0                              # P8 level default
-    assert fa[12].vehiculos_clase == ["AUTOMOVIL:2"]              # bag kept with multiplicity
+    assert {fa[i].gravedad for i in (6, 7, 8)} == {"Desconocida"}  # neither missing nor unlisted severities have a member
+    members = star.dim_members(src).where("dimension = 'gravedad'").collect()
+    assert {(r.descripcion, r.nivel) for r in members} == {("Con Muertos", 1), ("Con Heridos", 2), ("Solo Daños", 3)}
+    assert fa[12].vehiculos_clase == ["AUTOMOVIL", "AUTOMOVIL"] and fa[12].hipotesis == ["H2"]
+    assert fa[1].vehiculos_clase == ["AUTOMOVIL", "MOTO", "BUS"]  # source order, later records behind
+    assert fa[1].direccion == "Calle 1" and "sexo" in star.bridge_actor(src, star.dim_members(src)).columns
     assert fa[1].hipotesis == ["H1", "H2", "H4"]
     cal = star.dim_calendar(src).where(F.col("fecha") == F.lit("2016-01-05").cast("date")).first()
     assert cal.nombre_mes == "Enero" and cal.dia_semana == "Martes" and cal.dia_semana_num == 1

@@ -25,7 +25,40 @@ def test_write_replace_and_ingest(spark, queries):
     replace_table(spark, trend, "vialflow_t")
     replace_table(spark, trend.limit(2), "vialflow_t")
     assert spark.table("vialflow_t").count() == 2
-    spark.sql("DROP TABLE vialflow_t")
+    spark.sql("DROP VIEW vialflow_t")
+
+
+def test_replace_is_one_step(spark, monkeypatch):
+    from pyspark.sql import functions as F
+    from vialflow.sources.sinks import drop_versions, replace_table
+    rows = spark.range(6).select((F.col("id") % 2).cast("string").alias("part"), F.col("id").alias("v"))
+    replace_table(spark, rows, "vialflow_r", ["part"])
+    reader = spark.table("vialflow_r")
+    # a build that fails in the middle, and one that is stopped before the switch
+    bad = rows.withColumn("v", F.when(F.col("v") < 5, F.col("v")).otherwise(F.raise_error("broken")))
+    try:
+        replace_table(spark, bad, "vialflow_r", ["part"])
+    except Exception as e:
+        assert "broken" in str(e)
+    statements = []
+    monkeypatch.setattr(type(spark), "sql", lambda self, q, *a, **k: statements.append((q, self.table("vialflow_r").count())))
+    replace_table(spark, rows.filter("v > 3").withColumn("w", F.lit(1)), "vialflow_r", ["part"])
+    monkeypatch.undo()
+    assert len(statements) == 1 and statements[0][1] == 6         # whole new version, old rows until the one switch
+    assert spark.table("vialflow_r").count() == 6
+    spark.sql(statements[0][0])
+    got = spark.table("vialflow_r")
+    assert got.columns == ["part", "v", "w"] and got.schema["part"].dataType.simpleString() == "string" and got.count() == 2
+    assert reader.count() == 6
+    assert drop_versions(spark, "vialflow_r") >= 1 and spark.table("vialflow_r").count() == 2
+    spark.range(1).write.mode("overwrite").saveAsTable("vialflow_plain")
+    try:
+        replace_table(spark, rows, "vialflow_plain")
+        raise AssertionError("a table was replaced")
+    except ValueError:
+        pass
+    spark.sql("DROP TABLE vialflow_plain")
+    spark.sql("DROP VIEW vialflow_r")
 
 
 def test_report_document_and_named_counts(spark, queries):

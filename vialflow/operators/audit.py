@@ -52,10 +52,10 @@ def row_counts(tables: list[tuple[str, DataFrame]]) -> DataFrame:
     return reduce(DataFrame.unionByName, parts)
 
 
-def output_contract(df: DataFrame, required: list[str]) -> dict:
-    """A5: required columns present and at least one row (the reference's smoke check).
-
-    Returns a plain dict; ``isEmpty`` reads at most one row."""
-    missing = sorted(set(required) - set(df.columns))
-    empty = df.isEmpty()
-    return {"missing": missing, "empty": empty, "ok": not missing and not empty}
+def output_contract(name: str, df: DataFrame, required: list[str]) -> DataFrame:
+    """One row (consulta, faltan, vacia, ok): the required columns that the analysed plan
+    does not have, and whether there is no row (one row is read). Building it runs nothing."""
+    missing = ",".join(sorted(set(required) - set(df.columns)))
+    empty = df.select(F.lit(1)).limit(1).agg((F.count(F.lit(1)) == 0).alias("vacia"))
+    return empty.select(F.lit(name).alias("consulta"), F.lit(missing).alias("faltan"), "vacia",
+                        (~F.col("vacia") & F.lit(not missing)).alias("ok"))

@@ -62,3 +62,17 @@ def sort_by_choice(df: DataFrame, column: str, descending: bool = True,
     if tie:
         order.append(F.col(tie).asc())
     return df.orderBy(*order)
+
+
+def gather_in_order(rows: DataFrame, key: str, order: list[str], values: list[str], out: str = "hijos",
+                    block: int = 4096) -> DataFrame:
+    """Per ``key`` one array of structs of ``values``, an element a row, in the order of
+    ``order`` (its last column is a position). Rows are gathered and sorted by block of
+    positions first, so the children of one huge event are sorted by many tasks and only laid
+    end to end at the last."""
+    place = F.struct(*order[:-1], F.floor(F.col(order[-1]) / block).alias("_b"))
+    parts = rows.groupBy(key, place.alias("_block")).agg(
+        F.array_sort(F.collect_list(F.struct(*order, *values))).alias("_rows"))
+    per = parts.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("_block", "_rows"))).alias("_parts"))
+    whole = F.flatten(F.transform("_parts", lambda p: p["_rows"]))
+    return per.select(key, F.transform(whole, lambda r: F.struct(*[r[v].alias(v) for v in values])).alias(out))

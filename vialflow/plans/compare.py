@@ -60,8 +60,9 @@ def compare(spark, name: str, root: str, con=None) -> dict:
     if not out["types_ok"]:
         out["types"] = (_types(got), _types(want))
     if not out["values_ok"] and out["names_ok"]:
-        diff_g = [r for r in g_rows if r not in set(w_rows)][:3]
-        diff_w = [r for r in w_rows if r not in set(g_rows)][:3]
+        g_set, w_set = set(g_rows), set(w_rows)
+        diff_g = [r for r in g_rows if r not in w_set][:3]
+        diff_w = [r for r in w_rows if r not in g_set][:3]
         out["diff"] = (diff_g, diff_w)
     if not out["names_ok"]:
         out["names"] = (g_names, w_names)

@@ -280,22 +280,23 @@ SELECT nombre, total, muertos, tasa, ratio,
 CTE["members"] = """members AS (
   SELECT dimension, CAST(ROW_NUMBER() OVER (PARTITION BY dimension ORDER BY descripcion) AS INTEGER) AS member_id,
          descripcion, nivel FROM (
-    SELECT DISTINCT 'gravedad' AS dimension, o_orderstatus AS descripcion,
-           CASE o_orderstatus WHEN 'F' THEN 1 WHEN 'P' THEN 2 WHEN 'O' THEN 3 END AS nivel FROM orders
+    SELECT 'gravedad' AS dimension, * FROM (VALUES ('F', 1), ('P', 2), ('O', 3)) l(descripcion, nivel)
     UNION SELECT DISTINCT 'clase', o_orderpriority, CAST(NULL AS INTEGER) FROM orders
     UNION SELECT DISTINCT 'hipotesis', p_brand, CAST(NULL AS INTEGER) FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)
     UNION SELECT DISTINCT 'vehiculo_clase', p_type, CAST(NULL AS INTEGER) FROM part WHERE p_partkey IN (SELECT l_partkey FROM lineitem)
     UNION SELECT DISTINCT 'condicion', l_linestatus, CAST(NULL AS INTEGER) FROM lineitem) m
-  WHERE descripcion IS NOT NULL)"""
+  WHERE descripcion <> '')"""
 CTE["fa"] = """fa AS (
-  SELECT ev.id AS codigo_accidente, ev.gravedad, COALESCE(ev.nivel, 0) AS gravedad_nivel, ev.clase,
-         COALESCE(c.c_nationkey, -1) AS localidad,
+  SELECT ev.id AS codigo_accidente, CASE WHEN ev.nivel IS NULL THEN 'Desconocida' ELSE ev.gravedad END AS gravedad, COALESCE(ev.nivel, 0) AS gravedad_nivel,
+         COALESCE(NULLIF(ev.clase, ''), 'Desconocida') AS clase, COALESCE(c.c_nationkey, -1) AS localidad,
          COALESCE(h.txt, '') AS hipotesis, COALESCE(v.txt, '') AS vehiculos_clase,
          COALESCE(k.num_vehiculos, 0) AS n_vehiculos, COALESCE(k.num_actores, 0) AS n_actores
   FROM ev LEFT JOIN customer c ON ev.cliente = c.c_custkey
-  LEFT JOIN (SELECT id, string_agg(hipotesis, '|' ORDER BY hipotesis) AS txt FROM hyp GROUP BY id) h ON ev.id = h.id
-  LEFT JOIN (SELECT id, string_agg(item, '|' ORDER BY item) AS txt FROM
-     (SELECT id, clase || ':' || CAST(COUNT(*) AS VARCHAR) AS item FROM veh GROUP BY id, clase) GROUP BY id) v ON ev.id = v.id
+  LEFT JOIN (SELECT id, string_agg(p_brand, '|' ORDER BY pos NULLS FIRST, p_brand) AS txt FROM
+     (SELECT l_orderkey AS id, p_brand, MIN(l_linenumber) AS pos FROM lineitem JOIN part ON l_partkey = p_partkey
+      WHERE p_brand IS NOT NULL GROUP BY ALL) GROUP BY id) h ON ev.id = h.id
+  LEFT JOIN (SELECT l_orderkey AS id, string_agg(p_type, '|' ORDER BY l_linenumber NULLS FIRST, p_brand NULLS FIRST, p_type) AS txt
+     FROM lineitem JOIN part ON l_partkey = p_partkey WHERE p_type IS NOT NULL GROUP BY ALL) v ON ev.id = v.id
   LEFT JOIN kids k ON ev.id = k.id)"""
 CTE["dl"] = """dl AS (
   SELECT d.localidad AS localidad_id, d.localidad AS codigo_localidad,

@@ -1,9 +1,9 @@
 """Star-schema build (D1-D9): calendar and member dimensions, the fact with foreign keys,
 bridges, child dimensions, the array-denormalised fact and the locality re-key.
 
-All steps are DataFrame functions; ``build_star`` writes them as one job graph. Dimension
-joins broadcast behind a row-count check; fact <-> child joins are shuffle joins on the
-event key, and every child is reduced per (event, value) before it meets the fact.
+All steps are DataFrame functions; ``build_star`` writes them as one job graph. Dimension joins
+carry no hints; fact <-> child joins are shuffle joins on the event key, and the children of an
+event are one row before they meet the fact.
 """
 
 from __future__ import annotations
@@ -19,7 +19,7 @@ from ..operators.joins import join_small
 from ..operators.ranking import row_number_by
 from ..sources.tables import EventSource
 
-UNKNOWN_PLACE = "Desconocida"
+UNKNOWN = "Desconocida"
 
 
 # ------------------------------------------------------------------ D1 calendar
@@ -36,19 +36,21 @@ def dim_calendar(s: EventSource) -> DataFrame:
 
 # ------------------------------------------------------------------ D2 member dimensions
 def dim_members(s: EventSource) -> DataFrame:
-    """Distinct members of each small dimension, numbered by value within the dimension.
+    """Members of each small dimension, numbered by value within the dimension: the source's
+    fixed severities with their levels, and the distinct values of the others but empty ones.
 
     The window is partitioned by dimension over *distinct* values only, so its size is the
     vocabulary, not the event count."""
     ev = s.events()
+    levels = F.array(*[F.struct(F.lit("gravedad").alias("dimension"), F.lit(k).alias("descripcion"), F.lit(v).alias("nivel"))
+                       for k, v in s.levels.items()])
     parts = [
-        ev.select(F.lit("gravedad").alias("dimension"), F.col("gravedad").alias("descripcion"),
-                  F.col("gravedad_nivel").alias("nivel")),
+        s.spark.range(1).select(F.inline(levels)),
         ev.select(F.lit("clase"), F.col("clase"), F.lit(None).cast("int")),
         *[s.member_values(d).select(F.lit(d), F.col("descripcion"), F.lit(None).cast("int"))
           for d in ("hipotesis", "vehiculo_clase", "condicion")],
     ]
-    members = reduce(DataFrame.union, parts).where(F.col("descripcion").isNotNull()).distinct()
+    members = reduce(DataFrame.union, parts).where(F.col("descripcion") != "").distinct()
     w = Window.partitionBy("dimension").orderBy("descripcion")
     return members.select("dimension", F.row_number().over(w).alias("member_id"), "descripcion", "nivel")
 
@@ -99,7 +101,7 @@ def bridge_actor(s: EventSource, members: DataFrame | None = None) -> DataFrame:
     members = members if members is not None else dim_members(s)
     a = s.actors()
     return join_small(a, members_of(members, "condicion", "condicion_id", "condicion"), "condicion") \
-        .select("codigo_accidente", "condicion_id", "estado")
+        .select("codigo_accidente", "condicion_id", "estado", *[c for c in ("sexo",) if c in a.columns])
 
 
 # ------------------------------------------------------------------ D7 child dimensions
@@ -126,36 +128,23 @@ def dim_vehicle(s: EventSource) -> DataFrame:
 
 
 # ------------------------------------------------------------------ D8 array fact
-def _per_event_values(df: DataFrame, value: str, with_counts: bool) -> DataFrame:
-    """Ordered per-event list. Values are reduced per (event, value) first, so a list is
-    bounded by the vocabulary; a bag keeps its multiplicity as value:count entries."""
-    g = df.groupBy("codigo_accidente", value).agg(F.count(F.lit(1)).alias("_n"))
-    item = F.concat(F.col(value), F.lit(":"), F.col("_n").cast("string")) if with_counts else F.col(value)
-    return g.groupBy("codigo_accidente").agg(F.array_sort(F.collect_list(item)).alias(value))
-
-
 def fact_arrays(s: EventSource, unknown_place: int | None = None, with_keys: bool = False) -> DataFrame:
-    """v3 fact: severity, class and place inline, hypothesis set and vehicle bag as arrays,
-    missing values coalesced (level 0, place ``unknown_place`` - the source's unknown code,
-    0 in the reference data, -1 for the driver tables where 0 is a real place - and empty
+    """v3 fact: severity, class and place inline, hypotheses and vehicle classes as arrays in
+    source order (one element a vehicle), the address where the source has one, missing values
+    coalesced (level 0, texts 'Desconocida', place ``unknown_place`` - the source's unknown
+    code, 0 in the reference data, -1 for the driver tables where 0 is a real place - and empty
     arrays)."""
     unknown_place = s.unknown_place if unknown_place is None else unknown_place
     ev = s.events().join(s.event_place(), "cliente", "left")
-    if hasattr(s, "child_profile"):
-        # all child lists and counts from one pass over the child rows
-        f = ev.join(s.child_profile(), "codigo_accidente", "left")
-    else:
-        hyp = _per_event_values(s.hypotheses(), "hipotesis", False)
-        veh = _per_event_values(s.vehicles(), "clase", True).withColumnRenamed("clase", "vehiculos_clase")
-        kids = s.child_summary().select("codigo_accidente", "num_vehiculos", "num_actores")
-        f = ev.join(hyp, "codigo_accidente", "left").join(veh, "codigo_accidente", "left") \
-            .join(kids, "codigo_accidente", "left")
+    f = ev.join(s.child_profile(), "codigo_accidente", "left")
     empty = F.array().cast("array<string>")
     keys = [F.col("codigo_accidente").alias("siniestro_id"), date_key("fecha").alias("fecha_id"), "hora",
             "anio"] if with_keys else []
     return f.select(
-        *keys, "codigo_accidente", "gravedad",
-        F.coalesce("gravedad_nivel", F.lit(0)).alias("gravedad_nivel"), "clase",
+        *keys, "codigo_accidente", F.when(F.col("gravedad_nivel").isNotNull(), F.col("gravedad")).otherwise(UNKNOWN).alias("gravedad"),
+        F.coalesce("gravedad_nivel", F.lit(0)).alias("gravedad_nivel"),
+        F.when(F.col("clase") != "", F.col("clase")).otherwise(UNKNOWN).alias("clase"),
+        *[c for c in ("direccion",) if c in ev.columns],
         F.coalesce("localidad", F.lit(unknown_place)).alias("localidad"),
         F.coalesce("hipotesis", empty).alias("hipotesis"),
         F.coalesce("vehiculos_clase", empty).alias("vehiculos_clase"),
@@ -180,8 +169,8 @@ def dim_localidad(s: EventSource, fact: DataFrame | None = None) -> DataFrame:
     pl = s.places().select(F.col("codigo_localidad"), "nombre", "zona")
     d = join_small(codes, pl, "codigo_localidad", "left")
     return d.select(F.col("codigo_localidad").alias("localidad_id"), "codigo_localidad",
-                    F.coalesce("nombre", F.lit(UNKNOWN_PLACE)).alias("nombre"),
-                    F.coalesce("zona", F.lit(UNKNOWN_PLACE)).alias("zona"))
+                    F.coalesce("nombre", F.lit(UNKNOWN)).alias("nombre"),
+                    F.coalesce("zona", F.lit(UNKNOWN)).alias("zona"))
 
 
 def fact_rekeyed(s: EventSource, fact: DataFrame | None = None) -> DataFrame:

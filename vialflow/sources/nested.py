@@ -158,7 +158,7 @@ class NestedSource:
             fecha.alias("fecha"), F.year(fecha).alias("anio"), F.month(fecha).alias("mes"),
             parse_hour("HORA", "prefix").alias("hora"),
             F.col("GRAVEDAD").alias("gravedad"), _level(F.col("GRAVEDAD")).alias("gravedad_nivel"),
-            F.col("CLASE").alias("clase"))
+            F.col("CLASE").alias("clase"), F.col("DIRECCION").alias("direccion"))
 
     def flat_rows(self) -> DataFrame:
         """The batch job's analysis view: its own hour rule, every record (also repeated keys)."""
@@ -213,7 +213,9 @@ class NestedSource:
 
     def _children(self, col: str) -> DataFrame:
         # children of every record (also later duplicates) attach to the surviving event
-        return self.raw.select(F.col("CODIGO_ACCIDENTE").alias("codigo_accidente"), F.explode(col).alias("c"))
+        # with the record and the position they come from
+        return self._ordered.select(F.col("CODIGO_ACCIDENTE").alias("codigo_accidente"), "_ingest",
+                                    F.posexplode(col).alias("posicion", "c"))
 
     def hypotheses(self, within: DataFrame | None = None) -> DataFrame:
         h = self._children("HIPOTESIS_LISTA").where(_truthy(F.col("c")))
@@ -247,6 +249,19 @@ class NestedSource:
             safe_size("VEHICULOS_INVOLUCRADOS").cast("long").alias("num_vehiculos"),
             safe_size("ACTORES_INVOLUCRADOS").cast("long").alias("num_actores"))
 
+    def child_profile(self) -> DataFrame:
+        """Per event: the different hypotheses in the order of their first mention, one vehicle
+        class a vehicle in source order, and the surviving record's counts."""
+        from ..operators.reshape import gather_in_order
+        h = self._children("HIPOTESIS_LISTA").where(_truthy(F.col("c"))).withColumnRenamed("c", "hipotesis")
+        v = self._children("VEHICULOS_INVOLUCRADOS").where(_truthy(F.col("c.CLASE"))).withColumn("clase", F.col("c.CLASE"))
+        order = ["_ingest", "posicion"]
+        h = gather_in_order(h, "codigo_accidente", order, ["hipotesis"]).select(
+            "codigo_accidente", F.array_distinct(F.col("hijos.hipotesis")).alias("hipotesis"))
+        v = gather_in_order(v, "codigo_accidente", order, ["clase"]).select("codigo_accidente", F.col("hijos.clase").alias("vehiculos_clase"))
+        kids = self.child_summary().select("codigo_accidente", "num_vehiculos", "num_actores")
+        return kids.join(h, "codigo_accidente", "left").join(v, "codigo_accidente", "left")
+
     def member_values(self, dimension: str) -> DataFrame:
         src = {"hipotesis": (self.hypotheses(), "hipotesis"), "vehiculo_clase": (self.vehicles(), "clase"),
                "condicion": (self.actors(), "condicion")}[dimension]

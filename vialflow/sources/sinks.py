@@ -1,6 +1,6 @@
 """Writers: tables (S5/S7/S8), one-document JSON reports (S6), precomputed aggregate
 ingest (S9). Writers go through the DataFrame writer, which commits per task and retries
-lost tasks; a replaced table is written to a new location first and then switched."""
+lost tasks; a replaced table is a new version first, which readers see once it is whole."""
 
 from __future__ import annotations
 
@@ -29,10 +29,11 @@ def write_jdbc(df: DataFrame, url: str, table: str, properties: dict, mode: str
 
 def replace_table(spark: SparkSession, df: DataFrame, name: str, partition_by: list[str] | None = None) -> None:
     """Replace a catalog table with a new version. With a v2 catalog configured (Delta,
-    Iceberg) the swap is one atomic CREATE OR REPLACE; with the built-in session catalog the
-    new version is built in a folder of its own in the warehouse and the name is moved there
-    once it is whole, so a failed build leaves the old table as it was. Folders of earlier
-    versions stay for readers that still use them."""
+    Iceberg) the swap is one atomic CREATE OR REPLACE. With the built-in session catalog every
+    version is a table of its own and ``name`` a view of the last whole one: replacing the view
+    is one change of the catalog, so a reader gets the old rows or the new ones and a failed
+    build leaves ``name`` as it was. Earlier versions stay for readers that still use them;
+    ``drop_versions`` removes them. A plain table called ``name`` is refused."""
     if spark.conf.get("spark.sql.catalog.spark_catalog", None):
         w = df.writeTo(name)
         if partition_by:
@@ -40,15 +41,25 @@ def replace_table(spark: SparkSession, df: DataFrame, name: str, partition_by: l
         w.createOrReplace()
         return
     import uuid
-    path = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/{name.replace('.', '/')}-{uuid.uuid4().hex}"
-    w = df.write
+    if spark.catalog.tableExists(name) and spark.catalog.getTable(name).tableType != "VIEW":
+        raise ValueError(f"{name} is a table: rename it once, then replace_table keeps versions behind a view of that name")
+    version = f"{name}__{uuid.uuid4().hex}"
+    w = df.write.format("parquet")
     if partition_by:
         w = w.partitionBy(*partition_by)
-    w.parquet(path)
-    spark.sql(f"DROP TABLE IF EXISTS {name}")
-    spark.catalog.createTable(name, path=path, source="parquet")
-    if partition_by:
-        spark.catalog.recoverPartitions(name)
+    w.saveAsTable(version)
+    columns = ", ".join(f"`{c.replace('`', '``')}`" for c in df.columns)
+    spark.sql(f"CREATE OR REPLACE VIEW {name} AS SELECT {columns} FROM {version}")
+
+
+def drop_versions(spark: SparkSession, name: str) -> int:
+    """Drop the versions of ``name`` that the view does not read any more; their number."""
+    db, _, short = name.rpartition(".")
+    used = spark.sql(f"SHOW CREATE TABLE {name}").first()[0]
+    old = [t.name for t in spark.catalog.listTables(db or None) if t.name.startswith(f"{short.lower()}__") and t.name not in used]
+    for t in old:
+        spark.sql(f"DROP TABLE {db + '.' if db else ''}{t}")
+    return len(old)
 
 
 def report_document(parts: dict[str, DataFrame], scalars: dict | None = None) -> DataFrame:

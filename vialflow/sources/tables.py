@@ -216,34 +216,19 @@ class EventSource:
         )
 
     def child_profile(self) -> DataFrame:
-        """Per-event child lists for the array fact, from ONE pass over lineitem x part:
-        sorted distinct hypotheses, the vehicle bag as sorted 'class:count' entries, vehicle
-        and actor counts.
-
-        Lines are first reduced to (event, hypothesis, class) cells with a hash aggregate
-        (map-side partial: a huge event shrinks to at most |hypotheses| x |classes| cells
-        per task), the cells of an event are gathered (bounded by the vocabularies, not by
-        the event's size) and every list is derived with higher-order functions - one
-        shuffle to cells, one to events, instead of a separate join per list."""
+        """Per-event child lists for the array fact, from one pass over lineitem x part: the
+        different hypotheses in the order of their first line, one vehicle class a line in line
+        order, vehicle and actor counts; lines of one number stand in the order of their
+        values."""
+        from ..operators.reshape import gather_in_order
         p = self.table("part").select("p_partkey", "p_brand", "p_type")
-        li = self._lines().select("l_orderkey", "l_partkey")
+        li = self._lines().select(F.col("l_orderkey").alias("codigo_accidente"), "l_partkey", "l_linenumber")
         lines = li.join(p, li.l_partkey == p.p_partkey, "left")
-        cells = lines.groupBy("l_orderkey", "p_brand", "p_type").agg(F.count(F.lit(1)).alias("n"))
-        per = cells.groupBy(F.col("l_orderkey").alias("codigo_accidente")).agg(
-            F.collect_list(F.struct("p_brand", "p_type", "n")).alias("_c"))
-        c = F.col("_c")
-        total = lambda arr: F.aggregate(arr, F.lit(0).cast("long"), lambda acc, x: acc + x["n"])
-        veh = F.filter(c, lambda x: x["p_type"].isNotNull())
-        kinds = F.array_distinct(F.transform(veh, lambda x: x["p_type"]))
-        bag = F.transform(kinds, lambda t: F.concat(
-            t, F.lit(":"), total(F.filter(veh, lambda x: x["p_type"] == t)).cast("string")))
-        hyps = F.array_distinct(F.filter(F.transform(c, lambda x: x["p_brand"]), lambda b: b.isNotNull()))
-        return per.select(
-            "codigo_accidente",
-            F.array_sort(hyps).alias("hipotesis"),
-            F.array_sort(bag).alias("vehiculos_clase"),
-            total(veh).alias("num_vehiculos"),
-            total(c).alias("num_actores"))
+        per = gather_in_order(lines, "codigo_accidente", ["l_linenumber"], ["p_brand", "p_type"])
+        brands, types = F.transform("hijos", lambda x: x["p_brand"]), F.transform("hijos", lambda x: x["p_type"])
+        per = per.select("codigo_accidente", F.array_distinct(F.array_compact(brands)).alias("hipotesis"),
+                         F.array_compact(types).alias("vehiculos_clase"), F.size("hijos").cast("long").alias("num_actores"))
+        return per.withColumn("num_vehiculos", F.size("vehiculos_clase").cast("long"))
 
     # ------------------------------------------------------------------ hour stream
     def hour_events(self) -> DataFrame:
