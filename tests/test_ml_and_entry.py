@@ -122,3 +122,36 @@ def test_slots_without_the_vector_are_those_of_the_vector(spark):
     enc = ml.onehot_minmax_pipeline(["a", "b"], ["x"]).fit(wide).transform(wide)
     got = enc.select(ml.onehot_slots(enc, ["a", "b"]).alias("s")).agg(F.count_distinct(F.col("s")[0]), F.min(F.col("s")[1])).first()
     assert tuple(got) == (100_000, 100_000)
+
+
+def test_exact_quantiles(spark):
+    import math
+    import random
+    from vialflow.operators.ml import exact_quantiles
+    random.seed(3)
+    rows = [("a", random.gauss(0, 1)) for _ in range(999)] + [("b", 5.0)] * 10 + [("c", float(i % 3)) for i in range(100)]
+    rows += [(None, 1.0), (None, 2.0), ("d", None), ("a", -1e9)]
+    probs = {"lo": 0.0, "q1": 0.25, "mid": 0.5, "q3": 0.75, "hi": 1.0}
+    got = {r.k: tuple(r)[1:] for r in exact_quantiles(spark.createDataFrame(rows, "k string, v double"), "k", "v", probs, bins=16).collect()}
+    want = {}
+    for k in ("a", "b", "c", None):
+        v = sorted(x for g, x in rows if g == k and x is not None)
+        want[k] = tuple(v[max(1, math.ceil(len(v) * p)) - 1] for p in probs.values())
+    assert got == want
+
+
+def test_row_silhouette_of_sparse_and_dense_vectors(spark):
+    from pyspark.ml.linalg import Vectors
+    from vialflow.operators.ml import row_silhouette
+    rows = [(0, [1.0, 0, 0, 2]), (0, [0, 0, 0, 1.0]), (0, [2.0, 0, 0, 0]), (1, [0, 9.0, 8, 0]), (1, [0, 7.0, 9, 1]), (2, [0, 0, 50.0, 0])]
+    data = [(i, c, Vectors.sparse(4, {j: x for j, x in enumerate(v) if x}) if i % 2 else Vectors.dense(v)) for i, (c, v) in enumerate(rows)]
+    got = {r.i: r.silueta for r in row_silhouette(spark.createDataFrame(data, ["i", "c", "x"]), "x", "c").collect()}
+
+    def far(v, c, skip):
+        d = [sum((a - b) ** 2 for a, b in zip(v, w)) for j, (o, w) in enumerate(rows) if o == c and j != skip]
+        return sum(d) / len(d)
+
+    for i, (c, v) in enumerate(rows):
+        b = min(far(v, o, None) for o in {0, 1, 2} - {c})
+        a = far(v, c, i) if c != 2 else 0
+        assert abs(got[i] - (0 if c == 2 else (b - a) / max(a, b))) < 1e-9

@@ -16,6 +16,7 @@ from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import (Imputer, MinMaxScaler, OneHotEncoder, StandardScaler, StringIndexer,
                                 VectorAssembler)
 from pyspark.ml.functions import vector_to_array
+from pyspark.ml.stat import Summarizer
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -266,31 +267,57 @@ def row_silhouette(df: DataFrame, features: str, cluster: str, out: str = "silue
     """Per-row silhouette with squared Euclidean distance (the measure of Spark's
     ClusteringEvaluator), from per-cluster sums: the mean squared distance from x to the
     points of C is |x|^2 - 2 x.m_C + q_C, with m_C the mean and q_C the mean squared norm.
-    Own cluster excludes the point itself. Only k rows of cluster sums are collected."""
-    x = df.withColumn("_x", vector_to_array(features))
-    dim = len(x.select("_x").first()[0])
-    stats = x.groupBy(cluster).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.array(*[F.avg(F.col("_x")[i]) for i in range(dim)]).alias("m"),
-        F.avg(F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v)).alias("q")).collect()
-    cl = F.array(*[F.struct(F.lit(int(r[cluster])).alias("c"), F.lit(int(r["n"])).alias("n"),
-                            F.array(*[F.lit(float(v)) for v in r["m"]]).alias("m"), F.lit(float(r["q"])).alias("q"))
-                   for r in stats])
-    norm = F.aggregate("_x", F.lit(0.0), lambda acc, v: acc + v * v)
-    x = x.withColumn("_nx", norm).withColumn("_cl", cl)
-
-    def mean_d(s):
-        dot = F.aggregate(F.zip_with(F.col("_x"), s["m"], lambda a, b: a * b), F.lit(0.0), lambda acc, v: acc + v)
-        return F.col("_nx") - 2 * dot + s["q"]
-
-    dists = F.transform("_cl", lambda s: F.struct(s["c"].alias("c"), s["n"].alias("n"), mean_d(s).alias("d")))
-    x = x.withColumn("_d", dists)
-    own = F.filter("_d", lambda s: s["c"] == F.col(cluster))[0]
-    others = F.filter("_d", lambda s: (s["c"] != F.col(cluster)) & (s["n"] > 0))
+    Own cluster excludes the point itself. A row's work is its own non-zero slots, k times."""
+    n = Summarizer.metrics("mean", "normL2").summary(F.col(features))
+    stats = df.groupBy(cluster).agg(F.count(F.lit(1)).alias("n"), n.alias("s")).select(
+        F.col(cluster).cast("int").alias("c"), "n", vector_to_array("s.mean").alias("m"),
+        (F.aggregate(vector_to_array("s.normL2"), F.lit(0.0), lambda acc, v: acc + v * v) / F.col("n")).alias("q"))
+    # every cluster's row carries all clusters: k rows of k means, as many numbers as the model's
+    # centres k times over, so the broadcast is bounded by k and the encoders' vocabularies
+    every = stats.agg(F.sort_array(F.collect_list(F.struct("c", "n", "m", "q"))).alias("_cl"))
+    every = every.select(F.explode(F.col("_cl.c")).alias("_c"), "_cl")
+    x = df.join(F.broadcast(every), F.col(cluster).cast("int") == F.col("_c")).withColumn("_v", F.unwrap_udt(F.col(features)))
+    norm = F.aggregate("_v.values", F.lit(0.0), lambda acc, v: acc + v * v)
+
+    def dot(m):     # only the slots that the row holds
+        sparse = F.zip_with("_v.indices", "_v.values", lambda i, v: v * F.get(m, i))
+        dense = F.zip_with("_v.values", m, lambda v, w: v * w)
+        return F.aggregate(F.when(F.col("_v.type") == 0, sparse).otherwise(dense), F.lit(0.0), lambda acc, v: acc + v)
+
+    x = x.withColumn("_nx", norm)
+    x = x.withColumn("_d", F.transform("_cl", lambda s: F.struct(
+        s["c"].alias("c"), s["n"].alias("n"), (F.col("_nx") - 2 * dot(s["m"]) + s["q"]).alias("d"))))
+    own = F.filter("_d", lambda s: s["c"] == F.col("_c"))[0]
+    others = F.filter("_d", lambda s: (s["c"] != F.col("_c")) & (s["n"] > 0))
     a = F.when(own["n"] > 1, own["d"] * own["n"] / (own["n"] - 1)).otherwise(0.0)
     b = F.array_min(F.transform(others, lambda s: s["d"]))
     s = F.when(own["n"] <= 1, 0.0).otherwise((b - a) / F.greatest(a, b))
-    return x.withColumn(out, s).drop("_x", "_nx", "_cl", "_d")
+    return x.withColumn(out, s).drop("_v", "_nx", "_c", "_cl", "_d")
+
+
+def exact_quantiles(df: DataFrame, group: str, value: str, probs: dict[str, float], bins: int = 4096) -> DataFrame:
+    """Per ``group`` the value at rank ceil(p * n) for each of ``probs`` (name -> p), exact.
+
+    Equal values are one row with a count first. A second pass counts them by range of values;
+    only the ranges that hold a rank are then put in order, so no task sorts a group. Nulls are
+    left out; a group without values has no row."""
+    rows = df.where(F.col(value).isNotNull()).groupBy(F.col(group).alias("_g"), F.col(value).cast("double").alias("_v")) \
+        .agg(F.count(F.lit(1)).alias("_n"))
+    ends = rows.groupBy("_g").agg(F.min("_v").alias("_lo"), F.max("_v").alias("_hi"), F.sum("_n").alias("_total")).select(
+        F.col("_g").alias("_of"), "_lo", "_hi", "_total")
+    place = F.when(F.col("_hi") > F.col("_lo"), F.least(F.lit(bins - 1), F.floor((F.col("_v") - F.col("_lo")) / (F.col("_hi") - F.col("_lo")) * bins)))
+    rows = rows.join(ends, F.col("_g").eqNullSafe(F.col("_of"))).withColumn("_bin", F.coalesce(place, F.lit(0)).cast("int"))
+    before = Window.partitionBy("_g").orderBy("_bin").rowsBetween(Window.unboundedPreceding, -1)
+    per = rows.groupBy("_g", "_bin", "_total").agg(F.sum("_n").alias("_in")) \
+        .withColumn("_before", F.coalesce(F.sum("_in").over(before), F.lit(0)))
+    ranks = F.array(*[F.struct(F.lit(k).alias("name"), F.greatest(F.ceil(F.col("_total") * F.lit(p)), F.lit(1)).alias("rank")) for k, p in probs.items()])
+    held = F.filter(ranks, lambda r: (r["rank"] > F.col("_before")) & (r["rank"] <= F.col("_before") + F.col("_in")))
+    per = per.withColumn("_ranks", held).where(F.size("_ranks") > 0).select(F.col("_g").alias("_pg"), F.col("_bin").alias("_pb"), "_before", "_ranks")
+    near = rows.join(per, F.col("_g").eqNullSafe(F.col("_pg")) & (F.col("_bin") == F.col("_pb")))
+    upto = Window.partitionBy("_g", "_bin").orderBy("_v").rowsBetween(Window.unboundedPreceding, 0)
+    near = near.withColumn("_upto", F.col("_before") + F.sum("_n").over(upto)).withColumn("_r", F.explode("_ranks"))
+    near = near.where((F.col("_r.rank") > F.col("_upto") - F.col("_n")) & (F.col("_r.rank") <= F.col("_upto")))
+    return near.groupBy(F.col("_g").alias(group)).agg(*[F.min(F.when(F.col("_r.name") == k, F.col("_v"))).alias(k) for k in probs])
 
 
 def _betacf(a: float, b: float, x: float) -> float:

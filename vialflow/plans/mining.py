@@ -266,11 +266,23 @@ def _row_silhouettes(spark, root, k: int = 2, sampled: bool = False) -> DataFram
 def silhouette_by_class(spark, root, k: int = 2, sampled: bool = False):
     """Per-row silhouette summarised by class (mean, sd, quartiles)."""
     s = _row_silhouettes(spark, root, k, sampled)
-    q = F.percentile_approx("silueta", [0.25, 0.5, 0.75], 10000)
-    return s.groupBy("gravedad").agg(
-        F.count(F.lit(1)).alias("n"), F.avg("silueta").alias("media"), F.stddev("silueta").alias("desv"),
-        q.alias("_q")).select("gravedad", "n", "media", "desv", F.col("_q")[0].alias("q1"),
-                              F.col("_q")[1].alias("mediana"), F.col("_q")[2].alias("q3")).orderBy("gravedad")
+    total = s.groupBy("gravedad").agg(F.count(F.lit(1)).alias("n"), F.avg("silueta").alias("media"), F.stddev("silueta").alias("desv"))
+    return total.join(ml.exact_quantiles(s, "gravedad", "silueta", QUARTILES), "gravedad", "left") \
+        .select("gravedad", "n", "media", "desv", *QUARTILES).orderBy("gravedad")
+
+
+QUARTILES = {"q1": 0.25, "mediana": 0.5, "q3": 0.75}
+
+
+@query("score_quartiles")
+def score_quartiles(spark, root):
+    """M21's exact quartiles and M22's groups on a score that a rule fixes: the event's key and hour."""
+    ev = open_source(spark, root).events()
+    score = F.pmod(F.col("codigo_accidente") * 7919, F.lit(10007)) / 10007 + F.coalesce("hora", F.lit(0))
+    ev = ev.select("gravedad", score.alias("puntaje"))
+    total = ev.groupBy("gravedad").agg(F.count(F.lit(1)).alias("n"))
+    q = ml.exact_quantiles(ev, "gravedad", "puntaje", QUARTILES).withColumnRenamed("gravedad", "_g")
+    return total.join(q, F.col("gravedad").eqNullSafe(F.col("_g")), "left").select("gravedad", "n", *QUARTILES)
 
 
 @query("silhouette_anova")

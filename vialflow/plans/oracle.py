@@ -532,3 +532,7 @@ SELECT ev.id AS codigo_accidente, CAST(year(fecha) * 10000 + month(fecha) * 100
   c.member_id AS clase_id, CAST(ev.id % 24 AS INTEGER) AS hora, CASE WHEN temprano THEN 1 ELSE 2 END AS lote
 FROM ev LEFT JOIN m c ON c.dimension = 'clase' AND c.descripcion = ev.clase
 LEFT JOIN m g ON g.dimension = 'gravedad' AND g.descripcion = ev.gravedad"""
+
+SQL["score_quartiles"] = """
+SELECT o_orderstatus AS gravedad, COUNT(*) AS n, quantile_disc(p, 0.25) AS q1, quantile_disc(p, 0.5) AS mediana, quantile_disc(p, 0.75) AS q3
+FROM (SELECT o_orderstatus, CAST((o_orderkey * 7919) % 10007 AS DOUBLE) / 10007 + CAST(o_orderkey % 24 AS DOUBLE) AS p FROM orders) GROUP BY 1"""
