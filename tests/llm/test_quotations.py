@@ -9,6 +9,14 @@ from vialflow.llm import quotations as Q
 SCHEMA = "conv_id long, turn long, role string, text string"
 
 
+def sizes(p):
+    """Hash -> size of a paragraph, its lines and its sentences."""
+    one = " ".join(p.split())
+    cut = [i for i, x in enumerate(one) if x == " " and one[i - 1] in ".!?"]
+    parts = [p, *p.split("\n"), *[one[i:j] for i, j in zip([0, *cut], [*cut, len(one)])]]
+    return {Q.digest(x): sum(not y.isspace() for y in x) for x in parts if x.strip()}
+
+
 def plain(rows):
     own, quotes, turns = {}, {}, {}
     for c, t, _, text in rows:
@@ -17,22 +25,30 @@ def plain(rows):
         turns.setdefault(c, set()).add(t)
         for level, p in Q.paragraphs(text or ""):
             if level:
-                d = quotes.setdefault((c, t), {})
-                d[Q.digest(p)] = min(level, d.get(Q.digest(p), level))
+                q = quotes.setdefault((c, t), {}).setdefault(Q.digest(p), [level, {}])
+                q[0] = min(q[0], level)
+                for h, n in sizes(p).items():
+                    q[1][h] = max(n, q[1].get(h, 0))
             else:
-                own.setdefault(Q.digest(p), set()).add((c, t))
+                for h in sizes(p):
+                    own.setdefault(h, set()).add((c, t))
     out = {}
     for c, ts in turns.items():
         for t in ts:
             links = []
-            for h, level in quotes.get((c, t), {}).items():
-                at = own.get(h, ())
-                here = [u for k, u in at if k == c and u < t]
-                if here:
-                    links.append((False, level, -max(here), c, max(here)))
-                elif at and min(at)[0] != c:
-                    k, u = min(at)
-                    links.append((True, level, -u, k, u))
+            for level, parts in quotes.get((c, t), {}).values():
+                found = []
+                for h, n in parts.items():
+                    here = [u for k, u in own.get(h, ()) if k == c and u < t]
+                    there = [x for x in own.get(h, ()) if x[0] != c]
+                    if here:
+                        found.append((-n, False, -max(here), c, max(here)))
+                    elif there:
+                        k, u = min(there)
+                        found.append((-n, True, -u, k, u))
+                if found:
+                    _, outside, back, k, u = min(found)
+                    links.append((outside, level, back, k, u))
             b = min(links) if links else None
             before = max((u for u in ts if u < t), default=None)
             parent = b[4] if b and not b[0] else before
@@ -64,9 +80,12 @@ def test_like_plain_python(spark, monkeypatch):
             parts = []
             for _ in range(random.randrange(4)):
                 if random.random() < 0.5:
-                    parts.append("\n".join(">" * random.choice([1, 1, 2]) + " " + x for x in random.choice(said).split("\n")))
+                    of = random.choice(said).split("\n")
+                    of = random.choice([of, of[:1], of[-1:], " ".join(of).split(". ")[:1]])      # whole, a line, a sentence
+                    parts.append("\n".join(">" * random.choice([1, 1, 2]) + " " + x for x in of))
                 else:
-                    p = random.choice([f"words {random.randrange(60)}", "the common line", "two\nlines %d" % random.randrange(9)])
+                    p = random.choice([f"words {random.randrange(60)}", "the common line", "two\nlines %d" % random.randrange(9),
+                                       "One of %d. Two of\n%d. Three" % (random.randrange(5), random.randrange(5))])
                     said.append(p)
                     parts.append(p)
             rows.append((c, t, "user", "\n\n".join(parts)))

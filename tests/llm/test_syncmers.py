@@ -18,20 +18,25 @@ def h64(*parts):
 
 
 def plain(text):
-    w = re.findall(r"[^\x20\x09-\x0D]{1,%d}" % S.PART, text)
+    """Every distinct anchor, long words cut by their content."""
+    w = []
+    for x in re.findall(r"[^\x20\x09-\x0D]+", text):
+        at = 0
+        for j in range(len(x) - 1 if len(x) > S.PART else 0):
+            if h64(x[j], x[j + 1]) % S.CUT == 0:
+                w.append(x[at:j + 1])
+                at = j + 1
+        w.append(x[at:])
     if len(w) < S.K:
         got = [(h64(x), i) for i, x in enumerate(w)]
     else:
         inner = [h64(*w[i:i + S.S]) for i in range(len(w) - S.S + 1)]
-        got = []
-        for i in range(len(w) - S.K + 1):
-            own = inner[i:i + S.K - S.S + 1]
-            if min(own) in (own[0], own[-1]):
-                got.append((h64(*w[i:i + S.K]), i))
+        got = [(h64(*w[i:i + S.K]), i) for i in range(len(w) - S.K + 1)
+               if min(inner[i:i + S.K - S.S + 1]) in (inner[i], inner[i + S.K - S.S])]
     first = {}
     for h, p in sorted(got):
         first.setdefault(h, p)
-    return sorted(first.items())[:S.KEEP]
+    return sorted(first.items())
 
 
 def text_of(anchors):
@@ -39,9 +44,8 @@ def text_of(anchors):
 
 
 def near(a, b):
-    a, b = [h for h, _ in a], [h for h, _ in b]
-    low = sorted(set(a) | set(b))[:S.KEEP]
-    return 1.0 if not low else len(set(low) & set(a) & set(b)) / len(low)
+    a, b = {h for h, _ in a}, {h for h, _ in b}
+    return len(a & b) / len(a | b) if a | b else 1.0
 
 
 def expected(rows):
@@ -86,33 +90,6 @@ def test_matches_give_positions(spark):
     assert got and {x.p2 - x.p1 for x in got} == {1}
 
 
-def plain_whole(text):
-    """Every distinct anchor, long words cut by their content."""
-    w = []
-    for x in re.findall(r"[^\x20\x09-\x0D]+", text):
-        at = 0
-        for j in range(len(x) - 1 if len(x) > S.PART else 0):
-            if h64(x[j], x[j + 1]) % S.CUT == 0:
-                w.append(x[at:j + 1])
-                at = j + 1
-        w.append(x[at:])
-    if len(w) < S.K:
-        got = [(h64(x), i) for i, x in enumerate(w)]
-    else:
-        inner = [h64(*w[i:i + S.S]) for i in range(len(w) - S.S + 1)]
-        got = [(h64(*w[i:i + S.K]), i) for i in range(len(w) - S.K + 1)
-               if min(inner[i:i + S.K - S.S + 1]) in (inner[i], inner[i + S.K - S.S])]
-    first = {}
-    for h, p in sorted(got):
-        first.setdefault(h, p)
-    return sorted(first.items())
-
-
-def jaccard(a, b):
-    a, b = {h for h, _ in a}, {h for h, _ in b}
-    return len(a & b) / len(a | b) if a | b else 1.0
-
-
 def test_query_keeps_every_anchor(spark, tmp_path):
     from vialflow.llm.queries import op8_closed_syncmers
     docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text")
@@ -126,10 +103,10 @@ def test_query_keeps_every_anchor(spark, tmp_path):
         nxt = rows[(j + 1) % len(rows)][1]
         m = len(t) // 3
         e = t[:len(t) - m] + nxt[:m]
-        a, b, c = plain_whole(t), plain_whole(e), plain_whole(nxt)
+        a, b, c = plain(t), plain(e), plain(nxt)
         most = max(most, len(a))
-        assert got[i] == (len(t), hashlib.sha256(e.encode()).hexdigest(), text_of(a), text_of(b), jaccard(a, b), jaccard(a, c))
-    assert len(got) == len(rows) and most > S.KEEP
+        assert got[i] == (len(t), hashlib.sha256(e.encode()).hexdigest(), text_of(a), text_of(b), near(a, b), near(a, c))
+    assert len(got) == len(rows) and most > 64
 
 
 def test_passage_shared_by_long_texts_and_insertion_in_a_long_run(spark):

@@ -1,18 +1,15 @@
 """Quotation linking in conversations.
 
 Each message is parsed into paragraphs with their quote level (the number of leading ``>``);
-attribution lines in front of a quotation ("... wrote:") go with it. Normalised paragraphs are
-hashed. A quoted paragraph links to the latest earlier message of its conversation that has it
-as a paragraph of its own, or else to the first message of all conversations that has it. A
-message replies to the message that its shallowest linked quotation of the conversation is
+attribution lines in front of a quotation ("... wrote:") go with it. Normalised paragraphs,
+their lines and their sentences are hashed, so a quotation of a part of a paragraph links, also
+when it was wrapped anew. A passage of a quoted paragraph is found in the latest earlier message
+of its conversation that has it as its own, or else in the first message of another
+conversation; the paragraph links by its longest passage that is found. A message replies to the message that its shallowest linked quotation of the conversation is
 from, or else to the turn before. Texts keep their own paragraphs only; depth and root of the
 reply tree give the reply order: (conv_id, root_turn, depth, turn) puts every message behind
 the one it replies to.
 
-With ``whole`` the lines and sentences of paragraphs are hashed too, so a quotation of a part of
-a paragraph links, also when it was wrapped anew; a quoted paragraph links by its longest
-passage that is found, and to the first message of another conversation if its own has none.
-
 "Latest earlier" works on blocks of BLOCK turns (the latest within the block, or else the
 latest of the blocks before), so a conversation or a line that holds a third of all rows is
 split; original paragraphs are aggregated before they are joined.
@@ -67,54 +64,48 @@ def digest(text: str) -> int:
     return int.from_bytes(hashlib.blake2b(norm.encode("utf-8", "replace"), digest_size=8).digest(), "little", signed=True)
 
 
-def passages(paragraph: str, whole: bool) -> dict[int, int]:
-    """Size by hash of a paragraph and, if ``whole``, of its lines and its sentences; sentences
+def passages(paragraph: str) -> dict[int, int]:
+    """Size by hash of a paragraph, of its lines and of its sentences; sentences
     do not depend on line breaks."""
-    parts = [paragraph]
-    if whole:
-        parts += paragraph.split("\n") + _SENTENCE.split(" ".join(paragraph.split()))
+    parts = [paragraph, *paragraph.split("\n"), *_SENTENCE.split(" ".join(paragraph.split()))]
     return {digest(x): len("".join(x.split())) for x in parts if x.strip()}
 
 
-def _parse(whole: bool):
+def _parse(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Own text and, for each passage of each quoted paragraph, the paragraph's hash and level
     and the passage's hash and size."""
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            clean, quoted, levels, parts, sizes = [], [], [], [], []
-            for t in b.column("text").to_pylist():
-                ps = paragraphs(t or "")
-                clean.append(None if t is None else "\n\n".join(p for level, p in ps if not level))
-                least: dict[tuple[int, int], tuple[int, int]] = {}
-                for level, p in ps:
-                    if level:
-                        h = digest(p)
-                        for part, size in passages(p, whole).items():
-                            was = least.get((h, part), (level, size))
-                            least[h, part] = min(level, was[0]), max(size, was[1])
-                quoted.append([h for h, _ in least])
-                parts.append([x for _, x in least])
-                levels.append([x for x, _ in least.values()])
-                sizes.append([x for _, x in least.values()])
-            ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
-            yield pa.RecordBatch.from_arrays(
-                [*(b.column(c) for c in ("conv", "turn", "role")), pa.array(clean, pa.string()), pa.array(quoted, longs), pa.array(levels, ints),
-                 pa.array(parts, longs), pa.array(sizes, ints)], ["conv", "turn", "role", "clean", "quoted", "levels", "parts", "sizes"])
-    return run
-
-
-def _own(whole: bool):
+    for b in it:
+        clean, quoted, levels, parts, sizes = [], [], [], [], []
+        for t in b.column("text").to_pylist():
+            ps = paragraphs(t or "")
+            clean.append(None if t is None else "\n\n".join(p for level, p in ps if not level))
+            least: dict[tuple[int, int], tuple[int, int]] = {}
+            for level, p in ps:
+                if level:
+                    h = digest(p)
+                    for part, size in passages(p).items():
+                        was = least.get((h, part), (level, size))
+                        least[h, part] = min(level, was[0]), max(size, was[1])
+            quoted.append([h for h, _ in least])
+            parts.append([x for _, x in least])
+            levels.append([x for x, _ in least.values()])
+            sizes.append([x for _, x in least.values()])
+        ints, longs = pa.list_(pa.int32()), pa.list_(pa.int64())
+        yield pa.RecordBatch.from_arrays(
+            [*(b.column(c) for c in ("conv", "turn", "role")), pa.array(clean, pa.string()), pa.array(quoted, longs), pa.array(levels, ints),
+             pa.array(parts, longs), pa.array(sizes, ints)], ["conv", "turn", "role", "clean", "quoted", "levels", "parts", "sizes"])
+
+
+def _own(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """The hashes of a message's own passages."""
-    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in it:
-            found, at = [], []
-            for i, t in enumerate(b.column("text").to_pylist()):
-                own = {h for level, p in paragraphs(t or "") if not level for h in passages(p, whole)}
-                found += own
-                at += [i] * len(own)
-            rows = pa.array(at, pa.int64())
-            yield pa.RecordBatch.from_arrays([b.column("conv").take(rows), b.column("turn").take(rows), pa.array(found, pa.int64())], ["conv", "turn", "hash"])
-    return run
+    for b in it:
+        found, at = [], []
+        for i, t in enumerate(b.column("text").to_pylist()):
+            own = {h for level, p in paragraphs(t or "") if not level for h in passages(p)}
+            found += own
+            at += [i] * len(own)
+        rows = pa.array(at, pa.int64())
+        yield pa.RecordBatch.from_arrays([b.column("conv").take(rows), b.column("turn").take(rows), pa.array(found, pa.int64())], ["conv", "turn", "hash"])
 
 
 def latest_before(rows: DataFrame, keys: list[str], turn: str, is_source: str) -> DataFrame:
@@ -130,10 +121,10 @@ def latest_before(rows: DataFrame, keys: list[str], turn: str, is_source: str) -
     return rows.join(per, [*keys, "_block"]).withColumn("before", F.coalesce("_near", "_carry")).drop("_near", "_carry", "_block")
 
 
-def link(messages: DataFrame, whole: bool = False) -> DataFrame:
+def link(messages: DataFrame) -> DataFrame:
     """Per row of ``messages`` (conv_id, turn, role, text): conv_id, turn, role, clean_text,
     n_quotes, n_linked, parent_turn, quoted_conv, quoted_turn, root_turn, depth. Quotes are
-    quoted paragraphs; ``whole`` links them by lines and sentences too.
+    quoted paragraphs.
 
     Cases: a null text stays null and quotes nothing; an empty one has no paragraphs; rows
     without conv_id or turn have no parent and no root; rows that repeat a conversation and
@@ -143,25 +134,23 @@ def link(messages: DataFrame, whole: bool = False) -> DataFrame:
     """
     m = messages.select(F.col("conv_id").cast("long").alias("conv"), F.col("turn").cast("long").alias("turn"),
                         F.col("role").cast("string").alias("role"), F.col("text").cast("string").alias("text"))
-    parsed = stored(m.mapInArrow(_parse(whole), "conv long, turn long, role string, clean string, quoted array<long>, levels array<int>, "
-                                                "parts array<long>, sizes array<int>"), "parsed")
+    parsed = stored(m.mapInArrow(_parse, "conv long, turn long, role string, clean string, quoted array<long>, levels array<int>, "
+                                         "parts array<long>, sizes array<int>"), "parsed")
     placed = parsed.filter("conv is not null and turn is not null")
     quotes = placed.select("conv", "turn", F.explode(F.arrays_zip("quoted", "levels", "parts", "sizes")).alias("q"))
     quotes = quotes.groupBy("conv", "turn", F.col("q.quoted").alias("quote"), F.col("q.parts").alias("hash")).agg(
         F.min("q.levels").alias("level"), F.max("q.sizes").alias("size"))
     quotes = stored(quotes, "quotes")
-    own = m.filter("conv is not null and turn is not null").select("conv", "turn", "text").mapInArrow(_own(whole), "conv long, turn long, hash long")
+    own = m.filter("conv is not null and turn is not null").select("conv", "turn", "text").mapInArrow(_own, "conv long, turn long, hash long")
     own = stored(own.join(quotes.select("hash").distinct(), "hash", "left_semi").distinct(), "own")
     both = quotes.select("conv", "hash", "turn", "quote", "level", "size", F.lit(False).alias("is_own")).unionByName(
         own.select("conv", "hash", "turn", F.lit(True).alias("is_own")), allowMissingColumns=True)
     found = latest_before(both, ["conv", "hash"], "turn", "is_own").filter("not is_own")
     first = own.groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("first"))
-    second = F.lit(None)
-    if whole:       # the first message of all conversations but the first's
-        rest = own.join(first, "hash").filter("conv <> first.conv").groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("second"))
-        first, second = first.join(rest, "hash", "left"), F.col("second")
-    found = found.join(first, "hash", "left")
-    elsewhere = F.when(F.col("before").isNull(), F.when(F.col("first.conv") != F.col("conv"), F.col("first")).otherwise(second))
+    # and the first message of all conversations but the first's
+    rest = own.join(first, "hash").filter("conv <> first.conv").groupBy("hash").agg(F.min(F.struct("conv", "turn")).alias("second"))
+    found = found.join(first.join(rest, "hash", "left"), "hash", "left")
+    elsewhere = F.when(F.col("before").isNull(), F.when(F.col("first.conv") != F.col("conv"), F.col("first")).otherwise(F.col("second")))
     here = F.when(F.col("before").isNotNull(), F.struct(F.col("conv"), F.col("before").alias("turn")))
     found = found.select("conv", "turn", "quote", "level", "size", F.coalesce(here, elsewhere).alias("to"), F.col("before").isNull().alias("outside"))
     longest = F.struct((-F.col("size")).alias("size"), "outside", (-F.col("to.turn")).alias("back"), F.col("to.conv").alias("c"), F.col("to.turn").alias("t"))
