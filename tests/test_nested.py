@@ -166,3 +166,41 @@ def test_every_query_runs_on_nested_records(spark, path, queries):
         except Exception as e:  # collect every failure, then report them together
             failed[name] = str(e).splitlines()[0][:200]
     assert not failed, failed
+
+
+@pytest.mark.parametrize("indent", [None, 2])
+def test_array_read_by_byte_ranges(spark, queries, indent):
+    from vialflow.sources.nested import NESTED_SCHEMA, NestedSource, convert_to_parquet, read_array, read_nested
+    d = tempfile.mkdtemp(prefix="vialflow-array-")
+    p = os.path.join(d, "a.json")
+    many = [dict(r, CODIGO_ACCIDENTE=100 * i + r["CODIGO_ACCIDENTE"], DIRECCION='"CODIGO_ACCIDENTE": }, {é]') for i in range(60) for r in RECORDS]
+    with open(p, "w", encoding="utf-8") as f:
+        json.dump(many, f, ensure_ascii=False, indent=indent)
+    size = "spark.sql.files.maxPartitionBytes"
+    was = spark.conf.get(size)
+    spark.conf.set(size, str(os.path.getsize(p) // 12))
+    cost = spark.conf.get("spark.sql.files.openCostInBytes")
+    spark.conf.set("spark.sql.files.openCostInBytes", "1")
+    try:
+        got = read_array(spark, p)
+        assert got.rdd.getNumPartitions() >= 8
+        assert got.where("_corrupt is not null").count() == 0
+        cols = [f.name for f in NESTED_SCHEMA]
+        key = lambda r: repr(r)
+        assert sorted(got.select(*cols).collect(), key=key) == sorted(read_nested(spark, p).select(*cols).collect(), key=key)
+        # two broken records are counted, the others stay
+        text = open(p, encoding="utf-8").read()
+        text = text.replace('"2015-03-11"', "oops", 1).replace('"CODIGO_ACCIDENTE": 103', '"CODIGO_ACCIDENTE": "x"', 1)
+        with open(os.path.join(d, "b.json"), "w", encoding="utf-8") as f:
+            f.write(text)
+        out = convert_to_parquet(spark, os.path.join(d, "b.json"), os.path.join(d, "parquet"), by_record=True)
+        src = NestedSource(spark, spark.read.parquet(out))
+        assert src.corrupt.count() == 2 and src.raw.count() == len(many) - 2
+        counts = {r.tabla: r.filas for r in queries["audit_counts"](spark, out).collect()}
+        assert counts["registros_corruptos"] == 2 and counts["siniestros_json"] == len(many) - 2
+        with open(os.path.join(d, "empty.json"), "w") as f:
+            f.write("[ ]")
+        assert read_array(spark, os.path.join(d, "empty.json")).count() == 0
+    finally:
+        spark.conf.set(size, was)
+        spark.conf.set("spark.sql.files.openCostInBytes", cost)

@@ -61,11 +61,29 @@ def read_nested(spark: SparkSession, path: str, multiline: bool = True) -> DataF
     return r.json(path)
 
 
-def convert_to_parquet(spark: SparkSession, path: str, out: str, multiline: bool = True) -> str:
-    """Read nested JSON once (one task per multiLine file) and store it as Parquet
-    partitioned by year, keeping the file order in ``_ingest`` for the first-record-wins
-    rule. Later scans split, prune by year and read only the needed nested fields."""
-    raw = read_nested(spark, path, multiline).withColumn("_ingest", F.monotonically_increasing_id())
+def read_array(spark: SparkSession, path: str, first_key: str = "CODIGO_ACCIDENTE") -> DataFrame:
+    """The records of JSON array files whose records begin with ``first_key``, read by
+    byte ranges: the key's name parts the text, so one large array is split over many tasks
+    wherever the ranges fall (inside a string the quotes of the name are escaped). The column
+    ``_corrupt`` has the text of what is no record of the schema, null for good rows; a file
+    whose records begin with another key shows up there, nothing is lost unnoticed."""
+    parts = spark.read.option("lineSep", f'"{first_key}"').text(path)
+    parts = parts.where(~F.col("value").rlike(r"^\x{FEFF}?\s*(\[\s*(\{|\])?\s*)?$"))        # what stands before the first record
+    end = r"\}\s*(,\s*\{|\])\s*$"
+    body = F.concat(F.lit(f'{{"{first_key}"'), F.regexp_replace("value", end, "}"))
+    schema = T.StructType([*NESTED_SCHEMA.fields, T.StructField("_corrupt", T.StringType())])
+    got = parts.select("value", F.from_json(body, schema, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt"}).alias("r"))
+    bad = F.col("r._corrupt").isNotNull() | F.col("r.CODIGO_ACCIDENTE").isNull() | ~F.col("value").rlike(end)
+    return got.select(*[F.col(f"r.{f.name}") for f in NESTED_SCHEMA], F.when(bad, F.col("value")).alias("_corrupt"))
+
+
+def convert_to_parquet(spark: SparkSession, path: str, out: str, multiline: bool = True, by_record: bool = False) -> str:
+    """Read nested JSON once (one task per multiLine file; ``by_record``: array files by byte
+    ranges, see ``read_array``) and store it as Parquet partitioned by year, keeping the file
+    order in ``_ingest`` for the first-record-wins rule. Later scans split, prune by year and
+    read only the needed nested fields."""
+    raw = read_array(spark, path) if by_record else read_nested(spark, path, multiline)
+    raw = raw.withColumn("_ingest", F.monotonically_increasing_id())
     raw = raw.withColumn("_anio", F.year(parse_date("FECHA_STR")))
     raw.write.mode("overwrite").partitionBy("_anio").parquet(out)
     return out
@@ -135,6 +153,10 @@ class NestedSource:
     def __init__(self, spark: SparkSession, raw: DataFrame | str, name: str = "nested"):
         self.spark = spark
         self.raw = read_nested(spark, raw) if isinstance(raw, str) else raw
+        self.corrupt = None
+        if "_corrupt" in self.raw.columns:
+            self.corrupt = self.raw.where("_corrupt is not null")
+            self.raw = self.raw.where("_corrupt is null").drop("_corrupt")
         self.root = name
         # ingest order = file order (partition, then position); used for first-wins only.
         # Converted inputs carry the order of the original file.
@@ -192,7 +214,7 @@ class NestedSource:
     def count_tables(self):
         return [("siniestros_json", self.raw), ("fact_siniestros", self.events()),
                 ("bridge_hipotesis", self.hypotheses()), ("dim_vehiculo", self.vehicles()),
-                ("dim_actor", self.actors())]
+                ("dim_actor", self.actors())] + ([] if self.corrupt is None else [("registros_corruptos", self.corrupt)])
 
     def event_place(self) -> DataFrame:
         """Event -> place code; codes 0/NULL are not places (the loader skips them)."""
