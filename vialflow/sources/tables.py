@@ -146,8 +146,11 @@ class EventSource:
         li = self.table("lineitem")
         if within is None:
             return li
+        # a given number of partitions is not merged at run time: packed integers compress so far
+        # that a merged partition of a few MB holds millions of rows, all sorted in one task
+        n = int(self.spark.conf.get("spark.sql.shuffle.partitions"))
         keep = within.select(F.col("codigo_accidente").alias("l_orderkey"))
-        return li.join(keep, "l_orderkey", "left_semi")
+        return li.repartition(n, "l_orderkey").join(keep.repartition(n, "l_orderkey"), "l_orderkey", "left_semi")
 
     def vehicle_counts(self) -> DataFrame:
         """clase, total over all events: lines are counted by part before the parts are read."""
