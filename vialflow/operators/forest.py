@@ -245,7 +245,9 @@ class HistogramForest(RandomForestClassifier):
         arity = categories(dataset, self.getFeaturesCol())
         width, most, depth, n_trees, seed = len(arity), self.getMaxBins(), self.getMaxDepth(), self.getNumTrees(), self.getSeed()
         weight = F.col(self.getWeightCol()).cast("double") if self.isSet("weightCol") else F.lit(1.0)
-        rows = dataset.select(vector_to_array(self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("int").alias("label"),
+        # tasks stream their rows, so their number is that of the cores, not of the rows
+        tasks = 2 * dataset.sparkSession.sparkContext.defaultParallelism
+        rows = dataset.coalesce(tasks).select(vector_to_array(self.getFeaturesCol()).alias("x"), F.col(self.getLabelCol()).cast("int").alias("label"),
                               weight.alias("weight"), F.xxhash64(F.monotonically_increasing_id()).alias("h"))
         cuts = thresholds(rows, arity, most)
         sizes = [a or len(c) + 1 for a, c in zip(arity, cuts)]
@@ -256,8 +258,6 @@ class HistogramForest(RandomForestClassifier):
                 yield pa.RecordBatch.from_arrays([*[pa.array(x[:, j]) for j in range(width)], *[b.column(i) for i in (1, 2, 3)]],
                                                  [*[f"b{j}" for j in range(width)], "label", "weight", "h"])
         schema = ", ".join([*[f"b{j} int" for j in range(width)], "label int", "weight double", "h long"])
-        # tasks stream their rows, so their number is that of the cores, not of the rows
-        tasks = 2 * dataset.sparkSession.sparkContext.defaultParallelism
         table = rows.mapInArrow(to_bins, schema).persist(StorageLevel.MEMORY_AND_DISK)
         try:
             n, top = table.agg(F.count(F.lit(1)), F.max("label")).first()
@@ -276,7 +276,7 @@ class HistogramForest(RandomForestClassifier):
                 for i in range(0, len(listed), each):
                     some = {t: open_nodes[t] for t in listed[i:i + each]}
                     shown = {t: trees[t] for t in some}
-                    counts = table.coalesce(tasks).mapInArrow(_count(some, shown, level, sizes, classes, take, seed), "tree int, counts binary")
+                    counts = table.mapInArrow(_count(some, shown, level, sizes, classes, take, seed), "tree int, counts binary")
                     grown += counts.groupBy("tree").applyInArrow(
                         _choose(some, sizes, arity, unordered, classes, take, seed),
                         "tree int, node int, feature int, gain double, goes binary, total array<double>, left array<double>").collect()
