@@ -3,12 +3,15 @@
 import collections
 import random
 import re
+import time
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from vialflow.llm import jaccard_join as J
+from vialflow.llm.common import CLEANUP, stored
 from vialflow.llm.components import roots
 
 SCHEMA = "doc_id long, text string"
@@ -145,3 +148,42 @@ def test_components_of_long_chains(spark):
     edges = [(i, i + 1) for i in range(60)] + [(100, 101), (101, 100), (7, 7), (200, 100)]
     got = dict(tuple(r) for r in roots(spark.createDataFrame(edges, "a long, b long")).collect())
     assert got == {**{i: 0 for i in range(61)}, 100: 100, 101: 100, 200: 100}
+
+
+def test_every_repeated_token_has_its_class(spark):
+    """More tokens met twice than any cap: each is told from tokens met once."""
+    often = " ".join(f"t{i}" for i in range(300_000))
+    rows = [(0, often), (1, f"{often} end"), (2, " ".join(f"once{i}" for i in range(1000)))]
+    docs = spark.createDataFrame(rows, SCHEMA).select(F.col("doc_id").alias("id"), "text")
+    table = np.frombuffer(J._classes(docs, 1), np.uint8)
+    twice, once = (J.words.shingles(pa.array([rows[i][1]]), 1)[0] for i in (0, 2))
+    assert (table[(twice >> np.uint64(64 - J.SLOTS)).astype(np.int64)] >= 1).all()
+    assert (table[(once >> np.uint64(64 - J.SLOTS)).astype(np.int64)] == 0).mean() > 0.9
+
+
+def test_wanted_slots_fill_the_bitmap(spark):
+    nodes = [(-1,), (-2 ** 63,), (5,), (5,), (5 + J.BITMAP,), (64,), (63,), (2 ** 63 - 1,)]
+    bits = np.unpackbits(np.frombuffer(J._bitmap(spark.createDataFrame(nodes, "node long")), np.uint8), bitorder="little")
+    assert len(bits) == J.BITMAP and set(np.flatnonzero(bits)) == {n % J.BITMAP for n, in nodes}
+
+
+def test_the_join_leaves_no_shuffles_and_few_tables(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(J, "SMALL", 4)
+    made, dropped = [], []
+    for name, seen in (("stored", made), ("drop_stored", dropped)):
+        monkeypatch.setattr(J, name, lambda df, *a, f=getattr(J, name), seen=seen: (seen.append(a), f(df, *a))[1])
+
+    def shuffles():
+        blocks = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllBlocks()
+        return {x.name() for x in (blocks.apply(i) for i in range(blocks.size())) if x.isShuffle()}
+    before, conf = shuffles(), spark.conf.get(CLEANUP)
+    kept = stored(spark.range(1000).repartition(7, "id").groupBy((F.col("id") % 10).alias("k")).count(), "test")
+    for _ in range(50):
+        if not shuffles() - before:
+            break
+        time.sleep(0.2)
+    assert not shuffles() - before and spark.conf.get(CLEANUP) == conf and kept.count() == 10
+    rows = near_copies(60)
+    nodes, _ = J.links(spark.createDataFrame(rows, SCHEMA).select(F.col("doc_id").alias("id"), "text"), 3, 9, 10)
+    links = sum(a == ("links",) for a in made)
+    assert links > 1 and len(made) - len(dropped) == links + 1     # the links and the nodes stay

@@ -11,6 +11,8 @@ from ..session import checkpoint_dir, ship_package
 
 # ASCII white space of the contracts: space and 0x09-0x0D
 SPACE = r"[\x20\x09-\x0D]"
+# shuffle files go when the write that made them ends, not when the driver collects its garbage
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,10 +26,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back: lineage is cut
-    and every later use sees the same rows, also after a lost executor."""
+    and every later use sees the same rows, also after a lost executor. The shuffle files of the
+    write go with its end: the disk holds stored tables and one write's shuffles."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/vialflow-{name}-{uuid.uuid4().hex}"
-    df.write.option("compression", "zstd").parquet(path)
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.option("compression", "zstd").parquet(path)
+    finally:
+        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

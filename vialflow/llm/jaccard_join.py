@@ -6,7 +6,9 @@ SHARED index keys: rare tokens are indexed singly, tokens of frequent classes as
 of two or three within a sub-class. Sets that share so many keys are compared.
 
 Scale. Frequency classes come from one counted pass over all documents (compressed blocks of
-32-bit hashes, one reducer per hash range). A key with many sets (one boilerplate passage, a
+32-bit hashes, one reducer per hash range). Every frequency from two up has its class, however
+many tokens reach it: otherwise, as the corpus grows, ever more frequent tokens count as rare,
+unlike sets share keys, and candidates grow faster than the input. A key with many sets (one boilerplate passage, a
 large group of near copies) never emits its pairs: its sets are compared with one hub, and
 the join goes on over their *differences* from the hub. For sets x, y and a hub c, x differs
 from y exactly where their differences dx, dy from c differ. Call e the number (q + p) |dx| -
@@ -18,8 +20,8 @@ nearer one is indexed for each bucket by the rarest tokens that the shared ones
 Tokens met once fill the front of every prefix and cannot be shared, so a set that differs by
 words of its own stands in no bucket at all, and candidates grow with the group. Differences that are hot in turn get a hub of their own; each
 such group lacks the hubs before it, so this ends. Documents with equal sets are one node
-throughout. Links, nodes and sets stay distributed; the driver gets the frequency classes (at
-most MAX_FREQUENT) and a bitmap of candidate slots (at most 2**21).
+throughout. Links, nodes and sets stay distributed; the driver gets the frequency classes (a
+byte a slot, 2**SLOTS slots) and a bitmap of candidate slots (BITMAP bits).
 
 Sets are compared by 64-bit hashes of their shingles.
 """
@@ -41,14 +43,13 @@ from .components import roots
 
 U = np.uint64
 SLOTS = 24              # log2 of the slots of the frequency-class table (one byte each)
-MAX_FREQUENT = 1 << 18  # tokens in it; the class bound rises until they fit
 PAIRS_FROM, TRIPLES_FROM = 6, 11    # log2 of the frequency from which tokens are combined
 SUB = {2: 64, 3: 32}    # sub-classes of the combined classes
 SHARED = 3              # keys that two similar sets share at least (all, if they have fewer)
 COMBINED_FROM = 200     # smaller sets index single tokens only
 SMALL = 32              # a key with more sets goes through a hub
 DEEP = 128              # the same for keys of differences, which part their sets already
-BITMAP = 1 << 21
+BITMAP = 1 << 24        # a whole number of words of 64 bits
 ROWS = 2000             # texts hashed at once
 FLUSH = 4 << 20         # shingles counted at once in a task
 
@@ -70,14 +71,14 @@ def _narrow(k: int):
     return run
 
 
-def _counts_blocks(k: int, ranges: int):
+def _counts_blocks(k: int, cuts: list[int]):
     """Blocks of ascending 32-bit hashes, each with its count, by hash range, one for each so
     many shingles: a shingle met in a third of the documents is one entry of a block."""
     def flush(got: list[np.ndarray]):
         x, n = np.unique(np.concatenate(got), return_counts=True)
-        cut = np.searchsorted(x, [r * (1 << 32) // ranges for r in range(ranges + 1)])
+        cut = np.searchsorted(x, cuts)
         key, blob, counts = [], [], []
-        for r in range(ranges):
+        for r in range(len(cuts) - 1):
             part = x[cut[r]:cut[r + 1]]
             if len(part):
                 step = np.diff(part, prepend=part[:1]).astype("<u4").view(np.uint8).reshape(-1, 4)
@@ -107,42 +108,50 @@ def _columns(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _count_range(key, rows):
-    """Tokens of one hash range met at least twice, with the log2 of their frequency. Counts are
-    summed as blocks come, so what is held is the range's distinct hashes and one block."""
-    token, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-    waiting, size = [], 0
-    blocks = list(zip(rows.column("block"), rows.column("counts")))
-    for i, (blob, n) in enumerate(blocks):
-        blob = blob.as_py()
-        x = np.cumsum(_columns(blob[4:]), dtype=np.uint64).astype(np.uint32) + np.frombuffer(blob[:4], "<u4")[0]
-        waiting.append((x, _columns(n.as_py()).astype(np.int64)))
-        size += len(x)
-        if size >= max(FLUSH, len(token)) or i == len(blocks) - 1:
-            both = np.concatenate([token, *(w[0] for w in waiting)])
-            counts = np.concatenate([count, *(w[1] for w in waiting)])
-            token, at = np.unique(both, return_inverse=True)
-            count = np.zeros(len(token), np.int64)
-            np.add.at(count, at, counts)
-            waiting, size = [], 0
-    often = count >= 2
-    return pa.table({"token": token[often].astype(np.int64), "class": np.floor(np.log2(count[often])).astype(np.int32)})
+def _cuts(ranges: int) -> list[int]:
+    """Where the hash ranges begin and the last ends; each begins with a slot of the class table."""
+    return [(r * (1 << SLOTS) // ranges) << (32 - SLOTS) for r in range(ranges + 1)]
+
+
+def _range_classes(cuts: list[int]):
+    """The class table's part of one hash range: for each slot the log2 of the frequency of its most
+    frequent token, 0 where all are met once. Counts are summed as blocks come, so what is held
+    is the range's distinct hashes and one block."""
+    def run(key, rows):
+        r = key[0].as_py()
+        token, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+        waiting, size = [], 0
+        blocks = list(zip(rows.column("block"), rows.column("counts")))
+        for i, (blob, n) in enumerate(blocks):
+            blob = blob.as_py()
+            x = np.cumsum(_columns(blob[4:]), dtype=np.uint64).astype(np.uint32) + np.frombuffer(blob[:4], "<u4")[0]
+            waiting.append((x, _columns(n.as_py()).astype(np.int64)))
+            size += len(x)
+            if size >= max(FLUSH, len(token)) or i == len(blocks) - 1:
+                both = np.concatenate([token, *(w[0] for w in waiting)])
+                counts = np.concatenate([count, *(w[1] for w in waiting)])
+                token, at = np.unique(both, return_inverse=True)
+                count = np.zeros(len(token), np.int64)
+                np.add.at(count, at, counts)
+                waiting, size = [], 0
+        slot = (token >> np.uint32(32 - SLOTS)).astype(np.int64) - (cuts[r] >> (32 - SLOTS))
+        table = np.zeros((cuts[r + 1] - cuts[r]) >> (32 - SLOTS), np.uint8)
+        np.maximum.at(table, slot, np.floor(np.log2(count)).astype(np.uint8))
+        return pa.table({"r": pa.array([r], pa.int32()), "classes": pa.array([pa.compress(table, codec="zstd", asbytes=True)], pa.binary())})
+    return run
 
 
 def _classes(docs: DataFrame, k: int) -> bytes:
-    """The frequency class (log2, 0 for rare) of each slot of token hashes, as one byte a
-    slot: 16 MB whatever the corpus."""
-    spark = docs.sparkSession
-    ranges = max(64, 2 * partitions(spark))
-    blocks = docs.mapInArrow(_counts_blocks(k, ranges), "r int, block binary, counts binary")
-    often = stored(blocks.groupBy("r").applyInArrow(_count_range, "token long, class int"), "frequent")
-    hist = dict(often.groupBy("class").count().collect())    # at most 32 rows
-    low = next(c for c in range(1, 40) if sum(v for x, v in hist.items() if x >= c) <= MAX_FREQUENT)
+    """The frequency class (log2, 0 for tokens met once) of each slot of token hashes, as one byte
+    a slot: 16 MB whatever the corpus."""
+    cuts = _cuts(max(64, 2 * partitions(docs.sparkSession)))
+    blocks = docs.mapInArrow(_counts_blocks(k, cuts), "r int, block binary, counts binary")
+    parts = stored(blocks.groupBy("r").applyInArrow(_range_classes(cuts), "r int, classes binary"), "classes")
     table = np.zeros(1 << SLOTS, np.uint8)
-    got = often.filter(F.col("class") >= low).groupBy((F.col("token") / (1 << (32 - SLOTS))).cast("long").alias("slot")).agg(
-        F.max("class").alias("class")).toArrow()
-    table[got.column("slot").to_numpy()] = got.column("class").to_numpy().astype(np.uint8)
-    drop_stored(often)
+    for r, part in parts.collect():
+        a, b = cuts[r] >> (32 - SLOTS), cuts[r + 1] >> (32 - SLOTS)
+        table[a:b] = np.frombuffer(pa.decompress(part, b - a, codec="zstd"), np.uint8)
+    drop_stored(parts)
     return table.tobytes()
 
 
@@ -199,9 +208,19 @@ def _index(k: int, p: int, q: int, classes):
     return run
 
 
+def _bitmap(wanted: DataFrame) -> bytes:
+    """A bit for each slot of the nodes ``wanted``; it comes to the driver as words of 64 bits."""
+    slot = F.pmod("node", F.lit(BITMAP))
+    got = wanted.select(F.shiftright(slot, 6).alias("w"), F.expr("shiftleft(1L, cast(pmod(node, 64) as int))").alias("bit")) \
+        .groupBy("w").agg(F.bit_or("bit").alias("bits")).toArrow()
+    out = np.zeros(BITMAP // 64, "<i8")
+    out[got.column("w").to_numpy()] = got.column("bits").to_numpy()
+    return out.tobytes()
+
+
 def _wanted_sets(k: int, bitmap):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8))
+        bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little")
         seen: set[int] = set()
         for _, texts in _batches(it, (), "text"):
             node, blob = [], []
@@ -279,19 +298,21 @@ def links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame
     hot = stored(hot, "hot")
     drop_stored(members)
     wanted = pairs.select(F.explode(F.array("a", "b")).alias("node")).unionByName(hot.select("node"))
-    slots = wanted.select(F.pmod("node", F.lit(BITMAP)).cast("int").alias("s")).distinct().toArrow().column("s").to_numpy()
-    bits = np.zeros(BITMAP, np.uint8)
-    bits[slots] = 1
-    bitmap = spark.sparkContext.broadcast(np.packbits(bits).tobytes())
+    bitmap = spark.sparkContext.broadcast(_bitmap(wanted))
     sets = stored(docs.mapInArrow(_wanted_sets(k, bitmap), "node long, tokens binary").groupBy("node").agg(
         F.first("tokens").alias("tokens")), "sets")
 
     found = [stored(_compared(pairs, sets, p, q).filter("linked").select("a", "b"), "links")]
+    drop_stored(pairs)
     while not hot.isEmpty():
-        members = stored(_hub_members(hot, sets, p, q, found), "members")
+        members = _hub_members(hot, sets, p, q, found)
+        drop_stored(hot)
         small, hot = _by_size(members, DEEP)
         found.append(stored(_compared(_pairs(small, p, q, 1), sets, p, q).filter("linked").select("a", "b"), "links"))
         hot = stored(hot, "hot")
+        drop_stored(members)
+    for gone in (hot, sets):
+        drop_stored(gone)
     out = found[0]
     for f in found[1:]:
         out = out.unionByName(f)
@@ -307,7 +328,7 @@ def _by_size(members: DataFrame, most: int) -> tuple[DataFrame, DataFrame]:
 
 
 def _hub_members(hot: DataFrame, sets: DataFrame, p: int, q: int, found: list) -> DataFrame:
-    """Compare the sets of each hot key with one hub; the members of the next level are
+    """Compare the sets of each hot key with one hub; the members of the next level (stored) are
     (group, difference token) keys. A group is a line of hubs and lacks them all, so groups
     shrink from level to level. Adds the links to the hubs to
     ``found``."""
@@ -316,9 +337,9 @@ def _hub_members(hot: DataFrame, sets: DataFrame, p: int, q: int, found: list) -
         F.max_by("node", F.struct("deg", -F.col("e"), "node")).alias("a"))    # the set in most hot keys
     groups = stored(hot.join(hub, ["line", "key"]).filter("a <> node").select(
         F.xxhash64("line", "a").alias("line"), "a", F.col("node").alias("b")).distinct(), "groups")
-    got = stored(_compared(groups.select("a", "b").distinct(), sets, p, q, differences=True), "hub")
-    found.append(got.filter("linked").select("a", "b"))
-    got = groups.join(got, ["a", "b"]).withColumn("d", F.size("diff"))
+    compared = stored(_compared(groups.select("a", "b").distinct(), sets, p, q, differences=True), "hub")
+    found.append(stored(compared.filter("linked").select("a", "b"), "links"))
+    got = groups.join(compared, ["a", "b"]).withColumn("d", F.size("diff"))
     # tokens met once cannot be shared; being the rarest, they fill the front of every prefix
     tokens = got.select("line", "b", F.explode("diff").alias("t"))
     often = tokens.groupBy("line", "t").agg(F.count(F.lit(1)).alias("f")).filter("f > 1")
@@ -335,7 +356,11 @@ def _hub_members(hot: DataFrame, sets: DataFrame, p: int, q: int, found: list) -
     far = one.filter("not linked").withColumn("bucket", own).withColumn("x", F.explode("ts"))
     both = near.withColumn("prefix", F.lit(True)).withColumn("free", F.lit(False)).unionByName(
         far.withColumn("prefix", F.lit(False)).withColumn("free", F.lit(True)))
-    return both.select(F.xxhash64("line", "bucket", "x.t").alias("key"), F.col("b").alias("node"), "n", "e", "kept", "edge", "prefix", "free", "line")
+    members = stored(both.select(F.xxhash64("line", "bucket", "x.t").alias("key"), F.col("b").alias("node"), "n", "e", "kept", "edge", "prefix",
+                                 "free", "line"), "members")
+    for gone in (groups, compared):
+        drop_stored(gone)
+    return members
 
 
 def drop_near_copies(docs: DataFrame, k: int = 5, similarity: Fraction | str = "0.8", id_col: str = "doc_id",
