@@ -187,3 +187,16 @@ def test_the_join_leaves_no_shuffles_and_few_tables(spark, tmp_path, monkeypatch
     nodes, _ = J.links(spark.createDataFrame(rows, SCHEMA).select(F.col("doc_id").alias("id"), "text"), 3, 9, 10)
     links = sum(a == ("links",) for a in made)
     assert links > 1 and len(made) - len(dropped) == links + 1     # the links and the nodes stay
+
+
+def test_single_keys_are_not_shuffled(spark):
+    """Every key met twice stays, nearly all others go before the rows are dealt out by key."""
+    n = 60_000
+    rows = spark.range(n, numPartitions=5).select(F.xxhash64("id").alias("key"), F.col("id").alias("node"), F.lit(9).cast("long").alias("n"))
+    twice = spark.range(300).select(F.xxhash64(n - 100 + F.col("id")).alias("key"), (F.col("id") + n).alias("node"), F.lit(9).cast("long").alias("n"))
+    index = rows.unionByName(twice)
+    got = [r.key for r in J._repeated(index).collect()]
+    want = index.groupBy("key").count().filter("count > 1").collect()
+    assert len(want) == 100 and collections.Counter(got) & collections.Counter({r.key: 2 for r in want}) == {r.key: 2 for r in want}
+    assert len(got) < 300
+    assert J._repeated(index.limit(0)).count() == 0

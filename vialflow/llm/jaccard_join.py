@@ -51,7 +51,7 @@ SMALL = 32              # a key with more sets goes through a hub
 DEEP = 128              # the same for keys of differences, which part their sets already
 BITMAP = 1 << 24        # a whole number of words of 64 bits
 ROWS = 2000             # texts hashed at once
-FLUSH = 4 << 20         # shingles counted at once in a task
+FLUSH = 2 << 20         # hashes counted at once in a task
 
 
 def _batches(it, others, text_col):
@@ -71,23 +71,26 @@ def _narrow(k: int):
     return run
 
 
-def _counts_blocks(k: int, cuts: list[int]):
-    """Blocks of ascending 32-bit hashes, each with its count, by hash range, one for each so
-    many shingles: a shingle met in a third of the documents is one entry of a block."""
-    def flush(got: list[np.ndarray]):
-        x, n = np.unique(np.concatenate(got), return_counts=True)
-        cut = np.searchsorted(x, cuts)
-        key, blob, counts = [], [], []
-        for r in range(len(cuts) - 1):
-            part = x[cut[r]:cut[r + 1]]
-            if len(part):
-                step = np.diff(part, prepend=part[:1]).astype("<u4").view(np.uint8).reshape(-1, 4)
-                key.append(r)
-                blob.append(part[:1].astype("<u4").tobytes() + step.T.tobytes())
-                counts.append(n[cut[r]:cut[r + 1]].astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
-        return pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(blob, pa.binary()), pa.array(counts, pa.binary())],
-                                          ["r", "block", "counts"])
-
+def _blocks(got: list[np.ndarray], cuts: list[int]) -> pa.RecordBatch:
+    """Blocks of ascending 32-bit hashes, each with its count, by hash range: a hash met in a third
+    of the rows is one entry of a block."""
+    x = np.concatenate(got)
+    x.sort()
+    cut = np.searchsorted(x, cuts)
+    key, blob, counts = [], [], []
+    for r in range(len(cuts) - 1):      # range by range: what is held besides is small
+        if cut[r] < cut[r + 1]:
+            part, n = np.unique(x[cut[r]:cut[r + 1]], return_counts=True)
+            step = np.diff(part, prepend=part[:1]).astype("<u4").view(np.uint8).reshape(-1, 4)
+            key.append(r)
+            blob.append(part[:1].astype("<u4").tobytes() + step.T.tobytes())
+            counts.append(n.astype("<u4").view(np.uint8).reshape(-1, 4).T.tobytes())
+    return pa.RecordBatch.from_arrays([pa.array(key, pa.int32()), pa.array(blob, pa.binary()), pa.array(counts, pa.binary())],
+                                      ["r", "block", "counts"])
+
+
+def _token_blocks(k: int, cuts: list[int]):
+    """Blocks of the hashes of shingles, one set of blocks for each FLUSH shingles."""
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         got, n, seen = [], 0, set()
         for _, texts in _batches(it, (), "text"):
@@ -97,10 +100,25 @@ def _counts_blocks(k: int, cuts: list[int]):
                     got.append((s >> U(32)).astype(np.uint32))
                     n += len(s)
                     if n >= FLUSH:
-                        yield flush(got)
+                        yield _blocks(got, cuts)
                         got, n, seen = [], 0, set()
         if n:
-            yield flush(got)
+            yield _blocks(got, cuts)
+    return run
+
+
+def _key_blocks(cuts: list[int]):
+    """Blocks of the upper halves of index keys, one set of blocks for each FLUSH keys."""
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        got, n = [], 0
+        for b in it:
+            got.append((b.column("key").to_numpy(zero_copy_only=False).view(U) >> U(32)).astype(np.uint32))
+            n += b.num_rows
+            if n >= FLUSH:
+                yield _blocks(got, cuts)
+                got, n = [], 0
+        if n:
+            yield _blocks(got, cuts)
     return run
 
 
@@ -108,53 +126,79 @@ def _columns(blob: bytes) -> np.ndarray:
     return np.ascontiguousarray(np.frombuffer(blob, np.uint8).reshape(4, -1).T).view("<u4").ravel()
 
 
-def _cuts(ranges: int) -> list[int]:
-    """Where the hash ranges begin and the last ends; each begins with a slot of the class table."""
-    return [(r * (1 << SLOTS) // ranges) << (32 - SLOTS) for r in range(ranges + 1)]
-
+def _summed(rows: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct hashes of a range, ascending, and their counts, summed as blocks come: what is
+    held is the range's distinct hashes and one block."""
+    token, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
+    waiting, size = [], 0
+    blocks = list(zip(rows.column("block"), rows.column("counts")))
+    for i, (blob, n) in enumerate(blocks):
+        blob = blob.as_py()
+        x = np.cumsum(_columns(blob[4:]), dtype=np.uint64).astype(np.uint32) + np.frombuffer(blob[:4], "<u4")[0]
+        waiting.append((x, _columns(n.as_py()).astype(np.int64)))
+        size += len(x)
+        if size >= max(FLUSH, len(token)) or i == len(blocks) - 1:
+            both = np.concatenate([token, *(w[0] for w in waiting)])
+            counts = np.concatenate([count, *(w[1] for w in waiting)])
+            token, at = np.unique(both, return_inverse=True)
+            count = np.zeros(len(token), np.int64)
+            np.add.at(count, at, counts)
+            waiting, size = [], 0
+    return token, count
+
+
+def _classes_of(token: np.ndarray, count: np.ndarray, table: np.ndarray, slot: np.ndarray) -> None:
+    """A slot's byte: the log2 of the frequency of its most frequent token, 0 where all are met once."""
+    np.maximum.at(table, slot, np.floor(np.log2(count)).astype(np.uint8))
+
+
+def _bits_of(token: np.ndarray, count: np.ndarray, table: np.ndarray, slot: np.ndarray) -> None:
+    """A slot's byte: a bit for each eighth of it that holds a hash met twice."""
+    more = count > 1
+    np.bitwise_or.at(table, slot[more], np.uint8(1) << (token[more] >> np.uint32(32 - SLOTS - 3) & np.uint32(7)).astype(np.uint8))
+
+
+def _by_slot(blocks, fill, name: str, spark) -> bytes:
+    """A byte for each of 2**SLOTS slots of hashes (16 MB whatever the corpus), filled from the counted
+    hashes of its range: ``blocks`` makes them, given where ranges begin and the last ends."""
+    ranges = max(64, 2 * partitions(spark))
+    cuts = [(r * (1 << SLOTS) // ranges) << (32 - SLOTS) for r in range(ranges + 1)]
+    at = [c >> (32 - SLOTS) for c in cuts]
 
-def _range_classes(cuts: list[int]):
-    """The class table's part of one hash range: for each slot the log2 of the frequency of its most
-    frequent token, 0 where all are met once. Counts are summed as blocks come, so what is held
-    is the range's distinct hashes and one block."""
     def run(key, rows):
         r = key[0].as_py()
-        token, count = np.zeros(0, np.uint32), np.zeros(0, np.int64)
-        waiting, size = [], 0
-        blocks = list(zip(rows.column("block"), rows.column("counts")))
-        for i, (blob, n) in enumerate(blocks):
-            blob = blob.as_py()
-            x = np.cumsum(_columns(blob[4:]), dtype=np.uint64).astype(np.uint32) + np.frombuffer(blob[:4], "<u4")[0]
-            waiting.append((x, _columns(n.as_py()).astype(np.int64)))
-            size += len(x)
-            if size >= max(FLUSH, len(token)) or i == len(blocks) - 1:
-                both = np.concatenate([token, *(w[0] for w in waiting)])
-                counts = np.concatenate([count, *(w[1] for w in waiting)])
-                token, at = np.unique(both, return_inverse=True)
-                count = np.zeros(len(token), np.int64)
-                np.add.at(count, at, counts)
-                waiting, size = [], 0
-        slot = (token >> np.uint32(32 - SLOTS)).astype(np.int64) - (cuts[r] >> (32 - SLOTS))
-        table = np.zeros((cuts[r + 1] - cuts[r]) >> (32 - SLOTS), np.uint8)
-        np.maximum.at(table, slot, np.floor(np.log2(count)).astype(np.uint8))
-        return pa.table({"r": pa.array([r], pa.int32()), "classes": pa.array([pa.compress(table, codec="zstd", asbytes=True)], pa.binary())})
-    return run
-
-
-def _classes(docs: DataFrame, k: int) -> bytes:
-    """The frequency class (log2, 0 for tokens met once) of each slot of token hashes, as one byte
-    a slot: 16 MB whatever the corpus."""
-    cuts = _cuts(max(64, 2 * partitions(docs.sparkSession)))
-    blocks = docs.mapInArrow(_counts_blocks(k, cuts), "r int, block binary, counts binary")
-    parts = stored(blocks.groupBy("r").applyInArrow(_range_classes(cuts), "r int, classes binary"), "classes")
+        token, count = _summed(rows)
+        part = np.zeros(at[r + 1] - at[r], np.uint8)
+        fill(token, count, part, (token >> np.uint32(32 - SLOTS)).astype(np.int64) - at[r])
+        return pa.table({"r": pa.array([r], pa.int32()), "part": pa.array([pa.compress(part, codec="zstd", asbytes=True)], pa.binary())})
+    parts = stored(blocks(cuts).groupBy("r").applyInArrow(run, "r int, part binary"), name)
     table = np.zeros(1 << SLOTS, np.uint8)
     for r, part in parts.collect():
-        a, b = cuts[r] >> (32 - SLOTS), cuts[r + 1] >> (32 - SLOTS)
-        table[a:b] = np.frombuffer(pa.decompress(part, b - a, codec="zstd"), np.uint8)
+        table[at[r]:at[r + 1]] = np.frombuffer(pa.decompress(part, at[r + 1] - at[r], codec="zstd"), np.uint8)
     drop_stored(parts)
     return table.tobytes()
 
 
+def _classes(docs: DataFrame, k: int) -> bytes:
+    """The frequency class (log2, 0 for tokens met once) of each slot of token hashes."""
+    return _by_slot(lambda cuts: docs.mapInArrow(_token_blocks(k, cuts), "r int, block binary, counts binary"), _classes_of, "classes", docs.sparkSession)
+
+
+def _repeated(index: DataFrame) -> DataFrame:
+    """``index`` without most keys of one row (nearly all are): a bit for each 2**(SLOTS + 3) slots of
+    keys tells where one is met twice, so that single keys are neither shuffled nor sorted."""
+    spark = index.sparkSession
+    bitmap = spark.sparkContext.broadcast(_by_slot(
+        lambda cuts: index.select("key").mapInArrow(_key_blocks(cuts), "r int, block binary, counts binary"), _bits_of, "bits", spark))
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = np.frombuffer(bitmap.value, np.uint8)
+        for b in it:
+            h = b.column("key").to_numpy(zero_copy_only=False).view(U) >> U(64 - SLOTS - 3)
+            yield b.filter(pa.array(bits[(h >> U(3)).astype(np.int64)] >> (h & U(7)).astype(np.uint8) & 1 == 1))
+    return index.mapInArrow(run, index.schema)
+
+
 def _keys(s: np.ndarray, cls: np.ndarray, p: int, q: int) -> list[int]:
     """Index keys of a sorted set for similarity p/q, given its tokens' classes."""
     n = len(s)
@@ -288,9 +332,11 @@ def links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame
     nodes = stored(marked.mapInArrow(_narrow(k), "id long, mark long, n long, node long"), "nodes")
     classes = spark.sparkContext.broadcast(_classes(docs, k))
     index = stored(docs.mapInArrow(_index(k, p, q, classes), "key long, node long, n long"), "index")
-    size = index.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
-    members = stored(index.join(size.filter("m > 1"), "key").select("key", "node", "n").distinct(), "members")
+    few = stored(_repeated(index), "repeated")
     drop_stored(index)
+    size = few.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
+    members = stored(few.join(size.filter("m > 1"), "key").select("key", "node", "n").distinct(), "members")
+    drop_stored(few)
     # before there is a hub: one group, every set free and indexed by all its keys
     members = members.withColumns({**{c: F.lit(0).cast("long") for c in ("e", "kept", "edge", "line")}, "prefix": F.lit(True), "free": F.lit(True)})
     small, hot = _by_size(members, SMALL)
