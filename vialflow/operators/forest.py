@@ -2,11 +2,11 @@
 
 Spark's own fit visits every row once a tree and level through boxed per-row updates (about 5
 microseconds each). Here the rows are cut into bins once and cached as small columns; tasks count
-(node, feature, bin, class) with numpy, one shuffle brings the counts of a tree together, and
-each tree's group picks the best split of its nodes. Parameters, candidate splits, bagging
-(Poisson of mean 1 by row and tree), feature subsets, Gini gains, leaf votes and importances
-follow ``RandomForestClassifier``. Only splits (a bit a bin, a few numbers a node) reach the
-driver.
+(node, feature, bin, class) with numpy (a row's way down a tree is a few lookups for groups of
+features), one shuffle brings the counts of a tree together, and each tree's group picks the best
+split of its nodes. Parameters, candidate splits, bagging (Poisson of mean 1 by row and tree),
+feature subsets, Gini gains, leaf votes and importances follow ``RandomForestClassifier``. Only
+splits (a bit a bin, a few numbers a node) reach the driver.
 """
 
 from __future__ import annotations
@@ -23,11 +23,16 @@ from pyspark.ml.linalg import Vectors
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BATCH = 1 << 16             # rows counted at once in a task
+BATCH = 1 << 14             # rows counted at once in a task: their columns stay in a core's cache
+GROUP = 1 << 12             # values of a group of features that are looked up together
 ROOM = 256 << 20            # bytes of counts that a task holds: more trees take more passes
 # P(Poisson(1) <= k) as 32-bit integers: a row's copies in a tree are the steps below its hash
 STEPS = np.array([min(2 ** 32 - 1, round(2 ** 32 * sum(math.exp(-1) / math.factorial(i) for i in range(k + 1))))
                   for k in range(13)], dtype=np.uint32)
+# copies by the upper 16 bits, ODD where the lower ones decide
+ODD = 255
+COPIES = np.searchsorted(STEPS, np.arange(1 << 16, dtype=np.uint32) << np.uint32(16), side="right").astype(np.uint8)
+COPIES[STEPS >> np.uint32(16)] = ODD
 
 
 def _matrix(column, width: int) -> np.ndarray:
@@ -46,13 +51,24 @@ def _binned(x: np.ndarray, cuts: list) -> np.ndarray:
     return out
 
 
-def _copies(h: np.ndarray, seed: int, tree: int) -> np.ndarray:
+def _mixed(h: np.ndarray) -> np.ndarray:
+    """What the draws of all trees share of a row's hash."""
+    return h ^ (h >> np.uint64(30))
+
+
+def _copies(mixed: np.ndarray, seed: int, tree: int) -> np.ndarray:
     """Poisson(1) copies of each row in a tree: a hash of the row's number, the seed and the tree."""
     salt = np.uint64(((seed * 1_000_003 + tree + 1) * 0x9E3779B97F4A7C15) & (2 ** 64 - 1))
-    z = h ^ salt
-    z = (z ^ (z >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
-    z = (z ^ (z >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
-    return np.searchsorted(STEPS, (z >> np.uint64(32)).astype(np.uint32), side="right")
+    z = mixed ^ _mixed(salt)
+    z *= np.uint64(0xBF58476D1CE4E5B9)
+    y = z >> np.uint64(27)
+    z ^= y
+    z *= np.uint64(0x94D049BB133111EB)
+    np.right_shift(z, np.uint64(48), out=y)
+    copies = COPIES.take(y.view(np.int64))
+    odd = np.flatnonzero(copies == ODD)
+    copies[odd] = np.searchsorted(STEPS, (z[odd] >> np.uint64(32)).astype(np.uint32), side="right")
+    return copies
 
 
 class Tree:
@@ -78,6 +94,70 @@ class Tree:
         return node
 
 
+MOST_BITS = 6       # splits deep that a 64-bit word of decisions covers
+
+
+def _groups(sizes: list[int]) -> list[list[int]]:
+    """Features, in groups of at most GROUP values together (a longer feature alone)."""
+    out, room = [], 0
+    for f, size in enumerate(sizes):
+        if room < size:
+            out.append([])
+            room = GROUP
+        out[-1].append(f)
+        room //= size
+    return out
+
+
+def _joint(columns: list[np.ndarray], groups: list[list[int]], sizes: list[int]) -> list[np.ndarray]:
+    """One number for each row and group of features."""
+    out = []
+    for first, *others in groups:
+        x = columns[first].astype(np.int64)
+        for f in others:
+            x *= sizes[f]
+            x += columns[f]
+        out.append(x)
+    return out
+
+
+class _Routes:
+    """Where rows stand after ``levels`` splits of a tree. Each value of a feature has a bit for every
+    node that splits on it (set: right), so a row's decisions are the union of a few lookups and
+    its way down is arithmetic. A row that stops early goes on to the left: below a leaf."""
+
+    def __init__(self, tree: Tree, levels: int, groups: list[list[int]], sizes: list[int]):
+        self.levels, self.kind = levels, np.uint32 if levels < MOST_BITS else np.uint64
+        self.tables: list[np.ndarray | None] = []
+        split = np.arange(1, 1 << levels)
+        split = split[tree.feature[split] >= 0]
+        for g in groups:
+            table = np.zeros(1, self.kind)
+            for f in g:
+                own = np.zeros(sizes[f], self.kind)
+                for node in split[tree.feature[split] == f]:
+                    own |= (~tree.left[node, :sizes[f]]).astype(self.kind) << self.kind(node)
+                table = (table[:, None] | own).reshape(-1)
+            self.tables.append(table if table.any() else None)
+
+    def place(self, joint: list[np.ndarray], rows: np.ndarray | None = None) -> np.ndarray:
+        mask = None
+        for table, x in zip(self.tables, joint):
+            if table is not None:
+                got = table.take(x if rows is None else x.take(rows))
+                mask = got if mask is None else np.bitwise_or(mask, got, out=mask)
+        n = len(joint[0]) if rows is None else len(rows)
+        if mask is None:
+            return np.full(n, 1 << self.levels, self.kind)
+        node = np.ones(n, self.kind)
+        for _ in range(self.levels):
+            bit = mask >> node
+            bit &= self.kind(1)
+            node <<= self.kind(1)
+            node |= bit
+        return node
+
+
 def _subset(seed: int, tree: int, node: int, width: int, take: int) -> np.ndarray:
     return np.sort(np.random.default_rng([seed & 0x7FFFFFFF, tree, node]).permutation(width)[:take])
 
@@ -95,14 +175,19 @@ class _Counter:
         self.start = self.base[:-1].reshape(self.pick.shape)
         self.counts = np.zeros(int(self.base[-1]) * classes)
 
-    def add(self, binned, label, weight, node) -> None:
-        slot = self.slot[node]
-        keep = np.flatnonzero((slot >= 0) & (weight > 0))
-        slot, y, w = slot[keep], label[keep], weight[keep]
-        flat, at = binned.reshape(-1), keep * binned.shape[1]
-        for j in range(self.pick.shape[1]):
-            bin_ = flat[at + self.pick[slot, j]]
-            self.counts += np.bincount((self.start[slot, j] + bin_) * self.classes + y, weights=w, minlength=len(self.counts))
+    def add(self, by: np.ndarray, rows: np.ndarray, weight: np.ndarray, node: np.ndarray) -> None:
+        """``by`` has each row's bins times the classes plus its class, feature by feature; ``rows`` are
+        the places in it where the counted rows begin."""
+        slot = self.slot.take(node)
+        if slot.size and slot.min() < 0:
+            keep = np.flatnonzero(slot >= 0)
+            slot, rows, weight = slot.take(keep), rows.take(keep), weight.take(keep)
+        for pick, start in zip(self.pick.T, self.start.T * self.classes):
+            if len(pick) > 1:
+                at = by.take(rows + pick.take(slot)) + start.take(slot)
+            else:
+                at = by.take(rows + pick[0]) + start[0]
+            self.counts += np.bincount(at, weights=weight, minlength=len(self.counts))
 
 
 def _parts(batches, columns: int):
@@ -121,15 +206,26 @@ def _parts(batches, columns: int):
 def _count(open_nodes: dict, trees: list, level: int, sizes: list[int], classes: int, take: int, seed: int):
     """The map side of a level: a task's counts, one row a tree."""
     def run(batches):
-        width, counters = len(sizes), {}
+        width, groups, deep = len(sizes), _groups(sizes), level > MOST_BITS
+        counters = {t: _Counter(nodes, [_subset(seed, t, n, width, take) for n in nodes], sizes, classes, 1 << (level + 1))
+                    for t, nodes in open_nodes.items()}
+        routes = {} if deep else {t: _Routes(trees[t], level, groups, sizes) for t in open_nodes}
+        some = False
         for cols in _parts(batches, width + 3):
-            binned = np.ascontiguousarray(np.stack(cols[:width], axis=1))
             label, weight, h = cols[width].astype(np.int64), cols[width + 1], cols[width + 2].view(np.uint64)
-            for t, nodes in open_nodes.items():
-                if t not in counters:
-                    counters[t] = _Counter(nodes, [_subset(seed, t, n, width, take) for n in nodes], sizes, classes, 1 << (level + 1))
-                counters[t].add(binned, label, weight * _copies(h, seed, t), trees[t].place(binned, level))
-        for t, c in counters.items():
+            if not (weight > 0).all():
+                good = np.flatnonzero(weight > 0)
+                cols, label, weight, h = [x.take(good) for x in cols[:width]], label.take(good), weight.take(good), h.take(good)
+            some = True
+            binned = np.ascontiguousarray(np.stack(cols[:width], axis=1))
+            by = (binned * np.int64(classes) + label[:, None]).reshape(-1)
+            begin, joint, mixed = np.arange(len(label)) * width, _joint(cols, groups, sizes), _mixed(h)
+            for t, counter in counters.items():
+                copies = _copies(mixed, seed, t)
+                rows = np.flatnonzero(copies)
+                node = trees[t].place(binned[rows], level) if deep else routes[t].place(joint, rows)
+                counter.add(by, begin.take(rows), weight.take(rows) * copies.take(rows), node)
+        for t, c in counters.items() if some else ():
             yield pa.RecordBatch.from_arrays([pa.array([t], pa.int32()), pa.array([c.counts.tobytes()], pa.binary())], ["tree", "counts"])
     return run
 
@@ -319,9 +415,17 @@ class HistogramForestModel(Model):
 
         def score(batches):
             shares = [t.stats / np.maximum(t.stats.sum(axis=1, keepdims=True), 1e-300) for t in trees]
+            sizes, each = [t.left.shape[1] for t in trees[:1]] * len(cuts), [[j] for j in range(len(cuts))]
+            places = [t.place for t in trees]
+            if depth <= MOST_BITS:
+                places = [_Routes(t, depth, each, sizes).place for t in trees]
+                for t, s in zip(trees, shares):
+                    for node in np.flatnonzero(t.feature[:1 << depth] < 0)[1:]:     # below a leaf: its shares
+                        s[2 * node] = s[2 * node + 1] = s[node]
             for x in batches:
                 binned = np.ascontiguousarray(_binned(_matrix(x, len(cuts)), cuts))
-                p = sum((s[t.place(binned, depth)] for t, s in zip(trees, shares)), np.zeros((len(binned), classes))) / len(trees)
+                given = (_joint(list(binned.T), each, sizes),) if depth <= MOST_BITS else (binned, depth)
+                p = sum((s.take(place(*given), axis=0) for place, s in zip(places, shares)), np.zeros((len(binned), classes))) / len(trees)
                 ends = pa.array(np.arange(len(binned) + 1, dtype=np.int32) * classes)
                 yield pa.ListArray.from_arrays(ends, pa.array(p.reshape(-1)))
 
