@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -24,18 +25,25 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents")
 
 
+@contextlib.contextmanager
+def setting(spark: SparkSession, key: str, value: str):
+    """A session setting for the writes within."""
+    before = spark.conf.get(key, None)
+    spark.conf.set(key, value)
+    try:
+        yield
+    finally:
+        spark.conf.unset(key) if before is None else spark.conf.set(key, before)
+
+
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` once to the shared checkpoint folder and read it back: lineage is cut
     and every later use sees the same rows, also after a lost executor. The shuffle files of the
     write go with its end: the disk holds stored tables and one write's shuffles."""
     spark = df.sparkSession
     path = f"{checkpoint_dir(spark).rstrip('/')}/vialflow-{name}-{uuid.uuid4().hex}"
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
+    with setting(spark, CLEANUP, "true"):
         df.write.option("compression", "zstd").parquet(path)
-    finally:
-        spark.conf.unset(CLEANUP) if before is None else spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

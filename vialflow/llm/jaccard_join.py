@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .common import drop_stored, partitions, stored
+from .common import drop_stored, partitions, setting, stored
 from .components import roots
 
 U = np.uint64
@@ -50,7 +50,8 @@ COMBINED_FROM = 200     # smaller sets index single tokens only
 SMALL = 32              # a key with more sets goes through a hub
 DEEP = 128              # the same for keys of differences, which part their sets already
 BITMAP = 1 << 24        # a whole number of words of 64 bits
-ROWS = 2000             # texts hashed at once
+ROWS = 500              # texts hashed at once
+BATCH = 2500            # rows that go to a Python worker at once: texts and sets are long
 FLUSH = 2 << 20         # hashes counted at once in a task
 
 
@@ -327,6 +328,11 @@ def _pairs(members: DataFrame, p: int, q: int, shared: int) -> DataFrame:
 def links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame]:
     """(documents with their node, links (a, b) that connect the nodes). Every two sets with
     Jaccard similarity p/q or more are connected by links; each link is itself such a pair."""
+    with setting(docs.sparkSession, "spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH)):
+        return _links(docs, k, p, q)
+
+
+def _links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFrame]:
     spark = docs.sparkSession
     marked = docs.select("id", F.xxhash64("text").alias("mark"), "text")
     nodes = stored(marked.mapInArrow(_narrow(k), "id long, mark long, n long, node long"), "nodes")
