@@ -197,7 +197,9 @@ def _repeated(index: DataFrame) -> DataFrame:
         for b in it:
             h = b.column("key").to_numpy(zero_copy_only=False).view(U) >> U(64 - SLOTS - 3)
             yield b.filter(pa.array(bits[(h >> U(3)).astype(np.int64)] >> (h & U(7)).astype(np.uint8) & 1 == 1))
-    return index.mapInArrow(run, index.schema)
+    few = stored(index.mapInArrow(run, index.schema), "repeated")
+    bitmap.destroy()
+    return few
 
 
 def _keys(s: np.ndarray, cls: np.ndarray, p: int, q: int) -> list[int]:
@@ -265,12 +267,12 @@ def _bitmap(wanted: DataFrame) -> bytes:
 
 def _wanted_sets(k: int, bitmap):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bits = np.unpackbits(np.frombuffer(bitmap.value, np.uint8), bitorder="little")
+        bits = bitmap.value
         seen: set[int] = set()
         for _, texts in _batches(it, (), "text"):
             node, blob = [], []
             for s in words.shingles(texts, k):
-                if len(s) and bits[(d := words.set_digest(s)) % BITMAP] and d not in seen:
+                if len(s) and bits[(at := (d := words.set_digest(s)) % BITMAP) >> 3] >> (at & 7) & 1 and d not in seen:
                     if len(seen) < 2_000_000:
                         seen.add(d)
                     node.append(d)
@@ -338,7 +340,8 @@ def _links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFram
     nodes = stored(marked.mapInArrow(_narrow(k), "id long, mark long, n long, node long"), "nodes")
     classes = spark.sparkContext.broadcast(_classes(docs, k))
     index = stored(docs.mapInArrow(_index(k, p, q, classes), "key long, node long, n long"), "index")
-    few = stored(_repeated(index), "repeated")
+    classes.destroy()       # a table of 16 MB in every executor and worker
+    few = _repeated(index)
     drop_stored(index)
     size = few.groupBy("key").agg(F.count(F.lit(1)).alias("m"))
     members = stored(few.join(size.filter("m > 1"), "key").select("key", "node", "n").distinct(), "members")
@@ -353,6 +356,7 @@ def _links(docs: DataFrame, k: int, p: int, q: int) -> tuple[DataFrame, DataFram
     bitmap = spark.sparkContext.broadcast(_bitmap(wanted))
     sets = stored(docs.mapInArrow(_wanted_sets(k, bitmap), "node long, tokens binary").groupBy("node").agg(
         F.first("tokens").alias("tokens")), "sets")
+    bitmap.destroy()
 
     found = [stored(_compared(pairs, sets, p, q).filter("linked").select("a", "b"), "links")]
     drop_stored(pairs)
